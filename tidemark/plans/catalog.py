@@ -62,3 +62,143 @@ def q_table_counts(spark, sf_dir):
         name: table(spark, sf_dir, name)
         for name in ("customer", "orders", "lineitem")
     })
+
+
+# --- filters, names, JSON, lines (F1-F5, P4, P10, P11, S4, S11, A6) --------
+
+from ..functions import delimited_int, json_path_or_default, table_name_from_path  # noqa: E402
+from ..functions import topic_part  # noqa: E402
+from ..schemas import ENVELOPE  # noqa: E402
+from ..operators import cdc, envelope  # noqa: E402
+from .common import (envelope_records, framed_records, order_versions,  # noqa: E402
+                     EPOCH)
+
+EXPECTED_TABLES = ["click", "purchase", "view"]
+
+
+@register("filter_table")
+def q_filter_table(spark, sf_dir):
+    return ntz(reports.filter_equal(enriched(spark, sf_dir), "source_table", "error"))
+
+
+@register("topics_by_prefix")
+def q_topics_by_prefix(spark, sf_dir):
+    rec = reports.filter_prefix(records(spark, sf_dir), "topic", "pg.")
+    return reports.count_by(rec, "topic")
+
+
+@register("expected_tables")
+def q_expected_tables(spark, sf_dir):
+    e = enriched(spark, sf_dir).where(
+        reports.anchored_any("source_table", EXPECTED_TABLES))
+    return reports.count_by(e, "source_table")
+
+
+@register("include_list")
+def q_include_list(spark, sf_dir):
+    rec = records(spark, sf_dir)
+    qualified = F.concat_ws(".", topic_part("topic", 1), topic_part("topic", 2))
+    return reports.count_by(rec.where(reports.include_patterns(qualified, [r"public\..*"])),
+                            "topic")
+
+
+@register("topic_replay")
+def q_topic_replay(spark, sf_dir):
+    return reports.topic_replay(records(spark, sf_dir),
+                                "pg.public.click,pg.public.view")
+
+
+@register("table_names")
+def q_table_names(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    return pages.select("page_id", "url", table_name_from_path("url").alias("table_name"))
+
+
+@register("json_status")
+def q_json_status(spark, sf_dir):
+    rec = envelope_records(spark, sf_dir, damaged=F.col("event_type") == "error")
+    status = json_path_or_default(F.col("value").cast("string"), "$.op")
+    return reports.count_by(rec.select(status.alias("status")), "status")
+
+
+@register("offset_lines")
+def q_offset_lines(spark, sf_dir):
+    ends = (records(spark, sf_dir).groupBy("topic", "partition")
+            .agg((F.max("offset") + 1).alias("end_offset")))
+    lines = ends.select(F.format_string("%s:%d:%d", "topic", "partition",
+                                       "end_offset").alias("line"))
+    parsed = lines.select(F.get(F.split("line", ":"), 0).alias("topic"),
+                          delimited_int("line", ":", 2).alias("n"))
+    return parsed.groupBy("topic").agg(F.sum("n").cast("bigint").alias("messages"))
+
+
+@register("table_sample")
+def q_table_sample(spark, sf_dir):
+    return ntz(reports.table_sample(table(spark, sf_dir, "orders"), 5, ["o_orderkey"]))
+
+
+@register("schema_count")
+def q_schema_count(spark, sf_dir):
+    subjects = F.concat(F.col("topic"), F.lit("-value"))
+    return records(spark, sf_dir).agg(F.count_distinct(subjects).alias("schema_count"))
+
+
+# --- envelopes and change data capture (P8, P9, F7, C1-C6) -----------------
+
+@register("wire_header")
+def q_wire_header(spark, sf_dir):
+    return envelope.wire_header(framed_records(spark, sf_dir))
+
+
+@register("decode_envelope")
+def q_decode_envelope(spark, sf_dir):
+    return envelope.decode_envelopes(envelope_records(spark, sf_dir), ENVELOPE)
+
+
+@register("decode_errors")
+def q_decode_errors(spark, sf_dir):
+    rec = envelope_records(spark, sf_dir, damaged=F.col("event_type") == "error")
+    base = rec.select(topic_part("topic", 2).alias("source_table"), "value")
+    decoded = envelope.decode_json(base, ENVELOPE)
+    bad = F.col("envelope._corrupt_record").isNotNull()
+    return decoded.groupBy("source_table").agg(
+        F.count(F.when(~bad, 1)).alias("decoded"),
+        F.count(F.when(bad, 1)).alias("failed"))
+
+
+def _good_changes(spark, sf_dir):
+    rec = envelope_records(spark, sf_dir)
+    good, _ = envelope.split_decoded(envelope.decode_json(rec, ENVELOPE))
+    return good.select("envelope.k", "envelope.op", "envelope.lsn", "envelope.after")
+
+
+@register("current_state")
+def q_current_state(spark, sf_dir):
+    return cdc.current_state(_good_changes(spark, sf_dir), "k", ["lsn"], image="after")
+
+
+@register("op_counts")
+def q_op_counts(spark, sf_dir):
+    return cdc.op_counts(_good_changes(spark, sf_dir))
+
+
+@register("snapshot_events")
+def q_snapshot_events(spark, sf_dir):
+    ev = cdc.flatten_change(cdc.snapshot_events(table(spark, sf_dir, "orders"),
+                                                ["o_orderkey"]))
+    return ntz(ev.select("o_orderkey", "op",
+                         *[c for c in ev.columns if c.startswith("after_")]))
+
+
+@register("snapshot_diff")
+def q_snapshot_diff(spark, sf_dir):
+    a, b = order_versions(spark, sf_dir)
+    return ntz(cdc.flatten_change(cdc.snapshot_diff(a, b, ["o_orderkey"])))
+
+
+@register("route_topics")
+def q_route_topics(spark, sf_dir):
+    names = {"customer": "c_custkey", "orders": "o_orderkey", "supplier": "s_suppkey"}
+    tagged = cdc.tag_tables({n: table(spark, sf_dir, n) for n in names}, names)
+    return reports.count_by(tagged.select(cdc.route_topic("table_name").alias("topic")),
+                            "topic")

@@ -46,3 +46,60 @@ def ntz(df: DataFrame) -> DataFrame:
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
+
+
+def change_op() -> F.Column:
+    """Fixture rule for the change kind of an event (FIXTURES.md)."""
+    r = F.col("event_id") % 10
+    return (F.when(r == 0, F.lit("d"))
+            .when(r.between(1, 3), F.lit("u"))
+            .otherwise(F.lit("c")))
+
+
+def envelope_records(spark: SparkSession, sf_dir: str,
+                     damaged: F.Column | None = None,
+                     keep_ids: bool = False) -> DataFrame:
+    """Topic records whose value is a JSON change envelope built from each
+    event; ``damaged`` marks records whose payload is cut to 20 characters
+    (a faulty producer)."""
+    from ..operators.envelope import envelope_json, envelope_struct
+
+    ev = table(spark, sf_dir, "events")
+    op = change_op()
+    image = F.struct(F.col("user_id"), F.col("value"))
+    env = envelope_struct(
+        before=F.when(op.isin("u", "d"), image),
+        after=F.when(op != "d", image),
+        op=op,
+        source=F.struct(F.col("event_type")),
+        ts_ms=F.unix_millis(F.col("ts").cast("timestamp")),
+        lsn=F.col("event_id"),
+        key=F.col("user_id"))
+    js = envelope_json(env)
+    if damaged is not None:
+        js = F.when(damaged, F.substring(js, 1, 20)).otherwise(js)
+    rec = events_as_records(ev, value=js.cast("binary"))
+    return rec if keep_ids else records_only(rec)
+
+
+def framed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records framed as registry messages (schema id = length of the event
+    type), except topic ``view`` which carries plain JSON."""
+    from ..operators.envelope import frame
+
+    ev = table(spark, sf_dir, "events")
+    value = F.when(F.col("event_type") == "view", F.col("props").cast("binary")) \
+        .otherwise(frame(F.col("props"), F.length("event_type")))
+    return records_only(events_as_records(ev, value=value))
+
+
+def order_versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Two snapshots of ``orders`` (FIXTURES.md): A drops keys divisible by
+    7; B drops keys divisible by 5 and sets status X on keys divisible by 11."""
+    o = table(spark, sf_dir, "orders")
+    a = o.where(F.col("o_orderkey") % 7 != 0)
+    b = (o.where(F.col("o_orderkey") % 5 != 0)
+         .withColumn("o_orderstatus",
+                     F.when(F.col("o_orderkey") % 11 == 0, F.lit("X"))
+                     .otherwise(F.col("o_orderstatus"))))
+    return a, b

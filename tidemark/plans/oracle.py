@@ -67,3 +67,113 @@ SQL["table_counts"] = """
 select count(*) as row_count, 'customer' as table_name from customer
 union all select count(*), 'orders' from orders
 union all select count(*), 'lineitem' from lineitem"""
+
+SQL["filter_table"] = f"""with {MSG}, {ENRICHED}
+select {ENRICHED_COLS} from enriched where source_table = 'error'"""
+
+SQL["topics_by_prefix"] = f"""with {MSG}
+select kafka_topic as topic, count(*) as "count" from msg
+where starts_with(kafka_topic, 'pg.') group by 1"""
+
+SQL["expected_tables"] = f"""with {MSG}, {ENRICHED}
+select source_table, count(*) as "count" from enriched
+where regexp_full_match(source_table, '(click|purchase|view)') group by 1"""
+
+SQL["include_list"] = f"""with {MSG}
+select kafka_topic as topic, count(*) as "count" from msg
+where regexp_full_match(split_part(kafka_topic, '.', 2) || '.' || split_part(kafka_topic, '.', 3),
+                        'public\\..*')
+group by 1"""
+
+SQL["topic_replay"] = f"""with {MSG}
+select kafka_topic as topic, kafka_partition as "partition", kafka_offset as "offset",
+       kafka_key as key, props as value
+from msg where kafka_topic in ('pg.public.click', 'pg.public.view')"""
+
+SQL["table_names"] = r"""
+select page_id, url,
+       lower(regexp_replace(
+         regexp_replace(regexp_extract(url, '([^/]*)$', 1), '^(\.*[^.].*)\.[^.]*$', '\1'),
+         '[^\p{L}\p{N}]', '_', 'g')) as table_name
+from pages"""
+
+# Envelope fixture: op from event_id, damaged payloads on topic `error`.
+OP = """case when event_id % 10 = 0 then 'd'
+            when event_id % 10 between 1 and 3 then 'u' else 'c' end"""
+
+SQL["json_status"] = f"""
+select case when event_type = 'error' then 'unknown' else {OP} end as status,
+       count(*) as "count"
+from events group by 1"""
+
+SQL["offset_lines"] = SQL["topic_end_offsets"]
+
+SQL["table_sample"] = """
+select * from orders order by o_orderkey limit 5"""
+
+SQL["schema_count"] = """
+select count(distinct 'pg.public.' || event_type || '-value') as schema_count from events"""
+
+SQL["wire_header"] = f"""with {MSG}
+select kafka_topic, kafka_partition, kafka_offset,
+       case when event_type = 'view' then ascii(props) else 0 end as magic,
+       case when event_type = 'view' then null
+            else cast(length(event_type) as bigint) end as schema_id,
+       case when event_type = 'view' then null else props end as payload_text,
+       true as value_is_utf8
+from msg"""
+
+SQL["decode_envelope"] = f"""with {MSG}, env as (select *, {OP} as op from msg)
+select kafka_topic, event_type as source_table, kafka_partition, kafka_offset,
+       op, event_id as lsn, user_id as k, epoch_us(ts) // 1000 as ts_ms,
+       event_type as source_event_type,
+       case when op in ('u', 'd') then user_id end as before_user_id,
+       case when op in ('u', 'd') then value end as before_value,
+       case when op <> 'd' then user_id end as after_user_id,
+       case when op <> 'd' then value end as after_value
+from env"""
+
+SQL["decode_errors"] = """
+select event_type as source_table,
+       count(*) filter (where event_type <> 'error') as decoded,
+       count(*) filter (where event_type = 'error') as failed
+from events group by 1"""
+
+SQL["current_state"] = f"""with env as (
+  select user_id as k, event_id as lsn, user_id, value, {OP} as op,
+         row_number() over (partition by user_id order by event_id desc) as rn
+  from events)
+select k, op, lsn, user_id, value from env where rn = 1 and op <> 'd'"""
+
+SQL["op_counts"] = f"""
+select {OP} as op, count(*) as "count" from events group by 1"""
+
+SQL["snapshot_events"] = """
+select o_orderkey, 'r' as op,
+       o_orderkey as after_o_orderkey, o_custkey as after_o_custkey,
+       o_orderstatus as after_o_orderstatus, o_totalprice as after_o_totalprice,
+       o_orderdate as after_o_orderdate, o_orderpriority as after_o_orderpriority
+from orders"""
+
+ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+              "o_orderdate", "o_orderpriority"]
+
+SQL["snapshot_diff"] = """
+with a as (select * from orders where o_orderkey % 7 <> 0),
+b as (select o_orderkey, o_custkey,
+             case when o_orderkey % 11 = 0 then 'X' else o_orderstatus end as o_orderstatus,
+             o_totalprice, o_orderdate, o_orderpriority
+      from orders where o_orderkey % 5 <> 0)
+select coalesce(a.o_orderkey, b.o_orderkey) as o_orderkey,
+       case when a.o_orderkey is null then 'c'
+            when b.o_orderkey is null then 'd' else 'u' end as op,
+       """ + ",\n       ".join(f"a.{c} as before_{c}" for c in ORDER_COLS) + """,
+       """ + ",\n       ".join(f"b.{c} as after_{c}" for c in ORDER_COLS) + """
+from a full join b on a.o_orderkey = b.o_orderkey
+where a.o_orderkey is null or b.o_orderkey is null or """ + \
+    " or ".join(f"a.{c} is distinct from b.{c}" for c in ORDER_COLS)
+
+SQL["route_topics"] = """
+select 'pg.public.customer' as topic, count(*) as "count" from customer
+union all select 'pg.public.orders', count(*) from orders
+union all select 'pg.public.supplier', count(*) from supplier"""
