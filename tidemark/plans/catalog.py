@@ -202,3 +202,66 @@ def q_route_topics(spark, sf_dir):
     tagged = cdc.tag_tables({n: table(spark, sf_dir, n) for n in names}, names)
     return reports.count_by(tagged.select(cdc.route_topic("table_name").alias("topic")),
                             "topic")
+
+
+# --- ingest: discovery, CSV scan, inference, table load, seeds (S1, S2, S10,
+# --- A7, P3, K1-K4) ----------------------------------------------------------
+
+from ..operators import ingest, inference  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from ..sources import files  # noqa: E402
+
+CSV_TABLES = ("customer", "orders", "supplier")
+
+
+def _csv_tree(spark, sf_dir):
+    """Write the CSV source tree (one Spark CSV folder per table) under the
+    shared scratch root and return its path."""
+    root = scratch_path(spark, "csv")
+    for name in CSV_TABLES:
+        files.write_csv(table(spark, sf_dir, name), f"{root}/{name}.csv")
+    return root
+
+
+@register("csv_inventory")
+def q_csv_inventory(spark, sf_dir):
+    root = _csv_tree(spark, sf_dir)
+    return files.discover_csv(spark, root, recursive=True, table_from="parent") \
+        .select("table_name", "path", "length")
+
+
+@register("file_inventory")
+def q_file_inventory(spark, sf_dir):
+    root = _csv_tree(spark, sf_dir)
+    return files.file_inventory(spark, root).select("path", "length")
+
+
+@register("csv_roundtrip")
+def q_csv_roundtrip(spark, sf_dir):
+    root = _csv_tree(spark, sf_dir)
+    out = scratch_path(spark, "tables")
+    listing = files.discover_csv(spark, root, recursive=True, table_from="parent")
+    paths: dict[str, list[str]] = {}
+    for r in listing.select("table_name", "path").collect():
+        paths.setdefault(r["table_name"], []).append(r["path"])
+    for name, ps in sorted(paths.items()):
+        typed, _ = ingest.typed_table(files.read_csv_strings(spark, ps))
+        typed.write.mode("overwrite").parquet(f"{out}/{name}")
+    return spark.read.parquet(f"{out}/customer")
+
+
+@register("infer_types")
+def q_infer_types(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    as_text = o.select(*[F.col(c).cast("string").alias(c) for c in o.columns])
+    return inference.infer_types(inference.null_na_tokens(as_text))
+
+
+@register("seed_rows")
+def q_seed_rows(spark, sf_dir):
+    kv = {
+        "nation": ingest.key_value_view(table(spark, sf_dir, "nation"), "n_name", "n_regionkey"),
+        "region": ingest.key_value_view(table(spark, sf_dir, "region"), "r_name", "r_regionkey"),
+        "supplier": ingest.key_value_view(table(spark, sf_dir, "supplier"), "s_name", "s_nationkey"),
+    }
+    return reports.table_counts(ingest.with_seed_rows(kv, EPOCH))

@@ -177,3 +177,35 @@ SQL["route_topics"] = """
 select 'pg.public.customer' as topic, count(*) as "count" from customer
 union all select 'pg.public.orders', count(*) from orders
 union all select 'pg.public.supplier', count(*) from supplier"""
+
+SQL["csv_roundtrip"] = """
+select c_custkey, c_name, cast(c_nationkey as bigint) as c_nationkey, c_acctbal,
+       c_mktsegment
+from customer"""
+
+
+def _infer_sql(table: str, columns: list[str]) -> str:
+    parts = []
+    for i, c in enumerate(columns):
+        v = f"cast({c} as varchar)"
+        parts.append(f"""
+select {i} as position, '{c}' as column_name,
+  case when count({c}) = 0 then 'REAL'
+       when bool_and({c} is null or regexp_full_match({v}, '[+-]?[0-9]+'))
+            and count({c}) = count(*) then 'INTEGER'
+       when bool_and({c} is null or {v} in ('True', 'TRUE', 'true', 'False', 'FALSE', 'false'))
+            and count({c}) = count(*) then 'BOOLEAN'
+       when bool_and({c} is null or regexp_full_match({v},
+            '[+-]?(([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:inf|infinity|nan))'))
+            then 'REAL'
+       else 'TEXT' end as sql_type
+from {table}""")
+    return "\nunion all".join(parts)
+
+
+SQL["infer_types"] = _infer_sql("orders", ORDER_COLS)
+
+SQL["seed_rows"] = """
+select count(*) + 1 as row_count, 'nation' as table_name from nation
+union all select count(*) + 1, 'region' from region
+union all select count(*) + 1, 'supplier' from supplier"""
