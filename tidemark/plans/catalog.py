@@ -265,3 +265,145 @@ def q_seed_rows(spark, sf_dir):
         "supplier": ingest.key_value_view(table(spark, sf_dir, "supplier"), "s_name", "s_nationkey"),
     }
     return reports.table_counts(ingest.with_seed_rows(kv, EPOCH))
+
+
+# --- lake sink, versions and streams (S3, S6-S9, K5-K8, T1-T7, A1) ---------
+
+from ..operators.enrich import enrich  # noqa: E402
+from ..sources import lake as lakes  # noqa: E402
+from ..sources.records import read_record_files  # noqa: E402
+from ..streaming import jobs  # noqa: E402
+from ..streaming.sinks import write_lake_batch  # noqa: E402
+from .common import (N_CUTS, batch_clock, processing_ts, release_cut,  # noqa: E402
+                     stage_record_cuts)
+
+
+def _staged(spark, sf_dir):
+    staging = scratch_path(spark, "staging")
+    stage_record_cuts(spark, sf_dir, staging)
+    return staging
+
+
+def _lake_by_batches(spark, sf_dir):
+    """Batch writer: one lake batch per arrival cut (driver loop over the
+    cuts, each a distributed write)."""
+    staging = _staged(spark, sf_dir)
+    lake = scratch_path(spark, "lake")
+    staged = spark.read.parquet(staging)
+    for c in range(N_CUTS):
+        cut = staged.where(F.col("cut") == c).drop("cut")
+        write_lake_batch(enrich(cut, batch_clock(c)), lake, c,
+                         committed_at=batch_clock(c))
+    return lakes.read_lake(spark, lake)
+
+
+def _lake_by_stream(spark, sf_dir, releases=None, keep_extra=None, fail_once_at=None):
+    """Stream writer: cuts arrive in the topic folder; after each arrival an
+    ``availableNow`` run of the same checkpointed query drains it."""
+    staging = _staged(spark, sf_dir)
+    src = scratch_path(spark, "topic")
+    lake = scratch_path(spark, "lake")
+    ckpt = scratch_path(spark, "checkpoint")
+    failed = {"done": False}
+
+    def fail(batch_id):
+        if fail_once_at is not None and batch_id == fail_once_at and not failed["done"]:
+            failed["done"] = True
+            return True
+        return False
+
+    for group in releases or [[c] for c in range(N_CUTS)]:
+        for c in group:
+            release_cut(spark, staging, c, src)
+        for attempt in range(2):
+            q = jobs.start_lake_stream(jobs.record_stream(spark, src), lake, ckpt,
+                                       clock=batch_clock, keep_extra=keep_extra,
+                                       fail_after_write=fail)
+            try:
+                jobs.await_drained(q)
+                break
+            except Exception:  # noqa: BLE001 - restart once, as a supervisor would
+                if attempt == 1:
+                    raise
+    return lakes.read_lake(spark, lake)
+
+
+@register("stream_enrich")
+def q_stream_enrich(spark, sf_dir):
+    src = scratch_path(spark, "topic")
+    records(spark, sf_dir).write.parquet(src)
+    sink, ckpt = scratch_path(spark, "enriched"), scratch_path(spark, "checkpoint")
+    q = jobs.start_enrich_stream(jobs.record_stream(spark, src), sink, ckpt,
+                                 processing_timestamp=processing_ts())
+    jobs.await_drained(q)
+    return ntz(spark.read.parquet(sink))
+
+
+@register("stream_lake")
+def q_stream_lake(spark, sf_dir):
+    return ntz(_lake_by_stream(spark, sf_dir))
+
+
+@register("lake_read")
+def q_lake_read(spark, sf_dir):
+    return ntz(_lake_by_batches(spark, sf_dir))
+
+
+@register("lake_count")
+def q_lake_count(spark, sf_dir):
+    return reports.total_count(_lake_by_batches(spark, sf_dir))
+
+
+@register("lake_preview")
+def q_lake_preview(spark, sf_dir):
+    return ntz(lakes.preview(_lake_by_batches(spark, sf_dir), 20))
+
+
+LOG_POSITION = ["kafka_topic", "kafka_partition", "kafka_offset", "batch_id"]
+
+
+@register("as_of_version")
+def q_as_of_version(spark, sf_dir):
+    return lakes.as_of_version(_lake_by_batches(spark, sf_dir), 1).select(*LOG_POSITION)
+
+
+@register("as_of_timestamp")
+def q_as_of_timestamp(spark, sf_dir):
+    return lakes.as_of_timestamp(_lake_by_batches(spark, sf_dir),
+                                 "2024-02-03 12:00:00").select(*LOG_POSITION)
+
+
+@register("table_history")
+def q_table_history(spark, sf_dir):
+    return ntz(lakes.table_history(_lake_by_batches(spark, sf_dir)))
+
+
+@register("schema_evolution")
+def q_schema_evolution(spark, sf_dir):
+    return ntz(_lake_by_stream(spark, sf_dir, keep_extra=lambda b: b >= 1))
+
+
+@register("stream_resume")
+def q_stream_resume(spark, sf_dir):
+    lake = _lake_by_stream(spark, sf_dir, releases=[[0, 1], [2, 3]])
+    return ntz(lake.select(*LOG_POSITION, "committed_at"))
+
+
+@register("stream_replay")
+def q_stream_replay(spark, sf_dir):
+    return ntz(lakes.table_history(_lake_by_stream(spark, sf_dir, fail_once_at=1)))
+
+
+@register("batch_report")
+def q_batch_report(spark, sf_dir):
+    staging = _staged(spark, sf_dir)
+    src, report = scratch_path(spark, "topic"), scratch_path(spark, "report")
+    ckpt = scratch_path(spark, "checkpoint")
+    for c in range(N_CUTS):
+        release_cut(spark, staging, c, src)
+        q = jobs.start_report_stream(jobs.record_stream(spark, src), report, ckpt,
+                                     clock=batch_clock)
+        jobs.await_drained(q)
+    lines = spark.read.text(report)
+    return lines.select(F.col("batch_id").cast("bigint").alias("batch_id"),
+                        F.col("value").alias("line"))

@@ -103,3 +103,42 @@ def order_versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
                      F.when(F.col("o_orderkey") % 11 == 0, F.lit("X"))
                      .otherwise(F.col("o_orderstatus"))))
     return a, b
+
+
+# --- replayed topic files, cut into arrival batches ------------------------
+
+# Arrival cuts of the event log (upper bounds of `ts`, UTC);
+# cut i holds events before bound i and at or after bound i-1; the last cut
+# holds the rest.
+CUT_BOUNDS = ["2024-01-08 00:00:00", "2024-01-16 00:00:00", "2024-01-24 00:00:00"]
+N_CUTS = len(CUT_BOUNDS) + 1
+
+
+def cut_of(ts: F.Column) -> F.Column:
+    c = F.lit(N_CUTS - 1)
+    for i in reversed(range(len(CUT_BOUNDS))):
+        c = F.when(ts < F.lit(CUT_BOUNDS[i]).cast("timestamp_ntz"), F.lit(i)).otherwise(c)
+    return c
+
+
+def batch_clock(batch_id: int) -> F.Column:
+    """Processing time of micro-batch ``b``: PROCESSING_TS plus ``b`` days."""
+    return F.lit(PROCESSING_TS).cast("timestamp") + F.make_interval(
+        days=F.lit(int(batch_id)))
+
+
+def stage_record_cuts(spark: SparkSession, sf_dir: str, staging: str) -> None:
+    """Materialise the record fixture once, partitioned by arrival cut
+    (numbering needs the whole log; streams cannot number rows)."""
+    rec = records(spark, sf_dir, keep_ids=True)
+    (rec.withColumn("cut", cut_of(F.col("ts"))).drop("event_id", "ts")
+     .write.mode("overwrite").partitionBy("cut").parquet(staging))
+
+
+def release_cut(spark: SparkSession, staging: str, cut: int, source_dir: str) -> None:
+    """Make cut ``cut`` arrive in the stream's source folder (partition
+    pruned read of the staged log; an empty cut appends nothing)."""
+    from ..schemas import RECORD
+    (spark.read.parquet(staging).where(F.col("cut") == F.lit(cut))
+     .select(*RECORD.fieldNames())
+     .write.mode("append").parquet(source_dir))

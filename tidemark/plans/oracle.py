@@ -209,3 +209,59 @@ SQL["seed_rows"] = """
 select count(*) + 1 as row_count, 'nation' as table_name from nation
 union all select count(*) + 1, 'region' from region
 union all select count(*) + 1, 'supplier' from supplier"""
+
+CUT = """case when ts < timestamp '2024-01-08 00:00:00' then 0
+              when ts < timestamp '2024-01-16 00:00:00' then 1
+              when ts < timestamp '2024-01-24 00:00:00' then 2 else 3 end"""
+
+
+def lake_sql(batch: str = "cut", extra_from: int = 0, cols: str | None = None,
+             tail: str = "") -> str:
+    """The lake table written batch by batch: processing time of batch b is
+    2024-02-01 plus b days (also its committed_at)."""
+    proc = f"({PROC} + to_days(cast(batch_id as integer)))"
+    extra = f"batch_id >= {extra_from}"
+    select = cols or f"""kafka_key, kafka_topic, kafka_partition, kafka_offset,
+       kafka_timestamp, props as avro_value_hex, {proc} as processing_timestamp,
+       split_part(kafka_topic, '.', 3) as source_table,
+       kafka_partition = 0 as is_primary_partition,
+       cast(epoch({proc}) as bigint) * 1000
+         - cast(epoch(date_trunc('second', kafka_timestamp)) as bigint) * 1000
+         as message_age_ms,
+       kafka_offset as message_sequence,
+       case when {extra} then hex(props) end as value_hex,
+       case when {extra} then epoch_us({proc}) // 1000 - epoch_us(kafka_timestamp) // 1000
+       end as message_age_exact_ms,
+       {proc} as committed_at, batch_id"""
+    return f"""with {MSG},
+cuts as (select *, {CUT} as cut from msg),
+staged as (select *, cast({batch} as bigint) as batch_id from cuts)
+select {select} from staged {tail}"""
+
+
+SQL["stream_enrich"] = SQL["enrich"]
+SQL["stream_lake"] = lake_sql()
+SQL["lake_read"] = lake_sql()
+SQL["lake_count"] = "select count(*) as row_count from events"
+SQL["lake_preview"] = lake_sql(tail="order by kafka_topic, kafka_partition, kafka_offset limit 20")
+SQL["as_of_version"] = lake_sql(cols="kafka_topic, kafka_partition, kafka_offset, batch_id",
+                                tail="where batch_id <= 1")
+SQL["as_of_timestamp"] = lake_sql(cols="kafka_topic, kafka_partition, kafka_offset, batch_id",
+                                  tail="where batch_id <= 2")
+SQL["table_history"] = lake_sql(
+    cols=f"batch_id, count(*) as row_count, max({PROC} + to_days(cast(batch_id as integer))) as committed_at",
+    tail="group by batch_id")
+SQL["schema_evolution"] = lake_sql(extra_from=1)
+SQL["stream_resume"] = lake_sql(
+    batch="cut // 2",
+    cols=f"kafka_topic, kafka_partition, kafka_offset, batch_id, "
+         f"{PROC} + to_days(cast(batch_id as integer)) as committed_at")
+SQL["stream_replay"] = SQL["table_history"]
+SQL["batch_report"] = "select * from (" + lake_sql(
+    cols="""batch_id, format('Key: {}, Topic: {}, Partition: {}, Offset: {}, Table: {}',
+       kafka_key, kafka_topic, kafka_partition, kafka_offset,
+       split_part(kafka_topic, '.', 3)) as line""") + """)
+union all
+select * from (""" + lake_sql(
+    cols="batch_id, format('=== Micro-batch {} ({} rows) ===', batch_id, count(*)) as line",
+    tail="group by batch_id") + ")"
