@@ -407,3 +407,29 @@ def q_batch_report(spark, sf_dir):
     lines = spark.read.text(report)
     return lines.select(F.col("batch_id").cast("bigint").alias("batch_id"),
                         F.col("value").alias("line"))
+
+
+# --- data quality (D1-D4) ----------------------------------------------------
+
+from ..operators import quality  # noqa: E402
+
+EXPECTED_TOPICS = ["pg.public.click", "pg.public.error", "pg.public.purchase",
+                   "pg.public.refund", "pg.public.signup", "pg.public.view"]
+
+
+@register("dq_non_empty")
+def q_dq_non_empty(spark, sf_dir):
+    return quality.non_empty({n: table(spark, sf_dir, n)
+                              for n in ("customer", "orders", "lineitem", "labels")})
+
+
+@register("dq_missing")
+def q_dq_missing(spark, sf_dir):
+    return quality.missing(EXPECTED_TOPICS, records(spark, sf_dir), "topic")
+
+
+@register("dq_schemas")
+def q_dq_schemas(spark, sf_dir):
+    subjects = F.concat(F.col("topic"), F.lit("-value"))
+    n = records(spark, sf_dir).agg(F.count_distinct(subjects).alias("n"))
+    return quality.at_least("schemas_registered", n, "n", 1, "warn")

@@ -265,3 +265,20 @@ union all
 select * from (""" + lake_sql(
     cols="batch_id, format('=== Micro-batch {} ({} rows) ===', batch_id, count(*)) as line",
     tail="group by batch_id") + ")"
+
+SQL["dq_non_empty"] = """
+select count(*) as row_count, 'customer' as table_name, count(*) > 0 as passed from customer
+union all select count(*), 'orders', count(*) > 0 from orders
+union all select count(*), 'lineitem', count(*) > 0 from lineitem
+union all select count(*), 'labels', count(*) > 0 from labels"""
+
+SQL["dq_missing"] = """
+select topic from (values ('pg.public.click'), ('pg.public.error'), ('pg.public.purchase'),
+                          ('pg.public.refund'), ('pg.public.signup'), ('pg.public.view')) t(topic)
+where topic not in (select distinct 'pg.public.' || event_type from events)"""
+
+SQL["dq_schemas"] = """
+select 'schemas_registered' as "check",
+       cast(count(distinct event_type) as bigint) as value,
+       case when count(distinct event_type) >= 1 then 'ok' else 'warn' end as severity
+from events"""
