@@ -13,7 +13,8 @@ numbering is split in two levels instead:
    partitioned on those keys by the window, so only the small side moves.
 
 The result equals ``row_number()`` exactly when the order key is unique in
-its group (offsets, event ids, log sequence numbers).
+its group (offsets, event ids, log sequence numbers) and group and order
+keys are not NULL (Kafka records never have NULL topic/partition/offset).
 """
 
 from __future__ import annotations
@@ -46,7 +47,10 @@ def number_within(df: DataFrame, group_cols: Sequence[str], order_col: str,
 
     local = F.row_number().over(Window.partitionBy(*g, "_tm_bkt").orderBy(order_col))
     numbered = tagged.withColumn("_tm_local", local)
-    return (numbered.join(firsts, on=[*g, "_tm_bkt"], how="inner")
+    # Left equi-join: every row finds its bucket, and when the number is not
+    # used downstream Catalyst drops the join altogether (the right side is
+    # unique on the keys).  Rows with a NULL group or order key get NULL.
+    return (numbered.join(firsts, on=[*g, "_tm_bkt"], how="left")
             .withColumn(out, (F.col("_tm_first") + F.col("_tm_local")
                               + F.lit(start - 1)).cast("bigint"))
             .drop("_tm_bkt", "_tm_local", "_tm_first"))
