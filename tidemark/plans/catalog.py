@@ -433,3 +433,23 @@ def q_dq_schemas(spark, sf_dir):
     subjects = F.concat(F.col("topic"), F.lit("-value"))
     n = records(spark, sf_dir).agg(F.count_distinct(subjects).alias("n"))
     return quality.at_least("schemas_registered", n, "n", 1, "warn")
+
+
+@register("stream_current_state")
+def q_stream_current_state(spark, sf_dir):
+    """Current state (C4) maintained on a stream of change envelopes."""
+    staging = scratch_path(spark, "staging")
+    stage_record_cuts(spark, sf_dir, staging,
+                      rec=envelope_records(spark, sf_dir, keep_ids=True))
+    src, state = scratch_path(spark, "topic"), scratch_path(spark, "state")
+    ckpt = scratch_path(spark, "checkpoint")
+    for c in range(N_CUTS):
+        release_cut(spark, staging, c, src)
+        decoded = envelope.decode_json(jobs.record_stream(spark, src), ENVELOPE)
+        good = decoded.where(F.col("envelope._corrupt_record").isNull()
+                             & F.col("envelope").isNotNull())
+        changes = good.select("envelope.k", "envelope.op", "envelope.lsn",
+                              "envelope.after")
+        q = jobs.start_current_state_stream(changes, "k", ["lsn"], state, ckpt)
+        jobs.await_drained(q)
+    return jobs.read_current_state(spark, state, "k", ["lsn"])

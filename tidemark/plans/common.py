@@ -127,10 +127,12 @@ def batch_clock(batch_id: int) -> F.Column:
         days=F.lit(int(batch_id)))
 
 
-def stage_record_cuts(spark: SparkSession, sf_dir: str, staging: str) -> None:
-    """Materialise the record fixture once, partitioned by arrival cut
-    (numbering needs the whole log; streams cannot number rows)."""
-    rec = records(spark, sf_dir, keep_ids=True)
+def stage_record_cuts(spark: SparkSession, sf_dir: str, staging: str,
+                      rec: DataFrame | None = None) -> None:
+    """Materialise a record fixture (default: ``records``) once, partitioned
+    by arrival cut (numbering needs the whole log; streams cannot number
+    rows).  ``rec`` must keep ``event_id`` and ``ts``."""
+    rec = rec if rec is not None else records(spark, sf_dir, keep_ids=True)
     (rec.withColumn("cut", cut_of(F.col("ts"))).drop("event_id", "ts")
      .write.mode("overwrite").partitionBy("cut").parquet(staging))
 

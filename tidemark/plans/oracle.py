@@ -282,3 +282,5 @@ select 'schemas_registered' as "check",
        cast(count(distinct event_type) as bigint) as value,
        case when count(distinct event_type) >= 1 then 'ok' else 'warn' end as severity
 from events"""
+
+SQL["stream_current_state"] = SQL["current_state"]

@@ -99,3 +99,49 @@ def record_stream(spark: SparkSession, source_dir: str,
                   max_files_per_trigger: int | None = None) -> DataFrame:
     return read_record_files(spark, source_dir, stream=True,
                              max_files_per_trigger=max_files_per_trigger)
+
+
+def start_current_state_stream(changes: DataFrame, key: str | list[str],
+                               order: list[str], state_path: str,
+                               checkpoint: str, image: str = "after",
+                               op_col: str = "op",
+                               trigger: dict | None = None) -> StreamingQuery:
+    """Current state per key, maintained by Spark's state store.
+
+    A streaming aggregation keeps, per key, the change with the greatest
+    ``order`` (``max_by``).  In update mode each micro-batch emits only the
+    keys it changed; they are written as ``<state>/batch_id=<id>/`` (replay
+    overwrites).  ``read_current_state`` takes the newest row per key.
+    State grows with the number of keys (deleted keys keep a tombstone):
+    use the RocksDB state store provider on clusters.
+    """
+    from pyspark.sql import functions as F
+
+    keys = [key] if isinstance(key, str) else list(key)
+    payload = F.struct(F.col(op_col).alias("op"), *[F.col(o) for o in order],
+                       F.col(image).alias("image"))
+    agg = changes.groupBy(*keys).agg(
+        F.max_by(payload, F.struct(*[F.col(o) for o in order])).alias("_last"))
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        write_lake_batch(batch, state_path, batch_id)
+
+    writer = (agg.writeStream.outputMode("update").foreachBatch(each)
+              .option("checkpointLocation", checkpoint))
+    return _trigger(writer, trigger).start()
+
+
+def read_current_state(spark: SparkSession, state_path: str,
+                       key: str | list[str], order: list[str]) -> DataFrame:
+    """Newest state row per key across the written batches, deletes dropped
+    (an aggregate over the compact per-batch outputs)."""
+    from pyspark.sql import functions as F
+
+    from ..sources.lake import read_lake
+
+    keys = [key] if isinstance(key, str) else list(key)
+    log = read_lake(spark, state_path)
+    newest = log.groupBy(*keys).agg(F.max_by("_last", "batch_id").alias("_last"))
+    return (newest.where(F.col("_last.op") != "d")
+            .select(*keys, "_last.op", *[f"_last.{o}" for o in order],
+                    "_last.image.*"))
