@@ -453,3 +453,18 @@ def q_stream_current_state(spark, sf_dir):
         q = jobs.start_current_state_stream(changes, "k", ["lsn"], state, ckpt)
         jobs.await_drained(q)
     return jobs.read_current_state(spark, state, "k", ["lsn"])
+
+
+@register("decode_framed")
+def q_decode_framed(spark, sf_dir):
+    """Registry-framed JSON, schema chosen by the id in each message."""
+    from pyspark.sql import types as T
+    k_long = T.StructType([T.StructField("k", T.LongType())])
+    k_int = T.StructType([T.StructField("k", T.IntegerType())])
+    rec = framed_records(spark, sf_dir)
+    out = envelope.decode_by_schema_id(rec, {5: k_long, 6: k_int, 8: k_long},
+                                       unframed=k_long)
+    return out.select(F.col("topic").alias("kafka_topic"),
+                      F.col("partition").alias("kafka_partition"),
+                      F.col("offset").alias("kafka_offset"), "schema_id",
+                      F.col("decoded.k").alias("k"))

@@ -284,3 +284,10 @@ select 'schemas_registered' as "check",
 from events"""
 
 SQL["stream_current_state"] = SQL["current_state"]
+
+SQL["decode_framed"] = f"""with {MSG}
+select kafka_topic, kafka_partition, kafka_offset,
+       case when event_type = 'view' then null
+            else cast(length(event_type) as bigint) end as schema_id,
+       cast(json_extract(props, '$.k') as bigint) as k
+from msg"""
