@@ -87,3 +87,30 @@ def test_current_state_hot_key(spark):
 def test_route_topic(spark):
     df = spark.createDataFrame([("data1",)], "t string")
     assert df.select(cdc.route_topic("t")).first()[0] == "pg.public.data1"
+
+
+def test_decode_by_schema_id(spark):
+    from pyspark.sql import types as T
+    k_long = T.StructType([T.StructField("k", T.LongType())])
+    k_and_s = T.StructType([T.StructField("k", T.IntegerType()),
+                            T.StructField("s", T.StringType())])
+    df = spark.createDataFrame([('{"k": 1}', 5), ('{"k": 2, "s": "x"}', 6),
+                                ('{"k": 3}', 9)], "p string, id int")
+    df = df.select(envelope.frame(F.col("p"), F.col("id")).alias("value"))
+    df = df.unionByName(spark.createDataFrame([(bytearray(b'{"k": 4}'),)], "value binary"))
+    out = envelope.decode_by_schema_id(df, {5: k_long, 6: k_and_s})
+    rows = sorted((r["schema_id"] is None, r["schema_id"], r["decoded"]) for r in out.collect())
+    assert rows[0][1:] == (5, (1, None))
+    assert rows[1][1:] == (6, (2, "x"))
+    assert rows[2][1:] == (9, None)              # unknown id: kept, not decoded
+    assert rows[3][1:] == (None, None)           # not framed, no plain schema
+    assert out.schema["decoded"].dataType["k"].dataType == T.LongType()
+
+
+def test_decode_by_schema_id_rejects_conflicts(spark):
+    from pyspark.sql import types as T
+    a = T.StructType([T.StructField("k", T.LongType())])
+    b = T.StructType([T.StructField("k", T.StringType())])
+    df = spark.createDataFrame([(bytearray(b"x"),)], "value binary")
+    with pytest.raises(ValueError):
+        envelope.decode_by_schema_id(df, {1: a, 2: b})

@@ -35,25 +35,43 @@ def typed_table(raw: DataFrame, compat: str = "reference"
     return apply_types(df, types), types
 
 
+def csv_sources(spark: SparkSession, data_dir: str, max_files: int | None = None,
+                table_from: str = "file") -> dict[str, list[str]]:
+    """Table name -> what to read for it.  ``table_from="file"`` (reference
+    rule: each file is a table) lists files; ``"parent"`` (folders written by
+    Spark, many part files per table) returns one folder per table, so the
+    driver holds one entry per table, not per file."""
+    listing = discover_csv(spark, data_dir, max_files=max_files,
+                           recursive=(table_from == "parent"), table_from=table_from)
+    if table_from == "parent":
+        parent = F.regexp_extract("path", r"^(.*)/[^/]*$", 1)
+        rows = (listing.select("table_name", parent.alias("src")).distinct()
+                .orderBy("table_name", "src").collect())
+    else:
+        rows = listing.select("table_name", F.col("path").alias("src")).collect()
+    out: dict[str, list[str]] = {}
+    for r in rows:
+        out.setdefault(r["table_name"], []).append(r["src"])
+    return out
+
+
 def load_csv_tables(spark: SparkSession, data_dir: str, out_root: str,
                     max_files: int | None = None, table_from: str = "file",
                     mode: str = "overwrite", compat: str = "reference",
                     ) -> dict[str, dict[str, str]]:
     """Load every CSV of ``data_dir`` into ``<out_root>/<table>`` (Parquet).
 
-    Files that map to the same table name are read together.  The loop is
-    over tables (metadata), each table is its own distributed job.  ``mode``
+    Sources that map to the same table name are read together.  The loop is
+    over tables (metadata), each table is its own distributed job: one
+    aggregate pass for the types, one pass for the typed write.  ``mode``
     ``overwrite`` makes a re-run idempotent; ``append`` is the reference's
     behaviour.  Returns the SQL types per table; no files -> ``{}``.
     """
-    listing = discover_csv(spark, data_dir, max_files=max_files,
-                           table_from=table_from)
-    by_table: dict[str, list[str]] = {}
-    for r in listing.select("table_name", "path").collect():
-        by_table.setdefault(r["table_name"], []).append(r["path"])
     result = {}
-    for name, paths in sorted(by_table.items()):
-        typed, types = typed_table(read_csv_strings(spark, paths), compat=compat)
+    for name, srcs in sorted(csv_sources(spark, data_dir, max_files, table_from).items()):
+        raw = read_csv_strings(spark, srcs, glob="*.[cC][sS][vV]"
+                               if table_from == "parent" else None)
+        typed, types = typed_table(raw, compat=compat)
         typed.write.mode(mode).parquet(f"{out_root}/{name}")
         result[name] = types
     return result

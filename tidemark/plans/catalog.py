@@ -240,13 +240,7 @@ def q_file_inventory(spark, sf_dir):
 def q_csv_roundtrip(spark, sf_dir):
     root = _csv_tree(spark, sf_dir)
     out = scratch_path(spark, "tables")
-    listing = files.discover_csv(spark, root, recursive=True, table_from="parent")
-    paths: dict[str, list[str]] = {}
-    for r in listing.select("table_name", "path").collect():
-        paths.setdefault(r["table_name"], []).append(r["path"])
-    for name, ps in sorted(paths.items()):
-        typed, _ = ingest.typed_table(files.read_csv_strings(spark, ps))
-        typed.write.mode("overwrite").parquet(f"{out}/{name}")
+    ingest.load_csv_tables(spark, root, out, table_from="parent")
     return spark.read.parquet(f"{out}/customer")
 
 

@@ -57,13 +57,15 @@ def discover_csv(spark: SparkSession, data_dir: str,
 
 
 def read_csv_strings(spark: SparkSession, paths: str | Sequence[str],
-                     sep: str = ",") -> DataFrame:
+                     sep: str = ",", glob: str | None = None) -> DataFrame:
     """Header CSV with every column as text (types are inferred afterwards,
-    see ``operators.inference``).  Multi-line quoted values allowed."""
-    return (spark.read.option("header", True).option("sep", sep)
-            .option("inferSchema", False).option("multiLine", False)
-            .option("mode", "PERMISSIVE")
-            .csv(list(paths) if not isinstance(paths, str) else paths))
+    see ``operators.inference``).  ``glob`` filters file names inside
+    folders."""
+    reader = (spark.read.option("header", True).option("sep", sep)
+              .option("inferSchema", False).option("mode", "PERMISSIVE"))
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    return reader.csv(list(paths) if not isinstance(paths, str) else paths)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
