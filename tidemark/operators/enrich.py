@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,9 +12,11 @@ from ..schemas import ENRICHED_COLUMNS, ENRICHED_EXTRA_COLUMNS
 from .sequence import number_within
 
 
-def metadata_projection(records: DataFrame) -> DataFrame:
-    """Kafka metadata renamed ``kafka_*``; key as text; value kept binary."""
+def metadata_projection(records: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """Kafka metadata renamed ``kafka_*``; key as text; value kept binary;
+    ``carry`` columns passed through unchanged."""
     return records.select(
+        *[F.col(c) for c in carry],
         F.col("key").cast("string").alias("kafka_key"),
         F.col("value"),
         F.col("topic").alias("kafka_topic"),
@@ -23,15 +27,16 @@ def metadata_projection(records: DataFrame) -> DataFrame:
 
 
 def enrich(records: DataFrame, processing_timestamp: Column | None = None,
-           keep_extra: bool = True) -> DataFrame:
+           keep_extra: bool = True, carry: Sequence[str] = ()) -> DataFrame:
     """The enriched record: one projection, usable on a batch or a stream.
 
     ``processing_timestamp`` defaults to ``current_timestamp()`` (one value
-    per query / micro-batch); pass a literal for reproducible output.
+    per query / micro-batch); pass a literal for reproducible output, or an
+    expression of ``carry`` columns (e.g. a batch id) for a per-row value.
     """
     proc = processing_timestamp if processing_timestamp is not None \
         else F.current_timestamp()
-    m = metadata_projection(records)
+    m = metadata_projection(records, carry)
     cols = {
         "kafka_key": F.col("kafka_key"),
         "kafka_topic": F.col("kafka_topic"),
@@ -55,7 +60,7 @@ def enrich(records: DataFrame, processing_timestamp: Column | None = None,
             age_ms_exact(proc.cast("timestamp"), F.col("kafka_timestamp"))
             .alias("message_age_exact_ms"),
         ]
-    return m.select(*out)
+    return m.select(*out, *[F.col(c) for c in carry])
 
 
 def enriched_columns(keep_extra: bool = True) -> list[str]:

@@ -267,9 +267,9 @@ from ..operators.enrich import enrich  # noqa: E402
 from ..sources import lake as lakes  # noqa: E402
 from ..sources.records import read_record_files  # noqa: E402
 from ..streaming import jobs  # noqa: E402
-from ..streaming.sinks import write_lake_batch  # noqa: E402
-from .common import (N_CUTS, batch_clock, processing_ts, release_cut,  # noqa: E402
-                     stage_record_cuts)
+from ..streaming.sinks import write_lake_batches  # noqa: E402
+from .common import (N_CUTS, batch_clock, batch_clock_col, cut_of,  # noqa: E402
+                     processing_ts, release_cut, stage_record_cuts)
 
 
 def _staged(spark, sf_dir):
@@ -279,15 +279,14 @@ def _staged(spark, sf_dir):
 
 
 def _lake_by_batches(spark, sf_dir):
-    """Batch writer: one lake batch per arrival cut (driver loop over the
-    cuts, each a distributed write)."""
-    staging = _staged(spark, sf_dir)
+    """Batch backfill: every arrival cut becomes its lake batch in one
+    partitioned write (the stream path writes the same layout batch by
+    batch)."""
     lake = scratch_path(spark, "lake")
-    staged = spark.read.parquet(staging)
-    for c in range(N_CUTS):
-        cut = staged.where(F.col("cut") == c).drop("cut")
-        write_lake_batch(enrich(cut, batch_clock(c)), lake, c,
-                         committed_at=batch_clock(c))
+    rec = records(spark, sf_dir, keep_ids=True).withColumn("batch_id", cut_of(F.col("ts")))
+    clock = batch_clock_col(F.col("batch_id"))
+    enriched_rows = enrich(rec, clock, carry=["batch_id"])
+    write_lake_batches(enriched_rows, lake, committed_at=clock)
     return lakes.read_lake(spark, lake)
 
 

@@ -123,8 +123,12 @@ def cut_of(ts: F.Column) -> F.Column:
 
 def batch_clock(batch_id: int) -> F.Column:
     """Processing time of micro-batch ``b``: PROCESSING_TS plus ``b`` days."""
+    return batch_clock_col(F.lit(int(batch_id)))
+
+
+def batch_clock_col(batch_id: F.Column) -> F.Column:
     return F.lit(PROCESSING_TS).cast("timestamp") + F.make_interval(
-        days=F.lit(int(batch_id)))
+        days=batch_id.cast("int"))
 
 
 def stage_record_cuts(spark: SparkSession, sf_dir: str, staging: str,

@@ -47,6 +47,20 @@ def write_lake_batch(batch: DataFrame, lake_path: str, batch_id: int,
     return obs.get["rows"]
 
 
+def write_lake_batches(df: DataFrame, lake_path: str, batch_col: str = "batch_id",
+                       committed_at: Column | None = None) -> None:
+    """Backfill many batches in one distributed write (same layout as
+    ``write_lake_batch``): rows carry their batch id, the table is
+    partitioned by it, and dynamic partition overwrite replaces exactly the
+    batches present, so re-running a backfill is idempotent."""
+    stamp = committed_at if committed_at is not None else F.current_timestamp()
+    out = (df.withColumn("committed_at", stamp.cast("timestamp"))
+           .withColumnRenamed(batch_col, "batch_id")
+           .withColumn("batch_id", F.col("batch_id").cast("bigint")))
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("batch_id").parquet(lake_path))
+
+
 def batch_report_lines(batch: DataFrame, batch_id: int) -> DataFrame:
     """The text report of one batch as lines: a header
     ``=== Micro-batch <id> (<n> rows) ===`` then one line per record.
