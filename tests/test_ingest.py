@@ -71,3 +71,33 @@ def test_load_tables_idempotent(spark, tmp_dir):
                      "data2": {"key": "TEXT", "value": "TEXT"}}
     assert spark.read.parquet(f"{tmp_dir}/t/data1").count() == 3
     assert spark.read.parquet(f"{tmp_dir}/t/data2").count() == 2
+
+
+TOKENS = ["0", "7", "-12", "3000000000", "1.5", "-0.25", "2e3", "inf", "True",
+          "false", "TRUE", "NA", "", "null", "n/a", "abc", "x1", "1x", "nan"]
+
+
+def test_inference_agrees_with_pandas_property(spark, tmp_dir):
+    """Random columns from a token vocabulary: the one-pass Spark inference
+    gives the type pandas' reader would (reference type map)."""
+    pd = pytest.importorskip("pandas")
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    counter = {"n": 0}
+
+    @settings(max_examples=12, deadline=None,
+              suppress_health_check=[HealthCheck.function_scoped_fixture])
+    @given(st.lists(st.lists(st.sampled_from(TOKENS), min_size=3, max_size=3),
+                    min_size=1, max_size=6))
+    def check(rows):
+        counter["n"] += 1
+        path = f"{tmp_dir}/h{counter['n']}.csv"
+        _write(path, "a,b,c\n" + "\n".join(",".join(r) for r in rows) + "\n")
+        want = {c: {"int64": "INTEGER", "float64": "REAL", "bool": "BOOLEAN"}
+                .get(str(t), "TEXT")
+                for c, t in pd.read_csv(path).dtypes.items()}
+        df = null_na_tokens(read_csv_strings(spark, path))
+        assert types_of(infer_types(df)) == want, rows
+
+    check()
