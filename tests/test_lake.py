@@ -60,3 +60,15 @@ def test_backfill_is_idempotent_and_matches_batches(spark, tmp_dir):
     t = lake.read_lake(spark, tmp_dir)
     hist = {r["batch_id"]: r["row_count"] for r in lake.table_history(t).collect()}
     assert hist == {0: 4, 1: 3, 2: 3}
+
+
+def test_error_line_cut_to_100(spark):
+    from tidemark.streaming.sinks import error_line
+    df = spark.createDataFrame([("x" * 250,)], "m string")
+    line = df.select(error_line(7, F.col("m"))).first()[0]
+    assert line == "=== Batch 7 error: " + "x" * 100 + " ==="
+
+
+def test_csv_paths_filter():
+    from tidemark.sources.files import csv_paths
+    assert csv_paths(["b.CSV", "a.txt", "c.csv"]) == ["b.CSV", "c.csv"]

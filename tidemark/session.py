@@ -65,3 +65,16 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/tidemark/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def object_store_conf(endpoint: str, path_style: bool = True,
+                      ssl: bool = True) -> dict[str, str]:
+    """S3A settings for an S3-compatible store.  No credentials here: they
+    come from the cluster's credential provider chain (environment,
+    instance profile, secrets), never from code."""
+    return {
+        "spark.hadoop.fs.s3a.endpoint": endpoint,
+        "spark.hadoop.fs.s3a.path.style.access": str(path_style).lower(),
+        "spark.hadoop.fs.s3a.connection.ssl.enabled": str(ssl).lower(),
+        "spark.hadoop.fs.s3a.impl": "org.apache.hadoop.fs.s3a.S3AFileSystem",
+    }

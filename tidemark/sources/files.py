@@ -56,6 +56,12 @@ def discover_csv(spark: SparkSession, data_dir: str,
     return csv.limit(max_files) if max_files else csv
 
 
+def csv_paths(paths: Sequence[str]) -> list[str]:
+    """Explicit path arguments: keep those ending in ``.csv`` (any case), in
+    the given order, no cap (the command-line form of discovery)."""
+    return [p for p in paths if p.lower().endswith(".csv")]
+
+
 def read_csv_strings(spark: SparkSession, paths: str | Sequence[str],
                      sep: str = ",", glob: str | None = None) -> DataFrame:
     """Header CSV with every column as text (types are inferred afterwards,

@@ -95,6 +95,14 @@ def await_drained(query: StreamingQuery, timeout_s: float = 600) -> None:
         raise err
 
 
+def run_until_stopped(query: StreamingQuery) -> None:
+    """Block on a long-running query; stop it cleanly on Ctrl-C."""
+    try:
+        query.awaitTermination()
+    except KeyboardInterrupt:
+        query.stop()
+
+
 def record_stream(spark: SparkSession, source_dir: str,
                   max_files_per_trigger: int | None = None) -> DataFrame:
     return read_record_files(spark, source_dir, stream=True,
