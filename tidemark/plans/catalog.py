@@ -10,9 +10,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import reports
-from ..operators.enrich import message_sequence
-from .common import enriched, ntz, records, table
+from ..functions import (delimited_int, json_path_or_default, table_name_from_path,
+                         topic_part)
+from ..operators import cdc, envelope, inference, ingest, quality, reports
+from ..operators.enrich import enrich, message_sequence
+from ..schemas import ENVELOPE
+from ..session import scratch_path
+from ..sources import files
+from ..sources import lake as lakes
+from ..streaming import jobs
+from ..streaming.sinks import write_lake_batches
+from .common import (EPOCH, N_CUTS, batch_clock, batch_clock_col, cut_of, enriched,
+                     envelope_records, framed_records, ntz, order_versions,
+                     processing_ts, records, release_cut, stage_record_cuts, table)
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -66,12 +76,6 @@ def q_table_counts(spark, sf_dir):
 
 # --- filters, names, JSON, lines (F1-F5, P4, P10, P11, S4, S11, A6) --------
 
-from ..functions import delimited_int, json_path_or_default, table_name_from_path  # noqa: E402
-from ..functions import topic_part  # noqa: E402
-from ..schemas import ENVELOPE  # noqa: E402
-from ..operators import cdc, envelope  # noqa: E402
-from .common import (envelope_records, framed_records, order_versions,  # noqa: E402
-                     EPOCH)
 
 EXPECTED_TABLES = ["click", "purchase", "view"]
 
@@ -207,9 +211,6 @@ def q_route_topics(spark, sf_dir):
 # --- ingest: discovery, CSV scan, inference, table load, seeds (S1, S2, S10,
 # --- A7, P3, K1-K4) ----------------------------------------------------------
 
-from ..operators import ingest, inference  # noqa: E402
-from ..session import scratch_path  # noqa: E402
-from ..sources import files  # noqa: E402
 
 CSV_TABLES = ("customer", "orders", "supplier")
 
@@ -263,14 +264,6 @@ def q_seed_rows(spark, sf_dir):
 
 # --- lake sink, versions and streams (S3, S6-S9, K5-K8, T1-T7, A1) ---------
 
-from ..operators.enrich import enrich  # noqa: E402
-from ..sources import lake as lakes  # noqa: E402
-from ..sources.records import read_record_files  # noqa: E402
-from ..streaming import jobs  # noqa: E402
-from ..streaming.sinks import write_lake_batches  # noqa: E402
-from .common import (N_CUTS, batch_clock, batch_clock_col, cut_of,  # noqa: E402
-                     processing_ts, release_cut, stage_record_cuts)
-
 
 def _staged(spark, sf_dir):
     staging = scratch_path(spark, "staging")
@@ -404,7 +397,6 @@ def q_batch_report(spark, sf_dir):
 
 # --- data quality (D1-D4) ----------------------------------------------------
 
-from ..operators import quality  # noqa: E402
 
 EXPECTED_TOPICS = ["pg.public.click", "pg.public.error", "pg.public.purchase",
                    "pg.public.refund", "pg.public.signup", "pg.public.view"]
