@@ -71,3 +71,10 @@ def test_json_default_and_lines(spark):
                      delimited_int("l").alias("n")).collect()
     assert [r["s"] for r in rows] == ["RUNNING", "unknown", "unknown", "unknown"]
     assert [r["n"] for r in rows] == [12, None, None, None]
+
+
+def test_json_list_length(spark):
+    from tidemark.functions import json_list_length
+    df = spark.createDataFrame([('["a-value", "b-value"]',), ("[]",), ("not json",), (None,)],
+                               "j string")
+    assert [r[0] for r in df.select(json_list_length("j")).collect()] == [2, 0, 0, 0]

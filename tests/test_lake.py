@@ -62,13 +62,20 @@ def test_backfill_is_idempotent_and_matches_batches(spark, tmp_dir):
     assert hist == {0: 4, 1: 3, 2: 3}
 
 
-def test_error_line_cut_to_100(spark):
+def test_error_line_keeps_whole_message(spark):
     from tidemark.streaming.sinks import error_line
     df = spark.createDataFrame([("x" * 250,)], "m string")
     line = df.select(error_line(7, F.col("m"))).first()[0]
-    assert line == "=== Batch 7 error: " + "x" * 100 + " ==="
+    assert line == "=== Batch 7 error: " + "x" * 250 + " ==="
 
 
 def test_csv_paths_filter():
     from tidemark.sources.files import csv_paths
     assert csv_paths(["b.CSV", "a.txt", "c.csv"]) == ["b.CSV", "c.csv"]
+
+
+def test_display_error_lines(spark):
+    from tidemark.streaming.sinks import DISPLAY_ISSUE, display_error_lines
+    df = spark.createDataFrame([("y" * 150,)], "m string")
+    a, b = df.select(*display_error_lines(F.col("m"))).first()
+    assert a == DISPLAY_ISSUE and b == "Error: " + "y" * 100

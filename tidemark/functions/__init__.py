@@ -8,5 +8,5 @@ from .text import (  # noqa: F401
 from .binary import (  # noqa: F401
     as_text, is_valid_utf8, wire_magic, wire_payload, wire_schema_id,
 )
-from .json import json_path_or_default  # noqa: F401
+from .json import json_list_length, json_path_or_default  # noqa: F401
 from .time import age_ms_exact, age_ms_seconds  # noqa: F401

@@ -12,3 +12,10 @@ def json_path_or_default(doc: Column | str, path: str,
     the document is malformed (``$.connector.state`` -> ``unknown``)."""
     d = F.col(doc) if isinstance(doc, str) else doc
     return F.coalesce(F.get_json_object(d, path), F.lit(default))
+
+
+def json_list_length(doc: Column | str) -> Column:
+    """Length of a JSON array, 0 when the text is not a JSON array (a
+    registry subject listing that failed to parse counts as none)."""
+    d = F.col(doc) if isinstance(doc, str) else doc
+    return F.coalesce(F.json_array_length(d), F.lit(0))

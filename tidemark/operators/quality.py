@@ -27,6 +27,23 @@ def missing(expected: Sequence[str], found: DataFrame, column: str,
     return want.join(present, column, "left_anti")
 
 
+def unexpected(expected: Sequence[str], found: DataFrame, column: str,
+               spark: SparkSession | None = None) -> DataFrame:
+    """Found names outside the expected list (with ``missing``: the found set
+    equals the expected one when both are empty)."""
+    s = spark or found.sparkSession
+    want = s.createDataFrame([(e,) for e in expected], f"{column} string")
+    return found.select(column).distinct().join(want, column, "left_anti")
+
+
+def require(checks: DataFrame, passed: str = "passed", limit: int = 20) -> None:
+    """Raise when any check row did not pass (only up to ``limit`` failing
+    rows reach the driver, for the message)."""
+    bad = checks.where(~F.col(passed) | F.col(passed).isNull()).limit(limit).collect()
+    if bad:
+        raise AssertionError(f"{len(bad)} check(s) failed, e.g. {bad[0].asDict()}")
+
+
 def at_least(check: str, value: DataFrame, column: str, minimum: int = 1,
              severity: str = "warn") -> DataFrame:
     """``check, value, severity``: ``ok`` when ``value >= minimum``, else the

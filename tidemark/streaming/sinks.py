@@ -79,10 +79,21 @@ def batch_report_lines(batch: DataFrame, batch_id: int) -> DataFrame:
     return header.unionByName(rows)
 
 
+# Lines of the text report.
+REPORT_TITLE = "=== Spark Streaming Output ==="
+DISPLAY_ISSUE = "(Serialization issue - data processed but cannot display details)"
+
+
 def error_line(batch_id: int, message: Column) -> Column:
-    """``=== Batch <id> error: <first 100 characters> ===``."""
-    return F.format_string("=== Batch %d error: %s ===", F.lit(int(batch_id)),
-                           text_prefix(message, 100))
+    """``=== Batch <id> error: <message> ===`` for a batch that failed."""
+    return F.format_string("=== Batch %d error: %s ===", F.lit(int(batch_id)), message)
+
+
+def display_error_lines(message: Column) -> list[Column]:
+    """The two lines written when rows could not be shown: a fixed note and
+    ``Error: <first 100 characters>``."""
+    return [F.lit(DISPLAY_ISSUE),
+            F.concat(F.lit("Error: "), text_prefix(message, 100))]
 
 
 def write_report_batch(batch: DataFrame, report_path: str, batch_id: int,
