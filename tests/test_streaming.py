@@ -4,7 +4,7 @@ write replays the batch without duplicates."""
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.plans.common import batch_clock, release_cut, stage_record_cuts
+from tidemark.plans.common import batch_clock, release_cut, topic_log
 from tidemark.sources import lake
 from tidemark.streaming import jobs
 
@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_resume_and_replay(spark, tmp_dir):
-    stage_record_cuts(spark, SF, f"{tmp_dir}/staging")
+    log = topic_log(spark, SF)
     src, out, ck = f"{tmp_dir}/src", f"{tmp_dir}/lake", f"{tmp_dir}/ck"
     calls = {"n": 0}
 
@@ -20,10 +20,10 @@ def test_resume_and_replay(spark, tmp_dir):
         calls["n"] += 1
         return batch_id == 1 and calls["n"] == 2
 
-    release_cut(spark, f"{tmp_dir}/staging", 0, src)
+    release_cut(log, 0, src)
     jobs.await_drained(jobs.start_lake_stream(jobs.record_stream(spark, src), out, ck,
                                               clock=batch_clock, fail_after_write=fail_once), 300)
-    release_cut(spark, f"{tmp_dir}/staging", 1, src)
+    release_cut(log, 1, src)
     with pytest.raises(Exception):
         jobs.await_drained(jobs.start_lake_stream(jobs.record_stream(spark, src), out, ck,
                                                   clock=batch_clock,
@@ -32,8 +32,7 @@ def test_resume_and_replay(spark, tmp_dir):
     jobs.await_drained(jobs.start_lake_stream(jobs.record_stream(spark, src), out, ck,
                                               clock=batch_clock, fail_after_write=fail_once), 300)
     t = lake.read_lake(spark, out)
-    staged = spark.read.parquet(f"{tmp_dir}/staging")
-    want = staged.where(F.col("cut") <= 1).count()
+    want = log.where(F.col("cut") <= 1).count()
     assert t.count() == want
     assert sorted(r["batch_id"] for r in lake.table_history(t).collect()) == [0, 1]
     # nothing new: a further run adds no batch

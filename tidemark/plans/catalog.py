@@ -20,9 +20,9 @@ from ..sources import files
 from ..sources import lake as lakes
 from ..streaming import jobs
 from ..streaming.sinks import write_lake_batches
-from .common import (EPOCH, N_CUTS, batch_clock, batch_clock_col, cut_of, enriched,
+from .common import (EPOCH, N_CUTS, batch_clock, batch_clock_col, enriched,
                      envelope_records, framed_records, ntz, order_versions,
-                     processing_ts, records, release_cut, stage_record_cuts, table)
+                     processing_ts, records, release_cut, table, topic_log)
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -82,7 +82,8 @@ EXPECTED_TABLES = ["click", "purchase", "view"]
 
 @register("filter_table")
 def q_filter_table(spark, sf_dir):
-    return ntz(reports.filter_equal(enriched(spark, sf_dir), "source_table", "error"))
+    """Equality filter on the lake table (pushed to the Parquet scan)."""
+    return ntz(reports.filter_equal(_lake_by_batches(spark, sf_dir), "source_table", "error"))
 
 
 @register("topics_by_prefix")
@@ -120,7 +121,7 @@ def q_table_names(spark, sf_dir):
 
 @register("json_status")
 def q_json_status(spark, sf_dir):
-    rec = envelope_records(spark, sf_dir, damaged=F.col("event_type") == "error")
+    rec = envelope_records(spark, sf_dir, damaged=True)
     status = json_path_or_default(F.col("value").cast("string"), "$.op")
     return reports.count_by(rec.select(status.alias("status")), "status")
 
@@ -161,7 +162,7 @@ def q_decode_envelope(spark, sf_dir):
 
 @register("decode_errors")
 def q_decode_errors(spark, sf_dir):
-    rec = envelope_records(spark, sf_dir, damaged=F.col("event_type") == "error")
+    rec = envelope_records(spark, sf_dir, damaged=True)
     base = rec.select(topic_part("topic", 2).alias("source_table"), "value")
     decoded = envelope.decode_json(base, ENVELOPE)
     bad = F.col("envelope._corrupt_record").isNotNull()
@@ -265,18 +266,12 @@ def q_seed_rows(spark, sf_dir):
 # --- lake sink, versions and streams (S3, S6-S9, K5-K8, T1-T7, A1) ---------
 
 
-def _staged(spark, sf_dir):
-    staging = scratch_path(spark, "staging")
-    stage_record_cuts(spark, sf_dir, staging)
-    return staging
-
-
 def _lake_by_batches(spark, sf_dir):
     """Batch backfill: every arrival cut becomes its lake batch in one
     partitioned write (the stream path writes the same layout batch by
     batch)."""
     lake = scratch_path(spark, "lake")
-    rec = records(spark, sf_dir, keep_ids=True).withColumn("batch_id", cut_of(F.col("ts")))
+    rec = records(spark, sf_dir, keep_ids=True).withColumnRenamed("cut", "batch_id")
     clock = batch_clock_col(F.col("batch_id"))
     enriched_rows = enrich(rec, clock, carry=["batch_id"])
     write_lake_batches(enriched_rows, lake, committed_at=clock)
@@ -286,7 +281,7 @@ def _lake_by_batches(spark, sf_dir):
 def _lake_by_stream(spark, sf_dir, releases=None, keep_extra=None, fail_once_at=None):
     """Stream writer: cuts arrive in the topic folder; after each arrival an
     ``availableNow`` run of the same checkpointed query drains it."""
-    staging = _staged(spark, sf_dir)
+    log = topic_log(spark, sf_dir)
     src = scratch_path(spark, "topic")
     lake = scratch_path(spark, "lake")
     ckpt = scratch_path(spark, "checkpoint")
@@ -300,7 +295,7 @@ def _lake_by_stream(spark, sf_dir, releases=None, keep_extra=None, fail_once_at=
 
     for group in releases or [[c] for c in range(N_CUTS)]:
         for c in group:
-            release_cut(spark, staging, c, src)
+            release_cut(log, c, src)
         for attempt in range(2):
             q = jobs.start_lake_stream(jobs.record_stream(spark, src), lake, ckpt,
                                        clock=batch_clock, keep_extra=keep_extra,
@@ -382,11 +377,11 @@ def q_stream_replay(spark, sf_dir):
 
 @register("batch_report")
 def q_batch_report(spark, sf_dir):
-    staging = _staged(spark, sf_dir)
+    log = topic_log(spark, sf_dir)
     src, report = scratch_path(spark, "topic"), scratch_path(spark, "report")
     ckpt = scratch_path(spark, "checkpoint")
     for c in range(N_CUTS):
-        release_cut(spark, staging, c, src)
+        release_cut(log, c, src)
         q = jobs.start_report_stream(jobs.record_stream(spark, src), report, ckpt,
                                      clock=batch_clock)
         jobs.await_drained(q)
@@ -423,13 +418,11 @@ def q_dq_schemas(spark, sf_dir):
 @register("stream_current_state")
 def q_stream_current_state(spark, sf_dir):
     """Current state (C4) maintained on a stream of change envelopes."""
-    staging = scratch_path(spark, "staging")
-    stage_record_cuts(spark, sf_dir, staging,
-                      rec=envelope_records(spark, sf_dir, keep_ids=True))
+    log = topic_log(spark, sf_dir, "envelopes")
     src, state = scratch_path(spark, "topic"), scratch_path(spark, "state")
     ckpt = scratch_path(spark, "checkpoint")
     for c in range(N_CUTS):
-        release_cut(spark, staging, c, src)
+        release_cut(log, c, src)
         decoded = envelope.decode_json(jobs.record_stream(spark, src), ENVELOPE)
         good = decoded.where(F.col("envelope._corrupt_record").isNull()
                              & F.col("envelope").isNotNull())

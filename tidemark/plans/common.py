@@ -25,9 +25,12 @@ def processing_ts() -> F.Column:
     return F.lit(PROCESSING_TS).cast("timestamp")
 
 
-def records(spark: SparkSession, sf_dir: str, keep_ids: bool = False) -> DataFrame:
-    rec = events_as_records(table(spark, sf_dir, "events"))
-    return rec if keep_ids else records_only(rec)
+def records(spark: SparkSession, sf_dir: str, keep_ids: bool = False,
+            kind: str = "events") -> DataFrame:
+    """Topic records of fixture ``kind`` (the Kafka record contract; with
+    ``keep_ids`` also ``event_id``, ``ts`` and the arrival ``cut``)."""
+    log = topic_log(spark, sf_dir, kind)
+    return log if keep_ids else records_only(log)
 
 
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,15 +59,11 @@ def change_op() -> F.Column:
             .otherwise(F.lit("c")))
 
 
-def envelope_records(spark: SparkSession, sf_dir: str,
-                     damaged: F.Column | None = None,
-                     keep_ids: bool = False) -> DataFrame:
-    """Topic records whose value is a JSON change envelope built from each
-    event; ``damaged`` marks records whose payload is cut to 20 characters
-    (a faulty producer)."""
+def _envelope_value(damaged: F.Column | None = None) -> F.Column:
+    """JSON change envelope of each event; ``damaged`` rows carry only the
+    first 20 characters (a faulty producer)."""
     from ..operators.envelope import envelope_json, envelope_struct
 
-    ev = table(spark, sf_dir, "events")
     op = change_op()
     image = F.struct(F.col("user_id"), F.col("value"))
     env = envelope_struct(
@@ -78,19 +77,63 @@ def envelope_records(spark: SparkSession, sf_dir: str,
     js = envelope_json(env)
     if damaged is not None:
         js = F.when(damaged, F.substring(js, 1, 20)).otherwise(js)
-    rec = events_as_records(ev, value=js.cast("binary"))
-    return rec if keep_ids else records_only(rec)
+    return js.cast("binary")
 
 
-def framed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records framed as registry messages (schema id = length of the event
-    type), except topic ``view`` which carries plain JSON."""
+def _framed_value() -> F.Column:
+    """Registry-framed props (schema id = length of the event type), except
+    topic ``view`` which carries plain JSON."""
     from ..operators.envelope import frame
 
-    ev = table(spark, sf_dir, "events")
-    value = F.when(F.col("event_type") == "view", F.col("props").cast("binary")) \
-        .otherwise(frame(F.col("props"), F.length("event_type")))
-    return records_only(events_as_records(ev, value=value))
+    return (F.when(F.col("event_type") == "view", F.col("props").cast("binary"))
+            .otherwise(frame(F.col("props"), F.length("event_type"))))
+
+
+# Topic fixtures: the value each record carries.
+TOPIC_VALUES = {
+    "events": lambda: F.col("props").cast("binary"),
+    "envelopes": lambda: _envelope_value(),
+    "envelopes_damaged": lambda: _envelope_value(F.col("event_type") == "error"),
+    "framed": _framed_value,
+}
+_LOGS: dict[tuple[str, str, str], str] = {}
+
+
+def topic_log(spark: SparkSession, sf_dir: str, kind: str = "events") -> DataFrame:
+    """The topic fixture ``kind`` as stored data: records with offsets,
+    event id, event time and arrival cut, partitioned by cut.
+
+    A real topic carries its offsets; the fixture has to number ``events``
+    per topic-partition (``sequence.number_within``), which is a full
+    shuffle.  It is therefore materialised once per Spark application under
+    the shared checkpoint root and read by every query that needs it (and
+    streamed cut by cut by the stream queries).
+    """
+    from ..session import scratch_path
+
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), kind)
+    path = _LOGS.get(key)
+    if path is not None:
+        try:
+            return spark.read.parquet(path)
+        except Exception:  # noqa: BLE001 - folder gone: build again
+            _LOGS.pop(key, None)
+    path = scratch_path(spark, f"topic-log-{kind}")
+    rec = events_as_records(table(spark, sf_dir, "events"), value=TOPIC_VALUES[kind]())
+    (rec.withColumn("cut", cut_of(F.col("ts")))
+     .write.mode("overwrite").partitionBy("cut").parquet(path))
+    _LOGS[key] = path
+    return spark.read.parquet(path)
+
+
+def envelope_records(spark: SparkSession, sf_dir: str, damaged: bool = False,
+                     keep_ids: bool = False) -> DataFrame:
+    return records(spark, sf_dir, keep_ids,
+                   kind="envelopes_damaged" if damaged else "envelopes")
+
+
+def framed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records(spark, sf_dir, kind="framed")
 
 
 def order_versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -131,20 +174,9 @@ def batch_clock_col(batch_id: F.Column) -> F.Column:
         days=batch_id.cast("int"))
 
 
-def stage_record_cuts(spark: SparkSession, sf_dir: str, staging: str,
-                      rec: DataFrame | None = None) -> None:
-    """Materialise a record fixture (default: ``records``) once, partitioned
-    by arrival cut (numbering needs the whole log; streams cannot number
-    rows).  ``rec`` must keep ``event_id`` and ``ts``."""
-    rec = rec if rec is not None else records(spark, sf_dir, keep_ids=True)
-    (rec.withColumn("cut", cut_of(F.col("ts"))).drop("event_id", "ts")
-     .write.mode("overwrite").partitionBy("cut").parquet(staging))
-
-
-def release_cut(spark: SparkSession, staging: str, cut: int, source_dir: str) -> None:
-    """Make cut ``cut`` arrive in the stream's source folder (partition
-    pruned read of the staged log; an empty cut appends nothing)."""
+def release_cut(log: DataFrame, cut: int, source_dir: str) -> None:
+    """Make cut ``cut`` of a topic log arrive in a stream's source folder
+    (partition-pruned read; an empty cut appends nothing)."""
     from ..schemas import RECORD
-    (spark.read.parquet(staging).where(F.col("cut") == F.lit(cut))
-     .select(*RECORD.fieldNames())
+    (log.where(F.col("cut") == F.lit(cut)).select(*RECORD.fieldNames())
      .write.mode("append").parquet(source_dir))

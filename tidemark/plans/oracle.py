@@ -68,8 +68,6 @@ select count(*) as row_count, 'customer' as table_name from customer
 union all select count(*), 'orders' from orders
 union all select count(*), 'lineitem' from lineitem"""
 
-SQL["filter_table"] = f"""with {MSG}, {ENRICHED}
-select {ENRICHED_COLS} from enriched where source_table = 'error'"""
 
 SQL["topics_by_prefix"] = f"""with {MSG}
 select kafka_topic as topic, count(*) as "count" from msg
@@ -291,3 +289,5 @@ select kafka_topic, kafka_partition, kafka_offset,
             else cast(length(event_type) as bigint) end as schema_id,
        cast(json_extract(props, '$.k') as bigint) as k
 from msg"""
+
+SQL["filter_table"] = lake_sql(tail="where split_part(kafka_topic, '.', 3) = 'error'")
