@@ -64,3 +64,22 @@ def test_batch_equals_stream(spark, tmp_dir):
     cols = [c for c in batch.columns if c != "value"]
     assert streamed.select(cols).exceptAll(batch.select(cols)).count() == 0
     assert batch.select(cols).exceptAll(streamed.select(cols)).count() == 0
+
+
+def test_number_within_spreads_a_hot_group(spark):
+    """A group holding most rows is numbered by many tasks, not one."""
+    from pyspark.sql import Window
+    df = spark.range(0, 20000).select(
+        F.when(F.col("id") % 10 < 8, F.lit(0)).otherwise(F.col("id") % 7).alias("g"),
+        F.col("id").alias("o"))
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = number_within(df, ["g"], "o", out="n", bucket_width=1000)
+        parts = (out.where("g = 0").select(F.spark_partition_id().alias("p"))
+                 .distinct().count())
+        assert parts > 1
+        ref = df.withColumn("n", F.row_number().over(Window.partitionBy("g").orderBy("o")))
+        assert out.exceptAll(ref.select(*out.columns)).count() == 0
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
