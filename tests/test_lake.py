@@ -79,3 +79,18 @@ def test_display_error_lines(spark):
     df = spark.createDataFrame([("y" * 150,)], "m string")
     a, b = df.select(*display_error_lines(F.col("m"))).first()
     assert a == DISPLAY_ISSUE and b == "Error: " + "y" * 100
+
+
+def test_unpublished_batch_is_invisible(spark, tmp_dir):
+    from tidemark.streaming.sinks import batch_dir
+    ts = F.lit("2024-02-01 00:00:00").cast("timestamp")
+    write_lake_batch(_batch(spark, 4), tmp_dir, 0, ts)
+    # a crash after the data write, before the commit row
+    _batch(spark, 9).withColumn("committed_at", ts).write.parquet(batch_dir(tmp_dir, 1))
+    assert lake.read_lake(spark, tmp_dir).count() == 4
+    assert lake.read_lake(spark, tmp_dir, committed_only=False).count() == 13
+    hist = lake.history(spark, tmp_dir).collect()
+    assert [(r["batch_id"], r["row_count"]) for r in hist] == [(0, 4)]
+    # the replayed batch publishes it
+    write_lake_batch(_batch(spark, 9), tmp_dir, 1, ts)
+    assert lake.read_lake(spark, tmp_dir).count() == 13

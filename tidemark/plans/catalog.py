@@ -83,7 +83,8 @@ EXPECTED_TABLES = ["click", "purchase", "view"]
 @register("filter_table")
 def q_filter_table(spark, sf_dir):
     """Equality filter on the lake table (pushed to the Parquet scan)."""
-    return ntz(reports.filter_equal(_lake_by_batches(spark, sf_dir), "source_table", "error"))
+    return ntz(reports.filter_equal(_read(spark, _lake_by_batches(spark, sf_dir)),
+                                    "source_table", "error"))
 
 
 @register("topics_by_prefix")
@@ -266,21 +267,26 @@ def q_seed_rows(spark, sf_dir):
 # --- lake sink, versions and streams (S3, S6-S9, K5-K8, T1-T7, A1) ---------
 
 
+def _read(spark, lake_path):
+    return lakes.read_lake(spark, lake_path)
+
+
 def _lake_by_batches(spark, sf_dir):
     """Batch backfill: every arrival cut becomes its lake batch in one
     partitioned write (the stream path writes the same layout batch by
-    batch)."""
+    batch).  Returns the lake path."""
     lake = scratch_path(spark, "lake")
     rec = records(spark, sf_dir, keep_ids=True).withColumnRenamed("cut", "batch_id")
     clock = batch_clock_col(F.col("batch_id"))
     enriched_rows = enrich(rec, clock, carry=["batch_id"])
     write_lake_batches(enriched_rows, lake, committed_at=clock)
-    return lakes.read_lake(spark, lake)
+    return lake
 
 
 def _lake_by_stream(spark, sf_dir, releases=None, keep_extra=None, fail_once_at=None):
     """Stream writer: cuts arrive in the topic folder; after each arrival an
-    ``availableNow`` run of the same checkpointed query drains it."""
+    ``availableNow`` run of the same checkpointed query drains it.  Returns
+    the lake path."""
     log = topic_log(spark, sf_dir)
     src = scratch_path(spark, "topic")
     lake = scratch_path(spark, "lake")
@@ -306,7 +312,7 @@ def _lake_by_stream(spark, sf_dir, releases=None, keep_extra=None, fail_once_at=
             except Exception:  # noqa: BLE001 - restart once, as a supervisor would
                 if attempt == 1:
                     raise
-    return lakes.read_lake(spark, lake)
+    return lake
 
 
 @register("stream_enrich")
@@ -322,22 +328,22 @@ def q_stream_enrich(spark, sf_dir):
 
 @register("stream_lake")
 def q_stream_lake(spark, sf_dir):
-    return ntz(_lake_by_stream(spark, sf_dir))
+    return ntz(_read(spark, _lake_by_stream(spark, sf_dir)))
 
 
 @register("lake_read")
 def q_lake_read(spark, sf_dir):
-    return ntz(_lake_by_batches(spark, sf_dir))
+    return ntz(_read(spark, _lake_by_batches(spark, sf_dir)))
 
 
 @register("lake_count")
 def q_lake_count(spark, sf_dir):
-    return reports.total_count(_lake_by_batches(spark, sf_dir))
+    return reports.total_count(_read(spark, _lake_by_batches(spark, sf_dir)))
 
 
 @register("lake_preview")
 def q_lake_preview(spark, sf_dir):
-    return ntz(lakes.preview(_lake_by_batches(spark, sf_dir), 20))
+    return ntz(lakes.preview(_read(spark, _lake_by_batches(spark, sf_dir)), 20))
 
 
 LOG_POSITION = ["kafka_topic", "kafka_partition", "kafka_offset", "batch_id"]
@@ -345,34 +351,34 @@ LOG_POSITION = ["kafka_topic", "kafka_partition", "kafka_offset", "batch_id"]
 
 @register("as_of_version")
 def q_as_of_version(spark, sf_dir):
-    return lakes.as_of_version(_lake_by_batches(spark, sf_dir), 1).select(*LOG_POSITION)
+    return lakes.read_version(spark, _lake_by_batches(spark, sf_dir), version=1).select(*LOG_POSITION)
 
 
 @register("as_of_timestamp")
 def q_as_of_timestamp(spark, sf_dir):
-    return lakes.as_of_timestamp(_lake_by_batches(spark, sf_dir),
-                                 "2024-02-03 12:00:00").select(*LOG_POSITION)
+    return lakes.read_version(spark, _lake_by_batches(spark, sf_dir),
+                              timestamp="2024-02-03 12:00:00").select(*LOG_POSITION)
 
 
 @register("table_history")
 def q_table_history(spark, sf_dir):
-    return ntz(lakes.table_history(_lake_by_batches(spark, sf_dir)))
+    return ntz(lakes.history(spark, _lake_by_batches(spark, sf_dir)))
 
 
 @register("schema_evolution")
 def q_schema_evolution(spark, sf_dir):
-    return ntz(_lake_by_stream(spark, sf_dir, keep_extra=lambda b: b >= 1))
+    return ntz(_read(spark, _lake_by_stream(spark, sf_dir, keep_extra=lambda b: b >= 1)))
 
 
 @register("stream_resume")
 def q_stream_resume(spark, sf_dir):
-    lake = _lake_by_stream(spark, sf_dir, releases=[[0, 1], [2, 3]])
+    lake = _read(spark, _lake_by_stream(spark, sf_dir, releases=[[0, 1], [2, 3]]))
     return ntz(lake.select(*LOG_POSITION, "committed_at"))
 
 
 @register("stream_replay")
 def q_stream_replay(spark, sf_dir):
-    return ntz(lakes.table_history(_lake_by_stream(spark, sf_dir, fail_once_at=1)))
+    return ntz(lakes.history(spark, _lake_by_stream(spark, sf_dir, fail_once_at=1)))
 
 
 @register("batch_report")

@@ -8,19 +8,40 @@ With the Delta jar present, ``format="delta"`` reads a Delta table instead.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def read_commits(spark: SparkSession, path: str) -> DataFrame | None:
+    """Published batches: latest commit row per batch id (None when the
+    lake has no commit log)."""
+    from ..streaming.sinks import commits_dir
+    try:
+        log = spark.read.parquet(commits_dir(path))
+    except AnalysisException:
+        return None
+    return (log.groupBy("batch_id")
+            .agg(F.max_by(F.struct("row_count", "committed_at"), "committed_at").alias("c"))
+            .select("batch_id", "c.row_count", "c.committed_at"))
+
+
 def read_lake(spark: SparkSession, path: str, fmt: str = "parquet",
-              merge_schema: bool = True) -> DataFrame:
+              merge_schema: bool = True, committed_only: bool = True) -> DataFrame:
     """The lake table; batches that added columns are merged (missing ->
-    NULL)."""
+    NULL).  With ``committed_only`` (and a commit log present) a batch is
+    visible only once published: a batch still being written (or left
+    behind by a crash before its commit) is not read."""
     if fmt == "delta":
         return spark.read.format("delta").load(path)
     df = (spark.read.option("mergeSchema", str(merge_schema).lower())
           .parquet(path))
-    return df.withColumn("batch_id", F.col("batch_id").cast("bigint"))
+    df = df.withColumn("batch_id", F.col("batch_id").cast("bigint"))
+    if committed_only:
+        commits = read_commits(spark, path)
+        if commits is not None:
+            df = df.join(commits.select("batch_id"), "batch_id", "left_semi")
+    return df
 
 
 def as_of_version(lake: DataFrame, version: int) -> DataFrame:
@@ -51,8 +72,17 @@ def read_version(spark: SparkSession, path: str, version: int | None = None,
     return lake
 
 
+def history(spark: SparkSession, path: str) -> DataFrame:
+    """Table history from the commit log (one row per batch, no data scan);
+    falls back to ``table_history`` over the data without a log."""
+    commits = read_commits(spark, path)
+    if commits is None:
+        return table_history(read_lake(spark, path))
+    return commits.orderBy("batch_id")
+
+
 def table_history(lake: DataFrame) -> DataFrame:
-    """One row per batch: rows written and commit time."""
+    """One row per batch from the data: rows written and commit time."""
     return (lake.groupBy("batch_id")
             .agg(F.count(F.lit(1)).alias("row_count"),
                  F.max("committed_at").alias("committed_at"))

@@ -8,10 +8,28 @@ from pyspark.sql import functions as F
 from ..functions import text_prefix
 
 
+COMMITS = "_commits"
+COMMIT_SCHEMA = "batch_id bigint, row_count bigint, committed_at timestamp"
+
+
 def batch_dir(root: str, batch_id: int) -> str:
     return f"{root.rstrip('/')}/batch_id={int(batch_id)}"
 
 
+def commits_dir(root: str) -> str:
+    """Commit log of a lake: one row per written batch, in a folder the data
+    reader skips (leading underscore)."""
+    return f"{root.rstrip('/')}/{COMMITS}"
+
+
+def append_commits(commits: DataFrame, lake_path: str) -> None:
+    """Publish batches: rows ``(batch_id, row_count, committed_at)``.  A
+    replayed batch appends a second row; readers keep the latest."""
+    (commits.select(F.col("batch_id").cast("bigint"), F.col("row_count").cast("bigint"),
+                    F.col("committed_at").cast("timestamp"))
+     .write.mode("append").parquet(commits_dir(lake_path)))
+
+
 def write_lake_batch(batch: DataFrame, lake_path: str, batch_id: int,
                      committed_at: Column | None = None,
                      skip_empty: bool = True, fmt: str = "parquet",
@@ -34,7 +52,7 @@ def write_lake_batch(batch: DataFrame, lake_path: str, batch_id: int,
     stamp = committed_at if committed_at is not None else F.current_timestamp()
     obs = Observation(f"lake_batch_{int(batch_id)}")
     out = batch.withColumn("committed_at", stamp.cast("timestamp")).observe(
-        obs, F.count(F.lit(1)).alias("rows"))
+        obs, F.count(F.lit(1)).alias("rows"), F.max("committed_at").alias("at"))
     if fmt == "delta":
         if not app_id:
             raise ValueError("fmt='delta' needs app_id (stable per stream)")
@@ -42,9 +60,13 @@ def write_lake_batch(batch: DataFrame, lake_path: str, batch_id: int,
          .write.format("delta").mode("append")
          .option("txnAppId", app_id).option("txnVersion", int(batch_id))
          .option("mergeSchema", "true").save(lake_path))
-    else:
-        out.write.mode("overwrite").parquet(batch_dir(lake_path, batch_id))
-    return obs.get["rows"]
+        return obs.get["rows"]
+    out.write.mode("overwrite").parquet(batch_dir(lake_path, batch_id))
+    metrics = obs.get
+    spark = batch.sparkSession
+    append_commits(spark.createDataFrame([(int(batch_id), metrics["rows"], metrics["at"])],
+                                         COMMIT_SCHEMA), lake_path)
+    return metrics["rows"]
 
 
 def write_lake_batches(df: DataFrame, lake_path: str, batch_col: str = "batch_id",
@@ -52,13 +74,20 @@ def write_lake_batches(df: DataFrame, lake_path: str, batch_col: str = "batch_id
     """Backfill many batches in one distributed write (same layout as
     ``write_lake_batch``): rows carry their batch id, the table is
     partitioned by it, and dynamic partition overwrite replaces exactly the
-    batches present, so re-running a backfill is idempotent."""
+    batches present, so re-running a backfill is idempotent.  The batches
+    are published in the commit log after the write."""
     stamp = committed_at if committed_at is not None else F.current_timestamp()
     out = (df.withColumn("committed_at", stamp.cast("timestamp"))
            .withColumnRenamed(batch_col, "batch_id")
            .withColumn("batch_id", F.col("batch_id").cast("bigint")))
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("batch_id").parquet(lake_path))
+    # Publish every batch now in the table (footer-level counts: Parquet
+    # row counts plus one small column, no full scan of the data).
+    spark = df.sparkSession
+    written = spark.read.parquet(lake_path).groupBy("batch_id").agg(
+        F.count(F.lit(1)).alias("row_count"), F.max("committed_at").alias("committed_at"))
+    append_commits(written, lake_path)
 
 
 def batch_report_lines(batch: DataFrame, batch_id: int) -> DataFrame:
