@@ -58,7 +58,7 @@ def cmd_load_csv(args) -> int:
             typed.write.mode(args.mode).parquet(f"{args.out}/{r['t']}")
             print(f"{r['path']} -> {r['t']} {types}")
         return 0
-    loaded = load_csv_tables(spark, args.data_dir, args.out, max_files=args.max_files,
+    loaded = load_csv_tables(spark, args.data_dir, args.out, max_files=args.max_files or None,
                              mode=args.mode, compat=args.compat)
     if not loaded:
         print(f"no CSV files in {args.data_dir}")
@@ -107,7 +107,8 @@ def main(argv: list[str] | None = None) -> int:
     lc.add_argument("files", nargs="*")
     lc.add_argument("--data-dir", default="data")
     lc.add_argument("--out", required=True)
-    lc.add_argument("--max-files", type=int, default=None)
+    lc.add_argument("--max-files", type=int, default=3,
+                    help="first N files of --data-dir by path (default 3; 0 = all)")
     lc.add_argument("--mode", choices=["overwrite", "append"], default="overwrite")
     lc.add_argument("--compat", choices=["reference", "spark"], default="reference")
     lc.set_defaults(fn=cmd_load_csv)
