@@ -13,6 +13,11 @@ from ..sources.files import discover_csv, read_csv_strings
 from .inference import apply_types, infer_types, null_na_tokens, types_of
 
 
+# The seed row written per table (same text as the reference).
+SEED_KEY = "seed_{table}_{epoch}"
+SEED_VALUE = "value_{epoch}"
+
+
 def clean_headers(df: DataFrame) -> DataFrame:
     """Strip names and turn spaces into underscores; two columns that end up
     with the same name are an error (they would overwrite each other)."""
@@ -80,7 +85,8 @@ def load_csv_tables(spark: SparkSession, data_dir: str, out_root: str,
 def seed_row(spark: SparkSession, table: str, epoch: int,
              key_col: str = "key", value_col: str = "value") -> DataFrame:
     """One marker row ``(seed_<table>_<epoch>, value_<epoch>)``."""
-    return spark.createDataFrame([(f"seed_{table}_{epoch}", f"value_{epoch}")],
+    return spark.createDataFrame([(SEED_KEY.format(table=table, epoch=epoch),
+                                   SEED_VALUE.format(epoch=epoch))],
                                  f"{key_col} string, {value_col} string")
 
 

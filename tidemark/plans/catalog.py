@@ -18,6 +18,7 @@ from ..schemas import ENVELOPE
 from ..session import scratch_path
 from ..sources import files
 from ..sources import lake as lakes
+from ..sources.records import SUBJECT_SUFFIX
 from ..streaming import jobs
 from ..streaming.sinks import write_lake_batches
 from .common import (EPOCH, N_CUTS, batch_clock, batch_clock_col, enriched,
@@ -145,7 +146,7 @@ def q_table_sample(spark, sf_dir):
 
 @register("schema_count")
 def q_schema_count(spark, sf_dir):
-    subjects = F.concat(F.col("topic"), F.lit("-value"))
+    subjects = F.concat(F.col("topic"), F.lit(SUBJECT_SUFFIX))
     return records(spark, sf_dir).agg(F.count_distinct(subjects).alias("schema_count"))
 
 
@@ -416,7 +417,7 @@ def q_dq_missing(spark, sf_dir):
 
 @register("dq_schemas")
 def q_dq_schemas(spark, sf_dir):
-    subjects = F.concat(F.col("topic"), F.lit("-value"))
+    subjects = F.concat(F.col("topic"), F.lit(SUBJECT_SUFFIX))
     n = records(spark, sf_dir).agg(F.count_distinct(subjects).alias("n"))
     return quality.at_least("schemas_registered", n, "n", 1, "warn")
 

@@ -15,7 +15,11 @@ from pyspark.sql import functions as F
 from ..operators.sequence import number_within
 from ..schemas import RECORD
 
+# Topic naming of the reference (<server>.<schema>.<table>) and
+# the registry subject suffix of a topic's value schema.
 TOPIC_PREFIX = "pg.public"
+SUBJECT_SUFFIX = "-value"
+# Fixture choice (ours): partitions per topic.
 TOPIC_PARTITIONS = 3
 
 

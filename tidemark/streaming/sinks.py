@@ -8,6 +8,15 @@ from pyspark.sql import functions as F
 from ..functions import text_prefix
 
 
+# Lines of the text batch report (same text as the reference).
+REPORT_TITLE = "=== Spark Streaming Output ==="
+BATCH_HEADER = "=== Micro-batch %d (%d rows) ==="
+RECORD_LINE = "Key: %s, Topic: %s, Partition: %s, Offset: %s, Table: %s"
+DISPLAY_ISSUE = "(Serialization issue - data processed but cannot display details)"
+DISPLAY_ERROR_PREFIX = "Error: "
+BATCH_ERROR = "=== Batch %d error: %s ==="
+NONE_TEXT = "None"
+
 COMMITS = "_commits"
 COMMIT_SCHEMA = "batch_id bigint, row_count bigint, committed_at timestamp"
 
@@ -96,33 +105,30 @@ def batch_report_lines(batch: DataFrame, batch_id: int) -> DataFrame:
     Built as DataFrames and written by executors (no collect)."""
     rows = batch.select(
         F.lit(1).alias("part"),
-        F.format_string("Key: %s, Topic: %s, Partition: %s, Offset: %s, Table: %s",
-                        F.coalesce(F.col("kafka_key"), F.lit("None")),
+        F.format_string(RECORD_LINE,
+                        F.coalesce(F.col("kafka_key"), F.lit(NONE_TEXT)),
                         "kafka_topic", "kafka_partition", "kafka_offset",
-                        F.coalesce(F.col("source_table"), F.lit("None")))
+                        F.coalesce(F.col("source_table"), F.lit(NONE_TEXT)))
         .alias("line"))
     header = batch.agg(F.count(F.lit(1)).alias("n")).select(
         F.lit(0).alias("part"),
-        F.format_string("=== Micro-batch %d (%d rows) ===", F.lit(int(batch_id)),
+        F.format_string(BATCH_HEADER, F.lit(int(batch_id)),
                         F.col("n")).alias("line"))
     return header.unionByName(rows)
 
 
-# Lines of the text report.
-REPORT_TITLE = "=== Spark Streaming Output ==="
-DISPLAY_ISSUE = "(Serialization issue - data processed but cannot display details)"
 
 
 def error_line(batch_id: int, message: Column) -> Column:
     """``=== Batch <id> error: <message> ===`` for a batch that failed."""
-    return F.format_string("=== Batch %d error: %s ===", F.lit(int(batch_id)), message)
+    return F.format_string(BATCH_ERROR, F.lit(int(batch_id)), message)
 
 
 def display_error_lines(message: Column) -> list[Column]:
     """The two lines written when rows could not be shown: a fixed note and
     ``Error: <first 100 characters>``."""
     return [F.lit(DISPLAY_ISSUE),
-            F.concat(F.lit("Error: "), text_prefix(message, 100))]
+            F.concat(F.lit(DISPLAY_ERROR_PREFIX), text_prefix(message, 100))]
 
 
 def write_report_batch(batch: DataFrame, report_path: str, batch_id: int,
