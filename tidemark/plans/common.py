@@ -99,31 +99,66 @@ TOPIC_VALUES = {
 _LOGS: dict[tuple[str, str, str], str] = {}
 
 
+def _stored(spark: SparkSession, key: tuple, build) -> DataFrame:
+    """Read a fixture stored for this application, building it once."""
+    path = _LOGS.get(key)
+    if path is not None:
+        try:
+            return spark.read.parquet(path)
+        except Exception:  # noqa: BLE001 - folder gone: build again
+            _LOGS.pop(key, None)
+    path = build()
+    _LOGS[key] = path
+    return spark.read.parquet(path)
+
+
+def _numbered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` with their topic record columns (offsets numbered once),
+    the event columns kept for the value builders, partitioned by cut."""
+    from ..session import scratch_path
+    from ..schemas import RECORD
+
+    def build() -> str:
+        path = scratch_path(spark, "numbered-events")
+        ev = table(spark, sf_dir, "events")
+        rec = events_as_records(ev, value=F.col("props").cast("binary"),
+                                carry=["user_id", "event_type", "props",
+                                       F.col("value").alias("event_value")])
+        (rec.select(*RECORD.fieldNames(), "event_id", "ts", "user_id", "event_type",
+                    "props", "event_value", cut_of(F.col("ts")).alias("cut"))
+         .write.mode("overwrite").partitionBy("cut").parquet(path))
+        return path
+
+    return _stored(spark, (spark.sparkContext.applicationId, sf_dir.rstrip("/"),
+                           "numbered-events"), build)
+
+
 def topic_log(spark: SparkSession, sf_dir: str, kind: str = "events") -> DataFrame:
     """The topic fixture ``kind`` as stored data: records with offsets,
     event id, event time and arrival cut, partitioned by cut.
 
     A real topic carries its offsets; the fixture has to number ``events``
     per topic-partition (``sequence.number_within``), which is a full
-    shuffle.  It is therefore materialised once per Spark application under
-    the shared checkpoint root and read by every query that needs it (and
-    streamed cut by cut by the stream queries).
+    shuffle.  The numbering is done once per Spark application; each kind
+    is then a narrow rewrite of the value column, stored under the shared
+    checkpoint root and read by every query that needs it (and streamed cut
+    by cut by the stream queries).
     """
     from ..session import scratch_path
+    from ..schemas import RECORD
 
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), kind)
-    path = _LOGS.get(key)
-    if path is not None:
-        try:
-            return spark.read.parquet(path)
-        except Exception:  # noqa: BLE001 - folder gone: build again
-            _LOGS.pop(key, None)
-    path = scratch_path(spark, f"topic-log-{kind}")
-    rec = events_as_records(table(spark, sf_dir, "events"), value=TOPIC_VALUES[kind]())
-    (rec.withColumn("cut", cut_of(F.col("ts")))
-     .write.mode("overwrite").partitionBy("cut").parquet(path))
-    _LOGS[key] = path
-    return spark.read.parquet(path)
+    def build() -> str:
+        path = scratch_path(spark, f"topic-log-{kind}")
+        base = _numbered_events(spark, sf_dir)
+        events_view = base.drop("value").withColumnRenamed("event_value", "value")
+        value = TOPIC_VALUES[kind]().alias("value")
+        cols = [value if c == "value" else F.col(c) for c in RECORD.fieldNames()]
+        (events_view.select(*cols, "event_id", "ts", "cut")
+         .write.mode("overwrite").partitionBy("cut").parquet(path))
+        return path
+
+    return _stored(spark, (spark.sparkContext.applicationId, sf_dir.rstrip("/"), kind),
+                   build)
 
 
 def envelope_records(spark: SparkSession, sf_dir: str, damaged: bool = False,

@@ -25,14 +25,15 @@ TOPIC_PARTITIONS = 3
 
 def events_as_records(events: DataFrame, topic_prefix: str = TOPIC_PREFIX,
                       partitions: int = TOPIC_PARTITIONS,
-                      value: Column | None = None) -> DataFrame:
+                      value: Column | None = None,
+                      carry: Sequence[str | Column] = ()) -> DataFrame:
     """Turn the ``events`` table into topic records, one topic per event type.
 
     key = user id as text, value = ``props`` bytes (or ``value``), partition
     = user id mod ``partitions`` (keys stick to a partition), offset = 0-based
     position in the topic-partition by ``event_id``, timestamp = event time.
-    Keeps ``event_id`` and ``ts`` next to the record columns for callers that
-    cut the stream into files.
+    Keeps ``event_id`` and ``ts`` (and the ``carry`` columns) next to the
+    record columns for callers that cut the stream into files.
     """
     payload = value if value is not None else F.col("props").cast("binary")
     base = events.select(
@@ -44,10 +45,12 @@ def events_as_records(events: DataFrame, topic_prefix: str = TOPIC_PREFIX,
         (F.col("user_id") % partitions).cast("int").alias("partition"),
         F.col("ts").cast("timestamp").alias("timestamp"),
         F.lit(0).alias("timestampType"),
+        *[F.col(c) if isinstance(c, str) else c for c in carry],
     )
     numbered = number_within(base, ["topic", "partition"], "event_id",
                              out="offset", start=0)
-    return numbered.select(*RECORD.fieldNames(), "event_id", "ts")
+    carried = base.columns[len(base.columns) - len(carry):] if carry else []
+    return numbered.select(*RECORD.fieldNames(), "event_id", "ts", *carried)
 
 
 def records_only(df: DataFrame) -> DataFrame:
