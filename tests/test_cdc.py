@@ -16,7 +16,7 @@ def test_decode_split_good_bad_tombstone(spark):
         (None,)], "value string")
     good, bad = envelope.split_decoded(envelope.decode_json(df, ENVELOPE))
     assert bad.count() == 1
-    assert bad.first()["error_text"] == '{"op":'
+    assert bad.first()["corrupt_record"] == '{"op":'
     g = good.orderBy("value").collect()
     assert len(g) == 2
     assert g[0]["envelope"] is None                      # tombstone kept

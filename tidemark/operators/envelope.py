@@ -65,13 +65,14 @@ def decode_json(df: DataFrame, schema: T.StructType, source: str = "value",
 
 def split_decoded(decoded: DataFrame, into: str = "envelope"
                   ) -> tuple[DataFrame, DataFrame]:
-    """(good, bad): bad rows have their raw text and a short error note."""
+    """(good, bad): bad rows keep every input column (the raw payload
+    included) plus ``corrupt_record``, the whole text that failed to parse."""
     bad_flag = F.col(f"{into}.{CORRUPT_COLUMN}").isNotNull()
     good = decoded.where(~bad_flag | F.col(into).isNull()) \
         .withColumn(into, F.col(into).dropFields(CORRUPT_COLUMN))
     bad = decoded.where(bad_flag).select(
         *[c for c in decoded.columns if c != into],
-        F.substring(F.col(f"{into}.{CORRUPT_COLUMN}"), 1, 100).alias("error_text"),
+        F.col(f"{into}.{CORRUPT_COLUMN}").alias("corrupt_record"),
     )
     return good, bad
 
