@@ -114,3 +114,10 @@ def test_decode_by_schema_id_rejects_conflicts(spark):
     df = spark.createDataFrame([(bytearray(b"x"),)], "value binary")
     with pytest.raises(ValueError):
         envelope.decode_by_schema_id(df, {1: a, 2: b})
+
+
+def test_snapshot_diff_schema_change(spark):
+    a = spark.createDataFrame([(1, "x"), (2, "y")], "id int, v string")
+    b = spark.createDataFrame([(1, "x", None), (2, "y", 5)], "id int, v string, w int")
+    got = {r["id"]: r["op"] for r in cdc.snapshot_diff(a, b, ["id"]).collect()}
+    assert got == {2: "u"}

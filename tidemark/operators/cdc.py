@@ -4,17 +4,32 @@ current state, change counts, topic routing."""
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from functools import reduce
-
 
 def _image(df: DataFrame, name: str) -> Column:
     return F.struct(*[F.col(c) for c in df.columns]).alias(name)
 
 
+def _aligned(before: DataFrame, after: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both snapshots with the same columns: a column present on one side
+    only (schema change between versions) is NULL on the other."""
+    types = {f.name: f.dataType for f in after.schema.fields}
+    types.update({f.name: f.dataType for f in before.schema.fields})
+    names = before.columns + [c for c in after.columns if c not in before.columns]
+
+    def fill(df: DataFrame) -> DataFrame:
+        return df.select(*[F.col(c) if c in df.columns
+                           else F.lit(None).cast(types[c]).alias(c) for c in names])
+
+    if before.columns == after.columns:
+        return before, after
+    return fill(before), fill(after)
+
+
 def snapshot_diff(before: DataFrame, after: DataFrame, keys: Sequence[str],
                   check_unique: bool = False) -> DataFrame:
     """Change rows turning ``before`` into ``after``: ``c`` (key only in
@@ -23,9 +38,12 @@ def snapshot_diff(before: DataFrame, after: DataFrame, keys: Sequence[str],
 
     One full outer join on the key: both sides shuffle by key once (or not
     at all when both are stored bucketed by it).  Keys must be unique per
-    side; with ``check_unique`` a duplicate raises before the join.
+    side; with ``check_unique`` a duplicate raises before the join.  A
+    column added or dropped between the versions counts as NULL on the side
+    that lacks it.
     """
     keys = list(keys)
+    before, after = _aligned(before, after)
     if check_unique:
         for side, df in (("before", before), ("after", after)):
             dup = df.groupBy(*keys).count().where("count > 1").limit(1).collect()
