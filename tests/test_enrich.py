@@ -83,3 +83,13 @@ def test_number_within_spreads_a_hot_group(spark):
         assert out.exceptAll(ref.select(*out.columns)).count() == 0
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", old)
+
+
+def test_number_within_large_and_negative_keys(spark):
+    from pyspark.sql import Window
+    big = (1 << 62)
+    rows = [(0, big + i * 3) for i in range(50)] + [(0, -i * 7) for i in range(50)]
+    df = spark.createDataFrame(rows, "g int, o long")
+    ours = number_within(df, ["g"], "o", out="n", bucket_width=16)
+    ref = df.withColumn("n", F.row_number().over(Window.partitionBy("g").orderBy("o")))
+    assert ours.exceptAll(ref.select(*ours.columns)).count() == 0

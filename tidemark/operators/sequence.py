@@ -32,9 +32,12 @@ def number_within(df: DataFrame, group_cols: Sequence[str], order_col: str,
                   bucket_width: int = DEFAULT_BUCKET_WIDTH,
                   start: int = 1) -> DataFrame:
     """Add ``out`` = 1-based (or ``start``-based) position of each row in its
-    group ordered by the integral, unique ``order_col``."""
+    group ordered by the integral, unique ``order_col`` (for a timestamp
+    order, pass ``unix_micros(ts)`` as a column first)."""
     g = list(group_cols)
-    bucket = F.floor(F.col(order_col) / F.lit(bucket_width)).cast("bigint")
+    # Exact integral division (no trip through double): buckets stay
+    # contiguous and ordered for any 64-bit order key.
+    bucket = F.expr(f"`{order_col}` div {int(bucket_width)}").cast("bigint")
     tagged = df.withColumn("_tm_bkt", bucket)
 
     sizes = (df.select(*g, bucket.alias("_tm_bkt"))
