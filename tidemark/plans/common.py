@@ -171,14 +171,25 @@ def framed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records(spark, sf_dir, kind="framed")
 
 
+# Fixed values (fixture choice): the two snapshots of `orders`.
+SNAPSHOT_A_TAKEN = "2001-01-01 00:00:00"   # A holds orders placed before this
+ARCHIVED_BEFORE = "1996-01-01 00:00:00"    # B no longer holds orders placed before this
+PENDING_CLOSED_BEFORE = "2000-01-01 00:00:00"  # in B, pending ('P') orders placed
+                                               # before this are finished ('F')
+
+
 def order_versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Two snapshots of ``orders`` (FIXTURES.md): A drops keys divisible by
-    7; B drops keys divisible by 5 and sets status X on keys divisible by 11."""
+    """Two snapshots of ``orders`` (FIXTURES.md): A was taken on
+    SNAPSHOT_A_TAKEN; B is today's table after old orders were archived and
+    old pending orders were finished.  A -> B has inserts, updates and
+    deletes."""
     o = table(spark, sf_dir, "orders")
-    a = o.where(F.col("o_orderkey") % 7 != 0)
-    b = (o.where(F.col("o_orderkey") % 5 != 0)
+    ts = lambda v: F.lit(v).cast("timestamp_ntz")
+    a = o.where(F.col("o_orderdate") < ts(SNAPSHOT_A_TAKEN))
+    b = (o.where(F.col("o_orderdate") >= ts(ARCHIVED_BEFORE))
          .withColumn("o_orderstatus",
-                     F.when(F.col("o_orderkey") % 11 == 0, F.lit("X"))
+                     F.when((F.col("o_orderstatus") == "P")
+                            & (F.col("o_orderdate") < ts(PENDING_CLOSED_BEFORE)), F.lit("F"))
                      .otherwise(F.col("o_orderstatus"))))
     return a, b
 

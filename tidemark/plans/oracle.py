@@ -157,11 +157,12 @@ ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
               "o_orderdate", "o_orderpriority"]
 
 SQL["snapshot_diff"] = """
-with a as (select * from orders where o_orderkey % 7 <> 0),
+with a as (select * from orders where o_orderdate < timestamp '2001-01-01 00:00:00'),
 b as (select o_orderkey, o_custkey,
-             case when o_orderkey % 11 = 0 then 'X' else o_orderstatus end as o_orderstatus,
+             case when o_orderstatus = 'P' and o_orderdate < timestamp '2000-01-01 00:00:00'
+                  then 'F' else o_orderstatus end as o_orderstatus,
              o_totalprice, o_orderdate, o_orderpriority
-      from orders where o_orderkey % 5 <> 0)
+      from orders where o_orderdate >= timestamp '1996-01-01 00:00:00')
 select coalesce(a.o_orderkey, b.o_orderkey) as o_orderkey,
        case when a.o_orderkey is null then 'c'
             when b.o_orderkey is null then 'd' else 'u' end as op,
