@@ -121,3 +121,48 @@ def tag_tables(tables: Mapping[str, DataFrame], keys: Mapping[str, str]) -> Data
             F.lit("r").alias("op"),
             F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("after_json")))
     return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def change_records(changes: DataFrame, table: str | Column, keys: Sequence[str],
+                   order: str, partitions: int = 1, prefix: str = "pg",
+                   schema: str = "public", timestamp: Column | None = None,
+                   bucket_width: int | None = None,
+                   continue_from: DataFrame | None = None) -> DataFrame:
+    """Change rows (``keys, op, before, after``) as topic records, the way a
+    capture connector publishes them: topic ``<prefix>.<schema>.<table>``,
+    key = JSON of the key columns, value = JSON envelope, partition = hash
+    of the key (a key stays in one partition), offsets numbered per
+    topic-partition by ``order`` (an integral, unique change position).
+
+    The result has the Kafka record schema, so it can go to Kafka
+    (``write_kafka``, which assigns its own offsets) or to files that the
+    stream jobs read.  When appending to files that already hold records,
+    pass them as ``continue_from``: offsets then continue after each
+    topic-partition's last one (a join with one row per topic-partition).
+    """
+    from ..schemas import RECORD
+    from .sequence import DEFAULT_BUCKET_WIDTH, number_within
+
+    t = F.lit(table) if isinstance(table, str) else table
+    key_json = F.to_json(F.struct(*[F.col(k) for k in keys]))
+    envelope = F.to_json(F.struct(
+        F.col("before"), F.col("after"), F.col("op"),
+        F.struct(t.alias("table")).alias("source"),
+        F.col(order).cast("bigint").alias("lsn")))
+    staged = changes.select(
+        key_json.cast("binary").alias("key"),
+        envelope.cast("binary").alias("value"),
+        route_topic(t, prefix, schema).alias("topic"),
+        F.pmod(F.xxhash64(key_json), F.lit(partitions)).cast("int").alias("partition"),
+        (timestamp if timestamp is not None else F.current_timestamp())
+        .cast("timestamp").alias("timestamp"),
+        F.lit(0).alias("timestampType"),
+        F.col(order).cast("bigint").alias("_tm_order"))
+    numbered = number_within(staged, ["topic", "partition"], "_tm_order", out="offset",
+                             start=0, bucket_width=bucket_width or DEFAULT_BUCKET_WIDTH)
+    if continue_from is not None:
+        ends = (continue_from.groupBy("topic", "partition")
+                .agg((F.max("offset") + 1).alias("_tm_next")))
+        numbered = (numbered.join(ends, ["topic", "partition"], "left")
+                    .withColumn("offset", F.col("offset") + F.coalesce("_tm_next", F.lit(0))))
+    return numbered.select(*RECORD.fieldNames())

@@ -453,3 +453,29 @@ def q_decode_framed(spark, sf_dir):
                       F.col("partition").alias("kafka_partition"),
                       F.col("offset").alias("kafka_offset"), "schema_id",
                       F.col("decoded.k").alias("k"))
+
+
+@register("change_topics")
+def q_change_topics(spark, sf_dir):
+    """Tables -> change events (initial snapshot, then one seed insert per
+    table) -> topic records with offsets -> messages per topic."""
+    specs = {"nation": ("n_name", "n_regionkey", "n_nationkey"),
+             "region": ("r_name", "r_regionkey", "r_regionkey"),
+             "supplier": ("s_name", "s_nationkey", "s_suppkey")}
+    ts = processing_ts()
+    published = []
+    for name, (k, v, order) in specs.items():
+        t = table(spark, sf_dir, name)
+        kv = ingest.key_value_view(t, k, v)
+        snap = cdc.snapshot_events(kv, ["key"]).join(
+            t.select(F.col(k).cast("string").alias("key"),
+                     F.col(order).cast("bigint").alias("lsn")), "key")
+        seeded = ingest.with_seed_rows({name: kv}, EPOCH)[name]
+        inserts = cdc.snapshot_diff(kv, seeded, ["key"]).withColumn("lsn", F.lit(1 << 41))
+        changes = snap.unionByName(inserts)
+        published.append(cdc.change_records(changes, name, ["key"], "lsn",
+                                            partitions=3, timestamp=ts))
+    recs = published[0]
+    for p in published[1:]:
+        recs = recs.unionByName(p)
+    return reports.topic_end_offsets(recs)

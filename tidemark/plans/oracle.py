@@ -292,3 +292,8 @@ select kafka_topic, kafka_partition, kafka_offset,
 from msg"""
 
 SQL["filter_table"] = lake_sql(tail="where split_part(kafka_topic, '.', 3) = 'error'")
+
+SQL["change_topics"] = """
+select 'pg.public.nation' as topic, count(*) + 1 as messages from nation
+union all select 'pg.public.region', count(*) + 1 from region
+union all select 'pg.public.supplier', count(*) + 1 from supplier"""

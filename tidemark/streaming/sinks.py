@@ -140,3 +140,13 @@ def write_report_batch(batch: DataFrame, report_path: str, batch_id: int,
     (batch_report_lines(batch, batch_id).write.mode("overwrite")
      .partitionBy("part").text(batch_dir(report_path, batch_id)))
     return True
+
+
+def write_kafka(records: DataFrame, servers: str, options: dict | None = None) -> None:
+    """Publish topic records (``topic``, ``key``, ``value`` columns) to Kafka;
+    needs the spark-sql-kafka package (absent here, so untested)."""
+    writer = (records.select("topic", "key", "value").write.format("kafka")
+              .option("kafka.bootstrap.servers", servers))
+    for k, v in (options or {}).items():
+        writer = writer.option(k, v)
+    writer.save()
