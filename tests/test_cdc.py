@@ -121,3 +121,11 @@ def test_snapshot_diff_schema_change(spark):
     b = spark.createDataFrame([(1, "x", None), (2, "y", 5)], "id int, v string, w int")
     got = {r["id"]: r["op"] for r in cdc.snapshot_diff(a, b, ["id"]).collect()}
     assert got == {2: "u"}
+
+
+def test_snapshot_and_insert_events_carry(spark):
+    df = spark.createDataFrame([("a", "1", 5)], "key string, value string, lsn long")
+    r = cdc.snapshot_events(df, ["key"], carry=["lsn"]).first()
+    assert (r["op"], r["before"], tuple(r["after"]), r["lsn"]) == ("r", None, ("a", "1"), 5)
+    c = cdc.snapshot_events(df, ["key"], op="c", carry=["lsn"]).first()
+    assert c["op"] == "c"

@@ -32,8 +32,7 @@ def test_csv_to_lake_golden_counts(spark, tmp_dir):
     # step 1: initial snapshot of every table is published
     for name, df in tables.items():
         ordered = df.withColumn("lsn", F.pmod(F.xxhash64("key"), F.lit(1 << 40)))
-        snap = cdc.snapshot_events(ordered.drop("lsn"), ["key"]).join(
-            ordered.select("key", "lsn"), "key")
+        snap = cdc.snapshot_events(ordered, ["key"], carry=["lsn"])
         cdc.change_records(snap, name, ["key"], "lsn", partitions=2, timestamp=ts) \
             .write.mode("append").parquet(src)
     # step 2: one seed row per table, published after what is there

@@ -59,12 +59,17 @@ def snapshot_diff(before: DataFrame, after: DataFrame, keys: Sequence[str],
             .where(F.col("op").isNotNull()))
 
 
-def snapshot_events(snapshot: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Initial snapshot: every existing row as an ``r`` event (no shuffle)."""
-    image = _image(snapshot, "after")
+def snapshot_events(snapshot: DataFrame, keys: Sequence[str], op: str = "r",
+                    carry: Sequence[str] = ()) -> DataFrame:
+    """Every row as a change event without a prior image: ``r`` for the
+    initial snapshot, ``c`` for inserted rows (no shuffle).  ``carry``
+    columns (e.g. a change position) stay outside the row image."""
+    image_cols = [c for c in snapshot.columns if c not in carry]
+    image = F.struct(*[F.col(c) for c in image_cols]).alias("after")
     image_type = snapshot.select(image).schema[0].dataType
-    return snapshot.select(*keys, F.lit("r").alias("op"),
-                           F.lit(None).cast(image_type).alias("before"), image)
+    return snapshot.select(*keys, F.lit(op).alias("op"),
+                           F.lit(None).cast(image_type).alias("before"), image,
+                           *[F.col(c) for c in carry])
 
 
 def flatten_change(changes: DataFrame) -> DataFrame:

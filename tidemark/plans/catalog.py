@@ -466,15 +466,14 @@ def q_change_topics(spark, sf_dir):
     published = []
     for name, (k, v, order) in specs.items():
         t = table(spark, sf_dir, name)
-        kv = ingest.key_value_view(t, k, v)
-        snap = cdc.snapshot_events(kv, ["key"]).join(
-            t.select(F.col(k).cast("string").alias("key"),
-                     F.col(order).cast("bigint").alias("lsn")), "key")
-        seeded = ingest.with_seed_rows({name: kv}, EPOCH)[name]
-        inserts = cdc.snapshot_diff(kv, seeded, ["key"]).withColumn("lsn", F.lit(1 << 41))
-        changes = snap.unionByName(inserts)
-        published.append(cdc.change_records(changes, name, ["key"], "lsn",
-                                            partitions=3, timestamp=ts))
+        rows = t.select(F.col(k).cast("string").alias("key"),
+                        F.col(v).cast("string").alias("value"),
+                        F.col(order).cast("bigint").alias("lsn"))
+        snap = cdc.snapshot_events(rows, ["key"], carry=["lsn"])
+        seed = ingest.seed_row(spark, name, EPOCH).withColumn("lsn", F.lit(1 << 41))
+        inserts = cdc.snapshot_events(seed, ["key"], op="c", carry=["lsn"])
+        published.append(cdc.change_records(snap.unionByName(inserts), name, ["key"],
+                                            "lsn", partitions=3, timestamp=ts))
     recs = published[0]
     for p in published[1:]:
         recs = recs.unionByName(p)
