@@ -3,7 +3,7 @@ seed rows."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -106,8 +106,3 @@ def key_value_view(df: DataFrame, key: str, value: str) -> DataFrame:
     """A table as the ``key, value`` text shape of the reference's tables."""
     return df.select(F.col(key).cast("string").alias("key"),
                      F.col(value).cast("string").alias("value"))
-
-
-def iter_tables(out_root: str, names: Iterable[str], spark: SparkSession
-                ) -> dict[str, DataFrame]:
-    return {n: spark.read.parquet(f"{out_root}/{n}") for n in names}
