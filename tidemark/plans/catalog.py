@@ -54,12 +54,14 @@ def q_message_sequence(spark, sf_dir):
 
 @register("count_by_table")
 def q_count_by_table(spark, sf_dir):
-    return reports.count_by(enriched(spark, sf_dir), "source_table")
+    """Rows of the lake table per source table, sorted."""
+    return reports.count_by(_read(spark, _lake_by_batches(spark, sf_dir)), "source_table")
 
 
 @register("count_by_topic")
 def q_count_by_topic(spark, sf_dir):
-    return reports.count_by(enriched(spark, sf_dir), "kafka_topic")
+    """Rows of the lake table per topic, sorted."""
+    return reports.count_by(_read(spark, _lake_by_batches(spark, sf_dir)), "kafka_topic")
 
 
 @register("topic_end_offsets")
