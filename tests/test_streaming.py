@@ -39,3 +39,29 @@ def test_resume_and_replay(spark, tmp_dir):
     jobs.await_drained(jobs.start_lake_stream(jobs.record_stream(spark, src), out, ck,
                                               clock=batch_clock), 300)
     assert lake.read_lake(spark, out).count() == want
+
+
+def test_processing_time_stable_on_replay(spark, tmp_dir):
+    """Without a clock the batch time comes from the offset log: a replayed
+    batch keeps the time of its first attempt."""
+    log = topic_log(spark, SF)
+    src, out, ck = f"{tmp_dir}/src", f"{tmp_dir}/lake", f"{tmp_dir}/ck"
+    release_cut(log, 0, src)
+    first = {"n": 0}
+
+    def fail_first(batch_id):
+        first["n"] += 1
+        return first["n"] == 1
+
+    with pytest.raises(Exception):
+        jobs.await_drained(jobs.start_lake_stream(jobs.record_stream(spark, src), out, ck,
+                                                  fail_after_write=fail_first), 300)
+    t1 = spark.read.parquet(f"{out}/batch_id=0").select("processing_timestamp").distinct().collect()
+    jobs.await_drained(jobs.start_lake_stream(jobs.record_stream(spark, src), out, ck,
+                                              fail_after_write=fail_first), 300)
+    t = lake.read_lake(spark, out)
+    t2 = t.select("processing_timestamp").distinct().collect()
+    assert len(t1) == 1 and t1 == t2
+    hist = lake.history(spark, out).collect()
+    assert len(hist) == 1 and hist[0]["committed_at"] == t2[0][0]
+    assert hist[0]["row_count"] == log.where("cut = 0").count()

@@ -44,25 +44,36 @@ def start_lake_stream(records: DataFrame, lake_path: str, checkpoint: str,
                       keep_extra: Callable[[int], bool] | None = None,
                       fail_after_write: Callable[[int], bool] | None = None,
                       ) -> StreamingQuery:
-    """records -> ``foreachBatch``: enrich, write ``batch_id=<id>`` folder.
-
-    ``clock(batch_id)`` gives the processing time of a batch (default
-    ``current_timestamp()``: one value per batch); it is also the batch's
-    ``committed_at``.  ``keep_extra(batch_id)`` lets batches differ in
-    columns (schema evolution).  ``fail_after_write(batch_id)`` raises after
-    the write and before the checkpoint commit, to test replay.
+    """records -> enrich -> ``foreachBatch``: write the ``batch_id=<id>``
+    folder and publish it in the commit log.
+
+    Without ``clock`` the enrichment is part of the streaming plan, so
+    ``current_timestamp()`` is the micro-batch time that Spark records in
+    the offset log: one value per batch, the same again when a batch is
+    replayed after a crash; it is also the batch's ``committed_at``.
+    ``clock(batch_id)`` sets the processing time per batch instead (tests).
+    ``keep_extra(batch_id)`` lets batches differ in columns (schema
+    evolution).  ``fail_after_write(batch_id)`` raises after the write and
+    before the checkpoint commit, to test replay.
     """
     from pyspark.sql import functions as F
 
+    from ..schemas import ENRICHED_EXTRA_COLUMNS
+
+    source = records if clock else enrich(records)
+
     def each(batch: DataFrame, batch_id: int) -> None:
-        proc = clock(batch_id) if clock else F.current_timestamp()
         extra = keep_extra(batch_id) if keep_extra else True
-        write_lake_batch(enrich(batch, proc, keep_extra=extra), lake_path,
-                         batch_id, committed_at=proc)
+        if clock:
+            out = enrich(batch, clock(batch_id), keep_extra=extra)
+        else:
+            out = batch if extra else batch.drop(*ENRICHED_EXTRA_COLUMNS)
+        write_lake_batch(out, lake_path, batch_id,
+                         committed_at=F.col("processing_timestamp"))
         if fail_after_write and fail_after_write(batch_id):
             raise InjectedFailure(f"injected failure after batch {batch_id}")
 
-    writer = (records.writeStream.foreachBatch(each).outputMode("append")
+    writer = (source.writeStream.foreachBatch(each).outputMode("append")
               .option("checkpointLocation", checkpoint))
     return _trigger(writer, trigger).start()
 
@@ -71,13 +82,13 @@ def start_report_stream(records: DataFrame, report_path: str, checkpoint: str,
                         clock: Clock | None = None,
                         trigger: dict | None = None) -> StreamingQuery:
     """records -> enriched -> text report per batch (written by executors)."""
-    from pyspark.sql import functions as F
+    source = records if clock else enrich(records)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        proc = clock(batch_id) if clock else F.current_timestamp()
-        write_report_batch(enrich(batch, proc), report_path, batch_id)
+        out = enrich(batch, clock(batch_id)) if clock else batch
+        write_report_batch(out, report_path, batch_id)
 
-    writer = (records.writeStream.foreachBatch(each)
+    writer = (source.writeStream.foreachBatch(each)
               .option("checkpointLocation", checkpoint))
     return _trigger(writer, trigger).start()
 
