@@ -86,16 +86,25 @@ def write_lake_batches(df: DataFrame, lake_path: str, batch_col: str = "batch_id
     batches present, so re-running a backfill is idempotent.  The batches
     are published in the commit log after the write."""
     stamp = committed_at if committed_at is not None else F.current_timestamp()
+    obs = Observation("lake_backfill")
     out = (df.withColumn("committed_at", stamp.cast("timestamp"))
            .withColumnRenamed(batch_col, "batch_id")
-           .withColumn("batch_id", F.col("batch_id").cast("bigint")))
+           .withColumn("batch_id", F.col("batch_id").cast("bigint"))
+           .observe(obs, F.min("batch_id").alias("lo"), F.max("batch_id").alias("hi")))
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("batch_id").parquet(lake_path))
-    # Publish every batch now in the table (footer-level counts: Parquet
-    # row counts plus one small column, no full scan of the data).
+    lo, hi = obs.get["lo"], obs.get["hi"]
+    if lo is None:
+        return
+    # Publish the batches just written: the id range observed during the
+    # write prunes the read-back to those partitions; counts come from
+    # Parquet footers plus one small column.
     spark = df.sparkSession
-    written = spark.read.parquet(lake_path).groupBy("batch_id").agg(
-        F.count(F.lit(1)).alias("row_count"), F.max("committed_at").alias("committed_at"))
+    written = (spark.read.parquet(lake_path)
+               .where(F.col("batch_id").between(lo, hi))
+               .groupBy("batch_id")
+               .agg(F.count(F.lit(1)).alias("row_count"),
+                    F.max("committed_at").alias("committed_at")))
     append_commits(written, lake_path)
 
 
