@@ -94,3 +94,14 @@ def test_unpublished_batch_is_invisible(spark, tmp_dir):
     # the replayed batch publishes it
     write_lake_batch(_batch(spark, 9), tmp_dir, 1, ts)
     assert lake.read_lake(spark, tmp_dir).count() == 13
+
+
+def test_exact_visibility_matches_last_published(spark, tmp_dir):
+    ts = F.lit("2024-02-01 00:00:00").cast("timestamp")
+    for b in range(3):
+        write_lake_batch(_batch(spark, b + 1), tmp_dir, b, ts)
+    a = lake.read_lake(spark, tmp_dir)
+    b = lake.read_lake(spark, tmp_dir, exact=True)
+    assert a.count() == b.count() == 6
+    plan = a._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "Join" not in plan

@@ -27,11 +27,20 @@ def read_commits(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def read_lake(spark: SparkSession, path: str, fmt: str = "parquet",
-              merge_schema: bool = True, committed_only: bool = True) -> DataFrame:
+              merge_schema: bool = True, committed_only: bool = True,
+              exact: bool = False) -> DataFrame:
     """The lake table; batches that added columns are merged (missing ->
-    NULL).  With ``committed_only`` (and a commit log present) a batch is
-    visible only once published: a batch still being written (or left
-    behind by a crash before its commit) is not read."""
+    NULL).
+
+    With ``committed_only`` (and a commit log present) a batch is visible
+    only once published, so a batch still being written, or left behind by
+    a crash before its commit, is not read.  Both writers publish in batch
+    order (the stream one batch after the other, the backfill after its
+    whole write), so visibility is ``batch_id <= last published``: one
+    number read from the small log, applied as a partition filter (no join,
+    the scan skips the folders).  ``exact=True`` instead semi-joins the set
+    of published ids (for lakes written out of order by other tools).
+    """
     if fmt == "delta":
         return spark.read.format("delta").load(path)
     df = (spark.read.option("mergeSchema", str(merge_schema).lower())
@@ -40,7 +49,11 @@ def read_lake(spark: SparkSession, path: str, fmt: str = "parquet",
     if committed_only:
         commits = read_commits(spark, path)
         if commits is not None:
-            df = df.join(commits.select("batch_id"), "batch_id", "left_semi")
+            if exact:
+                df = df.join(commits.select("batch_id"), "batch_id", "left_semi")
+            else:
+                last = commits.agg(F.max("batch_id")).first()[0]
+                df = df.where(F.col("batch_id") <= F.lit(-1 if last is None else last))
     return df
 
 
