@@ -437,7 +437,9 @@ def q_stream_current_state(spark, sf_dir):
                              & F.col("envelope").isNotNull())
         changes = good.select("envelope.k", "envelope.op", "envelope.lsn",
                               "envelope.after")
-        q = jobs.start_current_state_stream(changes, "k", ["lsn"], state, ckpt)
+        q = jobs.start_current_state_stream(
+            changes, "k", ["lsn"], state, ckpt,
+            state_partitions=spark.sparkContext.defaultParallelism)
         jobs.await_drained(q)
     return jobs.read_current_state(spark, state, "k", ["lsn"])
 

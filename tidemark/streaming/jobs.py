@@ -124,7 +124,8 @@ def start_current_state_stream(changes: DataFrame, key: str | list[str],
                                order: list[str], state_path: str,
                                checkpoint: str, image: str = "after",
                                op_col: str = "op",
-                               trigger: dict | None = None) -> StreamingQuery:
+                               trigger: dict | None = None,
+                               state_partitions: int | None = None) -> StreamingQuery:
     """Current state per key, maintained by Spark's state store.
 
     A streaming aggregation keeps, per key, the change with the greatest
@@ -132,7 +133,10 @@ def start_current_state_stream(changes: DataFrame, key: str | list[str],
     keys it changed; they are written as ``<state>/batch_id=<id>/`` (replay
     overwrites).  ``read_current_state`` takes the newest row per key.
     State grows with the number of keys (deleted keys keep a tombstone):
-    use the RocksDB state store provider on clusters.
+    use the RocksDB state store provider on clusters.  ``state_partitions``
+    fixes the number of state partitions when the checkpoint is first
+    created (Spark keeps it in the checkpoint; adaptive execution does not
+    resize stateful shuffles); by default the session's shuffle partitions.
     """
     from pyspark.sql import functions as F
 
@@ -147,7 +151,16 @@ def start_current_state_stream(changes: DataFrame, key: str | list[str],
 
     writer = (agg.writeStream.outputMode("update").foreachBatch(each)
               .option("checkpointLocation", checkpoint))
-    return _trigger(writer, trigger).start()
+    spark = changes.sparkSession
+    if state_partitions is None:
+        return _trigger(writer, trigger).start()
+    key_conf = "spark.sql.shuffle.partitions"
+    previous = spark.conf.get(key_conf)
+    spark.conf.set(key_conf, str(int(state_partitions)))
+    try:
+        return _trigger(writer, trigger).start()
+    finally:
+        spark.conf.set(key_conf, previous)
 
 
 def read_current_state(spark: SparkSession, state_path: str,
