@@ -142,20 +142,18 @@ def display_error_lines(message: Column) -> list[Column]:
 
 def write_report_batch(batch: DataFrame, report_path: str, batch_id: int,
                        skip_empty: bool = True) -> bool:
-    """Write the report lines of a batch under ``<report>/batch_id=<id>/``
-    (``part=0`` header, ``part=1`` records); replay overwrites."""
+    """Write the report of a batch under ``<report>/batch_id=<id>/``:
+    ``part=1`` the record lines (one pass over the batch, rows counted with
+    ``observe``), then ``part=0`` the header with that count.  A replay
+    overwrites both."""
     if skip_empty and batch.isEmpty():
         return False
-    (batch_report_lines(batch, batch_id).write.mode("overwrite")
-     .partitionBy("part").text(batch_dir(report_path, batch_id)))
+    root = batch_dir(report_path, batch_id)
+    obs = Observation(f"report_batch_{int(batch_id)}")
+    lines = batch_report_lines(batch, batch_id).where(F.col("part") == 1) \
+        .select("line").observe(obs, F.count(F.lit(1)).alias("rows"))
+    lines.write.mode("overwrite").text(f"{root}/part=1")
+    header = F.format_string(BATCH_HEADER, F.lit(int(batch_id)), F.lit(obs.get["rows"]))
+    (batch.sparkSession.range(1).select(header.alias("line"))
+     .write.mode("overwrite").text(f"{root}/part=0"))
     return True
-
-
-def write_kafka(records: DataFrame, servers: str, options: dict | None = None) -> None:
-    """Publish topic records (``topic``, ``key``, ``value`` columns) to Kafka;
-    needs the spark-sql-kafka package (absent here, so untested)."""
-    writer = (records.select("topic", "key", "value").write.format("kafka")
-              .option("kafka.bootstrap.servers", servers))
-    for k, v in (options or {}).items():
-        writer = writer.option(k, v)
-    writer.save()
