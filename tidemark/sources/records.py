@@ -42,7 +42,7 @@ def events_as_records(events: DataFrame, topic_prefix: str = TOPIC_PREFIX,
         F.col("user_id").cast("string").cast("binary").alias("key"),
         payload.alias("value"),
         F.concat(F.lit(topic_prefix + "."), F.col("event_type")).alias("topic"),
-        (F.col("user_id") % partitions).cast("int").alias("partition"),
+        F.pmod(F.col("user_id"), F.lit(partitions)).cast("int").alias("partition"),
         F.col("ts").cast("timestamp").alias("timestamp"),
         F.lit(0).alias("timestampType"),
         *[F.col(c) if isinstance(c, str) else c for c in carry],
