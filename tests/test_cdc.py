@@ -129,3 +129,13 @@ def test_snapshot_and_insert_events_carry(spark):
     assert (r["op"], r["before"], tuple(r["after"]), r["lsn"]) == ("r", None, ("a", "1"), 5)
     c = cdc.snapshot_events(df, ["key"], op="c", carry=["lsn"]).first()
     assert c["op"] == "c"
+
+
+def test_decode_by_schema_id_flags_bad_payload(spark):
+    from pyspark.sql import types as T
+    k_long = T.StructType([T.StructField("k", T.LongType())])
+    df = spark.createDataFrame([('{"k": 1}', 5), ('{"k":', 5)], "p string, id int")
+    df = df.select(envelope.frame(F.col("p"), F.col("id")).alias("value"))
+    rows = {r["corrupt_record"]: r["decoded"] for r in
+            envelope.decode_by_schema_id(df, {5: k_long}).collect()}
+    assert rows == {None: (1,), '{"k":': None}

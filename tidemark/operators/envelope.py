@@ -114,7 +114,9 @@ def decode_by_schema_id(df: DataFrame, schemas: dict[int, T.StructType],
     (``CASE`` evaluates one branch), unframed values with ``unframed``; the
     per-schema results are merged into one struct whose fields are the union
     of all schemas (a field missing from a row's schema is NULL).  Rows of
-    unknown ids get a NULL struct and ``schema_id`` kept for routing.
+    unknown ids get a NULL struct and ``schema_id`` kept for routing.  A
+    payload that does not parse keeps its whole text in ``corrupt_record``
+    (PERMISSIVE: the job goes on).
     """
     all_schemas = list(schemas.values()) + ([unframed] if unframed else [])
     fields: dict[str, T.DataType] = {}
@@ -124,13 +126,15 @@ def decode_by_schema_id(df: DataFrame, schemas: dict[int, T.StructType],
     sid = wire_schema_id(source)
     payload = wire_payload(source).cast("string")
     branches = []
+    opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
     for i, (schema_id, sch) in enumerate(sorted(schemas.items())):
-        branches.append((f"_s{i}", sch, F.when(sid == F.lit(schema_id),
-                                               F.from_json(payload, sch))))
+        branches.append((f"_s{i}", sch, F.when(
+            sid == F.lit(schema_id),
+            F.from_json(payload, with_corrupt_column(sch), opts))))
     if unframed is not None:
-        branches.append(("_plain", unframed,
-                         F.when(sid.isNull(), F.from_json(F.col(source).cast("string"),
-                                                          unframed))))
+        branches.append(("_plain", unframed, F.when(
+            sid.isNull(),
+            F.from_json(F.col(source).cast("string"), with_corrupt_column(unframed), opts))))
     parsed = F.struct(sid.alias("schema_id"),
                       *[expr.alias(name) for name, _, expr in branches])
     staged = df.select("*", F.inline_outer(F.array(F.struct(parsed.alias("_dec")))))
@@ -140,11 +144,14 @@ def decode_by_schema_id(df: DataFrame, schemas: dict[int, T.StructType],
                    if name in sch.fieldNames()]
         merged.append((F.coalesce(*sources) if len(sources) > 1 else sources[0])
                       .cast(dtype).alias(name))
-    any_parsed = F.lit(False)
+    corrupt = F.coalesce(*[F.col(f"_dec.{b}.{CORRUPT_COLUMN}") for b, _, _ in branches])
+    parsed_ok = F.lit(False)
     for b, _, _ in branches:
-        any_parsed = any_parsed | F.col(f"_dec.{b}").isNotNull()
+        parsed_ok = parsed_ok | (F.col(f"_dec.{b}").isNotNull()
+                                 & F.col(f"_dec.{b}.{CORRUPT_COLUMN}").isNull())
     return staged.select(*df.columns, F.col("_dec.schema_id").alias("schema_id"),
-                         F.when(any_parsed, F.struct(*merged)).alias(into))
+                         F.when(parsed_ok, F.struct(*merged)).alias(into),
+                         corrupt.alias("corrupt_record"))
 
 
 _NUMERIC_ORDER = [T.ByteType, T.ShortType, T.IntegerType, T.LongType,
