@@ -47,15 +47,15 @@ def csv_sources(spark: SparkSession, data_dir: str, max_files: int | None = None
     Spark, many part files per table) returns one folder per table, so the
     driver holds one entry per table, not per file."""
     listing = discover_csv(spark, data_dir, max_files=max_files,
-                           recursive=(table_from == "parent"), table_from=table_from)
+                           recursive=(table_from == "parent"), table_from=table_from,
+                           ordered=False)
     if table_from == "parent":
         parent = F.regexp_extract("path", r"^(.*)/[^/]*$", 1)
-        rows = (listing.select("table_name", parent.alias("src")).distinct()
-                .orderBy("table_name", "src").collect())
+        rows = listing.select("table_name", parent.alias("src")).distinct().collect()
     else:
         rows = listing.select("table_name", F.col("path").alias("src")).collect()
     out: dict[str, list[str]] = {}
-    for r in rows:
+    for r in sorted(rows, key=lambda r: (r["table_name"], r["src"])):
         out.setdefault(r["table_name"], []).append(r["src"])
     return out
 

@@ -42,7 +42,7 @@ def file_inventory(spark: SparkSession, root: str, glob: str | None = None,
 
 def discover_csv(spark: SparkSession, data_dir: str,
                  max_files: int | None = None, recursive: bool = False,
-                 table_from: str = "file") -> DataFrame:
+                 table_from: str = "file", ordered: bool = True) -> DataFrame:
     """CSV files of a folder: suffix ``.csv`` in any case, sorted by path,
     first ``max_files`` (all when None).  Adds ``table_name`` from the file
     name (``table_from="file"``) or from the parent folder
@@ -52,7 +52,8 @@ def discover_csv(spark: SparkSession, data_dir: str,
     source = (F.regexp_extract("path", r"^(.*)/[^/]*$", 1)
               if table_from == "parent" else F.col("path"))
     csv = csv.withColumn("table_name", table_name_from_path(source))
-    csv = csv.orderBy("path")
+    if ordered or max_files:
+        csv = csv.orderBy("path")
     return csv.limit(max_files) if max_files else csv
 
 
