@@ -105,3 +105,14 @@ def test_exact_visibility_matches_last_published(spark, tmp_dir):
     assert a.count() == b.count() == 6
     plan = a._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "Join" not in plan
+
+
+def test_timestamp_read_uses_commit_log(spark, tmp_dir):
+    for b in range(3):
+        write_lake_batch(_batch(spark, 2), tmp_dir, b,
+                         F.lit(f"2024-02-0{b + 1} 00:00:00").cast("timestamp"))
+    assert lake.version_at(spark, tmp_dir, "2024-02-02 12:00:00") == 1
+    t = lake.read_version(spark, tmp_dir, timestamp="2024-02-02 12:00:00")
+    assert t.count() == 4
+    assert lake.read_version(spark, tmp_dir, timestamp="2024-01-01 00:00:00").count() == 0
+    assert "PartitionFilters" in t._jdf.queryExecution().executedPlan().toString()

@@ -67,9 +67,22 @@ def as_of_timestamp(lake: DataFrame, ts: str) -> DataFrame:
     return lake.where(F.col("committed_at") <= F.lit(ts).cast("timestamp"))
 
 
+def version_at(spark: SparkSession, path: str, ts: str) -> int | None:
+    """Last batch published at or before ``ts`` (from the commit log; None
+    when nothing was published by then or the lake has no log)."""
+    commits = read_commits(spark, path)
+    if commits is None:
+        return None
+    return (commits.where(F.col("committed_at") <= F.lit(ts).cast("timestamp"))
+            .agg(F.max("batch_id")).first()[0])
+
+
 def read_version(spark: SparkSession, path: str, version: int | None = None,
                  timestamp: str | None = None, fmt: str = "parquet") -> DataFrame:
-    """``versionAsOf`` / ``timestampAsOf`` in one call."""
+    """``versionAsOf`` / ``timestampAsOf`` in one call.  A timestamp is
+    turned into a version through the commit log, so both are partition
+    filters on ``batch_id``; without a log the timestamp filters rows on
+    ``committed_at``."""
     if fmt == "delta":
         r = spark.read.format("delta")
         if version is not None:
@@ -81,7 +94,11 @@ def read_version(spark: SparkSession, path: str, version: int | None = None,
     if version is not None:
         lake = as_of_version(lake, version)
     if timestamp is not None:
-        lake = as_of_timestamp(lake, timestamp)
+        if read_commits(spark, path) is not None:
+            v = version_at(spark, path, timestamp)
+            lake = as_of_version(lake, -1 if v is None else v)
+        else:
+            lake = as_of_timestamp(lake, timestamp)
     return lake
 
 
