@@ -14,6 +14,10 @@ def _batch(spark, n, extra=False):
 
 def test_empty_batch_skipped(spark, tmp_dir):
     assert write_lake_batch(_batch(spark, 0), tmp_dir, 0) is None
+    assert lake.read_commits(spark, tmp_dir) is None       # nothing published
+    assert write_lake_batch(_batch(spark, 2), tmp_dir, 1) == 2
+    assert lake.read_lake(spark, tmp_dir).count() == 2
+    assert [r["batch_id"] for r in lake.history(spark, tmp_dir).collect()] == [1]
 
 
 def test_replayed_batch_keeps_count(spark, tmp_dir):

@@ -43,21 +43,21 @@ def write_lake_batch(batch: DataFrame, lake_path: str, batch_id: int,
                      committed_at: Column | None = None,
                      skip_empty: bool = True, fmt: str = "parquet",
                      app_id: str | None = None) -> int | None:
-    """Write one micro-batch as ``<lake>/batch_id=<id>/`` (overwrite).
+    """Write one micro-batch as ``<lake>/batch_id=<id>/`` (overwrite) and
+    publish it with one commit row ``(batch_id, row_count, committed_at)``.
 
     A replay of the same batch id (restart after a crash between the write
     and the checkpoint commit) replaces the folder instead of appending a
     second copy, so the table stays exactly-once.  Errors are raised: the
     stream stops rather than moving its checkpoint past a lost batch.
-    Returns the rows written (from ``observe``: no second pass), or None
-    when an empty batch was skipped.
+    Rows are counted with ``observe`` during the write (one pass); an empty
+    batch is not published (``skip_empty``), so readers never see it.
+    Returns the rows written, or None for a skipped empty batch.
 
     ``fmt="delta"`` appends to a Delta table instead, made idempotent by
     Delta's ``txnAppId`` / ``txnVersion`` options (a replayed batch id is
     skipped); needs the Delta package (absent here, so untested).
     """
-    if skip_empty and batch.isEmpty():
-        return None
     stamp = committed_at if committed_at is not None else F.current_timestamp()
     obs = Observation(f"lake_batch_{int(batch_id)}")
     out = batch.withColumn("committed_at", stamp.cast("timestamp")).observe(
@@ -65,6 +65,8 @@ def write_lake_batch(batch: DataFrame, lake_path: str, batch_id: int,
     if fmt == "delta":
         if not app_id:
             raise ValueError("fmt='delta' needs app_id (stable per stream)")
+        if skip_empty and batch.isEmpty():
+            return None
         (out.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
          .write.format("delta").mode("append")
          .option("txnAppId", app_id).option("txnVersion", int(batch_id))
@@ -72,6 +74,8 @@ def write_lake_batch(batch: DataFrame, lake_path: str, batch_id: int,
         return obs.get["rows"]
     out.write.mode("overwrite").parquet(batch_dir(lake_path, batch_id))
     metrics = obs.get
+    if skip_empty and not metrics["rows"]:
+        return None
     spark = batch.sparkSession
     append_commits(spark.createDataFrame([(int(batch_id), metrics["rows"], metrics["at"])],
                                          COMMIT_SCHEMA), lake_path)
@@ -144,16 +148,17 @@ def write_report_batch(batch: DataFrame, report_path: str, batch_id: int,
                        skip_empty: bool = True) -> bool:
     """Write the report of a batch under ``<report>/batch_id=<id>/``:
     ``part=1`` the record lines (one pass over the batch, rows counted with
-    ``observe``), then ``part=0`` the header with that count.  A replay
-    overwrites both."""
-    if skip_empty and batch.isEmpty():
-        return False
+    ``observe``), then ``part=0`` the header with that count; an empty batch
+    gets no header (``skip_empty``).  A replay overwrites both."""
     root = batch_dir(report_path, batch_id)
     obs = Observation(f"report_batch_{int(batch_id)}")
     lines = batch_report_lines(batch, batch_id).where(F.col("part") == 1) \
         .select("line").observe(obs, F.count(F.lit(1)).alias("rows"))
     lines.write.mode("overwrite").text(f"{root}/part=1")
-    header = F.format_string(BATCH_HEADER, F.lit(int(batch_id)), F.lit(obs.get["rows"]))
+    rows = obs.get["rows"]
+    if skip_empty and not rows:
+        return False
+    header = F.format_string(BATCH_HEADER, F.lit(int(batch_id)), F.lit(rows))
     (batch.sparkSession.range(1).select(header.alias("line"))
      .write.mode("overwrite").text(f"{root}/part=0"))
     return True
