@@ -47,11 +47,18 @@ def test_entry(spark):
     assert df.count() == 5
 
 
+DUCK_TO_SPARK = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string",
+                 "DOUBLE": "double", "BOOLEAN": "boolean", "TIMESTAMP": "timestamp_ntz"}
+
+
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF)
     rel = duck.sql(E.oracle_sql()[name])
     assert sorted(df.columns) == sorted(rel.columns)
+    spark_types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    duck_types = {c: DUCK_TO_SPARK.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
+    assert spark_types == duck_types
     assert _rows(df.columns, [tuple(r) for r in df.collect()]) == \
         _rows(rel.columns, rel.fetchall())
 
