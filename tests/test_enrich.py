@@ -93,3 +93,24 @@ def test_number_within_large_and_negative_keys(spark):
     ours = number_within(df, ["g"], "o", out="n", bucket_width=16)
     ref = df.withColumn("n", F.row_number().over(Window.partitionBy("g").orderBy("o")))
     assert ours.exceptAll(ref.select(*ours.columns)).count() == 0
+
+
+def test_number_within_property(spark):
+    """Random groups, sparse unique order keys and bucket widths: always the
+    same numbers as row_number()."""
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+    from pyspark.sql import Window
+
+    @settings(max_examples=10, deadline=None,
+              suppress_health_check=[HealthCheck.function_scoped_fixture])
+    @given(st.lists(st.tuples(st.integers(0, 3), st.integers(-10**12, 10**12)),
+                    min_size=1, max_size=60, unique_by=lambda t: t[1]),
+           st.integers(1, 1 << 40))
+    def check(rows, width):
+        df = spark.createDataFrame(rows, "g int, o long")
+        ours = number_within(df, ["g"], "o", out="n", bucket_width=width)
+        ref = df.withColumn("n", F.row_number().over(Window.partitionBy("g").orderBy("o")))
+        assert sorted(ours.collect()) == sorted(ref.select(*ours.columns).collect())
+
+    check()
