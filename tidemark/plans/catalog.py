@@ -15,7 +15,7 @@ from ..functions import (delimited_int, json_path_or_default, table_name_from_pa
 from ..operators import cdc, envelope, inference, ingest, quality, reports
 from ..operators.enrich import enrich, message_sequence
 from ..schemas import ENVELOPE
-from ..session import scratch_path
+from ..session import parallelism, scratch_path
 from ..sources import files
 from ..sources import lake as lakes
 from ..sources.records import SUBJECT_SUFFIX
@@ -439,7 +439,7 @@ def q_stream_current_state(spark, sf_dir):
                               "envelope.after")
         q = jobs.start_current_state_stream(
             changes, "k", ["lsn"], state, ckpt,
-            state_partitions=spark.sparkContext.defaultParallelism)
+            state_partitions=parallelism(spark))
         jobs.await_drained(q)
     return jobs.read_current_state(spark, state, "k", ["lsn"])
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.enrich import enrich
-from ..session import use_utc
+from ..session import app_id, use_utc
 from ..sources.records import events_as_records, records_only
 
 # Fixed values of the fixtures (shared with the oracle SQL).
@@ -129,8 +129,7 @@ def _numbered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
          .write.mode("overwrite").partitionBy("cut").parquet(path))
         return path
 
-    return _stored(spark, (spark.sparkContext.applicationId, sf_dir.rstrip("/"),
-                           "numbered-events"), build)
+    return _stored(spark, (app_id(spark), sf_dir.rstrip("/"), "numbered-events"), build)
 
 
 def topic_log(spark: SparkSession, sf_dir: str, kind: str = "events") -> DataFrame:
@@ -157,8 +156,7 @@ def topic_log(spark: SparkSession, sf_dir: str, kind: str = "events") -> DataFra
          .write.mode("overwrite").partitionBy("cut").parquet(path))
         return path
 
-    return _stored(spark, (spark.sparkContext.applicationId, sf_dir.rstrip("/"), kind),
-                   build)
+    return _stored(spark, (app_id(spark), sf_dir.rstrip("/"), kind), build)
 
 
 def envelope_records(spark: SparkSession, sf_dir: str, damaged: bool = False,

@@ -38,6 +38,30 @@ def use_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def _conf(spark: SparkSession, key: str) -> str | None:
+    try:
+        return spark.conf.get(key)
+    except Exception:  # noqa: BLE001 - unset key
+        return None
+
+
+def app_id(spark: SparkSession) -> str:
+    """Id of the Spark application (also under Spark Connect)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - no SparkContext on Connect sessions
+        return _conf(spark, "spark.app.id") or str(id(spark))
+
+
+def parallelism(spark: SparkSession) -> int:
+    """Cores available to the application (default parallelism)."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001
+        return int(_conf(spark, "spark.default.parallelism")
+                   or _conf(spark, "spark.sql.shuffle.partitions") or 8)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -45,19 +69,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     (HDFS / object store).  Only when it is unset (local tests) is a fresh
     scratch folder created and registered.
     """
-    sc = spark.sparkContext
-    root = sc.getConf().get("spark.checkpoint.dir", None)
-    if not root:
-        try:
-            root = spark.conf.get("spark.checkpoint.dir")
-        except Exception:  # not set at all
-            root = None
-    if not root:
-        current = sc.getCheckpointDir()
-        root = current if current else None
+    root = _conf(spark, "spark.checkpoint.dir")
+    sc = None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect
+        sc = None
+    if not root and sc is not None:
+        root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-        sc.setCheckpointDir(root)
+        if sc is not None:
+            sc.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
