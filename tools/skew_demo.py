@@ -43,6 +43,7 @@ def main() -> None:
     from pyspark.sql import SparkSession, Window
     from pyspark.sql import functions as F
 
+    from tidemark.operators.cdc import current_state
     from tidemark.operators.sequence import number_within
 
     spark = (SparkSession.builder.master("local[8]").appName("skew-demo")
@@ -56,11 +57,19 @@ def main() -> None:
     df = spark.range(0, rows).select(
         F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 1000 + 1).alias("g"),
         F.col("id").alias("o"))
+    changes = df.select(F.col("g").alias("k"), F.lit("u").alias("op"),
+                        F.col("o").alias("lsn"),
+                        F.struct(F.col("o").alias("v")).alias("after"))
     variants = {
         "row_number": lambda: df.withColumn(
             "n", F.row_number().over(Window.partitionBy("g").orderBy("o"))),
         "number_within": lambda: number_within(df, ["g"], "o", out="n",
                                                bucket_width=1 << 16),
+        # latest change per key: window (one task per key) vs max_by
+        "latest_by_window": lambda: changes.withColumn(
+            "r", F.row_number().over(Window.partitionBy("k").orderBy(F.desc("lsn"))))
+            .where("r = 1").drop("r"),
+        "current_state": lambda: current_state(changes, "k", ["lsn"]),
     }
     jobs = {}
     for name, build in variants.items():
