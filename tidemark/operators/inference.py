@@ -45,32 +45,44 @@ def null_na_tokens(df: DataFrame, tokens: Sequence[str] = NA_TOKENS,
         for c in df.columns])
 
 
+# Bit flags of the value classes seen in a column.
+_INT, _REAL, _BOOL, _TEXT = 1, 2, 4, 8
+
+
+def _value_class(v):
+    """One ``CASE`` per value: the first class that fits (integer, number,
+    true/false word, text); NULL for missing.  At most two regular
+    expressions run per value, one for most values."""
+    return (F.when(v.isNull(), F.lit(None).cast("int"))
+            .when(v.rlike(INT_PATTERN) & v.try_cast("bigint").isNotNull(), F.lit(_INT))
+            .when(v.rlike(FLOAT_PATTERN), F.lit(_REAL))
+            .when(v.isin(TRUE_WORDS + FALSE_WORDS), F.lit(_BOOL))
+            .otherwise(F.lit(_TEXT)))
+
+
 def infer_types(df: DataFrame, compat: str = "reference") -> DataFrame:
     """(position, column_name, sql_type) for every column of a string table,
-    after NA tokens are nulled.  One aggregate over the whole table."""
+    after NA tokens are nulled.  One aggregate over the whole table: per
+    column the OR of the value classes seen and the count of present values
+    (two aggregate functions per column, partial per task)."""
     if compat not in ("reference", "spark"):
         raise ValueError("compat must be 'reference' or 'spark'")
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for i, c in enumerate(df.columns):
-        v = F.col(c)
-        aggs += [
-            F.count(v).alias(f"n{i}"),
-            F.bool_and(v.isNull() | (v.rlike(INT_PATTERN)
-                                     & v.try_cast("bigint").isNotNull())).alias(f"i{i}"),
-            F.bool_and(v.isNull() | v.rlike(FLOAT_PATTERN)).alias(f"f{i}"),
-            F.bool_and(v.isNull() | v.isin(TRUE_WORDS + FALSE_WORDS)).alias(f"b{i}"),
-        ]
+        aggs += [F.count(F.col(c)).alias(f"n{i}"),
+                 F.bit_or(_value_class(F.col(c))).alias(f"k{i}")]
     stats = df.agg(*aggs)
     entries = []
     for i, c in enumerate(df.columns):
-        n, is_int, is_float, is_bool = (F.col(f"n{i}"), F.col(f"i{i}"),
-                                        F.col(f"f{i}"), F.col(f"b{i}"))
+        n, k = F.col(f"n{i}"), F.coalesce(F.col(f"k{i}"), F.lit(0))
         complete = n == F.col("_rows")
-        int_ok = is_int & (complete if compat == "reference" else F.lit(True))
+        ints_only = k == _INT
+        int_ok = ints_only & (complete if compat == "reference" else F.lit(True))
+        numbers_only = (k.bitwiseAND(F.lit(_BOOL | _TEXT)) == 0)
         sql_type = (F.when(n == 0, F.lit("REAL"))
                     .when(int_ok, F.lit("INTEGER"))
-                    .when(is_bool & complete, F.lit("BOOLEAN"))
-                    .when(is_float, F.lit("REAL"))
+                    .when((k == _BOOL) & complete, F.lit("BOOLEAN"))
+                    .when(numbers_only, F.lit("REAL"))
                     .otherwise(F.lit("TEXT")))
         entries.append(F.struct(F.lit(i).alias("position"),
                                 F.lit(c).alias("column_name"),
