@@ -53,7 +53,7 @@ def test_columns_are_pruned(spark):
     plan = _plan(spark, "count_by_table")
     assert "ReadSchema: struct<source_table:string>" in plan
     assert "Join" not in _tree(plan)
-    assert "ReadSchema: struct<value:binary>" in _plan(spark, "current_state")
+    assert "ReadSchema: struct<value_envelopes:binary>" in _plan(spark, "current_state")
 
 
 # Stream queries return a read of their sink; their work ran in the stream.

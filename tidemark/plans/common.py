@@ -113,50 +113,48 @@ def _stored(spark: SparkSession, key: tuple, build) -> DataFrame:
 
 
 def _numbered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` with their topic record columns (offsets numbered once),
-    the event columns kept for the value builders, partitioned by cut."""
+    """``events`` as topic records, stored once per application: offsets
+    numbered per topic-partition, one value column per fixture kind
+    (``value_<kind>``), event id, event time and arrival cut; partitioned by
+    cut.  One job: the numbering shuffle plus a narrow projection."""
     from ..session import scratch_path
     from ..schemas import RECORD
 
     def build() -> str:
-        path = scratch_path(spark, "numbered-events")
+        path = scratch_path(spark, "topic-log")
         ev = table(spark, sf_dir, "events")
         rec = events_as_records(ev, value=F.col("props").cast("binary"),
                                 carry=["user_id", "event_type", "props",
                                        F.col("value").alias("event_value")])
-        (rec.select(*RECORD.fieldNames(), "event_id", "ts", "user_id", "event_type",
-                    "props", "event_value", cut_of(F.col("ts")).alias("cut"))
+        events_view = rec.drop("value").withColumnRenamed("event_value", "value")
+        kinds = [TOPIC_VALUES[k]().alias(f"value_{k}") for k in TOPIC_VALUES]
+        (events_view.select(*[c for c in RECORD.fieldNames() if c != "value"], *kinds,
+                            "event_id", "ts", cut_of(F.col("ts")).alias("cut"))
          .write.mode("overwrite").partitionBy("cut").parquet(path))
         return path
 
-    return _stored(spark, (app_id(spark), sf_dir.rstrip("/"), "numbered-events"), build)
+    return _stored(spark, (app_id(spark), sf_dir.rstrip("/"), "topic-log"), build)
 
 
 def topic_log(spark: SparkSession, sf_dir: str, kind: str = "events") -> DataFrame:
     """The topic fixture ``kind`` as stored data: records with offsets,
-    event id, event time and arrival cut, partitioned by cut.
+    event id, event time and arrival cut (partition column).
 
     A real topic carries its offsets; the fixture has to number ``events``
     per topic-partition (``sequence.number_within``), which is a full
-    shuffle.  The numbering is done once per Spark application; each kind
-    is then a narrow rewrite of the value column, stored under the shared
-    checkpoint root and read by every query that needs it (and streamed cut
-    by cut by the stream queries).
+    shuffle.  That is done once per Spark application into one stored log
+    holding every kind's value column; a kind is a projection of it (the
+    scan reads only that value column).  Queries read it like a topic dump
+    and the stream queries release it cut by cut.
     """
-    from ..session import scratch_path
     from ..schemas import RECORD
 
-    def build() -> str:
-        path = scratch_path(spark, f"topic-log-{kind}")
-        base = _numbered_events(spark, sf_dir)
-        events_view = base.drop("value").withColumnRenamed("event_value", "value")
-        value = TOPIC_VALUES[kind]().alias("value")
-        cols = [value if c == "value" else F.col(c) for c in RECORD.fieldNames()]
-        (events_view.select(*cols, "event_id", "ts", "cut")
-         .write.mode("overwrite").partitionBy("cut").parquet(path))
-        return path
-
-    return _stored(spark, (app_id(spark), sf_dir.rstrip("/"), kind), build)
+    if kind not in TOPIC_VALUES:
+        raise ValueError(f"unknown topic fixture {kind!r}")
+    log = _numbered_events(spark, sf_dir)
+    cols = [F.col(f"value_{kind}").alias("value") if c == "value" else F.col(c)
+            for c in RECORD.fieldNames()]
+    return log.select(*cols, "event_id", "ts", "cut")
 
 
 def envelope_records(spark: SparkSession, sf_dir: str, damaged: bool = False,
