@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, packing, quality, rules, tokencount, toxicity
+from . import decontam, langid, linededup, packing, quality, rules, tokencount, toxicity
 from .textmap import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,8 +75,15 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.doc_id", held_out(5, 0, F.col("row.doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    clean = linededup.drop_lines(docs, removed="n_dropped")
+    return clean.select("doc_id", "n_dropped", F.length("text").cast("long").alias("n_chars"),
+                        F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_quality_classifier, op3_language_id, op4_quality_rules, op6_packing, op7_decontamination,
-    op8_token_counts, op9_toxicity)}
+    op8_token_counts, op9_toxicity, op10_line_dedup)}
 
-SQL: dict[str, str] = {"op4_quality_rules": rules.SQL}
+SQL: dict[str, str] = {"op4_quality_rules": rules.SQL, "op10_line_dedup": linededup.SQL}
