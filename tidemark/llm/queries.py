@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, linededup, packing, quality, rules, tokencount, toxicity
+from . import decontam, langid, linededup, neardup, packing, quality, rules, tokencount, toxicity
 from .textmap import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,12 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.apply_rules(docs, order).select("row.doc_id", *rules.BASE, "base_failed", "kept")
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return neardup.near_duplicates(docs, neardup.Params(words=4)).select(
+        "doc_id", "n_shingles", "component_id", "kept")
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -83,7 +89,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_quality_classifier, op3_language_id, op4_quality_rules, op6_packing, op7_decontamination,
+    op1_quality_classifier, op3_language_id, op4_quality_rules, op5_near_duplicates, op6_packing, op7_decontamination,
     op8_token_counts, op9_toxicity, op10_line_dedup)}
 
 SQL: dict[str, str] = {"op4_quality_rules": rules.SQL, "op10_line_dedup": linededup.SQL}
