@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, linededup, neardup, packing, quality, rules, tokencount, toxicity
+from . import decontam, langid, linededup, neardup, packing, quality, quoting, rules, tokencount, toxicity
 from .textmap import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,11 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.doc_id", held_out(3, 1, F.col("row.doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op2_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quoting.conversations(table(spark, sf_dir, "conversations"))
+    return out.withColumn("path", F.concat_ws("/", F.col("path").cast("array<string>")))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = langid.fit(docs, ~held_out(3, 1))
@@ -89,7 +94,8 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_quality_classifier, op3_language_id, op4_quality_rules, op5_near_duplicates, op6_packing, op7_decontamination,
-    op8_token_counts, op9_toxicity, op10_line_dedup)}
+    op1_quality_classifier, op2_quotation_linking, op3_language_id, op4_quality_rules,
+    op5_near_duplicates, op6_packing, op7_decontamination, op8_token_counts, op9_toxicity,
+    op10_line_dedup)}
 
 SQL: dict[str, str] = {"op4_quality_rules": rules.SQL, "op10_line_dedup": linededup.SQL}
