@@ -1,0 +1,129 @@
+"""Quality classifier, language ID and toxicity: held-out accuracy, edge cases."""
+
+import zlib
+
+import numpy as np
+import pytest
+
+from tidemark.llm import langid, quality, queries, toxicity
+from tidemark.llm.textmap import held_out
+
+SF01 = "/root/testdata/sf0.01"
+
+
+def _labels(spark, name):
+    return {r["doc_id"]: r[name] for r in
+            spark.read.parquet(f"{SF01}/labels.parquet").select("doc_id", name).collect()}
+
+
+@pytest.mark.parametrize("query, label, mod, rest", [
+    ("op1_quality_classifier", "quality", 3, 1), ("op9_toxicity", "toxic", 5, 0)])
+def test_held_out_accuracy(spark, query, label, mod, rest):
+    rows = queries.QUERIES[query](spark, SF01).collect()
+    assert len(rows) == spark.read.parquet(f"{SF01}/documents.parquet").count()
+    truth = _labels(spark, label)
+    hits = []
+    for r in rows:
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % mod == rest)
+        assert 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5)
+        if r["held_out"] and r["doc_id"] in truth:
+            hits.append((r["score"], truth[r["doc_id"]]))
+    score, y = np.array([s for s, _ in hits]), np.array([t for _, t in hits])
+    assert ((score >= 0.5) == y).mean() >= 0.95
+    assert (score[y == 1][:, None] > score[y == 0][None, :]).mean() >= 0.9
+
+
+def test_language_held_out(spark):
+    lang = {r["doc_id"]: r["lang"] for r in
+            spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "lang").collect()}
+    rows = queries.op3_language_id(spark, SF01).collect()
+    assert len(rows) == len(lang)
+    assert np.mean([r["lang_pred"] == lang[r["doc_id"]] for r in rows if r["held_out"]]) >= 0.98
+
+
+@pytest.mark.parametrize("module", [quality, toxicity])
+def test_odd_rows(spark, module, odd, empty, documents, labels):
+    model = module.fit(documents, labels)
+    out = module.score_documents(odd, model).select("row.*", "score", "predicted").collect()
+    assert len(out) == odd.count()
+    assert out[0]["class"] == "c" and all(0 <= r[-2] <= 1 for r in out)
+    same = [r[-2] for r in out if r["doc_id"] == 7]
+    assert len(same) == 2 and same[0] == same[1]
+    assert module.score_documents(empty, model).count() == 0
+
+
+@pytest.mark.parametrize("module", [quality, toxicity])
+def test_nothing_to_learn(spark, module, odd, labels, documents):
+    none = module.fit(documents, labels.where("false"))
+    assert {r["score"] for r in module.score_documents(odd, none).collect()} == {0.5}
+    one = module.fit(documents, labels.where("quality = 1 and toxic = 0"))
+    assert len({r["score"] for r in module.score_documents(odd, one).collect()}) == 1
+
+
+def test_scores_are_the_softmax_of_the_mean_vector():
+    """Folding vectors and softmax weights into one number changes nothing."""
+    rows = [("good words here again", 1), ("bad bad bad bad", 0), ("fine prose follows", 1),
+            ("x x x x", 0)] * 5
+    p = quality.Params(buckets=512, dim=4, epochs=3)
+    model = quality.train(rows, p)
+    for text in ("good words", "x x", "new prose words", "a"):
+        f = quality._features(text, p)
+        z = model.weight[f].mean() + model.bias
+        assert quality.scorer(model)()([text])[0][0] == pytest.approx(1 / (1 + np.exp(-z)))
+
+
+def test_language_odd_rows(spark, odd, empty, documents):
+    model = langid.fit(documents, ~held_out(3, 1))
+    out = {r["row"]["doc_id"]: r for r in langid.predict_documents(odd, model).collect()}
+    for i in (1, 2, 3, 9):
+        assert out[i]["lang_pred"] == "und" and out[i]["score"] == 0
+    assert out[5]["lang_pred"] in model.langs
+    assert langid.predict_documents(empty, model).count() == 0
+    nothing = langid.fit(empty)
+    assert {r["lang_pred"] for r in langid.predict_documents(odd, nothing).collect()} == {"und"}
+
+
+def test_bloom_filter_has_no_false_negative_and_few_false_positives():
+    rng = np.random.default_rng(1)
+    grams = [rng.integers(0, 2 ** 63, 4000).astype(np.uint64) for _ in range(3)]
+    p = langid.Params(slots=1 << 16)
+    model = langid.build(["a", "b", "c"], grams, p)
+
+    def masks(g):
+        m = ~np.zeros(len(g), np.uint64)
+        for at in langid._slots(g, p):
+            m &= model.masks[at]
+        return m
+
+    for bit, members in enumerate(grams):
+        assert (masks(members) >> np.uint64(bit) & np.uint64(1)).all()
+    other = masks(rng.integers(0, 2 ** 63, 20000).astype(np.uint64))
+    for bit in range(3):
+        seen = (other >> np.uint64(bit) & np.uint64(1)).mean()
+        assert abs(seen - model.false_rate[bit]) < 0.005
+
+
+def test_language_ties_go_to_the_first_name():
+    model = langid.build(["aa", "bb"], [np.empty(0, np.uint64)] * 2)
+    pred, score = langid.predictor(model)()(["word", None, "12 34"])
+    assert pred.to_pylist() == ["aa", "und", "und"] and list(score) == [0, 0, 0]
+
+
+def test_trees_and_calibration():
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(600, 3))
+    y = ((x[:, 0] > 0.3) & (x[:, 1] < 0.5)).astype(float)
+    trees = toxicity.boost(x, y, toxicity.Params(trees=20))
+    assert ((trees.margin(x) > 0) == y).mean() > 0.97
+    xs, ys = toxicity.isotonic(trees.margin(x), y)
+    assert (np.diff(xs) >= 0).all() and (np.diff(ys) >= 0).all()
+
+
+def test_toxic_features():
+    f = toxicity.featurizer({"achl-": 3.5}, toxicity.Params())(
+        ["you are an idiot", "achlich hier", "sh*t n0thing heeey", "", None])
+    col = {n: f[:, k] for k, n in enumerate(toxicity.FEATURES)}
+    assert col["fixed_share"][0] == 0.25 and col["near_share"][0] > 0
+    assert col["odds_max"][1] == 3.5 and col["tier2_count"][1] == 1
+    assert col["mixed"][2] > 0 and col["runs"][2] > 0
+    assert not f[3:].any()

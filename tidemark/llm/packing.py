@@ -33,7 +33,7 @@ from .textmap import map_texts, stored
 SIZE = 2048
 END_ID = 1
 #: Pieces ranked in one window task, about.
-RANK_ROWS = 4096
+RANK_ROWS = 1024
 
 
 class Encoder:

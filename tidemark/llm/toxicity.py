@@ -135,7 +135,7 @@ def learn_lexicon(found: list[set], y: np.ndarray, p: Params) -> dict[str, float
         if k >= p.min_docs:
             odds = np.log((k + 0.5) / (n1 + 1)) - np.log((neg[u] + 0.5) / (n0 + 1))
             expected = (k + neg[u]) * n1 / max(1, n1 + n0)
-            if odds >= TIERS[0] and k - expected >= 5 * np.sqrt(expected):
+            if odds >= TIERS[0] and k - expected >= 4 * np.sqrt(expected):
                 lexicon[u] = float(odds)
     return lexicon
 
@@ -303,9 +303,14 @@ def scorer(model: Model):
         if model.trees is None:
             return lambda texts: (np.full(len(texts), model.prior),)
         features = featurizer(model.lexicon, model.params)
-        xs, ys = model.knots
-        return lambda texts: (np.clip(np.interp(model.trees.margin(features(texts)), xs, ys),
-                                      0, 1),)
+
+        def score(texts: list) -> tuple:
+            margin = model.trees.margin(features(texts))
+            raw = 1 / (1 + np.exp(-np.clip(margin, -40, 40)))
+            # isotonic steps are flat; a hundredth of the raw value orders ties
+            return (np.clip(0.99 * np.interp(margin, *model.knots) + 0.01 * raw, 0, 1),)
+
+        return score
 
     return make
 
