@@ -8,19 +8,19 @@ import pytest
 from tidemark.llm import langid, quality, queries, toxicity
 from tidemark.llm.textmap import held_out
 
-SF01 = "/root/testdata/sf0.01"
+LARGER = "/root/testdata/sf0.1"
 
 
 def _labels(spark, name):
     return {r["doc_id"]: r[name] for r in
-            spark.read.parquet(f"{SF01}/labels.parquet").select("doc_id", name).collect()}
+            spark.read.parquet(f"{LARGER}/labels.parquet").select("doc_id", name).collect()}
 
 
 @pytest.mark.parametrize("query, label, mod, rest", [
     ("op1_quality_classifier", "quality", 3, 1), ("op9_toxicity", "toxic", 5, 0)])
 def test_held_out_accuracy(spark, query, label, mod, rest):
-    rows = queries.QUERIES[query](spark, SF01).collect()
-    assert len(rows) == spark.read.parquet(f"{SF01}/documents.parquet").count()
+    rows = queries.QUERIES[query](spark, LARGER).collect()
+    assert len(rows) == spark.read.parquet(f"{LARGER}/documents.parquet").count()
     truth = _labels(spark, label)
     hits = []
     for r in rows:
@@ -35,8 +35,8 @@ def test_held_out_accuracy(spark, query, label, mod, rest):
 
 def test_language_held_out(spark):
     lang = {r["doc_id"]: r["lang"] for r in
-            spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "lang").collect()}
-    rows = queries.op3_language_id(spark, SF01).collect()
+            spark.read.parquet(f"{LARGER}/documents.parquet").select("doc_id", "lang").collect()}
+    rows = queries.op3_language_id(spark, LARGER).collect()
     assert len(rows) == len(lang)
     assert np.mean([r["lang_pred"] == lang[r["doc_id"]] for r in rows if r["held_out"]]) >= 0.98
 

@@ -90,7 +90,7 @@ def test_plan_places_every_piece_once(histogram):
     for p in plan:
         ranks[p.length] += range(p.lo, p.hi)
         for k in range(p.hi - p.lo):
-            fill[p.seq + k].append((p.offset, p.length))
+            fill[p.seq + k // p.per].append((p.offset + k % p.per * p.length, p.length))
     assert {k: sorted(v) for k, v in ranks.items()} == {k: list(range(n)) for k, n in
                                                         histogram.items()}
     for parts in fill.values():

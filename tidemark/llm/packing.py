@@ -6,7 +6,7 @@ goes to the driver.  Lengths are placed longest first; each goes to the open
 pack with the most room, and equal packs are handled together by their count, so
 the plan has a few placements per length however many documents there are.  A
 placement says: the pieces of length L with ranks lo..hi go to sequences from
-``seq`` on, at ``offset``.  Ranking the pieces of each length (in bounded
+``seq`` on, so many in each, at ``offset``.  Ranking the pieces of each length (in bounded
 buckets, for a length may hold most rows) and joining the placements by rank
 gives every piece its place.
 
@@ -104,13 +104,14 @@ def tokenized_pieces(docs: DataFrame, tokenizer: str, ranks: str, pattern: str,
 
 @dataclass(frozen=True)
 class Placement:
-    """Pieces of ``length`` with ranks ``lo`` <= r < ``hi`` go to sequence
-    ``seq + r - lo`` at ``offset``."""
+    """Pieces of ``length`` with ranks ``lo`` <= r < ``hi``: ``per`` of them, one
+    behind the other from ``offset`` on, in each sequence from ``seq`` on."""
     length: int
     lo: int
     hi: int
     seq: int
     offset: int
+    per: int = 1
 
 
 def shortest_pack_first(histogram: dict[int, int], size: int = SIZE) -> list[Placement]:
@@ -124,21 +125,24 @@ def shortest_pack_first(histogram: dict[int, int], size: int = SIZE) -> list[Pla
         while left:
             while top > 0 and not room[top]:
                 top -= 1
+            per = 1
             if top >= length:
-                seq, n = room[top].pop()
-                take = min(left, n)
-                if take < n:
-                    room[top].append((seq + take, n - take))
+                seq, packs = room[top].pop()
+                if left < packs:
+                    room[top].append((seq + left, packs - left))
+                    packs = left
                 free = top
-            else:
-                seq, take, free = n_seq, left, size
-                n_seq += left
-            plan.append(Placement(length, rank, rank + take, seq, size - free))
-            rank += take
-            left -= take
-            if free > length:
-                room[free - length].append((seq, take))
-                top = max(top, free - length)
+            else:  # a new pack has the most room until the length no longer fits
+                per = min(left, size // length)
+                seq, packs, free = n_seq, left // per, size
+                n_seq += packs
+            plan.append(Placement(length, rank, rank + packs * per, seq, size - free, per))
+            rank += packs * per
+            left -= packs * per
+            free -= length * per
+            if free:
+                room[free].append((seq, packs))
+                top = max(top, free)
     return plan
 
 
@@ -173,15 +177,17 @@ def place_pieces(spark: SparkSession, pieces: DataFrame, order: list[str],
                  pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     plan = shortest_pack_first(histogram, size)
     placements = spark.createDataFrame(
-        [(p.length, p.lo, p.hi, p.seq, p.offset) for p in plan],
-        "p_length long, lo long, hi long, seq long, offset long")
+        [(p.length, p.lo, p.hi, p.seq, p.offset, p.per) for p in plan],
+        "p_length long, lo long, hi long, seq long, at long, per long")
+    nth = F.col("rank") - F.col("lo")
     ranked = _ranked(spark, pieces, histogram, order)
     # a few placements per length, whatever the number of pieces
     return (ranked.join(F.broadcast(placements),
                         (F.col("length") == F.col("p_length")) & (F.col("rank") >= F.col("lo"))
                         & (F.col("rank") < F.col("hi")))
-            .withColumn("sequence_id", F.col("seq") + F.col("rank") - F.col("lo"))
-            .drop("p_length", "lo", "hi", "seq", "rank"))
+            .withColumn("sequence_id", F.col("seq") + F.expr("(rank - lo) div per"))
+            .withColumn("offset", F.col("at") + nth % F.col("per") * F.col("length"))
+            .drop("p_length", "lo", "hi", "seq", "at", "per", "rank"))
 
 
 def pack(docs: DataFrame, tokenizer: str, ranks: str, pattern: str, size: int = SIZE,
