@@ -39,3 +39,23 @@ def test_stream_lake_and_read(spark, tmp_dir, capsys):
     assert cli.main(["read-lake", f"{tmp_dir}/lake"]) == 0
     out = capsys.readouterr().out
     assert "Total rows: 1000" in out
+
+
+def test_load_csv_takes_all_files_and_says_what_it_leaves(spark, tmp_dir, capsys):
+    for i in range(5):
+        _write(f"{tmp_dir}/data/t{i}.csv", f"key,value\na{i},b\n")
+    assert cli.main(["load-csv", "--data-dir", f"{tmp_dir}/data", "--out", f"{tmp_dir}/t"]) == 0
+    assert [spark.read.parquet(f"{tmp_dir}/t/t{i}").count() for i in range(5)] == [1] * 5
+    capsys.readouterr()
+    cli.main(["load-csv", "--data-dir", f"{tmp_dir}/data", "--out", f"{tmp_dir}/u",
+              "--max-files", "2"])
+    assert "3 more CSV file(s) left out" in capsys.readouterr().out
+
+
+def test_load_csv_files_of_one_table_are_one_load(spark, tmp_dir):
+    _write(f"{tmp_dir}/a/x.csv", "key,value\nk1,v1\n")
+    _write(f"{tmp_dir}/b/x.csv", "value,key\nv2,k2\n")
+    assert cli.main(["load-csv", "--out", f"{tmp_dir}/t", f"{tmp_dir}/a/x.csv",
+                     f"{tmp_dir}/b/x.csv"]) == 0
+    rows = spark.read.parquet(f"{tmp_dir}/t/x").select("key", "value").collect()
+    assert sorted(map(tuple, rows)) == [("k1", "v1"), ("k2", "v2")]

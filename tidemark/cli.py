@@ -39,31 +39,27 @@ def _trigger(args) -> dict:
 
 
 def cmd_load_csv(args) -> int:
-    from .operators.ingest import load_csv_tables
-    from .sources.files import csv_paths
+    from .operators.ingest import csv_sources, load_sources, sources_of_files
+    from .sources.files import csv_paths, discover_csv
 
     spark = _session("tidemark-load-csv")
     if args.files:
         files = csv_paths(args.files)
+        sources = sources_of_files(spark, files) if files else {}
         if not files:
             print("no CSV files given")
-            return 0
-        from .functions import table_name_from_path
-        from .operators.ingest import typed_table
-        from .sources.files import read_csv_strings
-        names = (spark.createDataFrame([(f,) for f in files], "path string")
-                 .select("path", table_name_from_path("path").alias("t")).collect())
-        for r in names:
-            typed, types = typed_table(read_csv_strings(spark, r["path"]), compat=args.compat)
-            typed.write.mode(args.mode).parquet(f"{args.out}/{r['t']}")
-            print(f"{r['path']} -> {r['t']} {types}")
-        return 0
-    loaded = load_csv_tables(spark, args.data_dir, args.out, max_files=args.max_files or None,
-                             mode=args.mode, compat=args.compat)
-    if not loaded:
-        print(f"no CSV files in {args.data_dir}")
+    else:
+        sources = csv_sources(spark, args.data_dir, args.max_files)
+        if not sources:
+            print(f"no CSV files in {args.data_dir}")
+        elif args.max_files:
+            left = discover_csv(spark, args.data_dir).count() - args.max_files
+            if left > 0:
+                print(f"{left} more CSV file(s) left out by --max-files {args.max_files}")
+    loaded = load_sources(spark, sources, args.out, args.mode, args.compat,
+                          multi_line=args.multi_line) if sources else {}
     for name, types in loaded.items():
-        print(f"{name}: {types}")
+        print(f"{', '.join(sources[name])} -> {name}: {types}")
     return 0
 
 
@@ -107,8 +103,10 @@ def main(argv: list[str] | None = None) -> int:
     lc.add_argument("files", nargs="*")
     lc.add_argument("--data-dir", default="data")
     lc.add_argument("--out", required=True)
-    lc.add_argument("--max-files", type=int, default=3,
-                    help="first N files of --data-dir by path (default 3; 0 = all)")
+    lc.add_argument("--max-files", type=int, default=None,
+                    help="only the first N files of --data-dir by path (default: all)")
+    lc.add_argument("--multi-line", action="store_true",
+                    help="quoted values may hold line breaks (files are not split)")
     lc.add_argument("--mode", choices=["overwrite", "append"], default="overwrite")
     lc.add_argument("--compat", choices=["reference", "spark"], default="reference")
     lc.set_defaults(fn=cmd_load_csv)

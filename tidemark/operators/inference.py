@@ -4,8 +4,10 @@ Rules follow pandas' default CSV reading, which the reference relies on:
 a column is INTEGER when every value is an integer and none is missing,
 BOOLEAN when every value is a true/false word and none is missing, REAL when
 every present value is a number (so integers with blanks become REAL), and
-TEXT otherwise.  An all-missing column is REAL.  ``compat="spark"`` keeps
-integer columns with blanks as INTEGER (nullable BIGINT) instead.
+TEXT otherwise.  Blanks around a number do not count.  An integer beyond 64
+bits makes its column TEXT, so no digit is lost.  An all-missing column is REAL,
+a table without rows has TEXT columns only.  ``compat="spark"`` keeps integer
+columns with blanks as INTEGER (nullable BIGINT) instead.
 
 All tests of all columns are folded into one ``agg`` (partial aggregates per
 task, one row per task shuffled), then unpacked with ``inline``.
@@ -27,9 +29,9 @@ NA_TOKENS = [
 TRUE_WORDS = ["True", "TRUE", "true"]
 FALSE_WORDS = ["False", "FALSE", "false"]
 
-INT_PATTERN = r"^[+-]?[0-9]+$"
-FLOAT_PATTERN = (r"^[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?"
-                 r"|(?i:inf|infinity|nan))$")
+INT_PATTERN = r"^\s*[+-]?[0-9]+\s*$"
+FLOAT_PATTERN = (r"^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?"
+                 r"|(?i:inf|infinity|nan))\s*$")
 
 SQL_TO_SPARK = {"INTEGER": "bigint", "REAL": "double", "BOOLEAN": "boolean",
                 "TEXT": "string"}
@@ -54,7 +56,8 @@ def _value_class(v):
     true/false word, text); NULL for missing.  At most two regular
     expressions run per value, one for most values."""
     return (F.when(v.isNull(), F.lit(None).cast("int"))
-            .when(v.rlike(INT_PATTERN) & v.try_cast("bigint").isNotNull(), F.lit(_INT))
+            .when(v.rlike(INT_PATTERN),
+                  F.when(v.try_cast("bigint").isNotNull(), F.lit(_INT)).otherwise(F.lit(_TEXT)))
             .when(v.rlike(FLOAT_PATTERN), F.lit(_REAL))
             .when(v.isin(TRUE_WORDS + FALSE_WORDS), F.lit(_BOOL))
             .otherwise(F.lit(_TEXT)))
@@ -79,7 +82,8 @@ def infer_types(df: DataFrame, compat: str = "reference") -> DataFrame:
         ints_only = k == _INT
         int_ok = ints_only & (complete if compat == "reference" else F.lit(True))
         numbers_only = (k.bitwiseAND(F.lit(_BOOL | _TEXT)) == 0)
-        sql_type = (F.when(n == 0, F.lit("REAL"))
+        sql_type = (F.when(F.col("_rows") == 0, F.lit("TEXT"))
+                    .when(n == 0, F.lit("REAL"))
                     .when(int_ok, F.lit("INTEGER"))
                     .when((k == _BOOL) & complete, F.lit("BOOLEAN"))
                     .when(numbers_only, F.lit("REAL"))

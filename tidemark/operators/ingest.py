@@ -4,12 +4,13 @@ seed rows."""
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import clean_column_name
-from ..sources.files import discover_csv, read_csv_strings
+from ..functions import clean_column_name, table_name_from_path
+from ..sources.files import discover_csv, read_csv_union
 from .inference import apply_types, infer_types, null_na_tokens, types_of
 
 
@@ -60,26 +61,50 @@ def csv_sources(spark: SparkSession, data_dir: str, max_files: int | None = None
     return out
 
 
+def load_sources(spark: SparkSession, sources: Mapping[str, list[str]], out_root: str,
+                 mode: str = "overwrite", compat: str = "reference", glob: str | None = None,
+                 multi_line: bool = False, at_once: int = 4) -> dict[str, dict[str, str]]:
+    """Load ``{table: sources}`` into ``<out_root>/<table>`` (Parquet).
+
+    All sources of a table are one load, matched by column name, so none
+    overwrites another.  Each table is its own distributed job: one aggregate
+    for the types, one pass for the typed write; ``at_once`` tables run side by
+    side.  Returns the SQL types per table.
+    """
+    def load(name: str) -> dict[str, str]:
+        raw = read_csv_union(spark, sources[name], glob=glob, multi_line=multi_line)
+        typed, types = typed_table(raw, compat=compat)
+        typed.write.mode(mode).parquet(f"{out_root}/{name}")
+        return types
+
+    names = sorted(sources)
+    with ThreadPoolExecutor(max_workers=max(1, at_once)) as pool:
+        return dict(zip(names, pool.map(load, names)))
+
+
+def sources_of_files(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
+    """Explicit files by the table they load into."""
+    rows = (spark.createDataFrame([(p,) for p in paths], "path string")
+            .select("path", table_name_from_path("path").alias("t")).collect())
+    out: dict[str, list[str]] = {}
+    for r in rows:
+        out.setdefault(r["t"], []).append(r["path"])
+    return out
+
+
 def load_csv_tables(spark: SparkSession, data_dir: str, out_root: str,
                     max_files: int | None = None, table_from: str = "file",
                     mode: str = "overwrite", compat: str = "reference",
-                    ) -> dict[str, dict[str, str]]:
+                    multi_line: bool = False) -> dict[str, dict[str, str]]:
     """Load every CSV of ``data_dir`` into ``<out_root>/<table>`` (Parquet).
 
-    Sources that map to the same table name are read together.  The loop is
-    over tables (metadata), each table is its own distributed job: one
-    aggregate pass for the types, one pass for the typed write.  ``mode``
-    ``overwrite`` makes a re-run idempotent; ``append`` is the reference's
-    behaviour.  Returns the SQL types per table; no files -> ``{}``.
+    ``mode`` ``overwrite`` makes a re-run idempotent; ``append`` is the
+    reference's behaviour.  No files -> ``{}``.  ``max_files`` is for callers
+    that want the first files only; all by default.
     """
-    result = {}
-    for name, srcs in sorted(csv_sources(spark, data_dir, max_files, table_from).items()):
-        raw = read_csv_strings(spark, srcs, glob="*.[cC][sS][vV]"
-                               if table_from == "parent" else None)
-        typed, types = typed_table(raw, compat=compat)
-        typed.write.mode(mode).parquet(f"{out_root}/{name}")
-        result[name] = types
-    return result
+    sources = csv_sources(spark, data_dir, max_files, table_from)
+    return load_sources(spark, sources, out_root, mode, compat,
+                        "*.[cC][sS][vV]" if table_from == "parent" else None, multi_line)
 
 
 def seed_row(spark: SparkSession, table: str, epoch: int,

@@ -3,6 +3,7 @@ executors)."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -63,21 +64,80 @@ def csv_paths(paths: Sequence[str]) -> list[str]:
     return [p for p in paths if p.lower().endswith(".csv")]
 
 
+CORRUPT = "_tm_corrupt"
+# A complete quoted field, and a quote that opens a field.
+_QUOTED = r'(^|{sep})"([^"]|"")*"(?={sep}|$)'
+_OPENING = r'(^|{sep})"'
+
+
+def _reader(spark: SparkSession, sep: str, multi_line: bool, glob: str | None):
+    """Options of every CSV scan: quotes are doubled inside quoted fields (RFC
+    4180, no backslash escapes) and headers are checked in each file."""
+    reader = (spark.read.option("header", True).option("sep", sep).option("quote", '"')
+              .option("escape", '"').option("multiLine", multi_line)
+              .option("inferSchema", False).option("mode", "PERMISSIVE")
+              .option("enforceSchema", False))
+    return reader.option("pathGlobFilter", glob) if glob else reader
+
+
+def open_quotes(spark: SparkSession, paths: Sequence[str], sep: str = ",",
+                glob: str | None = None) -> int:
+    """Lines on which a quoted field does not end (values with line breaks,
+    which a line-by-line scan would cut)."""
+    reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
+    s = re.escape(sep)
+    line = F.col("value")
+    rest = F.regexp_replace(line, _QUOTED.format(sep=s), "")
+    return (reader.text(list(paths))
+            .where(line.contains('"') & rest.rlike(_OPENING.format(sep=s))).count())
+
+
 def read_csv_strings(spark: SparkSession, paths: str | Sequence[str],
-                     sep: str = ",", glob: str | None = None) -> DataFrame:
+                     sep: str = ",", glob: str | None = None,
+                     multi_line: bool = False) -> DataFrame:
     """Header CSV with every column as text (types are inferred afterwards,
-    see ``operators.inference``).  ``glob`` filters file names inside
-    folders."""
-    reader = (spark.read.option("header", True).option("sep", sep)
-              .option("inferSchema", False).option("mode", "PERMISSIVE"))
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return reader.csv(list(paths) if not isinstance(paths, str) else paths)
+    see ``operators.inference``).  ``glob`` filters file names inside folders.
+
+    Nothing is lost: a row with more fields than the header raises when it is
+    read, files whose headers differ from the first one's raise, and with
+    ``multi_line`` off a quoted value that goes on over several lines raises.
+    ``multi_line`` reads such values, at the price that a file is not split.
+    Rows with fewer fields than the header get NULL in the rest.
+    """
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    if not multi_line:
+        broken = open_quotes(spark, paths, sep, glob)
+        if broken:
+            raise ValueError(f"{broken} line(s) open a quoted value that does not end on the "
+                             "line; read with multi_line=True")
+    names = _reader(spark, sep, multi_line, glob).csv(paths).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, CORRUPT]])
+    raw = (_reader(spark, sep, multi_line, glob).schema(schema)
+           .option("columnNameOfCorruptRecord", CORRUPT).csv(paths))
+    bare = F.regexp_replace(F.col(CORRUPT), '"([^"]|"")*"', "")
+    fields = F.size(F.split(bare, re.escape(sep), -1))
+    wide = F.raise_error(F.concat(F.lit(f"row with more than {len(names)} fields: "),
+                                  F.col(CORRUPT)))
+    checked = F.when(F.col(CORRUPT).isNotNull() & (fields > len(names)), wide.cast("boolean")) \
+        .otherwise(F.lit(True))
+    return raw.where(checked).select(*[F.col(f"`{c}`") for c in names])
+
+
+def read_csv_union(spark: SparkSession, sources: Sequence[str], sep: str = ",",
+                   glob: str | None = None, multi_line: bool = False) -> DataFrame:
+    """Several sources of one table, matched by column name: each is read under
+    its own header; columns that a source lacks are NULL."""
+    parts = [read_csv_strings(spark, s, sep, glob, multi_line) for s in sources]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
+    return out
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Header CSV with plain timestamp text (``yyyy-MM-dd HH:mm:ss``)."""
-    (df.write.mode("overwrite").option("header", True)
+    """Header CSV with doubled quotes and plain timestamp text
+    (``yyyy-MM-dd HH:mm:ss``)."""
+    (df.write.mode("overwrite").option("header", True).option("escape", '"')
      .option("timestampFormat", "yyyy-MM-dd HH:mm:ss")
      .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
      .csv(path))
