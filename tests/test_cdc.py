@@ -30,11 +30,29 @@ def test_snapshot_diff_ops(spark):
     assert got == {1: "d", 2: "u", 4: "c"}          # 3 unchanged (NULL = NULL)
 
 
-def test_snapshot_diff_duplicate_key_fails(spark):
-    a = spark.createDataFrame([(1, "x"), (1, "y")], "id int, v string")
-    b = spark.createDataFrame([(1, "x")], "id int, v string")
-    with pytest.raises(ValueError):
-        cdc.snapshot_diff(a, b, ["id"], check_unique=True)
+@pytest.mark.parametrize("side", [0, 1])
+def test_snapshot_diff_duplicate_key_fails(spark, side):
+    dup = spark.createDataFrame([(1, "x"), (1, "y")], "id int, v string")
+    one = spark.createDataFrame([(1, "x")], "id int, v string")
+    pair = (dup, one) if side == 0 else (one, dup)
+    with pytest.raises(Exception, match="duplicate key"):
+        cdc.snapshot_diff(*pair, ["id"]).collect()
+
+
+def test_snapshot_diff_null_keys_and_widened_type(spark):
+    a = spark.createDataFrame([(None, "x"), (1, "y")], "id int, v string")
+    b = spark.createDataFrame([(None, "x"), (1, "z")], "id bigint, v string")
+    got = [(r["id"], r["op"]) for r in cdc.snapshot_diff(a, b, ["id"]).collect()]
+    assert got == [(1, "u")]
+    c = b.withColumn("v", F.lit("new"))
+    assert sorted(r["op"] for r in cdc.snapshot_diff(b, c, ["id"]).collect()) == ["u", "u"]
+
+
+def test_change_without_an_operation_raises(spark):
+    df = spark.createDataFrame([(1, None, 5, (1,))], "k long, op string, lsn long, "
+                                                     "after struct<v:long>")
+    with pytest.raises(Exception, match="without an operation"):
+        cdc.current_state(df, "k", ["lsn"]).collect()
 
 
 def _apply(snapshot, changes, keys):

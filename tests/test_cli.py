@@ -35,7 +35,7 @@ def test_stream_lake_and_read(spark, tmp_dir, capsys):
     assert cli.main(["stream-report", "--source-dir", f"{tmp_dir}/src", "--report",
                      f"{tmp_dir}/rep", "--checkpoint", f"{tmp_dir}/ck2",
                      "--trigger", "available-now"]) == 0
-    assert spark.read.text(f"{tmp_dir}/rep").count() == 1001
+    assert spark.read.text(f"{tmp_dir}/rep").count() == 1002  # with the title
     assert cli.main(["read-lake", f"{tmp_dir}/lake"]) == 0
     out = capsys.readouterr().out
     assert "Total rows: 1000" in out
@@ -59,3 +59,14 @@ def test_load_csv_files_of_one_table_are_one_load(spark, tmp_dir):
                      f"{tmp_dir}/b/x.csv"]) == 0
     rows = spark.read.parquet(f"{tmp_dir}/t/x").select("key", "value").collect()
     assert sorted(map(tuple, rows)) == [("k1", "v1"), ("k2", "v2")]
+
+
+def test_consume(spark, tmp_dir, capsys):
+    from tidemark.schemas import RECORD
+    rows = [(b"k", v, "pg.public.t", 0, i, None, 0) for i, v in
+            enumerate([b'{"a": 1}', b"no json"])]
+    spark.createDataFrame(rows, RECORD).write.parquet(f"{tmp_dir}/src")
+    assert cli.main(["consume", "--source-dir", f"{tmp_dir}/src", "--schema", "a long",
+                     "--out", f"{tmp_dir}/good", "--errors", f"{tmp_dir}/bad",
+                     "--checkpoint", f"{tmp_dir}/ck", "--trigger", "available-now"]) == 0
+    assert "decoded: 1, failed: 1" in capsys.readouterr().out

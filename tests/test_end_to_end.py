@@ -5,6 +5,7 @@ lake stream -> counts.  Golden counts from the reference's data files:
 
 import os
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import cdc, ingest, reports
@@ -16,35 +17,37 @@ DATA = {"data1.csv": "key,value\nasdf,ghjk\nsatuk,gamma\nble,bleble",
         "data3.csv": "key,value\nkng,gzzrd\nrtct,mnks\n"}
 
 
+def as_records(changes, table, offset):
+    """Change rows as topic records (one partition, offsets by key)."""
+    envelope = F.to_json(F.struct("before", "after", "op"))
+    order = Window.orderBy("key")  # three rows
+    return changes.select(
+        F.to_json(F.struct("key")).cast("binary").alias("key"),
+        envelope.cast("binary").alias("value"),
+        cdc.route_topic(F.lit(table)).alias("topic"), F.lit(0).alias("partition"),
+        (F.row_number().over(order) + F.lit(offset - 1)).cast("bigint").alias("offset"),
+        F.lit("2024-02-01 00:00:00").cast("timestamp").alias("timestamp"),
+        F.lit(0).alias("timestampType"))
+
+
 def test_csv_to_lake_golden_counts(spark, tmp_dir):
     os.makedirs(f"{tmp_dir}/data")
     for name, text in DATA.items():
         with open(f"{tmp_dir}/data/{name}", "w") as f:
             f.write(text)
-    types = ingest.load_csv_tables(spark, f"{tmp_dir}/data", f"{tmp_dir}/tables", max_files=3)
+    types = ingest.load_csv_tables(spark, f"{tmp_dir}/data", f"{tmp_dir}/tables")
     assert sorted(types) == ["data1", "data2", "data3"]
     tables = {n: spark.read.parquet(f"{tmp_dir}/tables/{n}") for n in types}
     loaded = {r["table_name"]: r["row_count"] for r in reports.table_counts(tables).collect()}
     assert loaded == {"data1": 3, "data2": 2, "data3": 2}
 
-    ts = F.lit("2024-02-01 00:00:00").cast("timestamp")
     src = f"{tmp_dir}/topic"
-    # step 1: initial snapshot of every table is published
-    for name, df in tables.items():
-        ordered = df.withColumn("lsn", F.pmod(F.xxhash64("key"), F.lit(1 << 40)))
-        snap = cdc.snapshot_events(ordered, ["key"], carry=["lsn"])
-        cdc.change_records(snap, name, ["key"], "lsn", partitions=2, timestamp=ts) \
-            .write.mode("append").parquet(src)
-    # step 2: one seed row per table, published after what is there
-    for name, df in tables.items():
+    for name, df in tables.items():  # the initial snapshot, then one seed row per table
+        snap = cdc.snapshot_events(df, ["key"])
+        as_records(snap, name, 0).write.mode("append").parquet(src)
         seeded = ingest.with_seed_rows({name: df}, 1706745600)[name]
-        inserts = cdc.snapshot_diff(df, seeded, ["key"]).withColumn("lsn", F.lit(1 << 41))
-        existing = spark.read.parquet(src)
-        recs = cdc.change_records(inserts, name, ["key"], "lsn", partitions=2,
-                                  timestamp=ts, continue_from=existing)
-        staged = f"{tmp_dir}/staged-{name}"
-        recs.write.parquet(staged)           # materialise before appending to src
-        spark.read.parquet(staged).write.mode("append").parquet(src)
+        inserts = cdc.snapshot_diff(df, seeded, ["key"])
+        as_records(inserts, name, loaded[name]).write.mode("append").parquet(src)
     q = jobs.start_lake_stream(jobs.record_stream(spark, src), f"{tmp_dir}/lake",
                                f"{tmp_dir}/ck")
     jobs.await_drained(q, 300)

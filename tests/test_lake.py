@@ -14,7 +14,6 @@ def _batch(spark, n, extra=False):
 
 def test_empty_batch_skipped(spark, tmp_dir):
     assert write_lake_batch(_batch(spark, 0), tmp_dir, 0) is None
-    assert lake.read_commits(spark, tmp_dir) is None       # nothing published
     assert write_lake_batch(_batch(spark, 2), tmp_dir, 1) == 2
     assert lake.read_lake(spark, tmp_dir).count() == 2
     assert [r["batch_id"] for r in lake.history(spark, tmp_dir).collect()] == [1]
@@ -36,7 +35,7 @@ def test_schema_evolution_and_versions(spark, tmp_dir):
                      F.lit("2024-02-01 00:00:00").cast("timestamp"))
     write_lake_batch(_batch(spark, 2, extra=True), tmp_dir, 1,
                      F.lit("2024-02-02 00:00:00").cast("timestamp"))
-    t = lake.read_lake(spark, tmp_dir)
+    t = lake.read_lake(spark, tmp_dir, merge_schema=True)
     assert "extra" in t.columns
     assert t.where("extra is null").count() == 2
     assert lake.as_of_version(t, 0).count() == 2
@@ -85,38 +84,117 @@ def test_display_error_lines(spark):
     assert a == DISPLAY_ISSUE and b == "Error: " + "y" * 100
 
 
-def test_unpublished_batch_is_invisible(spark, tmp_dir):
+def test_unfinished_write_is_invisible_and_replaced(spark, tmp_dir):
+    """A crash before the write job's commit leaves only a temporary folder."""
+    import os
+
     from tidemark.streaming.sinks import batch_dir
-    ts = F.lit("2024-02-01 00:00:00").cast("timestamp")
-    write_lake_batch(_batch(spark, 4), tmp_dir, 0, ts)
-    # a crash after the data write, before the commit row
-    _batch(spark, 9).withColumn("committed_at", ts).write.parquet(batch_dir(tmp_dir, 1))
+    write_lake_batch(_batch(spark, 4), tmp_dir, 0)
+    left = f"{batch_dir(tmp_dir, 1)}/_temporary/0/task_1"
+    os.makedirs(left)
+    with open(f"{left}/part-0.parquet", "wb") as f:
+        f.write(b"half a file")
     assert lake.read_lake(spark, tmp_dir).count() == 4
-    assert lake.read_lake(spark, tmp_dir, committed_only=False).count() == 13
-    hist = lake.history(spark, tmp_dir).collect()
-    assert [(r["batch_id"], r["row_count"]) for r in hist] == [(0, 4)]
-    # the replayed batch publishes it
-    write_lake_batch(_batch(spark, 9), tmp_dir, 1, ts)
+    write_lake_batch(_batch(spark, 9), tmp_dir, 1)
     assert lake.read_lake(spark, tmp_dir).count() == 13
+    hist = lake.history(spark, tmp_dir).collect()
+    assert [(r["batch_id"], r["row_count"]) for r in hist] == [(0, 4), (1, 9)]
 
 
-def test_exact_visibility_matches_last_published(spark, tmp_dir):
-    ts = F.lit("2024-02-01 00:00:00").cast("timestamp")
+def test_backfill_shows_its_batches_only(spark, tmp_dir):
+    from tidemark.streaming.sinks import write_lake_batches
+    df = spark.range(6).select(F.col("id").alias("kafka_offset"),
+                               F.when(F.col("id") < 2, 1).otherwise(5).alias("batch_id"))
+    write_lake_batches(df, tmp_dir)
+    hist = lake.history(spark, tmp_dir).collect()
+    assert [(r["batch_id"], r["row_count"]) for r in hist] == [(1, 2), (5, 4)]
+
+
+def test_version_read_needs_no_other_batch(spark, tmp_dir):
+    """With a known schema a version read opens only its own folders."""
+    import glob
+
     for b in range(3):
-        write_lake_batch(_batch(spark, b + 1), tmp_dir, b, ts)
-    a = lake.read_lake(spark, tmp_dir)
-    b = lake.read_lake(spark, tmp_dir, exact=True)
-    assert a.count() == b.count() == 6
-    plan = a._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters" in plan and "Join" not in plan
+        write_lake_batch(_batch(spark, 2), tmp_dir, b,
+                         F.lit(f"2024-02-0{b + 1} 00:00:00").cast("timestamp"))
+    schema = lake.read_lake(spark, tmp_dir).schema
+    for path in glob.glob(f"{tmp_dir}/batch_id=2/*.parquet"):
+        with open(path, "r+b") as f:
+            f.truncate(3)
+    t = lake.read_version(spark, tmp_dir, version=1, schema=schema)
+    assert t.count() == 4
+    assert "PartitionFilters" in t._jdf.queryExecution().executedPlan().toString()
 
 
-def test_timestamp_read_uses_commit_log(spark, tmp_dir):
+def test_timestamp_read(spark, tmp_dir):
     for b in range(3):
         write_lake_batch(_batch(spark, 2), tmp_dir, b,
                          F.lit(f"2024-02-0{b + 1} 00:00:00").cast("timestamp"))
-    assert lake.version_at(spark, tmp_dir, "2024-02-02 12:00:00") == 1
     t = lake.read_version(spark, tmp_dir, timestamp="2024-02-02 12:00:00")
     assert t.count() == 4
     assert lake.read_version(spark, tmp_dir, timestamp="2024-01-01 00:00:00").count() == 0
-    assert "PartitionFilters" in t._jdf.queryExecution().executedPlan().toString()
+    assert "LessThanOrEqual(committed_at" in t._jdf.queryExecution().toString()
+
+
+def test_failed_report_leaves_its_error(spark, tmp_dir):
+    import pytest
+
+    from tidemark.streaming.sinks import REPORT_TITLE, write_report_batch, write_report_title
+    write_report_title(spark, tmp_dir)
+    write_report_title(spark, tmp_dir)
+    df = spark.createDataFrame([("k", "pg.public.t", 0, 3, "t")],
+                               "kafka_key string, kafka_topic string, kafka_partition int, "
+                               "kafka_offset long, source_table string")
+    bad = df.withColumn("kafka_key", F.raise_error(F.lit("broken " * 40)).cast("string"))
+    with pytest.raises(Exception):
+        write_report_batch(bad, tmp_dir, 2)
+    lines = [r["value"] for r in spark.read.text(tmp_dir).collect()]
+    assert lines.count(REPORT_TITLE) == 1
+    whole = next(x for x in lines if x.startswith("=== Batch 2 error: "))
+    assert "broken " * 39 in whole
+    assert len(next(x for x in lines if x.startswith("Error: "))) == len("Error: ") + 100
+    write_report_batch(df, tmp_dir, 3)
+    assert spark.read.text(tmp_dir).where("value like 'Key: k,%'").count() == 1
+
+
+def test_shared_folder_is_needed_off_local_mode(monkeypatch):
+    import pytest
+
+    from tidemark import session
+
+    class Conf:
+        def __init__(self, master):
+            self.values = {"spark.master": master}
+
+        def get(self, key, default=None):
+            return self.values.get(key, default)
+
+    class Context:
+        def __init__(self, master):
+            self.conf = Conf(master)
+
+        def getConf(self):
+            return self.conf
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        def __init__(self, master):
+            self.conf, self.sparkContext = Conf(master), Context(master)
+
+    for master in ("yarn", "spark://h:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError):
+            session.checkpoint_root(Session(master))
+
+
+def test_scratch_is_cleared(spark):
+    import os
+
+    from tidemark import session
+    path = session.scratch_path(spark, "x")
+    spark.range(1).write.parquet(path)
+    assert path.startswith(session.scratch_root(spark))
+    session.delete_path(spark, path)
+    assert not os.path.exists(path.removeprefix("file:"))
+    session.delete_path(spark, path)

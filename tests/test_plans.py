@@ -8,6 +8,7 @@ import re
 import pytest
 
 import __spark_entry__ as E
+from tidemark.plans.catalog import REGISTRY
 
 SF = "/root/testdata/sf0.001"
 
@@ -31,7 +32,7 @@ def _count(tree, op):
     ("enrich", 0), ("wire_header", 0), ("decode_envelope", 0), ("decode_framed", 0),
     ("snapshot_events", 0), ("table_names", 0),
     ("infer_types", 1), ("current_state", 1), ("op_counts", 1), ("decode_errors", 1),
-    ("snapshot_diff", 2),
+    ("snapshot_diff", 1),
 ])
 def test_shuffle_counts(spark, name, shuffles):
     assert _count(_tree(_plan(spark, name)), "Exchange") == shuffles
@@ -41,6 +42,7 @@ def test_filters_reach_the_scan(spark):
     assert "EqualTo(source_table,error)" in _plan(spark, "filter_table")
     assert "StringStartsWith(topic,pg.)" in _plan(spark, "topics_by_prefix")
     assert re.search(r"PushedFilters: \[In\(topic", _plan(spark, "topic_replay"))
+    assert re.search(r"PushedFilters: \[In\(topic", _plan(spark, "expected_tables"))
 
 
 def test_version_read_prunes_partitions(spark):
@@ -62,7 +64,7 @@ STREAMED = {"stream_enrich", "stream_lake", "stream_resume", "stream_replay",
 
 
 def test_no_python_in_any_plan(spark):
-    for name in sorted(set(E.queries()) - STREAMED):
+    for name in sorted(set(REGISTRY) - STREAMED):
         plan = _plan(spark, name)
         for node in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas",
                      "FlatMapGroupsInPandas"):

@@ -52,3 +52,16 @@ def test_quality_checks(spark):
     quality.require(ok.where("table_name = 'a'"))
     n = spark.createDataFrame([(0,)], "n long")
     assert quality.at_least("schemas", n, "n").first()["severity"] == "warn"
+
+
+def test_require_counts_all_failures(spark):
+    checks = spark.range(500).select(F.col("id").alias("check"), F.lit(False).alias("passed"))
+    with pytest.raises(AssertionError, match="500 check"):
+        quality.require(checks)
+
+
+def test_included_topics(spark):
+    rec = _records(spark, [("pg.public.a", 0, 0), ("pg.other.b", 0, 0), ("pg.public.a", 0, 1)])
+    got = reports.included_topics(rec, F.expr("substring_index(topic, '.', -2)"), [r"public\..*"])
+    assert [r["topic"] for r in got.collect()] == ["pg.public.a"] * 2
+    assert reports.table_topics(["a"]) == ["pg.public.a"]

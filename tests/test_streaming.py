@@ -1,43 +1,38 @@
 """Streams: resume from a checkpoint reads only new files; a crash after a
-write replays the batch without duplicates."""
+write replays the batch without duplicates; compacted current state."""
+
+import os
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
-from tidemark.plans.common import batch_clock, release_cut, topic_log
+from tidemark.plans.common import batch_clock, cut_stream, failing_once, topic_log
 from tidemark.sources import lake
 from tidemark.streaming import jobs
+from tidemark.streaming.sinks import write_lake_batch
 
 SF = "/root/testdata/sf0.001"
 
 
 def test_resume_and_replay(spark, tmp_dir):
     log = topic_log(spark, SF)
-    src, out, ck = f"{tmp_dir}/src", f"{tmp_dir}/lake", f"{tmp_dir}/ck"
-    calls = {"n": 0}
-
-    def fail_once(batch_id):
-        calls["n"] += 1
-        return batch_id == 1 and calls["n"] == 2
-
-    release_cut(log, 0, src)
-    jobs.await_drained(jobs.start_lake_stream(jobs.record_stream(spark, src), out, ck,
-                                              clock=batch_clock, fail_after_write=fail_once), 300)
-    release_cut(log, 1, src)
-    with pytest.raises(Exception):
-        jobs.await_drained(jobs.start_lake_stream(jobs.record_stream(spark, src), out, ck,
-                                                  clock=batch_clock,
-                                                  fail_after_write=fail_once), 300)
-    # restart: batch 1 is replayed and overwrites its folder
-    jobs.await_drained(jobs.start_lake_stream(jobs.record_stream(spark, src), out, ck,
-                                              clock=batch_clock, fail_after_write=fail_once), 300)
+    out, ck = f"{tmp_dir}/lake", f"{tmp_dir}/ck"
+    write = failing_once(write_lake_batch, 1)
+
+    def run(cuts):
+        jobs.await_drained(jobs.start_lake_stream(cut_stream(spark, SF, cuts), out, ck,
+                                                  clock=batch_clock, write=write), 300)
+
+    run([0])
+    with pytest.raises(StreamingQueryException, match="InjectedFailure"):
+        run([0, 1])
+    run([0, 1])  # restart: batch 1 is replayed and overwrites its folder
     t = lake.read_lake(spark, out)
     want = log.where(F.col("cut") <= 1).count()
     assert t.count() == want
     assert sorted(r["batch_id"] for r in lake.table_history(t).collect()) == [0, 1]
-    # nothing new: a further run adds no batch
-    jobs.await_drained(jobs.start_lake_stream(jobs.record_stream(spark, src), out, ck,
-                                              clock=batch_clock), 300)
+    run([0, 1])  # nothing new: a further run adds no batch
     assert lake.read_lake(spark, out).count() == want
 
 
@@ -45,23 +40,65 @@ def test_processing_time_stable_on_replay(spark, tmp_dir):
     """Without a clock the batch time comes from the offset log: a replayed
     batch keeps the time of its first attempt."""
     log = topic_log(spark, SF)
-    src, out, ck = f"{tmp_dir}/src", f"{tmp_dir}/lake", f"{tmp_dir}/ck"
-    release_cut(log, 0, src)
-    first = {"n": 0}
+    out, ck = f"{tmp_dir}/lake", f"{tmp_dir}/ck"
+    write = failing_once(write_lake_batch, 0)
 
-    def fail_first(batch_id):
-        first["n"] += 1
-        return first["n"] == 1
+    def run():
+        jobs.await_drained(jobs.start_lake_stream(cut_stream(spark, SF, [0]), out, ck,
+                                                  write=write), 300)
 
-    with pytest.raises(Exception):
-        jobs.await_drained(jobs.start_lake_stream(jobs.record_stream(spark, src), out, ck,
-                                                  fail_after_write=fail_first), 300)
+    with pytest.raises(StreamingQueryException, match="InjectedFailure"):
+        run()
     t1 = spark.read.parquet(f"{out}/batch_id=0").select("processing_timestamp").distinct().collect()
-    jobs.await_drained(jobs.start_lake_stream(jobs.record_stream(spark, src), out, ck,
-                                              fail_after_write=fail_first), 300)
+    run()
     t = lake.read_lake(spark, out)
     t2 = t.select("processing_timestamp").distinct().collect()
     assert len(t1) == 1 and t1 == t2
     hist = lake.history(spark, out).collect()
     assert len(hist) == 1 and hist[0]["committed_at"] == t2[0][0]
     assert hist[0]["row_count"] == log.where("cut = 0").count()
+
+
+CHANGES = "k long, op string, lsn long, after struct<v:long>"
+
+
+def test_current_state_is_compacted(spark, tmp_dir):
+    src, state, ck = f"{tmp_dir}/src", f"{tmp_dir}/state", f"{tmp_dir}/ck"
+    for b in range(7):
+        rows = [(k, "c" if b == 0 else "u", 10 * b + k, (100 * b + k,)) for k in range(b % 3, 4)]
+        if b == 6:
+            rows.append((9, "c", 99, (9,)))
+            rows.append((0, "d", 98, None))
+        spark.createDataFrame(rows, CHANGES).coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(CHANGES).parquet(src)
+        jobs.await_drained(jobs.start_current_state_stream(stream, "k", ["lsn"], state, ck,
+                                                           state_partitions=2, compact_every=2))
+    left = sorted(d for d in os.listdir(state) if d.startswith("batch_id="))
+    assert left == ["batch_id=4", "batch_id=5", "batch_id=6"]
+    got = {r["k"]: r["v"] for r in jobs.read_current_state(spark, state, "k", ["lsn"]).collect()}
+    assert got == {1: 601, 2: 602, 3: 603, 9: 9}
+
+
+def test_decode_stream_keeps_bad_records_aside(spark, tmp_dir):
+    from pyspark.sql import types as T
+
+    from tidemark.schemas import RECORD
+    rows = [(b"k", v, "pg.public.t", 0, i, None, 0) for i, v in
+            enumerate([b'{"a": 1}', b'{"a":', b'{"a": 3}'])]
+    spark.createDataFrame(rows, RECORD).write.parquet(f"{tmp_dir}/src")
+    schema = T.StructType([T.StructField("a", T.LongType())])
+    jobs.await_drained(jobs.start_decode_stream(
+        jobs.record_stream(spark, f"{tmp_dir}/src"), schema, f"{tmp_dir}/good", f"{tmp_dir}/bad",
+        f"{tmp_dir}/ck"))
+    good = spark.read.parquet(f"{tmp_dir}/good").orderBy("offset").collect()
+    assert [(r["offset"], r["message"]["a"]) for r in good] == [(0, 1), (2, 3)]
+    bad = spark.read.parquet(f"{tmp_dir}/bad").collect()
+    assert [(r["offset"], r["corrupt_record"]) for r in bad] == [(1, '{"a":')]
+
+
+def test_wait_can_be_bounded(spark, tmp_dir):
+    q = (spark.readStream.format("rate").load().writeStream.format("noop")
+         .option("checkpointLocation", f"{tmp_dir}/ck").start())
+    with pytest.raises(TimeoutError):
+        jobs.await_drained(q, 1)
+    assert not q.isActive

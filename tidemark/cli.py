@@ -6,6 +6,8 @@
         --report /lake/report --checkpoint /ckpt/report
     python -m tidemark.cli stream-lake --kafka host:9092 --topics t1,t2 \
         --lake /lake/changes --checkpoint /ckpt/lake --trigger "10 seconds"
+    python -m tidemark.cli consume --kafka host:9092 --topics t1 --schema "k long" \
+        --out /lake/messages --errors /lake/bad --checkpoint /ckpt/consume
     python -m tidemark.cli read-lake /lake/changes
 
 ``--source-dir`` replaces ``--kafka`` with a folder of replayed records
@@ -29,6 +31,8 @@ def _records(spark: SparkSession, args) -> "DataFrame":  # noqa: F821
     from .sources.records import read_kafka, read_record_files
     if args.source_dir:
         return read_record_files(spark, args.source_dir, stream=True)
+    if not args.topics:
+        raise SystemExit("--kafka needs --topics")
     return read_kafka(spark, args.kafka, args.topics)
 
 
@@ -76,11 +80,27 @@ def cmd_stream_lake(args) -> int:
     from .streaming.jobs import run_until_stopped, start_lake_stream
     spark = _session("tidemark-stream-lake")
     q = start_lake_stream(_records(spark, args), args.lake, args.checkpoint,
-                          trigger=_trigger(args))
+                          trigger=_trigger(args), fmt=args.format, app_id=args.app_id)
     run_until_stopped(q)
     return 0
 
 
+def cmd_consume(args) -> int:
+    """Decoded messages to ``--out``, those that do not parse to ``--errors``;
+    prints how many of each there are."""
+    from pyspark.sql.types import StructType
+
+    from .streaming.jobs import run_until_stopped, start_decode_stream
+    spark = _session("tidemark-consume")
+    q = start_decode_stream(_records(spark, args), StructType.fromDDL(args.schema), args.out,
+                            args.errors, args.checkpoint, trigger=_trigger(args))
+    run_until_stopped(q)
+    good = spark.read.parquet(args.out)
+    good.orderBy("topic", "partition", "offset").show(args.show, truncate=False)
+    print(f"decoded: {good.count()}, failed: {spark.read.parquet(args.errors).count()}")
+    return 0
+
+
 def cmd_read_lake(args) -> int:
     """Schema, row count, 20 rows, counts per source table and per topic."""
     from .operators.reports import count_by, total_count
@@ -113,17 +133,25 @@ def main(argv: list[str] | None = None) -> int:
 
     for name, fn, out, default_trigger in (
             ("stream-report", cmd_stream_report, "--report", "5 seconds"),
-            ("stream-lake", cmd_stream_lake, "--lake", "10 seconds")):
+            ("stream-lake", cmd_stream_lake, "--lake", "10 seconds"),
+            ("consume", cmd_consume, "--out", "10 seconds")):
         sp = sub.add_parser(name)
         src = sp.add_mutually_exclusive_group(required=True)
         src.add_argument("--kafka")
         src.add_argument("--source-dir")
-        sp.add_argument("--topics", default="")
+        sp.add_argument("--topics", help="comma-separated; needed with --kafka")
         sp.add_argument(out, required=True, dest=out.strip("-"))
         sp.add_argument("--checkpoint", required=True)
         sp.add_argument("--trigger", default=default_trigger,
                         help='processing time like "10 seconds", or available-now')
         sp.set_defaults(fn=fn)
+        if name == "stream-lake":
+            sp.add_argument("--format", choices=["parquet", "delta"], default="parquet")
+            sp.add_argument("--app-id", help="stable id of this stream (needed for delta)")
+        if name == "consume":
+            sp.add_argument("--errors", required=True)
+            sp.add_argument("--schema", required=True, help="fields of a message as DDL")
+            sp.add_argument("--show", type=int, default=20)
 
     rl = sub.add_parser("read-lake")
     rl.add_argument("lake")

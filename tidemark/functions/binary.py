@@ -32,7 +32,7 @@ def wire_schema_id(value: Column | str) -> Column:
 def wire_payload(value: Column | str) -> Column:
     """Payload after the 5-byte frame header; NULL when not framed."""
     v = _col(value)
-    return F.when(wire_schema_id(v).isNotNull(), F.substring(v, 6, 1 << 30))
+    return F.when(wire_schema_id(v).isNotNull(), F.substr(v, F.lit(6)))
 
 
 def _col(c: Column | str) -> Column:

@@ -30,32 +30,34 @@ def _aligned(before: DataFrame, after: DataFrame) -> tuple[DataFrame, DataFrame]
     return fill(before), fill(after)
 
 
-def snapshot_diff(before: DataFrame, after: DataFrame, keys: Sequence[str],
-                  check_unique: bool = False) -> DataFrame:
+def snapshot_diff(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Change rows turning ``before`` into ``after``: ``c`` (key only in
     after), ``d`` (key only in before), ``u`` (row image differs; NULLs
-    compare equal).  Unchanged keys give no row.
+    compare equal, also in keys).  Unchanged keys give no row.
 
-    One full outer join on the key: both sides shuffle by key once (or not
-    at all when both are stored bucketed by it).  Keys must be unique per
-    side; with ``check_unique`` a duplicate raises before the join.  A
-    column added or dropped between the versions counts as NULL on the side
-    that lacks it.
+    Both sides are stacked and grouped by key: one shuffle, no join.  Keys must
+    be unique per side; a duplicate raises when its group is read.  A column
+    added or dropped between the versions counts as NULL on the side that lacks
+    it.
     """
     keys = list(keys)
     before, after = _aligned(before, after)
-    if check_unique:
-        for side, df in (("before", before), ("after", after)):
-            dup = df.groupBy(*keys).count().where("count > 1").limit(1).collect()
-            if dup:
-                raise ValueError(f"duplicate key in {side} snapshot: {dup[0]}")
-    b = before.select(*keys, _image(before, "before"))
-    a = after.select(*keys, _image(after, "after"))
-    op = (F.when(F.col("before").isNull(), F.lit("c"))
-          .when(F.col("after").isNull(), F.lit("d"))
+    both = before.select(*keys, _image(before, "_row"), F.lit(0).alias("_side")).union(
+        after.select(*keys, _image(after, "_row"), F.lit(1).alias("_side")))
+
+    def side(n: int, name: str) -> list[Column]:
+        row = F.when(F.col("_side") == n, F.col("_row"))
+        return [F.first(row, ignorenulls=True).alias(name),
+                F.count(F.when(F.col("_side") == n, 1)).alias(f"_n{n}")]
+
+    grouped = both.groupBy(*keys).agg(*side(0, "before"), *side(1, "after"))
+    fail = F.raise_error(F.concat(F.lit("duplicate key in a snapshot: "),
+                                  F.to_json(F.struct(*keys)))).cast("string")
+    op = (F.when((F.col("_n0") > 1) | (F.col("_n1") > 1), fail)
+          .when(F.col("_n0") == 0, F.lit("c"))
+          .when(F.col("_n1") == 0, F.lit("d"))
           .when(~F.col("before").eqNullSafe(F.col("after")), F.lit("u")))
-    return (b.join(a, on=keys, how="full_outer")
-            .select(*keys, op.alias("op"), "before", "after")
+    return (grouped.select(*keys, op.alias("op"), "before", "after")
             .where(F.col("op").isNotNull()))
 
 
@@ -82,6 +84,13 @@ def flatten_change(changes: DataFrame) -> DataFrame:
     return changes.select(*cols)
 
 
+def live(op: Column) -> Column:
+    """Whether a last change leaves a row; raises where there is no operation,
+    so such a change is not dropped in silence."""
+    return F.when(op.isNull(), F.raise_error(F.lit("change without an operation"))
+                  .cast("boolean")).otherwise(op != "d")
+
+
 def current_state(changes: DataFrame, key: str | Sequence[str],
                   order: Sequence[str], image: str = "after",
                   op_col: str = "op") -> DataFrame:
@@ -89,8 +98,9 @@ def current_state(changes: DataFrame, key: str | Sequence[str],
 
     ``max_by`` is an aggregate: each task keeps one row per key and only
     those partial winners are shuffled, so a key holding a third of all
-    changes costs no more than any other.  Ties on ``order`` must be broken
-    by adding columns to ``order``.
+    changes makes no large task.  (Its rows are sorted in each task first; the
+    sort spills.)  Ties on ``order`` must be broken by adding columns to
+    ``order``.  A change without an operation raises.
     """
     keys = [key] if isinstance(key, str) else list(key)
     order_col = F.struct(*[F.col(o) for o in order])
@@ -99,7 +109,7 @@ def current_state(changes: DataFrame, key: str | Sequence[str],
                        F.col(image).alias("image"))
     last = (changes.groupBy(*keys)
             .agg(F.max_by(payload, order_col).alias("_last")))
-    return (last.where(F.col("_last.op") != "d")
+    return (last.where(live(F.col("_last.op")))
             .select(*keys, "_last.op", *[f"_last.{o}" for o in order],
                     "_last.image.*"))
 
@@ -126,48 +136,3 @@ def tag_tables(tables: Mapping[str, DataFrame], keys: Mapping[str, str]) -> Data
             F.lit("r").alias("op"),
             F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("after_json")))
     return reduce(lambda a, b: a.unionByName(b), parts)
-
-
-def change_records(changes: DataFrame, table: str | Column, keys: Sequence[str],
-                   order: str, partitions: int = 1, prefix: str = "pg",
-                   schema: str = "public", timestamp: Column | None = None,
-                   bucket_width: int | None = None,
-                   continue_from: DataFrame | None = None) -> DataFrame:
-    """Change rows (``keys, op, before, after``) as topic records, the way a
-    capture connector publishes them: topic ``<prefix>.<schema>.<table>``,
-    key = JSON of the key columns, value = JSON envelope, partition = hash
-    of the key (a key stays in one partition), offsets numbered per
-    topic-partition by ``order`` (an integral, unique change position).
-
-    The result has the Kafka record schema, so it can go to Kafka
-    (``write_kafka``, which assigns its own offsets) or to files that the
-    stream jobs read.  When appending to files that already hold records,
-    pass them as ``continue_from``: offsets then continue after each
-    topic-partition's last one (a join with one row per topic-partition).
-    """
-    from ..schemas import RECORD
-    from .sequence import DEFAULT_BUCKET_WIDTH, number_within
-
-    t = F.lit(table) if isinstance(table, str) else table
-    key_json = F.to_json(F.struct(*[F.col(k) for k in keys]))
-    envelope = F.to_json(F.struct(
-        F.col("before"), F.col("after"), F.col("op"),
-        F.struct(t.alias("table")).alias("source"),
-        F.col(order).cast("bigint").alias("lsn")))
-    staged = changes.select(
-        key_json.cast("binary").alias("key"),
-        envelope.cast("binary").alias("value"),
-        route_topic(t, prefix, schema).alias("topic"),
-        F.pmod(F.xxhash64(key_json), F.lit(partitions)).cast("int").alias("partition"),
-        (timestamp if timestamp is not None else F.current_timestamp())
-        .cast("timestamp").alias("timestamp"),
-        F.lit(0).alias("timestampType"),
-        F.col(order).cast("bigint").alias("_tm_order"))
-    numbered = number_within(staged, ["topic", "partition"], "_tm_order", out="offset",
-                             start=0, bucket_width=bucket_width or DEFAULT_BUCKET_WIDTH)
-    if continue_from is not None:
-        ends = (continue_from.groupBy("topic", "partition")
-                .agg((F.max("offset") + 1).alias("_tm_next")))
-        numbered = (numbered.join(ends, ["topic", "partition"], "left")
-                    .withColumn("offset", F.col("offset") + F.coalesce("_tm_next", F.lit(0))))
-    return numbered.select(*RECORD.fieldNames())

@@ -36,12 +36,14 @@ def unexpected(expected: Sequence[str], found: DataFrame, column: str,
     return found.select(column).distinct().join(want, column, "left_anti")
 
 
-def require(checks: DataFrame, passed: str = "passed", limit: int = 20) -> None:
-    """Raise when any check row did not pass (only up to ``limit`` failing
-    rows reach the driver, for the message)."""
-    bad = checks.where(~F.col(passed) | F.col(passed).isNull()).limit(limit).collect()
+def require(checks: DataFrame, passed: str = "passed", show: int = 20) -> None:
+    """Raise when any check row did not pass.  The message has the true number
+    of failures and shows at most ``show`` of them."""
+    failed = ~F.col(passed) | F.col(passed).isNull()
+    bad = checks.where(failed).limit(show).collect()
     if bad:
-        raise AssertionError(f"{len(bad)} check(s) failed, e.g. {bad[0].asDict()}")
+        n = checks.where(failed).count()
+        raise AssertionError(f"{n} check(s) failed, e.g. {[r.asDict() for r in bad]}")
 
 
 def at_least(check: str, value: DataFrame, column: str, minimum: int = 1,

@@ -79,6 +79,19 @@ def include_patterns(column: Column | str, patterns: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, conds)
 
 
+def table_topics(tables: Sequence[str], prefix: str = "pg", schema: str = "public") -> list[str]:
+    """Topic names of literal table names, for a filter on the topic itself
+    that reaches the scan as ``In``."""
+    return [f"{prefix}.{schema}.{t}" for t in tables]
+
+
+def included_topics(records: DataFrame, qualified: Column, patterns: Sequence[str]) -> DataFrame:
+    """Rows whose topic matches the include list: the patterns run on the
+    distinct topics (few) and the rows are semi-joined with those that match."""
+    topics = records.select("topic").distinct().where(include_patterns(qualified, patterns))
+    return records.join(topics, "topic", "left_semi")
+
+
 def topic_list(column: Column | str, topics: str | Sequence[str]) -> Column:
     """Comma-separated topic list (the ``subscribe`` option form) as a filter."""
     names = topics.split(",") if isinstance(topics, str) else list(topics)

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,10 +21,10 @@ from ..sources import files
 from ..sources import lake as lakes
 from ..sources.records import SUBJECT_SUFFIX
 from ..streaming import jobs
-from ..streaming.sinks import write_lake_batches
-from .common import (EPOCH, N_CUTS, batch_clock, batch_clock_col, enriched,
-                     envelope_records, framed_records, ntz, order_versions,
-                     processing_ts, records, release_cut, table, topic_log)
+from ..streaming.sinks import write_lake_batch, write_lake_batches
+from .common import (EPOCH, N_CUTS, InjectedFailure, batch_clock, batch_clock_col, cut_stream,
+                     enriched, envelope_records, failing_once, framed_records, ntz,
+                     order_versions, processing_ts, records, stored_path, table)
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -99,7 +100,7 @@ def q_topics_by_prefix(spark, sf_dir):
 @register("expected_tables")
 def q_expected_tables(spark, sf_dir):
     e = enriched(spark, sf_dir).where(
-        reports.anchored_any("source_table", EXPECTED_TABLES))
+        reports.topic_list("kafka_topic", reports.table_topics(EXPECTED_TABLES)))
     return reports.count_by(e, "source_table")
 
 
@@ -107,8 +108,7 @@ def q_expected_tables(spark, sf_dir):
 def q_include_list(spark, sf_dir):
     rec = records(spark, sf_dir)
     qualified = F.concat_ws(".", topic_part("topic", 1), topic_part("topic", 2))
-    return reports.count_by(rec.where(reports.include_patterns(qualified, [r"public\..*"])),
-                            "topic")
+    return reports.count_by(reports.included_topics(rec, qualified, [r"public\..*"]), "topic")
 
 
 @register("topic_replay")
@@ -207,10 +207,15 @@ def q_snapshot_diff(spark, sf_dir):
 
 @register("route_topics")
 def q_route_topics(spark, sf_dir):
-    names = {"customer": "c_custkey", "orders": "o_orderkey", "supplier": "s_suppkey"}
+    """Initial snapshots of three tables, each row with its topic, key and row
+    image (as fields, so the images are compared, too)."""
+    names = {"customer": "c_custkey", "nation": "n_nationkey", "supplier": "s_suppkey"}
     tagged = cdc.tag_tables({n: table(spark, sf_dir, n) for n in names}, names)
-    return reports.count_by(tagged.select(cdc.route_topic("table_name").alias("topic")),
-                            "topic")
+    field = lambda *f: F.coalesce(*[F.get_json_object("after_json", f"$.{x}")
+                                    for x in f])
+    return tagged.select(cdc.route_topic("table_name").alias("topic"), "k", "op",
+                         field("c_name", "n_name", "s_name").alias("name"),
+                         field("c_nationkey", "n_regionkey", "s_nationkey").alias("parent_key"))
 
 
 # --- ingest: discovery, CSV scan, inference, table load, seeds (S1, S2, S10,
@@ -218,43 +223,92 @@ def q_route_topics(spark, sf_dir):
 
 
 CSV_TABLES = ("customer", "orders", "supplier")
+TEXT_TABLES = ("documents", "pages")
 
 
-def _csv_tree(spark, sf_dir):
-    """Write the CSV source tree (one Spark CSV folder per table) under the
-    shared scratch root and return its path."""
-    root = scratch_path(spark, "csv")
-    for name in CSV_TABLES:
-        files.write_csv(table(spark, sf_dir, name), f"{root}/{name}.csv")
-    return root
+def _csv_tree(spark, sf_dir, names=CSV_TABLES):
+    """The CSV source tree (one Spark CSV folder per table) under the shared
+    scratch root, written once per application."""
+    def build(root):
+        for name in names:
+            files.write_csv(table(spark, sf_dir, name), f"{root}/{name}.csv")
+
+    return stored_path(spark, sf_dir, f"csv-{names[0]}", build)
+
+
+def _loaded(spark, sf_dir, names, multi_line=False):
+    """All tables of a CSV tree after the load, stacked by column name."""
+    root = _csv_tree(spark, sf_dir, names)
+    out = scratch_path(spark, "tables")
+    ingest.load_csv_tables(spark, root, out, table_from="parent", multi_line=multi_line)
+    stacked = None
+    for name in names:
+        df = spark.read.parquet(f"{out}/{name}").withColumn("table_name", F.lit(name))
+        stacked = df if stacked is None else stacked.unionByName(df, allowMissingColumns=True)
+    return stacked
+
+
+def _relative(root):
+    """Folder of a listed file, relative to ``root``'s last part."""
+    base = root.rstrip("/").rsplit("/", 1)[-1]
+    return F.regexp_extract("path", rf"/{base}/(.*)/[^/]*$", 1)
 
 
 @register("csv_inventory")
 def q_csv_inventory(spark, sf_dir):
+    """CSV sources of a tree: table, folder below the root, whether there is
+    any content (part files of one table make one row)."""
     root = _csv_tree(spark, sf_dir)
-    return files.discover_csv(spark, root, recursive=True, table_from="parent") \
-        .select("table_name", "path", "length")
+    found = files.discover_csv(spark, root, recursive=True, table_from="parent", ordered=False)
+    return found.groupBy("table_name", _relative(root).alias("path")).agg(
+        (F.max("length") > 0).alias("has_rows"))
 
 
 @register("file_inventory")
 def q_file_inventory(spark, sf_dir):
+    """Folders below a prefix with whether their objects hold anything."""
     root = _csv_tree(spark, sf_dir)
-    return files.file_inventory(spark, root).select("path", "length")
+    return files.file_inventory(spark, root).groupBy(_relative(root).alias("path")).agg(
+        (F.sum("length") > 0).alias("has_rows"))
 
 
 @register("csv_roundtrip")
 def q_csv_roundtrip(spark, sf_dir):
-    root = _csv_tree(spark, sf_dir)
-    out = scratch_path(spark, "tables")
-    ingest.load_csv_tables(spark, root, out, table_from="parent")
-    return spark.read.parquet(f"{out}/customer")
+    """Three tables written as CSV and loaded again, all rows of all three."""
+    return _loaded(spark, sf_dir, CSV_TABLES)
+
+
+@register("csv_text_roundtrip")
+def q_csv_text_roundtrip(spark, sf_dir):
+    """The same for texts and web pages with quotes and line breaks."""
+    return _loaded(spark, sf_dir, TEXT_TABLES, multi_line=True)
+
+
+def _infer(spark, sf_dir, name):
+    t = table(spark, sf_dir, name)
+    as_text = t.select(*[F.col(c).cast("string").alias(c) for c in t.columns])
+    return inference.infer_types(inference.null_na_tokens(as_text))
 
 
 @register("infer_types")
 def q_infer_types(spark, sf_dir):
-    o = table(spark, sf_dir, "orders")
-    as_text = o.select(*[F.col(c).cast("string").alias(c) for c in o.columns])
-    return inference.infer_types(inference.null_na_tokens(as_text))
+    return _infer(spark, sf_dir, "orders")
+
+
+@register("infer_types_text")
+def q_infer_types_text(spark, sf_dir):
+    """Inference over texts, and over numbers with blanks around them, with
+    missing values and beyond 64 bits, derived from ``documents``."""
+    d = table(spark, sf_dir, "documents")
+    i = F.col("doc_id")
+    shown = d.select(
+        i.cast("string").alias("doc_id"), "text", "lang",
+        F.concat(F.lit(" "), i.cast("string"), F.lit(" ")).alias("padded"),
+        F.when(i % 3 != 0, i.cast("string")).alias("sparse"),
+        F.concat(F.lit("98765432109876"), F.lpad(i.cast("string"), 9, "0")).alias("huge"),
+        F.when(i % 2 == 0, "True").otherwise("false").alias("flag"),
+        F.lit("NA").alias("nothing"))
+    return inference.infer_types(inference.null_na_tokens(shown))
 
 
 @register("seed_rows")
@@ -270,60 +324,48 @@ def q_seed_rows(spark, sf_dir):
 # --- lake sink, versions and streams (S3, S6-S9, K5-K8, T1-T7, A1) ---------
 
 
-def _read(spark, lake_path):
-    return lakes.read_lake(spark, lake_path)
+def _read(spark, lake_path, **kwargs):
+    return lakes.read_lake(spark, lake_path, **kwargs)
 
 
 def _lake_by_batches(spark, sf_dir):
     """Batch backfill: every arrival cut becomes its lake batch in one
     partitioned write (the stream path writes the same layout batch by
-    batch).  Returns the lake path."""
-    lake = scratch_path(spark, "lake")
-    rec = records(spark, sf_dir, keep_ids=True).withColumnRenamed("cut", "batch_id")
-    clock = batch_clock_col(F.col("batch_id"))
-    enriched_rows = enrich(rec, clock, carry=["batch_id"])
-    write_lake_batches(enriched_rows, lake, committed_at=clock)
-    return lake
+    batch), once per application.  Returns the lake path."""
+    def build(lake):
+        rec = records(spark, sf_dir, keep_ids=True).withColumnRenamed("cut", "batch_id")
+        clock = batch_clock_col(F.col("batch_id"))
+        write_lake_batches(enrich(rec, clock, carry=["batch_id"]), lake, committed_at=clock)
+
+    return stored_path(spark, sf_dir, "lake", build)
 
 
-def _lake_by_stream(spark, sf_dir, releases=None, keep_extra=None, fail_once_at=None):
-    """Stream writer: cuts arrive in the topic folder; after each arrival an
-    ``availableNow`` run of the same checkpointed query drains it.  Returns
-    the lake path."""
-    log = topic_log(spark, sf_dir)
-    src = scratch_path(spark, "topic")
+def _lake_by_stream(spark, sf_dir, releases=None, keep_extra=None, write=write_lake_batch):
+    """Stream writer: cuts arrive in the topic; after each arrival an
+    ``availableNow`` run of the same checkpointed query drains it.  A run that
+    ends with the injected failure is started again, as a supervisor would;
+    any other error is raised.  Returns the lake path."""
     lake = scratch_path(spark, "lake")
     ckpt = scratch_path(spark, "checkpoint")
-    failed = {"done": False}
-
-    def fail(batch_id):
-        if fail_once_at is not None and batch_id == fail_once_at and not failed["done"]:
-            failed["done"] = True
-            return True
-        return False
-
+    arrived = []
     for group in releases or [[c] for c in range(N_CUTS)]:
-        for c in group:
-            release_cut(log, c, src)
+        arrived += group
         for attempt in range(2):
-            q = jobs.start_lake_stream(jobs.record_stream(spark, src), lake, ckpt,
-                                       clock=batch_clock, keep_extra=keep_extra,
-                                       fail_after_write=fail)
+            q = jobs.start_lake_stream(cut_stream(spark, sf_dir, arrived), lake, ckpt,
+                                       clock=batch_clock, keep_extra=keep_extra, write=write)
             try:
                 jobs.await_drained(q)
                 break
-            except Exception:  # noqa: BLE001 - restart once, as a supervisor would
-                if attempt == 1:
+            except StreamingQueryException as ex:
+                if attempt == 1 or InjectedFailure.__name__ not in str(ex):
                     raise
     return lake
 
 
 @register("stream_enrich")
 def q_stream_enrich(spark, sf_dir):
-    src = scratch_path(spark, "topic")
-    records(spark, sf_dir).write.parquet(src)
     sink, ckpt = scratch_path(spark, "enriched"), scratch_path(spark, "checkpoint")
-    q = jobs.start_enrich_stream(jobs.record_stream(spark, src), sink, ckpt,
+    q = jobs.start_enrich_stream(cut_stream(spark, sf_dir, range(N_CUTS)), sink, ckpt,
                                  processing_timestamp=processing_ts())
     jobs.await_drained(q)
     return ntz(spark.read.parquet(sink))
@@ -349,18 +391,15 @@ def q_lake_preview(spark, sf_dir):
     return ntz(lakes.preview(_read(spark, _lake_by_batches(spark, sf_dir)), 20))
 
 
-LOG_POSITION = ["kafka_topic", "kafka_partition", "kafka_offset", "batch_id"]
-
-
 @register("as_of_version")
 def q_as_of_version(spark, sf_dir):
-    return lakes.read_version(spark, _lake_by_batches(spark, sf_dir), version=1).select(*LOG_POSITION)
+    return ntz(lakes.read_version(spark, _lake_by_batches(spark, sf_dir), version=1))
 
 
 @register("as_of_timestamp")
 def q_as_of_timestamp(spark, sf_dir):
-    return lakes.read_version(spark, _lake_by_batches(spark, sf_dir),
-                              timestamp="2024-02-03 12:00:00").select(*LOG_POSITION)
+    return ntz(lakes.read_version(spark, _lake_by_batches(spark, sf_dir),
+                                  timestamp="2024-02-03 12:00:00"))
 
 
 @register("table_history")
@@ -370,28 +409,28 @@ def q_table_history(spark, sf_dir):
 
 @register("schema_evolution")
 def q_schema_evolution(spark, sf_dir):
-    return ntz(_read(spark, _lake_by_stream(spark, sf_dir, keep_extra=lambda b: b >= 1)))
+    return ntz(_read(spark, _lake_by_stream(spark, sf_dir, keep_extra=lambda b: b >= 1),
+                     merge_schema=True))
 
 
 @register("stream_resume")
 def q_stream_resume(spark, sf_dir):
-    lake = _read(spark, _lake_by_stream(spark, sf_dir, releases=[[0, 1], [2, 3]]))
-    return ntz(lake.select(*LOG_POSITION, "committed_at"))
+    return ntz(_read(spark, _lake_by_stream(spark, sf_dir, releases=[[0, 1], [2, 3]])))
 
 
 @register("stream_replay")
 def q_stream_replay(spark, sf_dir):
-    return ntz(lakes.history(spark, _lake_by_stream(spark, sf_dir, fail_once_at=1)))
+    """History after a crash between a write and its checkpoint commit: the
+    replayed batch is there once."""
+    lake = _lake_by_stream(spark, sf_dir, write=failing_once(write_lake_batch, 1))
+    return ntz(lakes.history(spark, lake))
 
 
 @register("batch_report")
 def q_batch_report(spark, sf_dir):
-    log = topic_log(spark, sf_dir)
-    src, report = scratch_path(spark, "topic"), scratch_path(spark, "report")
-    ckpt = scratch_path(spark, "checkpoint")
+    report, ckpt = scratch_path(spark, "report"), scratch_path(spark, "checkpoint")
     for c in range(N_CUTS):
-        release_cut(log, c, src)
-        q = jobs.start_report_stream(jobs.record_stream(spark, src), report, ckpt,
+        q = jobs.start_report_stream(cut_stream(spark, sf_dir, range(c + 1)), report, ckpt,
                                      clock=batch_clock)
         jobs.await_drained(q)
     lines = spark.read.text(report)
@@ -417,6 +456,12 @@ def q_dq_missing(spark, sf_dir):
     return quality.missing(EXPECTED_TOPICS, records(spark, sf_dir), "topic")
 
 
+@register("dq_unexpected")
+def q_dq_unexpected(spark, sf_dir):
+    """Topics found that are not in an (incomplete) expected list."""
+    return quality.unexpected(EXPECTED_TOPICS[:3], records(spark, sf_dir), "topic")
+
+
 @register("dq_schemas")
 def q_dq_schemas(spark, sf_dir):
     subjects = F.concat(F.col("topic"), F.lit(SUBJECT_SUFFIX))
@@ -427,19 +472,17 @@ def q_dq_schemas(spark, sf_dir):
 @register("stream_current_state")
 def q_stream_current_state(spark, sf_dir):
     """Current state (C4) maintained on a stream of change envelopes."""
-    log = topic_log(spark, sf_dir, "envelopes")
-    src, state = scratch_path(spark, "topic"), scratch_path(spark, "state")
-    ckpt = scratch_path(spark, "checkpoint")
+    state, ckpt = scratch_path(spark, "state"), scratch_path(spark, "checkpoint")
     for c in range(N_CUTS):
-        release_cut(log, c, src)
-        decoded = envelope.decode_json(jobs.record_stream(spark, src), ENVELOPE)
+        arrived = cut_stream(spark, sf_dir, range(c + 1), "envelopes")
+        decoded = envelope.decode_json(arrived, ENVELOPE)
         good = decoded.where(F.col("envelope._corrupt_record").isNull()
                              & F.col("envelope").isNotNull())
         changes = good.select("envelope.k", "envelope.op", "envelope.lsn",
                               "envelope.after")
         q = jobs.start_current_state_stream(
             changes, "k", ["lsn"], state, ckpt,
-            state_partitions=parallelism(spark))
+            state_partitions=parallelism(spark), compact_every=2)
         jobs.await_drained(q)
     return jobs.read_current_state(spark, state, "k", ["lsn"])
 
@@ -457,28 +500,3 @@ def q_decode_framed(spark, sf_dir):
                       F.col("partition").alias("kafka_partition"),
                       F.col("offset").alias("kafka_offset"), "schema_id",
                       F.col("decoded.k").alias("k"))
-
-
-@register("change_topics")
-def q_change_topics(spark, sf_dir):
-    """Tables -> change events (initial snapshot, then one seed insert per
-    table) -> topic records with offsets -> messages per topic."""
-    specs = {"nation": ("n_name", "n_regionkey", "n_nationkey"),
-             "region": ("r_name", "r_regionkey", "r_regionkey"),
-             "supplier": ("s_name", "s_nationkey", "s_suppkey")}
-    ts = processing_ts()
-    published = []
-    for name, (k, v, order) in specs.items():
-        t = table(spark, sf_dir, name)
-        rows = t.select(F.col(k).cast("string").alias("key"),
-                        F.col(v).cast("string").alias("value"),
-                        F.col(order).cast("bigint").alias("lsn"))
-        snap = cdc.snapshot_events(rows, ["key"], carry=["lsn"])
-        seed = ingest.seed_row(spark, name, EPOCH).withColumn("lsn", F.lit(1 << 41))
-        inserts = cdc.snapshot_events(seed, ["key"], op="c", carry=["lsn"])
-        published.append(cdc.change_records(snap.unionByName(inserts), name, ["key"],
-                                            "lsn", partitions=3, timestamp=ts))
-    recs = published[0]
-    for p in published[1:]:
-        recs = recs.unionByName(p)
-    return reports.topic_end_offsets(recs)

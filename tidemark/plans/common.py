@@ -3,12 +3,14 @@ fixtures derived from ``events`` (see FIXTURES.md)."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.enrich import enrich
-from ..session import app_id, use_utc
+from ..session import app_id, scratch_path, use_utc
 from ..sources.records import events_as_records, records_only
 
 # Fixed values of the fixtures (shared with the oracle SQL).
@@ -96,20 +98,18 @@ TOPIC_VALUES = {
     "envelopes_damaged": lambda: _envelope_value(F.col("event_type") == "error"),
     "framed": _framed_value,
 }
-_LOGS: dict[tuple[str, str, str], str] = {}
+_STORED: dict[tuple, str] = {}
 
 
-def _stored(spark: SparkSession, key: tuple, build) -> DataFrame:
-    """Read a fixture stored for this application, building it once."""
-    path = _LOGS.get(key)
-    if path is not None:
-        try:
-            return spark.read.parquet(path)
-        except Exception:  # noqa: BLE001 - folder gone: build again
-            _LOGS.pop(key, None)
-    path = build()
-    _LOGS[key] = path
-    return spark.read.parquet(path)
+def stored_path(spark: SparkSession, sf_dir: str, name: str, build) -> str:
+    """Path of a fixture that is built once per application by
+    ``build(path)``."""
+    key = (app_id(spark), sf_dir.rstrip("/"), name)
+    if key not in _STORED:
+        path = scratch_path(spark, name)
+        build(path)
+        _STORED[key] = path
+    return _STORED[key]
 
 
 def _numbered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,11 +117,14 @@ def _numbered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     numbered per topic-partition, one value column per fixture kind
     (``value_<kind>``), event id, event time and arrival cut; partitioned by
     cut.  One job: the numbering shuffle plus a narrow projection."""
-    from ..session import scratch_path
+    return spark.read.parquet(log_path(spark, sf_dir))
+
+
+def log_path(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the stored topic log (``cut=<n>`` below it)."""
     from ..schemas import RECORD
 
-    def build() -> str:
-        path = scratch_path(spark, "topic-log")
+    def build(path: str) -> None:
         ev = table(spark, sf_dir, "events")
         rec = events_as_records(ev, value=F.col("props").cast("binary"),
                                 carry=["user_id", "event_type", "props",
@@ -131,9 +134,8 @@ def _numbered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         (events_view.select(*[c for c in RECORD.fieldNames() if c != "value"], *kinds,
                             "event_id", "ts", cut_of(F.col("ts")).alias("cut"))
          .write.mode("overwrite").partitionBy("cut").parquet(path))
-        return path
 
-    return _stored(spark, (app_id(spark), sf_dir.rstrip("/"), "topic-log"), build)
+    return stored_path(spark, sf_dir, "topic-log", build)
 
 
 def topic_log(spark: SparkSession, sf_dir: str, kind: str = "events") -> DataFrame:
@@ -216,9 +218,34 @@ def batch_clock_col(batch_id: F.Column) -> F.Column:
         days=batch_id.cast("int"))
 
 
-def release_cut(log: DataFrame, cut: int, source_dir: str) -> None:
-    """Make cut ``cut`` of a topic log arrive in a stream's source folder
-    (partition-pruned read; an empty cut appends nothing)."""
+def cut_stream(spark: SparkSession, sf_dir: str, cuts: Sequence[int],
+               kind: str = "events") -> DataFrame:
+    """The topic as a stream to which the given cuts have arrived so far: the
+    stored log's folders themselves, no copy."""
     from ..schemas import RECORD
-    (log.where(F.col("cut") == F.lit(cut)).select(*RECORD.fieldNames())
-     .write.mode("append").parquet(source_dir))
+
+    log = _numbered_events(spark, sf_dir)
+    folders = ",".join(str(c) for c in sorted(cuts))
+    raw = (spark.readStream.schema(log.drop("cut").schema)
+           .parquet(f"{log_path(spark, sf_dir)}/cut={{{folders}}}"))
+    return raw.select(*[F.col(f"value_{kind}").alias("value") if c == "value" else F.col(c)
+                        for c in RECORD.fieldNames()])
+
+
+class InjectedFailure(RuntimeError):
+    """Raised by ``failing_once`` (replay fixture)."""
+
+
+def failing_once(write: Callable, batch_id: int) -> Callable:
+    """A batch writer that writes and then, once, crashes after batch
+    ``batch_id``: between the write and the checkpoint's commit."""
+    state = {"failed": False}
+
+    def run(batch: DataFrame, path: str, b: int, **kwargs):
+        rows = write(batch, path, b, **kwargs)
+        if b == batch_id and not state["failed"]:
+            state["failed"] = True
+            raise InjectedFailure(f"injected failure after batch {b}")
+        return rows
+
+    return run

@@ -173,14 +173,36 @@ where a.o_orderkey is null or b.o_orderkey is null or """ + \
     " or ".join(f"a.{c} is distinct from b.{c}" for c in ORDER_COLS)
 
 SQL["route_topics"] = """
-select 'pg.public.customer' as topic, count(*) as "count" from customer
-union all select 'pg.public.orders', count(*) from orders
-union all select 'pg.public.supplier', count(*) from supplier"""
+select 'pg.public.customer' as topic, cast(c_custkey as varchar) as k, 'r' as op,
+       c_name as name, cast(c_nationkey as varchar) as parent_key from customer
+union all select 'pg.public.nation', cast(n_nationkey as varchar), 'r', n_name,
+       cast(n_regionkey as varchar) from nation
+union all select 'pg.public.supplier', cast(s_suppkey as varchar), 'r', s_name,
+       cast(s_nationkey as varchar) from supplier"""
+
+SQL["csv_inventory"] = """
+select 'customer' as table_name, 'customer.csv' as path, count(*) > 0 as has_rows from customer
+union all select 'orders', 'orders.csv', count(*) > 0 from orders
+union all select 'supplier', 'supplier.csv', count(*) > 0 from supplier"""
+
+SQL["file_inventory"] = """
+select 'customer.csv' as path, count(*) > 0 as has_rows from customer
+union all select 'orders.csv', count(*) > 0 from orders
+union all select 'supplier.csv', count(*) > 0 from supplier"""
 
 SQL["csv_roundtrip"] = """
-select c_custkey, c_name, cast(c_nationkey as bigint) as c_nationkey, c_acctbal,
-       c_mktsegment
-from customer"""
+select 'customer' as table_name, c_custkey, c_name,
+       cast(c_nationkey as bigint) as c_nationkey, c_acctbal, c_mktsegment from customer
+union all by name
+select 'orders' as table_name, * replace (
+  strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') as o_orderdate) from orders
+union all by name
+select 'supplier' as table_name, * replace (
+  cast(s_nationkey as bigint) as s_nationkey) from supplier"""
+
+SQL["csv_text_roundtrip"] = """
+select 'documents' as table_name, * from documents
+union all by name select 'pages' as table_name, * from pages"""
 
 
 def _infer_sql(table: str, columns: list[str]) -> str:
@@ -204,6 +226,12 @@ from {table}""")
 
 SQL["infer_types"] = _infer_sql("orders", ORDER_COLS)
 
+SQL["infer_types_text"] = """
+select * from (values (0, 'doc_id', 'INTEGER'), (1, 'text', 'TEXT'), (2, 'lang', 'TEXT'),
+  (3, 'padded', 'INTEGER'), (4, 'sparse', 'REAL'), (5, 'huge', 'TEXT'), (6, 'flag', 'BOOLEAN'),
+  (7, 'nothing', 'REAL')) t(position, column_name, sql_type)
+where exists (select 1 from documents)"""
+
 SQL["seed_rows"] = """
 select count(*) + 1 as row_count, 'nation' as table_name from nation
 union all select count(*) + 1, 'region' from region
@@ -243,20 +271,16 @@ SQL["stream_lake"] = lake_sql()
 SQL["lake_read"] = lake_sql()
 SQL["lake_count"] = "select count(*) as row_count from events"
 SQL["lake_preview"] = lake_sql(tail="order by kafka_topic, kafka_partition, kafka_offset limit 20")
-SQL["as_of_version"] = lake_sql(cols="kafka_topic, kafka_partition, kafka_offset, batch_id",
-                                tail="where batch_id <= 1")
-SQL["as_of_timestamp"] = lake_sql(cols="kafka_topic, kafka_partition, kafka_offset, batch_id",
-                                  tail="where batch_id <= 2")
+SQL["as_of_version"] = lake_sql(tail="where batch_id <= 1")
+SQL["as_of_timestamp"] = lake_sql(tail="where batch_id <= 2")
 SQL["table_history"] = lake_sql(
     cols=f"batch_id, count(*) as row_count, max({PROC} + to_days(cast(batch_id as integer))) as committed_at",
     tail="group by batch_id")
 SQL["schema_evolution"] = lake_sql(extra_from=1)
-SQL["stream_resume"] = lake_sql(
-    batch="cut // 2",
-    cols=f"kafka_topic, kafka_partition, kafka_offset, batch_id, "
-         f"{PROC} + to_days(cast(batch_id as integer)) as committed_at")
+SQL["stream_resume"] = lake_sql(batch="cut // 2")
 SQL["stream_replay"] = SQL["table_history"]
-SQL["batch_report"] = "select * from (" + lake_sql(
+SQL["batch_report"] = """select cast(-1 as bigint) as batch_id, '=== Spark Streaming Output ===' as line
+union all select * from (""" + lake_sql(
     cols="""batch_id, format('Key: {}, Topic: {}, Partition: {}, Offset: {}, Table: {}',
        kafka_key, kafka_topic, kafka_partition, kafka_offset,
        split_part(kafka_topic, '.', 3)) as line""") + """)
@@ -276,6 +300,10 @@ select topic from (values ('pg.public.click'), ('pg.public.error'), ('pg.public.
                           ('pg.public.refund'), ('pg.public.signup'), ('pg.public.view')) t(topic)
 where topic not in (select distinct 'pg.public.' || event_type from events)"""
 
+SQL["dq_unexpected"] = """
+select distinct 'pg.public.' || event_type as topic from events
+where event_type not in ('click', 'error', 'purchase')"""
+
 SQL["dq_schemas"] = """
 select 'schemas_registered' as "check",
        cast(count(distinct event_type) as bigint) as value,
@@ -292,8 +320,3 @@ select kafka_topic, kafka_partition, kafka_offset,
 from msg"""
 
 SQL["filter_table"] = lake_sql(tail="where split_part(kafka_topic, '.', 3) = 'error'")
-
-SQL["change_topics"] = """
-select 'pg.public.nation' as topic, count(*) + 1 as messages from nation
-union all select 'pg.public.region', count(*) + 1 from region
-union all select 'pg.public.supplier', count(*) + 1 from supplier"""

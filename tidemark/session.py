@@ -62,12 +62,16 @@ def parallelism(spark: SparkSession) -> int:
                    or _conf(spark, "spark.sql.shuffle.partitions") or 8)
 
 
+def _master(spark: SparkSession) -> str:
+    return _conf(spark, "spark.master") or ""
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set by the caller to a durable shared path
-    (HDFS / object store).  Only when it is unset (local tests) is a fresh
-    scratch folder created and registered.
+    On a cluster it must be set to a durable shared path (HDFS / object
+    store): a driver's own folder is not seen by executors, so an unset value
+    raises there.  Only in local mode (tests) is a fresh scratch folder made.
     """
     root = _conf(spark, "spark.checkpoint.dir")
     sc = None
@@ -78,6 +82,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root and sc is not None:
         root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        master = _master(spark)
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all "
+                             "executors share")
         root = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         if sc is not None:
             sc.setCheckpointDir(root)
@@ -85,9 +93,27 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """This application's own folder under the shared root."""
+    return f"{checkpoint_root(spark)}/tidemark/{app_id(spark)}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint root."""
-    return f"{checkpoint_root(spark)}/tidemark/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique folder of this application."""
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder through its file system (nothing if it is not there)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application stored in its scratch folder.  Call it at
+    the end, when no result that reads from it is needed any more."""
+    delete_path(spark, scratch_root(spark))
 
 
 def object_store_conf(endpoint: str, path_style: bool = True,

@@ -2,59 +2,35 @@
 
 Layout written by ``streaming.sinks.write_lake_batch``: one folder per
 micro-batch, ``<lake>/batch_id=<n>/part-*.parquet``.  The batch id is a
-partition column, so version reads prune folders instead of scanning them.
-With the Delta jar present, ``format="delta"`` reads a Delta table instead.
+partition column, so version reads prune folders instead of scanning them.  A
+batch is there once its write job has committed its files; a crash before that
+leaves only a ``_temporary`` folder, which no reader looks at, and the replay
+overwrites the folder.  With the Delta jar present, ``fmt="delta"`` reads a Delta
+table instead.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-
-def read_commits(spark: SparkSession, path: str) -> DataFrame | None:
-    """Published batches: latest commit row per batch id (None when the
-    lake has no commit log)."""
-    from ..streaming.sinks import commits_dir
-    try:
-        log = spark.read.parquet(commits_dir(path))
-    except AnalysisException:
-        return None
-    return (log.groupBy("batch_id")
-            .agg(F.max_by(F.struct("row_count", "committed_at"), "committed_at").alias("c"))
-            .select("batch_id", "c.row_count", "c.committed_at"))
+from pyspark.sql import types as T
 
 
 def read_lake(spark: SparkSession, path: str, fmt: str = "parquet",
-              merge_schema: bool = True, committed_only: bool = True,
-              exact: bool = False) -> DataFrame:
-    """The lake table; batches that added columns are merged (missing ->
-    NULL).
-
-    With ``committed_only`` (and a commit log present) a batch is visible
-    only once published, so a batch still being written, or left behind by
-    a crash before its commit, is not read.  Both writers publish in batch
-    order (the stream one batch after the other, the backfill after its
-    whole write), so visibility is ``batch_id <= last published``: one
-    number read from the small log, applied as a partition filter (no join,
-    the scan skips the folders).  ``exact=True`` instead semi-joins the set
-    of published ids (for lakes written out of order by other tools).
-    """
+              schema: T.StructType | None = None, merge_schema: bool = False) -> DataFrame:
+    """The lake table.  With a known ``schema`` no footer is read to plan;
+    without one the columns come from one file.  ``merge_schema`` merges the
+    columns of all batches (missing -> NULL) by reading every footer, so ask
+    for it only when batches differ and no schema is at hand."""
     if fmt == "delta":
         return spark.read.format("delta").load(path)
-    df = (spark.read.option("mergeSchema", str(merge_schema).lower())
-          .parquet(path))
-    df = df.withColumn("batch_id", F.col("batch_id").cast("bigint"))
-    if committed_only:
-        commits = read_commits(spark, path)
-        if commits is not None:
-            if exact:
-                df = df.join(commits.select("batch_id"), "batch_id", "left_semi")
-            else:
-                last = commits.agg(F.max("batch_id")).first()[0]
-                df = df.where(F.col("batch_id") <= F.lit(-1 if last is None else last))
-    return df
+    reader = spark.read
+    if schema is not None:
+        reader = reader.schema(schema)
+    elif merge_schema:
+        reader = reader.option("mergeSchema", "true")
+    df = reader.parquet(path)
+    return df.withColumn("batch_id", F.col("batch_id").cast("bigint"))
 
 
 def as_of_version(lake: DataFrame, version: int) -> DataFrame:
@@ -63,26 +39,16 @@ def as_of_version(lake: DataFrame, version: int) -> DataFrame:
 
 
 def as_of_timestamp(lake: DataFrame, ts: str) -> DataFrame:
-    """Table as it was at ``ts``: batches committed at or before it."""
+    """Table as it was at ``ts``: batches committed at or before it.  A file
+    holds one value of ``committed_at``, so the pushed filter skips whole row
+    groups of later batches."""
     return lake.where(F.col("committed_at") <= F.lit(ts).cast("timestamp"))
 
 
-def version_at(spark: SparkSession, path: str, ts: str) -> int | None:
-    """Last batch published at or before ``ts`` (from the commit log; None
-    when nothing was published by then or the lake has no log)."""
-    commits = read_commits(spark, path)
-    if commits is None:
-        return None
-    return (commits.where(F.col("committed_at") <= F.lit(ts).cast("timestamp"))
-            .agg(F.max("batch_id")).first()[0])
-
-
 def read_version(spark: SparkSession, path: str, version: int | None = None,
-                 timestamp: str | None = None, fmt: str = "parquet") -> DataFrame:
-    """``versionAsOf`` / ``timestampAsOf`` in one call.  A timestamp is
-    turned into a version through the commit log, so both are partition
-    filters on ``batch_id``; without a log the timestamp filters rows on
-    ``committed_at``."""
+                 timestamp: str | None = None, fmt: str = "parquet",
+                 schema: T.StructType | None = None) -> DataFrame:
+    """``versionAsOf`` / ``timestampAsOf`` in one call."""
     if fmt == "delta":
         r = spark.read.format("delta")
         if version is not None:
@@ -90,29 +56,23 @@ def read_version(spark: SparkSession, path: str, version: int | None = None,
         if timestamp is not None:
             r = r.option("timestampAsOf", timestamp)
         return r.load(path)
-    lake = read_lake(spark, path)
+    lake = read_lake(spark, path, schema=schema)
     if version is not None:
         lake = as_of_version(lake, version)
     if timestamp is not None:
-        if read_commits(spark, path) is not None:
-            v = version_at(spark, path, timestamp)
-            lake = as_of_version(lake, -1 if v is None else v)
-        else:
-            lake = as_of_timestamp(lake, timestamp)
+        lake = as_of_timestamp(lake, timestamp)
     return lake
 
 
-def history(spark: SparkSession, path: str) -> DataFrame:
-    """Table history from the commit log (one row per batch, no data scan);
-    falls back to ``table_history`` over the data without a log."""
-    commits = read_commits(spark, path)
-    if commits is None:
-        return table_history(read_lake(spark, path))
-    return commits.orderBy("batch_id")
+def history(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """One row per batch; for Delta the table's own history."""
+    if fmt == "delta":
+        return spark.sql(f"DESCRIBE HISTORY delta.`{path}`")
+    return table_history(read_lake(spark, path))
 
 
 def table_history(lake: DataFrame) -> DataFrame:
-    """One row per batch from the data: rows written and commit time."""
+    """Rows written and commit time of each batch (reads one column)."""
     return (lake.groupBy("batch_id")
             .agg(F.count(F.lit(1)).alias("row_count"),
                  F.max("committed_at").alias("committed_at"))

@@ -59,16 +59,18 @@ def records_only(df: DataFrame) -> DataFrame:
 
 def read_kafka(spark: SparkSession, servers: str, topics: Sequence[str] | str,
                starting_offsets: str = "earliest", stream: bool = True,
+               fail_on_data_loss: bool = True,
                options: dict | None = None) -> DataFrame:
     """Kafka adapter (needs the spark-sql-kafka package on the classpath;
-    not available in this repository's test image, so untested here)."""
+    not available in this repository's test image, so untested here).  Offsets
+    that have aged out stop the query unless ``fail_on_data_loss`` is off."""
     topic_list = topics if isinstance(topics, str) else ",".join(topics)
     reader = spark.readStream if stream else spark.read
     reader = (reader.format("kafka")
               .option("kafka.bootstrap.servers", servers)
               .option("subscribe", topic_list)
               .option("startingOffsets", starting_offsets)
-              .option("failOnDataLoss", "false"))
+              .option("failOnDataLoss", str(fail_on_data_loss).lower()))
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
     return reader.load()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text_prefix
@@ -17,42 +17,27 @@ DISPLAY_ERROR_PREFIX = "Error: "
 BATCH_ERROR = "=== Batch %d error: %s ==="
 NONE_TEXT = "None"
 
-COMMITS = "_commits"
-COMMIT_SCHEMA = "batch_id bigint, row_count bigint, committed_at timestamp"
+#: Batch id of the line that opens a report.
+TITLE_BATCH = -1
 
 
 def batch_dir(root: str, batch_id: int) -> str:
     return f"{root.rstrip('/')}/batch_id={int(batch_id)}"
 
 
-def commits_dir(root: str) -> str:
-    """Commit log of a lake: one row per written batch, in a folder the data
-    reader skips (leading underscore)."""
-    return f"{root.rstrip('/')}/{COMMITS}"
-
-
-def append_commits(commits: DataFrame, lake_path: str) -> None:
-    """Publish batches: rows ``(batch_id, row_count, committed_at)``.  A
-    replayed batch appends a second row; readers keep the latest."""
-    (commits.select(F.col("batch_id").cast("bigint"), F.col("row_count").cast("bigint"),
-                    F.col("committed_at").cast("timestamp"))
-     .write.mode("append").parquet(commits_dir(lake_path)))
-
-
 def write_lake_batch(batch: DataFrame, lake_path: str, batch_id: int,
                      committed_at: Column | None = None,
                      skip_empty: bool = True, fmt: str = "parquet",
                      app_id: str | None = None) -> int | None:
-    """Write one micro-batch as ``<lake>/batch_id=<id>/`` (overwrite) and
-    publish it with one commit row ``(batch_id, row_count, committed_at)``.
+    """Write one micro-batch as ``<lake>/batch_id=<id>/`` (overwrite).
 
     A replay of the same batch id (restart after a crash between the write
     and the checkpoint commit) replaces the folder instead of appending a
     second copy, so the table stays exactly-once.  Errors are raised: the
     stream stops rather than moving its checkpoint past a lost batch.
-    Rows are counted with ``observe`` during the write (one pass); an empty
-    batch is not published (``skip_empty``), so readers never see it.
-    Returns the rows written, or None for a skipped empty batch.
+    Rows are counted with ``observe`` during the write (one pass).  Returns the
+    rows written, or None for an empty batch (``skip_empty``), which has no row
+    in the table and none in its history.
 
     ``fmt="delta"`` appends to a Delta table instead, made idempotent by
     Delta's ``txnAppId`` / ``txnVersion`` options (a replayed batch id is
@@ -61,7 +46,7 @@ def write_lake_batch(batch: DataFrame, lake_path: str, batch_id: int,
     stamp = committed_at if committed_at is not None else F.current_timestamp()
     obs = Observation(f"lake_batch_{int(batch_id)}")
     out = batch.withColumn("committed_at", stamp.cast("timestamp")).observe(
-        obs, F.count(F.lit(1)).alias("rows"), F.max("committed_at").alias("at"))
+        obs, F.count(F.lit(1)).alias("rows"))
     if fmt == "delta":
         if not app_id:
             raise ValueError("fmt='delta' needs app_id (stable per stream)")
@@ -73,13 +58,8 @@ def write_lake_batch(batch: DataFrame, lake_path: str, batch_id: int,
          .option("mergeSchema", "true").save(lake_path))
         return obs.get["rows"]
     out.write.mode("overwrite").parquet(batch_dir(lake_path, batch_id))
-    metrics = obs.get
-    if skip_empty and not metrics["rows"]:
-        return None
-    spark = batch.sparkSession
-    append_commits(spark.createDataFrame([(int(batch_id), metrics["rows"], metrics["at"])],
-                                         COMMIT_SCHEMA), lake_path)
-    return metrics["rows"]
+    rows = obs.get["rows"]
+    return None if skip_empty and not rows else rows
 
 
 def write_lake_batches(df: DataFrame, lake_path: str, batch_col: str = "batch_id",
@@ -87,29 +67,16 @@ def write_lake_batches(df: DataFrame, lake_path: str, batch_col: str = "batch_id
     """Backfill many batches in one distributed write (same layout as
     ``write_lake_batch``): rows carry their batch id, the table is
     partitioned by it, and dynamic partition overwrite replaces exactly the
-    batches present, so re-running a backfill is idempotent.  The batches
-    are published in the commit log after the write."""
+    batches present, so re-running a backfill is idempotent.  The rebalance
+    brings the rows of a batch together in files of a good size; a large batch
+    is split over several tasks."""
     stamp = committed_at if committed_at is not None else F.current_timestamp()
-    obs = Observation("lake_backfill")
-    out = (df.withColumn("committed_at", stamp.cast("timestamp"))
-           .withColumnRenamed(batch_col, "batch_id")
-           .withColumn("batch_id", F.col("batch_id").cast("bigint"))
-           .observe(obs, F.min("batch_id").alias("lo"), F.max("batch_id").alias("hi")))
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (df.withColumn("committed_at", stamp.cast("timestamp"))
+     .withColumnRenamed(batch_col, "batch_id")
+     .withColumn("batch_id", F.col("batch_id").cast("bigint"))
+     .hint("rebalance", F.col("batch_id"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("batch_id").parquet(lake_path))
-    lo, hi = obs.get["lo"], obs.get["hi"]
-    if lo is None:
-        return
-    # Publish the batches just written: the id range observed during the
-    # write prunes the read-back to those partitions; counts come from
-    # Parquet footers plus one small column.
-    spark = df.sparkSession
-    written = (spark.read.parquet(lake_path)
-               .where(F.col("batch_id").between(lo, hi))
-               .groupBy("batch_id")
-               .agg(F.count(F.lit(1)).alias("row_count"),
-                    F.max("committed_at").alias("committed_at")))
-    append_commits(written, lake_path)
 
 
 def batch_report_lines(batch: DataFrame, batch_id: int) -> DataFrame:
@@ -130,8 +97,6 @@ def batch_report_lines(batch: DataFrame, batch_id: int) -> DataFrame:
     return header.unionByName(rows)
 
 
-
-
 def error_line(batch_id: int, message: Column) -> Column:
     """``=== Batch <id> error: <message> ===`` for a batch that failed."""
     return F.format_string(BATCH_ERROR, F.lit(int(batch_id)), message)
@@ -139,26 +104,45 @@ def error_line(batch_id: int, message: Column) -> Column:
 
 def display_error_lines(message: Column) -> list[Column]:
     """The two lines written when rows could not be shown: a fixed note and
-    ``Error: <first 100 characters>``."""
+    ``Error: <first 100 characters>`` (``error_line`` keeps the whole text)."""
     return [F.lit(DISPLAY_ISSUE),
             F.concat(F.lit(DISPLAY_ERROR_PREFIX), text_prefix(message, 100))]
 
 
+def _write_lines(spark: SparkSession, lines: list[Column], path: str) -> None:
+    spark.range(1).select(F.explode(F.array(*lines)).alias("line")) \
+        .write.mode("overwrite").text(path)
+
+
+def write_report_title(spark: SparkSession, report_path: str) -> None:
+    """The line that opens a report (under ``batch_id=-1``; a restart writes
+    the same line again)."""
+    _write_lines(spark, [F.lit(REPORT_TITLE)], f"{batch_dir(report_path, TITLE_BATCH)}/part=0")
+
+
 def write_report_batch(batch: DataFrame, report_path: str, batch_id: int,
                        skip_empty: bool = True) -> bool:
     """Write the report of a batch under ``<report>/batch_id=<id>/``:
     ``part=1`` the record lines (one pass over the batch, rows counted with
     ``observe``), then ``part=0`` the header with that count; an empty batch
-    gets no header (``skip_empty``).  A replay overwrites both."""
+    gets no header (``skip_empty``).  A batch that fails leaves the note, the
+    shortened and the whole error text in ``part=2`` and raises.  A replay
+    overwrites all parts."""
     root = batch_dir(report_path, batch_id)
     obs = Observation(f"report_batch_{int(batch_id)}")
     lines = batch_report_lines(batch, batch_id).where(F.col("part") == 1) \
         .select("line").observe(obs, F.count(F.lit(1)).alias("rows"))
-    lines.write.mode("overwrite").text(f"{root}/part=1")
-    rows = obs.get["rows"]
-    if skip_empty and not rows:
-        return False
-    header = F.format_string(BATCH_HEADER, F.lit(int(batch_id)), F.lit(rows))
-    (batch.sparkSession.range(1).select(header.alias("line"))
-     .write.mode("overwrite").text(f"{root}/part=0"))
+    spark = batch.sparkSession
+    try:
+        lines.write.mode("overwrite").text(f"{root}/part=1")
+        rows = obs.get["rows"]
+        if skip_empty and not rows:
+            return False
+        header = F.format_string(BATCH_HEADER, F.lit(int(batch_id)), F.lit(rows))
+        _write_lines(spark, [header], f"{root}/part=0")
+    except Exception as ex:
+        text = F.lit(" ".join(str(ex).split()))
+        _write_lines(spark, [*display_error_lines(text), error_line(batch_id, text)],
+                     f"{root}/part=2")
+        raise
     return True
