@@ -13,13 +13,21 @@ Jaccard similarity is at least ``percent`` / 100.
 2. *Classes.*  Documents with equal sets (128-bit fingerprints) form one class;
    only classes go on, so large groups of copies cost one row each.
 3. *Banding.*  ``bands`` bands of ``rows`` coordinates.  In each bucket every
-   class is paired with the bucket's smallest class only.
+   class is paired with the bucket's leader only, the class that shares buckets
+   with the most others.
 4. *Exact verification* of the pairs on the full sets, in tasks that read two
    sets at a time.  Links are closed to components.
-5. *The rest.*  Buckets whose classes are not yet in one component get the
-   pairs between their smaller components and everything else, verified
-   likewise, so no pair that shares a bucket and could join two components is
-   left out, while pairs inside a component are never made.
+5. *The rest.*  In buckets whose classes are not yet in one component, the
+   classes outside the leader's component are paired with those of all other
+   components, and verified likewise; pairs inside a component are never made.
+   Two exact bounds keep pairs from being made that can't be links.  Elements
+   that only one of these classes has (``own``) are in no intersection, so sets of
+   sizes ``m`` and ``n`` share ``min(m - own_m, n - own_n)`` at most.  And what each
+   shares with the bucket's leader (``led``) is known from step 4, so they share
+   ``min(led_m, led_n) + min(m - led_m - own_m, n - led_n - own_n)`` at most.  Pairs
+   whose bound is below the threshold (texts around a common passage, copies with
+   edits of their own) are not made.  So no pair that shares a bucket and could
+   join two components is left out.
 
 Size filters (``percent`` of the larger set must not exceed the smaller) are
 necessary conditions for a link.  Sets of fewer than ``100 / (100 - percent) - 1``
@@ -40,7 +48,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -169,26 +177,38 @@ def _shingles(texts: DataFrame, p: Params) -> DataFrame:
     return map_texts(texts, make, [T.StructField("elements", T.ArrayType(T.LongType()))])
 
 
-def _verified(spark: SparkSession, pairs: DataFrame, classes: DataFrame, docs: DataFrame,
-              p: Params) -> DataFrame:
-    """The pairs ``(a, b)`` of classes whose sets are similar enough.
-
-    Sets are made again from the texts of the classes that occur in a pair (one
-    text each), so nothing but those is shuffled.
-    """
-    wanted = (pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
-              .join(classes.select("class", F.col("doc_id").alias("id"),
-                                   F.col("text_hash").alias("hash")), "class"))
-    texts = (docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("id"))
+def _sets(spark: SparkSession, wanted: DataFrame, classes: DataFrame, docs: DataFrame,
+          p: Params) -> DataFrame:
+    """``(class, elements)`` of the wanted classes, made again from one text of
+    each, so nothing but those texts is shuffled."""
+    named = wanted.join(classes.select("class", F.col("doc_id").alias("id"),
+                                       F.col("text_hash").alias("hash")), "class")
+    texts = (docs.join(named, F.col("doc_id").eqNullSafe(F.col("id"))
                        & (F.xxhash64("text") == F.col("hash")))
              .groupBy("id", "hash", "class").agg(F.first("text").alias("text")))
-    sets = stored(spark, _shingles(texts, p).select("row.class", "elements"), "sets")
+    return stored(spark, _shingles(texts, p).select("row.class", "elements"), "sets")
+
+
+def _shared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``(a, b)`` with ``shared``, the exact size of the intersection, and both
+    set sizes ``m`` and ``n``."""
     left = sets.select(F.col("class").alias("a"), F.col("elements").alias("x"))
     right = sets.select(F.col("class").alias("b"), F.col("elements").alias("y"))
-    both = pairs.join(right, "b").join(left, "a")
-    shared = F.size(F.array_intersect("x", "y"))
-    return both.where(100 * shared >= p.percent * (F.size("x") + F.size("y") - shared)) \
-        .select("a", "b")
+    return pairs.join(right, "b").join(left, "a").select(
+        "a", "b", F.size(F.array_intersect("x", "y")).cast("long").alias("shared"),
+        F.size("x").alias("m"), F.size("y").alias("n"))
+
+
+def _enough(shared: Column, m: Column, n: Column, p: Params) -> Column:
+    """Whether sets of sizes ``m`` and ``n`` are linked."""
+    return 100 * shared >= p.percent * (m + n - shared)
+
+
+def _own_elements(sets: DataFrame) -> DataFrame:
+    """``(class, own)``: how many elements no other of these sets has."""
+    return (sets.select("class", F.explode("elements").alias("element"))
+            .groupBy("element").agg(F.count("*").alias("n"), F.min("class").alias("class"))
+            .where(F.col("n") == 1).groupBy("class").agg(F.count("*").alias("own")))
 
 
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
@@ -231,14 +251,20 @@ def link(docs: DataFrame, p: Params = Params()) -> tuple[DataFrame, DataFrame]:
                 F.col("m.text_hash").alias("text_hash"), "size", "keys"), "classes")
     buckets = classes.select("class", "size", F.explode("keys").alias("key"))
     near = F.least("size", "lead_size") * 100 >= F.greatest("size", "lead_size") * p.percent
-    leaders = (buckets.groupBy("key").agg(F.min(F.struct("class", "size")).alias("lead"),
-                                          F.count("*").alias("n"))
-               .where(F.col("n") > 1)
-               .select("key", F.col("lead.class").alias("a"), F.col("lead.size").alias("lead_size")))
-    full = stored(spark, buckets.join(leaders, "key")
+    counts = buckets.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    shared = stored(spark, buckets.join(counts, "key"), "buckets")
+    # the class that meets the most others leads: in a group of near copies that
+    # is the text they were made from, which is linked to nearly all of them
+    degree = shared.groupBy("class").agg(F.sum("n").alias("degree"))
+    ranked = shared.join(degree, "class")
+    leaders = ranked.groupBy("key").agg(F.max(F.struct("degree", "class", "size")).alias("lead")) \
+        .select("key", F.col("lead.class").alias("a"), F.col("lead.size").alias("lead_size"))
+    full = stored(spark, shared.join(leaders, "key")
                   .select("key", "a", F.col("class").alias("b"), "size", "lead_size"), "buckets")
     star = full.where((F.col("a") != F.col("b")) & near).select("a", "b").distinct()
-    edges = stored(spark, _verified(spark, star, classes, slim, p), "links")
+    ends = star.select(F.col("a").alias("class")).union(star.select("b")).distinct()
+    scored = stored(spark, _shared(star, _sets(spark, ends, classes, slim, p)), "scored")
+    edges = scored.where(_enough(F.col("shared"), F.col("m"), F.col("n"), p)).select("a", "b")
     label = components(spark, edges)
     # buckets in which several components meet
     placed = stored(spark, full.join(label, F.col("b") == F.col("node"), "left").select(
@@ -247,16 +273,33 @@ def link(docs: DataFrame, p: Params = Params()) -> tuple[DataFrame, DataFrame]:
                                        F.max("component").alias("hi"), F.count("*").alias("n"))
              .where((F.col("lo") != F.col("hi")) & (F.col("n") > 2)).select("key"))
     open_ = placed.join(mixed, "key")
+    # elements that only one of these classes has are in no intersection; classes
+    # with too many can be linked to none
+    sets = _sets(spark, open_.select(F.col("b").alias("class")).distinct(), classes, slim, p)
+    own = _own_elements(sets).withColumnRenamed("class", "b")
+    known = scored.select("a", "b", F.col("shared").alias("led"))
+    bounded = stored(spark, open_.join(own, "b", "left").join(known, ["a", "b"], "left").select(
+        "key", "a", "b", "size", "component", F.coalesce("own", F.lit(0)).alias("own"),
+        F.when(F.col("a") == F.col("b"), F.col("size")).otherwise(F.col("led")).alias("led"))
+        .where(100 * (F.col("size") - F.col("own")) >= p.percent * F.col("size")), "open")
     lead = open_.where(F.col("a") == F.col("b")).select("key", F.col("component").alias("main"))
     # classes outside the leader's component against all other components
-    others = (open_.join(lead, "key").where(F.col("component") != F.col("main"))
-              .select("key", F.col("b").alias("x"), F.col("size").alias("lead_size"),
-                      F.col("component").alias("own")))
-    rest = (others.join(open_, "key")
-            .where((F.col("component") != F.col("own")) & (F.col("a") != F.col("b")) & near)
+    others = (bounded.join(lead, "key").where(F.col("component") != F.col("main"))
+              .select("key", F.col("b").alias("x"), F.col("size").alias("x_size"),
+                      F.col("own").alias("x_own"), F.col("led").alias("x_led"),
+                      F.col("component").alias("x_component")))
+    size, own_, led = F.col("size"), F.col("own"), F.col("led")
+    x_size, x_own, x_led = F.col("x_size"), F.col("x_own"), F.col("x_led")
+    most = F.least(size - own_, x_size - x_own)
+    by_lead = F.least(led, x_led) + F.least(size - led - own_, x_size - x_led - x_own)
+    most = F.least(most, F.coalesce(by_lead, most))
+    rest = (others.join(bounded, "key")
+            .where((F.col("component") != F.col("x_component")) & (F.col("a") != F.col("b"))
+                   & _enough(most, size, x_size, p))
             .select(F.least("x", "b").alias("a"), F.greatest("x", "b").alias("b"))
             .distinct().join(star, ["a", "b"], "left_anti"))
-    more = stored(spark, _verified(spark, rest, classes, slim, p), "links")
+    more = stored(spark, _shared(rest, sets), "scored").where(
+        _enough(F.col("shared"), F.col("m"), F.col("n"), p)).select("a", "b")
     if not more.isEmpty():
         label = components(spark, edges.union(more))
     named = classes.join(label, F.col("class") == F.col("node"), "left").select(
