@@ -23,8 +23,14 @@ import sys
 from pyspark.sql import SparkSession
 
 
-def _session(app: str) -> SparkSession:
-    return SparkSession.builder.appName(app).getOrCreate()
+def _session(app: str, args) -> SparkSession:
+    from .session import object_store_conf
+
+    builder = SparkSession.builder.appName(app)
+    if args.s3_endpoint:
+        for key, value in object_store_conf(args.s3_endpoint).items():
+            builder = builder.config(key, value)
+    return builder.getOrCreate()
 
 
 def _records(spark: SparkSession, args) -> "DataFrame":  # noqa: F821
@@ -46,7 +52,7 @@ def cmd_load_csv(args) -> int:
     from .operators.ingest import csv_sources, load_sources, sources_of_files
     from .sources.files import csv_paths, discover_csv
 
-    spark = _session("tidemark-load-csv")
+    spark = _session("tidemark-load-csv", args)
     if args.files:
         files = csv_paths(args.files)
         sources = sources_of_files(spark, files) if files else {}
@@ -69,7 +75,7 @@ def cmd_load_csv(args) -> int:
 
 def cmd_stream_report(args) -> int:
     from .streaming.jobs import run_until_stopped, start_report_stream
-    spark = _session("tidemark-stream-report")
+    spark = _session("tidemark-stream-report", args)
     q = start_report_stream(_records(spark, args), args.report, args.checkpoint,
                             trigger=_trigger(args))
     run_until_stopped(q)
@@ -78,7 +84,7 @@ def cmd_stream_report(args) -> int:
 
 def cmd_stream_lake(args) -> int:
     from .streaming.jobs import run_until_stopped, start_lake_stream
-    spark = _session("tidemark-stream-lake")
+    spark = _session("tidemark-stream-lake", args)
     q = start_lake_stream(_records(spark, args), args.lake, args.checkpoint,
                           trigger=_trigger(args), fmt=args.format, app_id=args.app_id)
     run_until_stopped(q)
@@ -91,7 +97,7 @@ def cmd_consume(args) -> int:
     from pyspark.sql.types import StructType
 
     from .streaming.jobs import run_until_stopped, start_decode_stream
-    spark = _session("tidemark-consume")
+    spark = _session("tidemark-consume", args)
     q = start_decode_stream(_records(spark, args), StructType.fromDDL(args.schema), args.out,
                             args.errors, args.checkpoint, trigger=_trigger(args))
     run_until_stopped(q)
@@ -105,7 +111,7 @@ def cmd_read_lake(args) -> int:
     """Schema, row count, 20 rows, counts per source table and per topic."""
     from .operators.reports import count_by, total_count
     from .sources.lake import preview, read_lake
-    spark = _session("tidemark-read-lake")
+    spark = _session("tidemark-read-lake", args)
     lake = read_lake(spark, args.lake, fmt=args.format)
     lake.printSchema()
     print(f"Total rows: {total_count(lake).first()[0]}")
@@ -117,6 +123,8 @@ def cmd_read_lake(args) -> int:
 
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="tidemark")
+    p.add_argument("--s3-endpoint", help="S3-compatible store of s3a:// paths (credentials come "
+                                         "from the cluster's provider chain)")
     sub = p.add_subparsers(dest="cmd", required=True)
 
     lc = sub.add_parser("load-csv", help="CSV files -> typed Parquet tables")

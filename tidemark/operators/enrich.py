@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import age_ms_exact, age_ms_seconds, as_text, topic_part
-from ..schemas import ENRICHED_COLUMNS, ENRICHED_EXTRA_COLUMNS
+
 from .sequence import number_within
 
 
@@ -63,10 +63,6 @@ def enrich(records: DataFrame, processing_timestamp: Column | None = None,
     return m.select(*out, *[F.col(c) for c in carry])
 
 
-def enriched_columns(keep_extra: bool = True) -> list[str]:
-    return ENRICHED_COLUMNS + (ENRICHED_EXTRA_COLUMNS if keep_extra else [])
-
-
 def message_sequence(enriched: DataFrame, out: str = "message_sequence",
                      bucket_width: int | None = None) -> DataFrame:
     """Batch form of the sequence: 1-based row number of each record inside

@@ -11,8 +11,8 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import (delimited_int, json_path_or_default, table_name_from_path,
-                         topic_part)
+from ..functions import (delimited_int, json_list_length, json_path_or_default,
+                         table_name_from_path, topic_part)
 from ..operators import cdc, envelope, inference, ingest, quality, reports
 from ..operators.enrich import enrich, message_sequence
 from ..schemas import ENVELOPE
@@ -23,8 +23,8 @@ from ..sources.records import SUBJECT_SUFFIX
 from ..streaming import jobs
 from ..streaming.sinks import write_lake_batch, write_lake_batches
 from .common import (EPOCH, N_CUTS, InjectedFailure, batch_clock, batch_clock_col, cut_stream,
-                     enriched, envelope_records, failing_once, framed_records, ntz,
-                     order_versions, processing_ts, records, stored_path, table)
+                     enriched, envelope_records, failing_once, framed_records, log_path,
+                     ntz, order_versions, processing_ts, records, stored_path, table)
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -130,6 +130,16 @@ def q_json_status(spark, sf_dir):
     return reports.count_by(rec.select(status.alias("status")), "status")
 
 
+@register("json_lists")
+def q_json_lists(spark, sf_dir):
+    """Lengths of JSON arrays (words of a priority); every fifth text is cut
+    and counts as no list."""
+    listing = F.to_json(F.split("o_orderpriority", "[- ]"))
+    cut = F.when(F.col("o_orderkey") % 5 == 0, F.substring(listing, 1, 3)).otherwise(listing)
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey", json_list_length(cut).cast("bigint").alias("n"))
+
+
 @register("offset_lines")
 def q_offset_lines(spark, sf_dir):
     ends = (records(spark, sf_dir).groupBy("topic", "partition")
@@ -438,6 +448,11 @@ def q_batch_report(spark, sf_dir):
                         F.col("value").alias("line"))
 
 
+#: What is stored once per application, in the order it is built.
+FIXTURES = {"topic_log": log_path, "lake": _lake_by_batches, "csv": _csv_tree,
+            "csv_text": lambda spark, sf_dir: _csv_tree(spark, sf_dir, TEXT_TABLES)}
+
+
 # --- data quality (D1-D4) ----------------------------------------------------
 
 

@@ -320,3 +320,8 @@ select kafka_topic, kafka_partition, kafka_offset,
 from msg"""
 
 SQL["filter_table"] = lake_sql(tail="where split_part(kafka_topic, '.', 3) = 'error'")
+
+SQL["json_lists"] = """
+select o_orderkey, cast(case when o_orderkey % 5 = 0 then 0
+  else len(regexp_split_to_array(o_orderpriority, '[- ]')) end as bigint) as n
+from orders"""

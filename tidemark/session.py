@@ -11,7 +11,8 @@ from pyspark.sql import SparkSession
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app_name: str = "tidemark") -> SparkSession:
-    """Session for tests and the local bench.  Cluster jobs bring their own."""
+    """Session for local tools and tests, with a checkpoint folder of its own.
+    Cluster jobs bring their session and a shared folder."""
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app_name)
@@ -21,6 +22,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tidemark-ckpt-"))
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")

@@ -15,13 +15,13 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
-from tidemark.session import local_session  # noqa: E402
+from tidemark.plans.catalog import REGISTRY  # noqa: E402
+from tidemark.session import clear_scratch, local_session  # noqa: E402
 
 STREAMED = {"stream_enrich", "stream_lake", "stream_resume", "stream_replay",
             "schema_evolution", "batch_report", "stream_current_state"}
 WRITTEN = {"lake_read", "lake_count", "lake_preview", "as_of_version",
-           "as_of_timestamp", "table_history", "csv_roundtrip"}
+           "as_of_timestamp", "table_history", "csv_roundtrip", "csv_text_roundtrip"}
 OPS = ["Exchange", "BroadcastExchange", "SortMergeJoin", "BroadcastHashJoin",
        "ShuffledHashJoin", "Window", "HashAggregate", "SortAggregate",
        "ObjectHashAggregate", "Generate", "Sort", "TakeOrderedAndProject"]
@@ -49,7 +49,7 @@ def main() -> None:
     print("| query | shuffles | bcast | joins | aggregates | windows | other | "
           "pushed filters | partition filters | columns read |")
     print("| --- | --- | --- | --- | --- | --- | --- | --- | --- | --- |")
-    for name, fn in E.queries().items():
+    for name, fn in REGISTRY.items():
         plan = formatted(fn(spark, sf))
         tree = plan.split("\n\n")[0]
         count = {op: len(re.findall(rf"[-+] {op}\b", "\n" + tree)) +
@@ -73,6 +73,7 @@ def main() -> None:
         print(f"| `{name}`{note} | {count['Exchange']} | {count['BroadcastExchange']} | "
               f"{joins or '-'} | {aggs or '-'} | {count['Window'] or '-'} | {other or '-'} | "
               f"{'; '.join(pushed) or '-'} | {'; '.join(parts) or '-'} | {ncols or '-'} |")
+    clear_scratch(spark)
     spark.stop()
 
 
