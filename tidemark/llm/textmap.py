@@ -171,7 +171,7 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, train: Column
     marks = bounded_share(marks, bound)
     rows = (docs.select("doc_id", F.col("text").cast("string").alias("text"))
             .where(F.length("text") <= max_chars)
-            .join(marks, "doc_id")  # AQE broadcasts it: at most `bound` rows of two numbers
+            .join(F.broadcast(marks), "doc_id")  # about `bound` rows of two numbers
             .select("doc_id", "text", "y").toPandas()
             .drop_duplicates("doc_id").sort_values("doc_id"))
     return list(zip(rows["text"].tolist(), rows["y"].tolist()))
