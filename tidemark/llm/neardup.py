@@ -278,26 +278,32 @@ def link(docs: DataFrame, p: Params = Params()) -> tuple[DataFrame, DataFrame]:
     sets = _sets(spark, open_.select(F.col("b").alias("class")).distinct(), classes, slim, p)
     own = _own_elements(sets).withColumnRenamed("class", "b")
     known = scored.select("a", "b", F.col("shared").alias("led"))
+    lead = open_.where(F.col("a") == F.col("b")).select("key", F.col("component").alias("main"))
+    met = open_.groupBy("b").agg(F.collect_list("key").alias("keys"))  # `bands` at most
     bounded = stored(spark, open_.join(own, "b", "left").join(known, ["a", "b"], "left").select(
         "key", "a", "b", "size", "component", F.coalesce("own", F.lit(0)).alias("own"),
         F.when(F.col("a") == F.col("b"), F.col("size")).otherwise(F.col("led")).alias("led"))
-        .where(100 * (F.col("size") - F.col("own")) >= p.percent * F.col("size")), "open")
-    lead = open_.where(F.col("a") == F.col("b")).select("key", F.col("component").alias("main"))
+        .where(100 * (F.col("size") - F.col("own")) >= p.percent * F.col("size"))
+        .join(met, "b").join(lead, "key")
+        .withColumn("outside", F.col("component") != F.col("main")), "open")
     # classes outside the leader's component against all other components
-    others = (bounded.join(lead, "key").where(F.col("component") != F.col("main"))
-              .select("key", F.col("b").alias("x"), F.col("size").alias("x_size"),
-                      F.col("own").alias("x_own"), F.col("led").alias("x_led"),
-                      F.col("component").alias("x_component")))
+    others = bounded.where("outside").select(
+        "key", F.col("b").alias("x"), F.col("size").alias("x_size"), F.col("own").alias("x_own"),
+        F.col("led").alias("x_led"), F.col("component").alias("x_component"),
+        F.col("keys").alias("x_keys"))
     size, own_, led = F.col("size"), F.col("own"), F.col("led")
     x_size, x_own, x_led = F.col("x_size"), F.col("x_own"), F.col("x_led")
     most = F.least(size - own_, x_size - x_own)
     by_lead = F.least(led, x_led) + F.least(size - led - own_, x_size - x_led - x_own)
     most = F.least(most, F.coalesce(by_lead, most))
+    # each pair once: in the first bucket that both are in, and in one order
+    once = (~F.col("outside") | (F.col("x") < F.col("b"))) & (
+        F.array_min(F.array_intersect("keys", "x_keys")) == F.col("key"))
     rest = (others.join(bounded, "key")
             .where((F.col("component") != F.col("x_component")) & (F.col("a") != F.col("b"))
-                   & _enough(most, size, x_size, p))
+                   & _enough(most, size, x_size, p) & once)
             .select(F.least("x", "b").alias("a"), F.greatest("x", "b").alias("b"))
-            .distinct().join(star, ["a", "b"], "left_anti"))
+            .join(star, ["a", "b"], "left_anti"))
     more = stored(spark, _shared(rest, sets), "scored").where(
         _enough(F.col("shared"), F.col("m"), F.col("n"), p)).select("a", "b")
     if not more.isEmpty():
