@@ -111,3 +111,12 @@ def test_hot_length_is_ranked_in_buckets(spark, monkeypatch):
     assert len(rows) == 1000
     assert len({(r["sequence_id"], r["offset"]) for r in rows}) == 1000
     assert len({r["sequence_id"] for r in rows}) == -(-(900 + 700) // 10)
+
+
+def test_very_long_blank_runs(tokenizer):
+    enc = packing.Encoder(*ARGS)
+    for text in ["\n" * 1_100_000, "w" + " " * 1_100_000 + "a", "\u3000" * 1_100_000]:
+        want = array("I", tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        assert enc.encode(text) == want
+    assert packing.long_blank("a" + " " * 100_000) and not packing.long_blank(" " * 99_999)
+    assert not packing.long_blank("a " * 200_000)

@@ -19,6 +19,7 @@ packed each; an empty table gives no rows.
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from array import array
 from dataclasses import dataclass
@@ -34,6 +35,17 @@ SIZE = 2048
 END_ID = 1
 #: Pieces ranked in one window task, about.
 RANK_ROWS = 1024
+#: White-space run from which on a text goes through the tokenizer itself: the
+#: faster one's pattern overflows its stack somewhat above 10^6 signs.
+LONG_BLANK = 100_000
+_BLANK = re.compile(r"\s+")
+
+
+def long_blank(text: str) -> bool:
+    """Whether a run of white space has ``LONG_BLANK`` signs or more; each sign is
+    looked at once, and only in texts that long."""
+    return len(text) >= LONG_BLANK and any(
+        m.end() - m.start() >= LONG_BLANK for m in _BLANK.finditer(text))
 
 
 class Encoder:
@@ -41,7 +53,8 @@ class Encoder:
 
     ``ranks`` is the vocabulary file beside the tokenizer's own and gives the
     same ids several times faster; a text that holds a special token of the
-    tokenizer goes through the tokenizer itself.
+    tokenizer or a very long run of white space (``LONG_BLANK``) goes through the
+    tokenizer itself.
     """
 
     def __init__(self, tokenizer: str, ranks: str, pattern: str):
@@ -56,7 +69,7 @@ class Encoder:
                                       special_tokens={}).encode_ordinary
 
     def encode(self, text: str) -> bytes:
-        if any(s in text for s in self.special):
+        if any(s in text for s in self.special) or long_blank(text):
             return array("I", self.own.encode(text, add_special_tokens=False).ids).tobytes()
         return array("I", self.fast(text)).tobytes()
 
