@@ -88,7 +88,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    clean = linededup.drop_lines(docs, removed="n_dropped")
+    clean = linededup.drop_lines(docs, linededup.BY_LEAF, removed="n_dropped")  # as its SQL
     return clean.select("doc_id", "n_dropped", F.length("text").cast("long").alias("n_chars"),
                         F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
