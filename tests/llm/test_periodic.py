@@ -1,0 +1,141 @@
+"""Runs: brute force over all periods, the query's own rule, edge cases."""
+
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tidemark.llm import periodic, queries
+
+from .conftest import LONG, ODD, SF
+
+
+def brute(words, min_length=12):
+    """All runs by trying every period at every place."""
+    n, out = len(words), []
+    for q in range(1, n // 2 + 1):
+        i = 0
+        while i + q < n:
+            j = i
+            while j + q < n and words[j] == words[j + q]:
+                j += 1
+            length = j - i + q
+            if j > i and length >= max(min_length, 2 * q):
+                if not any(all(words[k] == words[k + d] for k in range(i, i + length - d))
+                           for d in range(1, q)):
+                    out.append((i, length, q))
+            i = j + 1
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def planted(doc_id, words):
+    h = zlib.crc32(str(doc_id).encode())
+    n, g = len(words), h // 10
+    if h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+
+
+def digests(doc_id, words, runs):
+    best = min(runs, key=lambda r: (-r[1], r[0], r[2]), default=None)
+    gone = {k for s, n, q in runs for k in range(s + q, s + n)}
+    kept = " ".join(w for k, w in enumerate(words) if k not in gone)
+    text = "".join(f"{s},{n},{q}\n" for s, n, q in runs)
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    return (doc_id, len(runs), *(best or (None,) * 3), 1000 * best[1] // best[2] if best else None,
+            sha(text), sha(kept))
+
+
+def split(text):
+    return [w.decode() for w in (text or "").encode().split()]
+
+
+def numbers(words):
+    ids = {}
+    return np.array([ids.setdefault(w, len(ids)) for w in words], np.int64)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 2), max_size=60), max_size=4), st.integers(2, 13))
+def test_random_words_of_a_small_alphabet(texts, min_length):
+    found = periodic.find_runs([np.array(t, np.int64) for t in texts], min_length)
+    assert found == [brute(t, min_length) for t in texts]
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.tuples(st.lists(st.integers(0, 9), min_size=1, max_size=9), st.integers(1, 6)),
+                max_size=6))
+def test_random_repetitions(parts):
+    words = [w for block, times in parts for w in block * times]
+    assert periodic.find_runs([np.array(words, np.int64)]) == [brute(words)]
+
+
+def test_nested_overlapping_and_adjacent_runs():
+    texts = ["a " * 40, "a b " * 20 + "a b c " * 9, ("a a a b " * 3 + "c ") * 5,
+             "x " + "a b c d e f " * 2 + "y", "a b c d e " * 2, "a b c d e " * 2 + "a b"]
+    for t in texts:
+        assert periodic.find_runs([numbers(t.split())]) == [brute(t.split())]
+
+
+def test_long_texts_take_no_quadratic_time():
+    n = 200_000
+    same = np.zeros(n, np.int64)
+    assert periodic.find_runs([same]) == [[(0, n, 1)]]
+    broken = same.copy()
+    broken[n // 2] = 1
+    got = periodic.find_runs([broken])[0]
+    assert (0, n // 2, 1) in got and (n // 2 + 1, n - n // 2 - 1, 1) in got
+    word = np.arange(n) % 997
+    assert periodic.find_runs([word]) == [[(0, n, 997)]]
+
+
+def test_given_table_against_brute_force(spark, sf_rows):
+    got = {r["doc_id"]: tuple(r) for r in queries.op13_periodic_runs(spark, SF).collect()}
+    assert len(got) == len(sf_rows)
+    checked = 0
+    for doc_id, text in sf_rows:
+        words = planted(doc_id, split(text))
+        if len(words) <= 600:
+            assert got[doc_id] == digests(doc_id, words, brute(words))
+            checked += 1
+    assert checked > 140 and any(r[1] for r in got.values())
+
+
+def test_odd_rows(odd, empty):
+    out = periodic.detect(odd)
+    rows = out.select("row.doc_id", "row.text", "runs", "collapsed", *periodic.digest(out)).collect()
+    assert len(rows) == len(ODD)
+    for r in rows:
+        words = split(r["text"])
+        want = [] if r["text"] != LONG else periodic.find_runs([numbers(words)])[0]
+        assert [tuple(x) for x in r["runs"]] == want
+        assert r["collapsed"] == " ".join(words if not want else periodic.collapse(words, want))
+        assert tuple(r[4:]) == digests(0, words, want)[1:]
+    assert periodic.detect(empty).count() == 0
+
+
+@pytest.mark.parametrize("text", ["", "   ", "one", "a\x00b \x0b c " * 9, "é\xa0x y " * 30])
+def test_planted_rule(spark, make_docs, text):
+    chosen = [i for i in range(200) if zlib.crc32(str(i).encode()) % 10 == 0][:9]
+    rows = [(i, text) for i in [*chosen, 1, 2]] + [(None, text), (None, None)]
+    got = periodic.with_planted_runs(make_docs(rows))
+    for r in got.collect():
+        if r["doc_id"] in chosen and split(text):
+            assert r["text"] == " ".join(planted(r["doc_id"], split(text)))
+        else:
+            assert r["text"] in (text, None)
+
+
+def test_random_tables(spark, make_docs):
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choice("ab") for _ in range(rng.randrange(90)))) for i in range(40)]
+    out = periodic.detect(make_docs(rows), keep=["doc_id"])
+    for r in out.select("row.doc_id", *periodic.digest(out)).collect():
+        words = rows[r["doc_id"]][1].split()
+        assert tuple(r) == digests(r["doc_id"], words, brute(words))

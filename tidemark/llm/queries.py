@@ -10,7 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, linededup, neardup, packing, quality, quoting, rules, tokencount, toxicity
+from . import (bestfit, decontam, langid, linededup, neardup, packing, periodic, quality, quoting,
+               resample, rules, tokencount, toxicity)
 from .textmap import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,9 +94,26 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.md5(F.col("text").cast("binary")).alias("text_md5"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = resample.resample(docs, table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    return out.select("row.doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bestfit.pack(docs, vocabulary("word_bpe_49k.json"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periodic.detect(periodic.with_planted_runs(docs), keep=["doc_id"])
+    return found.select("row.doc_id", *periodic.digest(found))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_quality_classifier, op2_quotation_linking, op3_language_id, op4_quality_rules,
     op5_near_duplicates, op6_packing, op7_decontamination, op8_token_counts, op9_toxicity,
-    op10_line_dedup)}
+    op10_line_dedup, op11_importance_resampling, op12_best_fit_packing, op13_periodic_runs)}
 
 SQL: dict[str, str] = {"op4_quality_rules": rules.SQL, "op10_line_dedup": linededup.SQL}

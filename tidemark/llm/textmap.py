@@ -29,13 +29,14 @@ BatchFn = Callable[[list], Sequence]
 
 
 def map_texts(docs: DataFrame, make: Callable[[], BatchFn], fields: Sequence[T.StructField],
-              text: str = "text", row: str = "row") -> DataFrame:
-    """``row`` (struct of every input column) plus ``fields``.
+              text: str = "text", row: str = "row",
+             keep: Sequence[str] | None = None) -> DataFrame:
+    """``row`` (struct of every input column, or of those of ``keep``) plus ``fields``.
 
     ``make()`` runs once per task and returns a function from a list of texts
     (``None`` for null) to one array per field, aligned with the texts.
     """
-    src = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(row),
+    src = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns]).alias(row),
                       F.col(f"`{text}`").cast("string").alias("t"))
     schema = T.StructType([T.StructField(row, src.schema[row].dataType), *fields])
     names = [f.name for f in schema]
