@@ -138,8 +138,17 @@ def test_parts_give_the_tokenizers_ids(tokenizer, text):
     assert list(array("I", got)) == tokenizer.encode(text, add_special_tokens=False).ids
 
 
-@settings(max_examples=200, deadline=None)
-@given(st.text(max_size=60))
+def test_every_plain_sign(tokenizer):
+    encoder = bestfit.PartEncoder(FILE)
+    signs = [chr(c) for c in range(0x180)]
+    for c in signs:
+        for text in (c, f"a{c}", f"{c}b", f"7{c}{c}'s", f"x{c}\u0301y"):
+            assert list(array("I", encoder.encode(text))) == \
+                tokenizer.encode(text, add_special_tokens=False).ids
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.one_of(st.text(max_size=60), st.text(st.characters(max_codepoint=0x17f), max_size=60)))
 def test_random_texts(tokenizer, text):
     encoder = bestfit.PartEncoder(FILE, limit=1)
     for _ in range(2):

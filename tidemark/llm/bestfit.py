@@ -21,7 +21,8 @@ pieces.
 The ids are those of ``tokenizers``.  This vocabulary drops white space before it
 splits a text, and no token and no composed character spans white space, so the
 ids of a text are those of its parts between ASCII white space; each task
-remembers the ids of the parts it has met, up to a bound.
+remembers the ids of the parts it has met, up to a bound.  Parts of plain signs are
+split here and only their pieces go through the tokenizer's model.
 
 Defined cases: a null, empty or blank text is the end id alone; repeated rows are
 packed each; rows with a null id are packed like others; an empty table gives no
@@ -30,6 +31,8 @@ rows; the names of other columns do not matter.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from array import array
 
@@ -42,38 +45,89 @@ from .packing import END_ID, Placement, _ranked, cut
 from .textmap import map_texts, stored
 
 SIZE = 4096
-#: Parts of texts, and bytes of them and their ids, a task remembers before it
-#: starts over.
-PART_LIMIT = 500_000
-PART_BYTES = 64 << 20
+#: Parts of texts a task remembers before it starts over.
+PART_LIMIT = 300_000
+
+
+#: Parts of printable ASCII, Latin-1 and Latin Extended-A signs (but for the one
+#: whose lower case is two): composition leaves them alone, and their letters,
+#: digits and lower cases are those of every Unicode version.
+PLAIN = re.compile("[!-~\u00a1-\u012f\u0131-\u017f]*")
+#: Normalisation of a tokenizer whose plain parts are split here.
+KNOWN = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+         {"type": "Lowercase"}]
+
+
+def byte_signs() -> dict[int, str]:
+    """The printable sign of each byte in a byte-level vocabulary: printable Latin-1
+    bytes are themselves, the others the signs from 256 on, in order."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in own]
+    return {**{b: chr(b) for b in own}, **{b: chr(256 + k) for k, b in enumerate(rest)}}
+
+
+class _Known(dict):
+    """A dict that makes the values it lacks and keeps those of short keys."""
+
+    def __init__(self, make):
+        self.make = make
+
+    def __missing__(self, key):
+        value = self.make(key)
+        if len(key) <= 64:
+            self[key] = value
+        return value
 
 
 class PartEncoder:
-    """Ids of texts as packed little-endian 32-bit numbers."""
+    """Ids of texts as packed little-endian 32-bit numbers.
 
-    def __init__(self, tokenizer: str, limit: int = PART_LIMIT, max_bytes: int = PART_BYTES):
+    A plain part without a special token is lowered and split by the tokenizer's own
+    pattern, and each new piece goes through the tokenizer's model; any other part
+    goes through the whole tokenizer.
+    """
+
+    def __init__(self, tokenizer: str, limit: int = PART_LIMIT):
+        import regex
         from tokenizers import Tokenizer
 
+        with open(tokenizer, encoding="utf-8") as f:
+            conf = json.load(f)
         self.own = Tokenizer.from_file(tokenizer)
-        self.limit, self.max_bytes = limit, max_bytes
-        self.ids: dict[bytes, bytes] = {}
-        self.held = 0
-
-    def learn(self, parts: set) -> None:
-        new = sorted(parts)
-        found = self.own.encode_batch([p.decode("utf-8") for p in new], add_special_tokens=False)
-        for part, e in zip(new, found):
-            self.ids[part] = array("I", e.ids).tobytes()
-            self.held += len(part) + len(self.ids[part])
+        self.model = self.own.model
+        self.special = [t.content for t in self.own.get_added_tokens_decoder().values()]
+        steps = conf["pre_tokenizer"]["pretokenizers"]
+        known = (conf["normalizer"] or {}).get("normalizers") == KNOWN and len(steps) == 2 \
+            and (steps[0]["behavior"], steps[0]["invert"]) == ("Removed", True) \
+            and (steps[1]["type"], steps[1]["use_regex"]) == ("ByteLevel", False) \
+            and not steps[1]["add_prefix_space"]
+        self.split = regex.compile(steps[0]["pattern"]["Regex"]).findall if known else None
+        self.signs = byte_signs()
+        self.limit = limit
+        self._restart()
+
+    def _restart(self) -> None:
+        self.parts, self.pieces = _Known(self._part), _Known(self._piece)
+
+    def _piece(self, piece: str) -> bytes:
+        shown = piece if piece.isascii() else \
+            piece.encode("utf-8").decode("latin-1").translate(self.signs)
+        return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+
+    def _part(self, part: bytes) -> bytes:
+        text = part.decode("utf-8")
+        if self.split is None or not PLAIN.fullmatch(text) or (
+                "<" in text and any(s in text for s in self.special)):
+            return array("I", self.own.encode(text, add_special_tokens=False).ids).tobytes()
+        found = self.split(text.lower())
+        if len(found) == 1:
+            return self.pieces[found[0]]
+        return b"".join(map(self.pieces.__getitem__, found))
 
     def encode(self, text: str) -> bytes:
-        parts = text.encode("utf-8").split()  # ASCII white space
-        if len(self.ids) > self.limit or self.held > self.max_bytes:
-            self.ids, self.held = {}, 0
-        new = set(parts).difference(self.ids)
-        if new:
-            self.learn(new)
-        return b"".join(map(self.ids.__getitem__, parts))
+        if len(self.parts) > self.limit:
+            self._restart()
+        return b"".join(map(self.parts.__getitem__, text.encode("utf-8").split()))
 
 
 def tokenized_pieces(docs: DataFrame, tokenizer: str, size: int = SIZE, with_ids: bool = False,
