@@ -45,8 +45,8 @@ from .packing import END_ID, Placement, _ranked, cut
 from .textmap import map_texts, stored
 
 SIZE = 4096
-#: Parts of texts a task remembers before it starts over.
-PART_LIMIT = 300_000
+#: Parts of texts, and pieces of them, a task remembers before it starts over.
+PART_LIMIT = 500_000
 
 
 #: Parts of printable ASCII, Latin-1 and Latin Extended-A signs (but for the one
@@ -104,9 +104,6 @@ class PartEncoder:
         self.split = regex.compile(steps[0]["pattern"]["Regex"]).findall if known else None
         self.signs = byte_signs()
         self.limit = limit
-        self._restart()
-
-    def _restart(self) -> None:
         self.parts, self.pieces = _Known(self._part), _Known(self._piece)
 
     def _piece(self, piece: str) -> bytes:
@@ -119,14 +116,16 @@ class PartEncoder:
         if self.split is None or not PLAIN.fullmatch(text) or (
                 "<" in text and any(s in text for s in self.special)):
             return array("I", self.own.encode(text, add_special_tokens=False).ids).tobytes()
-        found = self.split(text.lower())
-        if len(found) == 1:
-            return self.pieces[found[0]]
-        return b"".join(map(self.pieces.__getitem__, found))
+        text = text.lower()
+        if text.isalpha():
+            return self.pieces[text]
+        return b"".join(map(self.pieces.__getitem__, self.split(text)))
 
     def encode(self, text: str) -> bytes:
         if len(self.parts) > self.limit:
-            self._restart()
+            self.parts = _Known(self._part)
+        if len(self.pieces) > self.limit:
+            self.pieces = _Known(self._piece)
         return b"".join(map(self.parts.__getitem__, text.encode("utf-8").split()))
 
 
