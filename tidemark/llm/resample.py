@@ -8,9 +8,10 @@ Gumbel noise from a hash of the id is its score, and the highest scores are draw
 (Gumbel top-k: sampling without replacement by importance).
 
 Method: the head of the vocabulary, the most frequent words and pairs of such
-words, is found by counting all texts in blocks (a feature that holds less than
-``HEAD_SHARE`` of a block is not reported by it) and broadcast: the CRC-32 states of
-its words and the buckets of its pairs, at most ``HEAD`` rows each.  In a task, words
+words, is found by counting all texts in blocks (a block reports the features that
+hold 1 / ``REPORT`` of its words) and broadcast: the CRC-32 states of its words and
+the buckets of its pairs.  Its features have reports of 1 / ``HEAD`` of all words or
+more, so there are at most ``HEAD`` words and as many pairs, of ``HEAD_BYTES`` a word.  In a task, words
 and pairs of the head are array look-ups; a tail word takes its CRC-32 itself, and
 a tail pair continues the state of its first word over the second.  Both give the
 same bucket, so the head never changes a result, and the bucket totals are exact:
@@ -45,14 +46,16 @@ from pyspark.sql import types as T
 
 from .textmap import SLICE_ROWS, map_texts, stored
 
-#: Words, and pairs, of the head at most.
-HEAD = 1 << 16
-#: Least share of a block's words for a feature to be reported by the block.
-HEAD_SHARE = 1 / (1 << 16)
+#: Words, and pairs, of the head at most: each holds this share of all words.
+HEAD = 1 << 18
+#: A feature is reported by a block in which it holds this share of the words.
+REPORT = 1 << 16
+#: Bytes of a word of the head at most.
+HEAD_BYTES = 64
 #: Words of a block, about.
 BLOCK_WORDS = 500_000
 #: Slots of the pair table; of two head pairs on one slot one is left to the tail.
-SLOTS = 1 << 19
+SLOTS = 1 << 20
 
 #: A-Z in lower case, other ASCII characters but digits and a-z as blanks.
 FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122
@@ -79,13 +82,13 @@ class Head:
 
 
 def _frequent(block: list[list[bytes]]) -> list[tuple[bytes, bytes | None, int]]:
-    """Words and pairs that hold ``HEAD_SHARE`` of a block's words, and their counts."""
+    """Words and pairs that a block reports, and their counts; last, its words."""
     ids: defaultdict = defaultdict(count().__next__)
     flat = np.fromiter((ids[w] for ws in block for w in ws), np.int64)
-    least = max(2, math.ceil(len(flat) * HEAD_SHARE))
+    least = max(2, -(-len(flat) // REPORT))
     names = list(ids)
     counts = np.bincount(flat, minlength=len(names))
-    often = counts >= least
+    often = (counts >= least) & (np.fromiter(map(len, names), np.int64, len(names)) <= HEAD_BYTES)
     out = [(names[i], None, int(counts[i])) for i in np.flatnonzero(often)]
     ends = np.cumsum([len(ws) for ws in block])
     inside = np.ones(len(flat), bool)
@@ -95,7 +98,7 @@ def _frequent(block: list[list[bytes]]) -> list[tuple[bytes, bytes | None, int]]
     for code, k in zip(codes[n >= least].tolist(), n[n >= least].tolist()):
         a, b = divmod(code, len(names))
         out.append((names[a], names[b], k))
-    return out
+    return [*out, (None, None, len(flat))]
 
 
 def _texts(docs: DataFrame, text: str) -> DataFrame:
@@ -103,8 +106,7 @@ def _texts(docs: DataFrame, text: str) -> DataFrame:
 
 
 def find_head(docs: DataFrame, text: str = "text") -> Head:
-    """The ``HEAD`` most frequent words and pairs, by their counts in the blocks in
-    which they are frequent."""
+    """Words and pairs with reports of 1 / ``HEAD`` of all words."""
     schema = "a binary, b binary, n long"
 
     def run(batches):
@@ -129,12 +131,13 @@ def find_head(docs: DataFrame, text: str = "text") -> Head:
     counts = _texts(docs, text).mapInArrow(run, schema).groupBy("a", "b").agg(
         F.sum("n").alias("n"))
     counts = stored(docs.sparkSession, counts, "head")
-    words = [bytes(r["a"]) for r in counts.where("b IS NULL")
-             .orderBy(F.desc("n"), "a").limit(HEAD).collect()]
+    total = counts.where("a IS NULL").agg(F.max("n")).first()[0] or 0
+    often = [(bytes(r["a"]), r["b"] and bytes(r["b"])) for r in
+             counts.where(F.col("a").isNotNull() & (F.col("n") * HEAD >= total)).collect()]
+    words = sorted(a for a, b in often if b is None)
     place = {w: i for i, w in enumerate(words)}
-    pairs = [(place[bytes(r["a"])], place[bytes(r["b"])]) for r in
-             counts.where("b IS NOT NULL").orderBy(F.desc("n"), "a", "b").limit(HEAD).collect()
-             if bytes(r["a"]) in place and bytes(r["b"]) in place]
+    # a pair is reported with its words, so they are in the head, too
+    pairs = sorted((place[a], place[b]) for a, b in often if b is not None)
     return Head(tuple(words), tuple(pairs))
 
 
