@@ -423,6 +423,39 @@ def q_schema_evolution(spark, sf_dir):
                      merge_schema=True))
 
 
+def widening_batch(rec, batch_id):
+    """Fixture rule: what batch ``batch_id`` holds of the records (FIXTURES.md)."""
+    text = F.format_string("u%s", F.col("kafka_key"))
+    cols = {
+        0: [F.col("event_id").cast("int").alias("k"), F.length("kafka_key").alias("who")],
+        1: [F.col("event_id").alias("k"), F.length("kafka_key").alias("who"),
+            F.struct(F.col("kafka_partition").cast("short").alias("part")).alias("place")],
+        2: [F.col("event_id").cast("double").alias("k"), text.alias("who")],
+        3: [text.alias("who"), F.struct(F.col("kafka_topic").alias("topic"),
+                                        F.col("kafka_partition").alias("part")).alias("place")],
+    }[batch_id]
+    return rec.select(F.col("kafka_offset").alias("at"), *cols)
+
+
+@register("schema_widening")
+def q_schema_widening(spark, sf_dir):
+    """Batches in which columns come, go and change their types (int, bigint, double;
+    int, text; a struct that gains a field), read whole without asking for it."""
+    def build(lake):
+        rec = records(spark, sf_dir, keep_ids=True)
+        rec = rec.select("event_id", F.col("key").cast("string").alias("kafka_key"),
+                         F.col("topic").alias("kafka_topic"),
+                         F.col("partition").alias("kafka_partition"),
+                         F.col("offset").alias("kafka_offset"), "cut")
+        for b in range(N_CUTS):
+            write_lake_batch(widening_batch(rec.where(F.col("cut") == b), b), lake, b,
+                             committed_at=batch_clock(b))
+
+    lake = _read(spark, stored_path(spark, sf_dir, "widening", build))
+    return ntz(lake.select("batch_id", "at", "k", "who", F.col("place.part").alias("part"),
+                           F.col("place.topic").alias("topic"), "committed_at"))
+
+
 @register("stream_resume")
 def q_stream_resume(spark, sf_dir):
     return ntz(_read(spark, _lake_by_stream(spark, sf_dir, releases=[[0, 1], [2, 3]])))

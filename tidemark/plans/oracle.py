@@ -277,6 +277,12 @@ SQL["table_history"] = lake_sql(
     cols=f"batch_id, count(*) as row_count, max({PROC} + to_days(cast(batch_id as integer))) as committed_at",
     tail="group by batch_id")
 SQL["schema_evolution"] = lake_sql(extra_from=1)
+SQL["schema_widening"] = lake_sql(cols=f"""batch_id, kafka_offset as at,
+       case when cut < 3 then cast(event_id as double) end as k,
+       case when cut < 2 then cast(length(kafka_key) as varchar) else 'u' || kafka_key end as who,
+       case when cut in (1, 3) then kafka_partition end as part,
+       case when cut = 3 then kafka_topic end as topic,
+       {PROC} + to_days(cast(batch_id as integer)) as committed_at""")
 SQL["stream_resume"] = lake_sql(batch="cut // 2")
 SQL["stream_replay"] = SQL["table_history"]
 SQL["batch_report"] = """select cast(-1 as bigint) as batch_id, '=== Spark Streaming Output ===' as line

@@ -112,6 +112,40 @@ def delete_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names inside a folder, sorted; none if it is not there."""
+    fs, p = _file_system(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def write_note(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file, whole or not at all: written aside, then renamed."""
+    fs, p = _file_system(spark, path)
+    aside = p.suffix(".part")
+    out = fs.create(aside, True)
+    try:
+        out.write(text.encode("utf-8"))
+    finally:
+        out.close()
+    fs.delete(p, False)
+    if not fs.rename(aside, p):
+        raise OSError(f"could not write {path}")
+
+
+def read_note(spark: SparkSession, path: str) -> str:
+    fs, p = _file_system(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete what this application stored in its scratch folder.  Call it at
     the end, when no result that reads from it is needed any more."""

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import text_prefix
+from ..operators.evolution import nullable
+from ..session import list_names
+from ..sources.lake import note_schema, schema_epochs, schema_notes
 
 
 # Lines of the text batch report (same text as the reference).
@@ -57,11 +61,29 @@ def write_lake_batch(batch: DataFrame, lake_path: str, batch_id: int,
          .option("txnAppId", app_id).option("txnVersion", int(batch_id))
          .option("mergeSchema", "true").save(lake_path))
         return obs.get["rows"]
+    # before the batch: a reader never meets a batch whose schema it does not know
+    note_schema(batch.sparkSession, lake_path, out.schema, [(int(batch_id), int(batch_id))])
     out.write.mode("overwrite").parquet(batch_dir(lake_path, batch_id))
     rows = obs.get["rows"]
     return None if skip_empty and not rows else rows
 
 
+def _batch_ranges(df: DataFrame, lake_path: str, schema: T.StructType) -> list[tuple[int, int]]:
+    """Stretches of consecutive batch ids of ``df``.  A new lake, or one whose
+    batches all have this schema, needs no look at the rows."""
+    spark = df.sparkSession
+    notes = schema_notes(spark, lake_path)
+    noted = schema_epochs(notes) if notes else []
+    if all(s == nullable(schema) or (hi is not None and hi < 0) for _, hi, s in noted) \
+            and (noted or not list_names(spark, lake_path)):
+        return [(0, 0)]
+    ids = df.select("batch_id").distinct()
+    island = F.col("batch_id") - F.row_number().over(Window.orderBy("batch_id"))
+    rows = (ids.withColumn("island", island).groupBy("island")
+            .agg(F.min("batch_id").alias("lo"), F.max("batch_id").alias("hi")).collect())
+    return sorted((r["lo"], r["hi"]) for r in rows)
+
+
 def write_lake_batches(df: DataFrame, lake_path: str, batch_col: str = "batch_id",
                        committed_at: Column | None = None) -> None:
     """Backfill many batches in one distributed write (same layout as
@@ -71,10 +93,12 @@ def write_lake_batches(df: DataFrame, lake_path: str, batch_col: str = "batch_id
     brings the rows of a batch together in files of a good size; a large batch
     is split over several tasks."""
     stamp = committed_at if committed_at is not None else F.current_timestamp()
-    (df.withColumn("committed_at", stamp.cast("timestamp"))
-     .withColumnRenamed(batch_col, "batch_id")
-     .withColumn("batch_id", F.col("batch_id").cast("bigint"))
-     .hint("rebalance", F.col("batch_id"))
+    out = (df.withColumn("committed_at", stamp.cast("timestamp"))
+           .withColumnRenamed(batch_col, "batch_id")
+           .withColumn("batch_id", F.col("batch_id").cast("bigint")))
+    schema = out.drop("batch_id").schema
+    note_schema(df.sparkSession, lake_path, schema, _batch_ranges(out, lake_path, schema))
+    (out.hint("rebalance", F.col("batch_id"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("batch_id").parquet(lake_path))
 
