@@ -10,10 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import clean_column_name, table_name_from_path
+from ..session import list_names
 from ..sources.files import discover_csv, read_csv_union
-from .inference import apply_types, infer_types, null_na_tokens, types_of
+from .inference import SQL_TO_SPARK, apply_types, infer_types, null_na_tokens, types_of
+from .tables import Appended, append_rows, ensure_table, fit_rows, quoted, refuse_misfits
 
 
+#: SQL type names of the loaded tables' column types.
+SQL_TYPES = {spark: sql for sql, spark in SQL_TO_SPARK.items()}
+
 # The seed row written per table (same text as the reference).
 SEED_KEY = "seed_{table}_{epoch}"
 SEED_VALUE = "value_{epoch}"
@@ -69,12 +74,20 @@ def load_sources(spark: SparkSession, sources: Mapping[str, list[str]], out_root
     All sources of a table are one load, matched by column name, so none
     overwrites another.  Each table is its own distributed job: one aggregate
     for the types, one pass for the typed write; ``at_once`` tables run side by
-    side.  Returns the SQL types per table.
+    side.  ``mode="append"`` keeps the columns and types of a table that is there: rows
+    that do not fit them refuse the load.  Returns the SQL types per table.
     """
     def load(name: str) -> dict[str, str]:
         raw = read_csv_union(spark, sources[name], glob=glob, multi_line=multi_line)
+        target = f"{out_root}/{name}"
+        if mode == "append" and list_names(spark, target):
+            schema = spark.read.parquet(target).schema
+            fitted = fit_rows(null_na_tokens(clean_headers(raw)), schema)
+            refuse_misfits(fitted, name)
+            fitted.select("row.*").write.mode("append").parquet(target)
+            return {f.name: SQL_TYPES.get(f.dataType.simpleString(), "TEXT") for f in schema}
         typed, types = typed_table(raw, compat=compat)
-        typed.write.mode(mode).parquet(f"{out_root}/{name}")
+        typed.write.mode(mode).parquet(target)
         return types
 
     names = sorted(sources)
@@ -82,6 +95,32 @@ def load_sources(spark: SparkSession, sources: Mapping[str, list[str]], out_root
         return dict(zip(names, pool.map(load, names)))
 
 
+def load_catalog_tables(spark: SparkSession, sources: Mapping[str, list[str]],
+                        database: str | None = None, location: str | None = None,
+                        compat: str = "reference", glob: str | None = None,
+                        multi_line: bool = False, aside: str | None = None,
+                        at_once: int = 4) -> dict[str, Appended]:
+    """Load ``{table: sources}`` into tables of the session catalog.
+
+    A table that is not there is created with the types inferred from this load
+    (below ``location`` if given); one that is there keeps its columns and types.
+    Rows that do not fit refuse the table's load, or with ``aside`` (a suffix) go to
+    the table ``<table><aside>``.  A second load adds its rows, as the reference's does.
+    """
+    def load(name: str) -> Appended:
+        full = f"{database}.{name}" if database else name
+        raw = read_csv_union(spark, sources[name], glob=glob, multi_line=multi_line)
+        rows = null_na_tokens(clean_headers(raw))
+        if not spark.catalog.tableExists(quoted(full)):
+            typed, _ = typed_table(raw, compat=compat)
+            ensure_table(spark, full, typed.schema, f"{location}/{name}" if location else None)
+        return append_rows(spark, full, rows, f"{full}{aside}" if aside else None)
+
+    names = sorted(sources)
+    with ThreadPoolExecutor(max_workers=max(1, at_once)) as pool:
+        return dict(zip(names, pool.map(load, names)))
+
+
 def sources_of_files(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
     """Explicit files by the table they load into."""
     rows = (spark.createDataFrame([(p,) for p in paths], "path string")

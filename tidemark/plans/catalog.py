@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import (delimited_int, json_list_length, json_path_or_default,
                          table_name_from_path, topic_part)
-from ..operators import cdc, envelope, inference, ingest, quality, reports
+from ..operators import cdc, envelope, inference, ingest, quality, reports, tables
 from ..operators.enrich import enrich, message_sequence
 from ..schemas import ENVELOPE
 from ..session import parallelism, scratch_path
@@ -321,6 +321,38 @@ def q_infer_types_text(spark, sf_dir):
     return inference.infer_types(inference.null_na_tokens(shown))
 
 
+@register("append_load")
+def q_append_load(spark, sf_dir):
+    """Customers in two loads into one catalog table, which the first one creates; the
+    second one comes as text, with balances that are no numbers in every seventh row
+    and keys with a fraction in every eleventh: those rows go to a table aside."""
+    def build(root):
+        name = "append_load_" + root.rsplit("-", 1)[-1]
+        c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
+        key = F.col("c_custkey")
+        first = c.where(key % 2 == 0)
+        tables.ensure_table(spark, name, first.schema, f"{root}/rows")
+        tables.append_rows(spark, name, first)
+        text = c.where(key % 2 == 1).select(
+            F.when(key % 7 == 0, F.concat(F.lit("about "), F.col("c_acctbal").cast("string")))
+            .otherwise(F.col("c_acctbal").cast("string")).alias("C_ACCTBAL"),
+            F.when(key % 11 == 0, F.concat(key.cast("string"), F.lit(".5")))
+            .otherwise(F.concat(F.lit(" "), key.cast("string"))).alias("c_custkey"))
+        tables.ensure_table(spark, f"{name}_aside", tables.MISFITS, f"{root}/aside")
+        tables.append_rows(spark, name, text, f"{name}_aside")
+
+    name = "append_load_" + stored_path(spark, sf_dir, "append", build).rsplit("-", 1)[-1]
+    rows = spark.table(name).select("c_custkey", "c_name", "c_acctbal",
+                                    F.lit("").alias("misfit"))
+    wrong = F.concat_ws(",", F.array_sort(F.map_keys("misfit")))
+    key = F.get_json_object("source", "$.c_custkey")
+    aside = spark.table(f"{name}_aside").select(
+        F.floor(F.trim(key).cast("double")).cast("bigint").alias("c_custkey"),
+        F.lit(None).cast("string").alias("c_name"), F.lit(None).cast("double").alias("c_acctbal"),
+        wrong.alias("misfit"))
+    return rows.unionByName(aside)
+
+
 @register("seed_rows")
 def q_seed_rows(spark, sf_dir):
     kv = {

@@ -232,6 +232,15 @@ select * from (values (0, 'doc_id', 'INTEGER'), (1, 'text', 'TEXT'), (2, 'lang',
   (7, 'nothing', 'REAL')) t(position, column_name, sql_type)
 where exists (select 1 from documents)"""
 
+SQL["append_load"] = """
+with c as (
+  select *, c_custkey % 2 = 1 and (c_custkey % 7 = 0 or c_custkey % 11 = 0) as bad from customer)
+select c_custkey, case when c_custkey % 2 = 0 then c_name end as c_name,
+       case when not bad then c_acctbal end as c_acctbal,
+       concat_ws(',', case when bad and c_custkey % 7 = 0 then 'c_acctbal' end,
+                 case when bad and c_custkey % 11 = 0 then 'c_custkey' end) as misfit
+from c"""
+
 SQL["seed_rows"] = """
 select count(*) + 1 as row_count, 'nation' as table_name from nation
 union all select count(*) + 1, 'region' from region
