@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import ends_with_ci, table_name_from_path
+from .csvsplit import read_records, scan_borders
 
 LISTING = T.StructType([
     T.StructField("path", T.StringType()),
@@ -92,6 +93,18 @@ def open_quotes(spark: SparkSession, paths: Sequence[str], sep: str = ",",
             .where(line.contains('"') & rest.rlike(_OPENING.format(sep=s))).count())
 
 
+def _parsed(records: DataFrame, names: Sequence[str], sep: str) -> DataFrame:
+    """Columns of texts of records, with the whole text of those that do not parse."""
+    cols = [f"c{i}" for i in range(len(names))]
+    ddl = ", ".join(f"{c} string" for c in [*cols, CORRUPT])
+    fields = F.from_csv("record", ddl, {
+        "sep": sep, "quote": '"', "escape": '"', "multiLine": "true", "mode": "PERMISSIVE",
+        "columnNameOfCorruptRecord": CORRUPT})
+    # behind a generator a record is parsed once, not once per column
+    rows = records.select(F.inline(F.array(fields)))
+    return rows.select(*[F.col(c).alias(n) for c, n in zip(cols, names)], CORRUPT)
+
+
 def read_csv_strings(spark: SparkSession, paths: str | Sequence[str],
                      sep: str = ",", glob: str | None = None,
                      multi_line: bool = False) -> DataFrame:
@@ -101,19 +114,26 @@ def read_csv_strings(spark: SparkSession, paths: str | Sequence[str],
     Nothing is lost: a row with more fields than the header raises when it is
     read, files whose headers differ from the first one's raise, and with
     ``multi_line`` off a quoted value that goes on over several lines raises.
-    ``multi_line`` reads such values, at the price that a file is not split.
+    ``multi_line`` reads such values, large files in splits (``csvsplit``).
     Rows with fewer fields than the header get NULL in the rest.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    if not multi_line:
+    borders = None
+    if multi_line:
+        borders = scan_borders(spark, paths, sep, glob)
+        multi_line = borders.breaks and borders.unsplit
+    else:
         broken = open_quotes(spark, paths, sep, glob)
         if broken:
             raise ValueError(f"{broken} line(s) open a quoted value that does not end on the "
                              "line; read with multi_line=True")
-    names = _reader(spark, sep, multi_line, glob).csv(paths).columns
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, CORRUPT]])
-    raw = (_reader(spark, sep, multi_line, glob).schema(schema)
-           .option("columnNameOfCorruptRecord", CORRUPT).csv(paths))
+    names = _reader(spark, sep, borders is not None, glob).csv(paths).columns
+    if borders is not None and borders.breaks and not multi_line:
+        raw = _parsed(read_records(spark, paths, borders, sep, glob), names, sep)
+    else:
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, CORRUPT]])
+        raw = (_reader(spark, sep, multi_line, glob).schema(schema)
+               .option("columnNameOfCorruptRecord", CORRUPT).csv(paths))
     bare = F.regexp_replace(F.col(CORRUPT), '"([^"]|"")*"', "")
     fields = F.size(F.split(bare, re.escape(sep), -1))
     wide = F.raise_error(F.concat(F.lit(f"row with more than {len(names)} fields: "),
