@@ -48,6 +48,45 @@ def test_snapshot_diff_null_keys_and_widened_type(spark):
     assert sorted(r["op"] for r in cdc.snapshot_diff(b, c, ["id"]).collect()) == ["u", "u"]
 
 
+def test_digest_diff_ops_nulls_and_widened_types(spark):
+    a = spark.createDataFrame([(1, "x", 1), (2, "y", None), (3, None, 7), (None, "n", 4)],
+                              "id int, v string, w int")
+    b = spark.createDataFrame([(2, None, "y"), (3, "7", None), (4, "1", "z"), (None, "4", "n")],
+                              "id bigint, w string, v string")
+    diff = cdc.snapshot_diff_by_digest(a, b, ["id"])
+    assert {r["id"]: r["op"] for r in diff.collect()} == {1: "d", 4: "c"}
+    swapped = spark.createDataFrame([(2, "y", None)], "id int, w string, v string")
+    got = cdc.snapshot_diff_by_digest(a.where("id = 2"), swapped, ["id"]).collect()
+    assert [r["op"] for r in got] == ["u"]      # (y, NULL) is not (NULL, y)
+
+
+@pytest.mark.parametrize("side", [0, 1])
+def test_digest_diff_duplicate_key_fails(spark, side):
+    dup = spark.createDataFrame([(1, "x"), (1, "x")], "id int, v string")
+    one = spark.createDataFrame([(1, "x")], "id int, v string")
+    pair = (dup, one) if side == 0 else (one, dup)
+    with pytest.raises(Exception, match="duplicate key"):
+        cdc.snapshot_diff_by_digest(*pair, ["id"]).collect()
+
+
+def test_digest_diff_touches_changed_keys_only(spark):
+    a = spark.range(20_000).select("id", (F.col("id") % 7).alias("k2"), F.struct(
+        F.lit("image").alias("t"), F.array(F.col("id")).alias("l")).alias("row"))
+    b = a.where("id <> 5").withColumn("row", F.when(F.col("id") == 77, F.lit(None))
+                                      .otherwise(F.col("row"))).union(
+        spark.range(1).select(F.lit(-1).cast("long"), F.lit(0).cast("long"), F.struct(
+            F.lit("new").alias("t"), F.array(F.lit(1).cast("long")).alias("l"))))
+    for buckets in (1, 64, cdc.DIGEST_BUCKETS):
+        old, new = cdc.changed_rows(a, b, ["id", "k2"], buckets)
+        assert sorted(r["id"] for r in old.collect()) == [5, 77]
+        assert sorted(r["id"] for r in new.collect()) == [-1, 77]
+    ops = cdc.snapshot_diff_by_digest(a, b, ["id", "k2"]).collect()
+    assert {r["id"]: r["op"] for r in ops} == {-1: "c", 5: "d", 77: "u"}
+    assert cdc.snapshot_diff_by_digest(a, a, ["id", "k2"]).count() == 0
+    empty = a.limit(0)
+    assert cdc.snapshot_diff_by_digest(empty, a, ["id", "k2"]).where("op = 'c'").count() == 20_000
+
+
 def test_change_without_an_operation_raises(spark):
     df = spark.createDataFrame([(1, None, 5, (1,))], "k long, op string, lsn long, "
                                                      "after struct<v:long>")
@@ -72,6 +111,8 @@ def test_diff_applied_to_a_gives_b(spark, a_rows, b_rows):
     b = spark.createDataFrame(list(b_rows.items()), "id int, v int")
     out = _apply(a, cdc.snapshot_diff(a, b, ["id"]), ["id"])
     assert sorted(out.collect()) == sorted(b.collect())
+    by_digest = cdc.snapshot_diff_by_digest(a, b, ["id"], buckets=4)
+    assert sorted(by_digest.collect()) == sorted(cdc.snapshot_diff(a, b, ["id"]).collect())
 
 
 def test_current_state_last_by_lsn_and_deletes(spark):

@@ -6,8 +6,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..session import scratch_path
+from .evolution import common_schema, conform
 
 
 def _image(df: DataFrame, name: str) -> Column:
@@ -61,6 +65,94 @@ def snapshot_diff(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> D
             .where(F.col("op").isNotNull()))
 
 
+#: Buckets of keys whose digests are folded by ``changed_rows``.
+DIGEST_BUCKETS = 1 << 16
+
+
+def _digest(df: DataFrame, salt: int) -> Column:
+    """64-bit digest of a row; NULLs count, also inside nested values."""
+    nested = (T.StructType, T.ArrayType, T.MapType)
+    parts = [F.to_json(F.struct(F.col(f"`{f.name}`")), {"ignoreNullFields": "false"})
+             if isinstance(f.dataType, nested) else F.col(f"`{f.name}`") for f in df.schema.fields]
+    holes = F.concat(*[F.when(F.col(f"`{c}`").isNull(), "0").otherwise("1") for c in df.columns])
+    return F.xxhash64(F.lit(salt), *parts, holes)
+
+
+def _with_digests(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    """``_b``, ``_h0``, ``_h1`` beside the columns: bucket of the key and two digests."""
+    key = df.select(*keys)
+    return df.select("*", F.pmod(_digest(key, 2), F.lit(buckets)).alias("_b"),
+                     _digest(df, 0).alias("_h0"), _digest(df, 1).alias("_h1"))
+
+
+def _folded(df: DataFrame, side: str) -> DataFrame:
+    """Per bucket, the number of rows and sums of the halves of their digests."""
+    half = [F.sum(part).alias(f"s{i}{j}") for i in (0, 1) for j, part in enumerate(
+        (F.shiftright(f"_h{i}", 32), F.col(f"_h{i}").bitwiseAND(0xFFFFFFFF)))]
+    folded = df.groupBy("_b").agg(F.count(F.lit(1)).alias("n"), *half)
+    return folded.select("_b", F.struct("n", "s00", "s01", "s10", "s11").alias(side))
+
+
+def changed_rows(before: DataFrame, after: DataFrame, keys: Sequence[str],
+                 buckets: int = DIGEST_BUCKETS) -> tuple[DataFrame, DataFrame]:
+    """The rows of two snapshots (with the same columns) whose keys changed.
+
+    1. Each side folds two 64-bit digests of its rows per bucket of keys: at most
+       ``buckets`` rows per task are shuffled.  Buckets that agree hold equal rows.
+    2. In the others the digests are compared key by key: keys and digests are
+       shuffled, of these buckets only.
+    3. Rows of the keys that differ are kept by a semi join, by broadcast where the
+       keys are few.
+
+    What is shuffled grows with the changes, not with the snapshots, which are
+    scanned three times instead.
+    """
+    spark, keys = before.sparkSession, list(keys)
+    sides = [_with_digests(df, keys, buckets) for df in (before, after)]
+    both = _folded(sides[0], "x").join(_folded(sides[1], "y"), "_b", "full_outer")
+    differ = _kept(spark, both.where(~F.col("x").eqNullSafe(F.col("y"))).select("_b"), "buckets")
+    # at most `buckets` numbers
+    open_ = [s.join(F.broadcast(differ), "_b", "left_semi") for s in sides]
+    digest = F.struct("_h0", "_h1")
+    stacked = open_[0].select(*keys, digest.alias("h"), F.lit(0).alias("side")).union(
+        open_[1].select(*keys, digest.alias("h"), F.lit(1).alias("side")))
+    on = [F.when(F.col("side") == i, F.col("h")) for i in (0, 1)]
+    grouped = stacked.groupBy(*keys).agg(
+        *[F.max(c).alias(f"h{i}") for i, c in enumerate(on)],
+        *[F.count(c).alias(f"n{i}") for i, c in enumerate(on)])
+    changed = _kept(spark, grouped.where(
+        ~F.col("h0").eqNullSafe(F.col("h1")) | (F.col("n0") > 1) | (F.col("n1") > 1))
+        .select(*[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)]), "changed-keys")
+
+    def reduced(side: DataFrame, columns: list[str]) -> DataFrame:
+        same = [side[k].eqNullSafe(changed[f"_k{i}"]) for i, k in enumerate(keys)]
+        return side.join(changed, reduce(lambda a, b: a & b, same), "left_semi").select(
+            *[F.col(f"`{c}`") for c in columns])
+
+    return reduced(open_[0], before.columns), reduced(open_[1], after.columns)
+
+
+def _kept(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def snapshot_diff_by_digest(before: DataFrame, after: DataFrame, keys: Sequence[str],
+                            buckets: int = DIGEST_BUCKETS) -> DataFrame:
+    """``snapshot_diff`` for snapshots that are mostly alike: images are shuffled for
+    the keys of ``changed_rows`` only.  A duplicate key raises if its bucket changed
+    (the same duplicate on both sides is no change)."""
+    before, after = conform_both(before, after)
+    return snapshot_diff(*changed_rows(before, after, keys, buckets), keys)
+
+
+def conform_both(before: DataFrame, after: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both snapshots with all columns of either, in their common types."""
+    want = common_schema([before.schema, after.schema])
+    return conform(before, want), conform(after, want)
+
+
 def snapshot_events(snapshot: DataFrame, keys: Sequence[str], op: str = "r",
                     carry: Sequence[str] = ()) -> DataFrame:
     """Every row as a change event without a prior image: ``r`` for the

@@ -215,6 +215,13 @@ def q_snapshot_diff(spark, sf_dir):
     return ntz(cdc.flatten_change(cdc.snapshot_diff(a, b, ["o_orderkey"])))
 
 
+@register("snapshot_diff_digest")
+def q_snapshot_diff_digest(spark, sf_dir):
+    """The same changes by folded digests: images of changed keys only."""
+    a, b = order_versions(spark, sf_dir)
+    return ntz(cdc.flatten_change(cdc.snapshot_diff_by_digest(a, b, ["o_orderkey"])))
+
+
 @register("route_topics")
 def q_route_topics(spark, sf_dir):
     """Initial snapshots of three tables, each row with its topic, key and row

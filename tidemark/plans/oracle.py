@@ -172,6 +172,8 @@ from a full join b on a.o_orderkey = b.o_orderkey
 where a.o_orderkey is null or b.o_orderkey is null or """ + \
     " or ".join(f"a.{c} is distinct from b.{c}" for c in ORDER_COLS)
 
+SQL["snapshot_diff_digest"] = SQL["snapshot_diff"]
+
 SQL["route_topics"] = """
 select 'pg.public.customer' as topic, cast(c_custkey as varchar) as k, 'r' as op,
        c_name as name, cast(c_nationkey as varchar) as parent_key from customer
