@@ -325,10 +325,55 @@ def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
                     "text_hash", "set_id"))
 
 
-def drop_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
+def _joined_ids(spark: SparkSession, found: DataFrame) -> DataFrame:
+    """``(id, first)``: ids with several rows in ``found`` and the smallest id that
+    the components of those rows, taken together, reach."""
+    linked = stored(spark, found.where("doc_id IS NOT NULL AND component_id IS NOT NULL")
+                    .select("doc_id", "component_id").distinct(), "components")
+    of_id = linked.groupBy("doc_id").agg(F.min("component_id").alias("a"))
+    edges = linked.join(of_id, "doc_id").select("a", F.col("component_id").alias("b")) \
+        .where("a <> b").distinct()
+    return components(spark, edges).select("node", "component")
+
+
+def _either_text(docs: DataFrame, before: DataFrame, p: Params) -> DataFrame:
+    """``doc_id``, ``text_hash``, ``set_id`` and ``kept`` of the rows of ``docs``, linked by
+    their texts and by those of ``before``: kept is the smallest document of a component
+    that still has a shingle."""
+    spark = docs.sparkSession
+    now = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    same = now.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"))
+    is_now = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("text_hash"))
+    old = (before.select("doc_id", F.col("text").cast("string").alias("text"))
+           .join(now.select("doc_id").distinct(), "doc_id", "left_semi")
+           .withColumn("text_hash", F.xxhash64("text")).join(same, is_now, "left_anti"))
+    found = stored(spark, near_duplicates(
+        stored(spark, now.unionByName(old.select("doc_id", "text")), "both-texts"), p), "found")
+    first = _joined_ids(spark, found)
+    had = found.where("n_shingles > 0").select(F.col("doc_id").alias("had")).distinct()
+    rows = (found.join(same, is_now, "left_semi")
+            .join(first, F.col("component_id") == F.col("node"), "left")
+            .withColumn("component", F.coalesce("component", "component_id"))
+            .join(had, F.col("doc_id") == F.col("had"), "left"))
+    full = F.col("n_shingles") > 0
+    keeper = rows.where(full).groupBy(F.col("component").alias("of")).agg(
+        F.min("doc_id").alias("keeper"))
+    return (rows.join(keeper, F.col("component").eqNullSafe(F.col("of")), "left")
+            .withColumn("kept", F.when(full, F.col("doc_id").eqNullSafe(F.col("keeper")))
+                        .otherwise(F.col("had").isNull())))
+
+
+def drop_duplicates(docs: DataFrame, p: Params = Params(),
+                    before: DataFrame | None = None) -> DataFrame:
     """The rows of ``docs`` that stay: one document of each component (one of
-    repeated rows), and all without a shingle."""
-    keep = (near_duplicates(docs, p).where("kept")
+    repeated rows), and all without a shingle.
+
+    ``before`` (``doc_id``, ``text``) holds texts as they were before some step
+    changed them.  Documents are then linked by either text, and one without a
+    shingle goes if it had one before.
+    """
+    found = near_duplicates(docs, p) if before is None else _either_text(docs, before, p)
+    keep = (found.where("kept")
             .select(F.col("doc_id").alias("_tm_id"), F.col("text_hash").alias("_tm_hash"),
                     F.col("set_id").isNotNull().alias("_tm_linked")).distinct())
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
