@@ -11,7 +11,8 @@ None; ``tests/llm/test_pipeline.py`` holds the stages against brute force.
 
 Defined cases are those of the operators: null and empty texts pass the filters
 unless the classifier's prior rejects them, repeated rows are reduced to one by
-the near-dedup stage (rows without a word stay), empty tables stay empty.
+the near-dedup stage (rows without a word stay, unless the line stage took the words),
+empty tables stay empty.
 """
 
 from __future__ import annotations
@@ -41,9 +42,12 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (five-word shingles,
-    similarity of 0.8 or more)."""
-    return neardup.drop_duplicates(docs, neardup.Params())
+    """One document of each group of near duplicates (five-word shingles, similarity
+    of 0.8 or more), by its text here or as it was before the line stage, which takes
+    copies apart: the copies of a text lose the lines that its first document keeps.
+    A document that the line stage has emptied goes, too."""
+    whole = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return neardup.drop_duplicates(docs, neardup.Params(), before=whole)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
