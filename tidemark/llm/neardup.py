@@ -54,6 +54,8 @@ from pyspark.sql import types as T
 
 from .textmap import WordTable, map_texts, mix64, stored
 
+#: Bits of the bitmap of wanted texts.
+BITMAP = 1 << 26
 #: Bytes A-Z to a-z.
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -177,14 +179,32 @@ def _shingles(texts: DataFrame, p: Params) -> DataFrame:
     return map_texts(texts, make, [T.StructField("elements", T.ArrayType(T.LongType()))])
 
 
+def _likely(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows of ``docs`` (with ``text_hash``) whose bit is set in a bitmap of the wanted
+    ``hash`` values: all wanted rows, and few others as long as the wanted are well below
+    ``BITMAP`` in number.  The bitmap is broadcast: ``BITMAP`` / 8 bytes at most."""
+    bit = F.pmod("hash", F.lit(BITMAP))
+    maps = wanted.select(bit.alias("bit")).groupBy(F.expr("bit div 32768").alias("page")).agg(
+        F.bitmap_construct_agg(F.col("bit") % 32768).alias("bits"))
+    place = F.pmod("text_hash", F.lit(BITMAP))
+    at = place % 32768
+    byte = F.conv(F.hex(F.substring("bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10)
+    return (docs.withColumn("_page", F.floor(place / 32768))
+            .join(F.broadcast(maps), F.col("_page") == F.col("page"))
+            .where(F.getbit(byte.cast("int"), (at % 8).cast("int")) == 1)
+            .drop("_page", "page", "bits"))
+
+
 def _sets(spark: SparkSession, wanted: DataFrame, classes: DataFrame, docs: DataFrame,
           p: Params) -> DataFrame:
     """``(class, elements)`` of the wanted classes, made again from one text of
     each, so nothing but those texts is shuffled."""
     named = wanted.join(classes.select("class", F.col("doc_id").alias("id"),
                                        F.col("text_hash").alias("hash")), "class")
-    texts = (docs.join(named, F.col("doc_id").eqNullSafe(F.col("id"))
-                       & (F.xxhash64("text") == F.col("hash")))
+    hashed = docs.withColumn("text_hash", F.xxhash64("text"))
+    texts = (_likely(hashed, named.select("hash"))
+             .join(named, F.col("doc_id").eqNullSafe(F.col("id"))
+                   & (F.col("text_hash") == F.col("hash")))
              .groupBy("id", "hash", "class").agg(F.first("text").alias("text")))
     return stored(spark, _shingles(texts, p).select("row.class", "elements"), "sets")
 
@@ -234,14 +254,28 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
             return label
 
 
-def link(docs: DataFrame, p: Params = Params()) -> tuple[DataFrame, DataFrame]:
-    """``(rows, classes)``: every row's struct ``row`` with ``n_shingles`` and
-    ``set_id``, and ``(set_id, first_doc, component_id)`` for every set."""
-    spark = docs.sparkSession
-    slim = docs.select("doc_id", "text")
-    signed = stored(spark, _signatures(slim, p).select(
+def _signed(spark: SparkSession, slim: DataFrame, p: Params) -> DataFrame:
+    return stored(spark, _signatures(slim, p).select(
         F.col("row.doc_id").alias("doc_id"), F.xxhash64("row.text").alias("text_hash"),
         "n_shingles", "set_id", "keys"), "signatures")
+
+
+def link(docs: DataFrame, p: Params = Params(),
+         before: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """``(rows, classes)``: every row's ``doc_id`` and ``text_hash`` with ``n_shingles``
+    and ``set_id``, and ``(set_id, first_doc, component_id)`` for every set.  With
+    ``before`` its other texts of the ids of ``docs`` are rows, too (not ``now``)."""
+    spark = docs.sparkSession
+    slim = docs.select("doc_id", "text")
+    signed = _signed(spark, slim, p).withColumn("now", F.lit(True))
+    if before is not None:
+        old = before.select("doc_id", F.col("text").cast("string").alias("text"))
+        slim = slim.select("doc_id", F.col("text").cast("string").alias("text")).unionByName(old)
+        # numbers only: the texts are not shuffled to find those that changed
+        other = (_signed(spark, old, p)
+                 .join(signed.select("doc_id").distinct(), "doc_id", "left_semi")
+                 .join(signed.select("doc_id", "text_hash"), ["doc_id", "text_hash"], "left_anti"))
+        signed = signed.unionByName(other.withColumn("now", F.lit(False)))
     # one row per set: its smallest document names the class
     classes = stored(spark, signed.where(F.col("set_id").isNotNull()).groupBy("set_id").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "text_hash")).alias("m"),
@@ -315,14 +349,15 @@ def link(docs: DataFrame, p: Params = Params()) -> tuple[DataFrame, DataFrame]:
     return signed, named.join(smallest, "component").select("set_id", "first_doc", "component_id")
 
 
-def near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
+def near_duplicates(docs: DataFrame, p: Params = Params(),
+                    before: DataFrame | None = None) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id``, ``kept`` per row."""
-    signed, classes = link(docs, p)
+    signed, classes = link(docs, p, before)
     return (signed.join(classes, "set_id", "left")
             .withColumn("component_id", F.coalesce("component_id", "doc_id"))
             .select("doc_id", "n_shingles", "component_id",
                     F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
-                    "text_hash", "set_id"))
+                    "text_hash", "set_id", "now"))
 
 
 def _joined_ids(spark: SparkSession, found: DataFrame) -> DataFrame:
@@ -341,17 +376,10 @@ def _either_text(docs: DataFrame, before: DataFrame, p: Params) -> DataFrame:
     their texts and by those of ``before``: kept is the smallest document of a component
     that still has a shingle."""
     spark = docs.sparkSession
-    now = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    same = now.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"))
-    is_now = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("text_hash"))
-    old = (before.select("doc_id", F.col("text").cast("string").alias("text"))
-           .join(now.select("doc_id").distinct(), "doc_id", "left_semi")
-           .withColumn("text_hash", F.xxhash64("text")).join(same, is_now, "left_anti"))
-    found = stored(spark, near_duplicates(
-        stored(spark, now.unionByName(old.select("doc_id", "text")), "both-texts"), p), "found")
+    found = stored(spark, near_duplicates(docs, p, before), "found")
     first = _joined_ids(spark, found)
     had = found.where("n_shingles > 0").select(F.col("doc_id").alias("had")).distinct()
-    rows = (found.join(same, is_now, "left_semi")
+    rows = (found.where("now")
             .join(first, F.col("component_id") == F.col("node"), "left")
             .withColumn("component", F.coalesce("component", "component_id"))
             .join(had, F.col("doc_id") == F.col("had"), "left"))
