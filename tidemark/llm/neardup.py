@@ -54,6 +54,8 @@ from pyspark.sql import types as T
 
 from .textmap import WordTable, map_texts, mix64, stored
 
+#: Distinct words whose hashes a task remembers.
+WORDS = 150_000
 #: Bits of the bitmap of wanted texts.
 BITMAP = 1 << 26
 #: Bytes A-Z to a-z.
@@ -137,11 +139,13 @@ def fingerprints(elements: np.ndarray, sizes: np.ndarray) -> list[bytes]:
 
 
 def _signatures(docs: DataFrame, p: Params) -> DataFrame:
-    """``row``, ``n_shingles``, ``set_id`` (null: empty set), ``keys`` (bands)."""
+    """``row`` (``doc_id``, ``text_hash``), ``n_shingles``, ``set_id`` (null: empty set),
+    ``keys`` (bands)."""
+    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     least = 100 // (100 - p.percent) - 1  # smaller sets are linked to equal ones only
 
     def make():
-        table = WordTable(word_hashes)
+        table = WordTable(word_hashes, WORDS)
 
         def run(texts: list) -> tuple:
             elements, sizes = shingle_sets(texts, table, p.words)
@@ -159,14 +163,15 @@ def _signatures(docs: DataFrame, p: Params) -> DataFrame:
 
     return map_texts(docs, make, [T.StructField("n_shingles", T.LongType()),
                                   T.StructField("set_id", T.BinaryType()),
-                                  T.StructField("keys", T.ArrayType(T.LongType()))])
+                                  T.StructField("keys", T.ArrayType(T.LongType()))],
+                     keep=["doc_id", "text_hash"])
 
 
 def _shingles(texts: DataFrame, p: Params) -> DataFrame:
     """``row`` and ``elements``: the sorted shingle hashes."""
 
     def make():
-        table = WordTable(word_hashes)
+        table = WordTable(word_hashes, WORDS)
 
         def run(batch: list) -> tuple:
             elements, sizes = shingle_sets(batch, table, p.words)
@@ -176,7 +181,8 @@ def _shingles(texts: DataFrame, p: Params) -> DataFrame:
 
         return run
 
-    return map_texts(texts, make, [T.StructField("elements", T.ArrayType(T.LongType()))])
+    return map_texts(texts, make, [T.StructField("elements", T.ArrayType(T.LongType()))],
+                     keep=["class"])
 
 
 def _likely(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -256,8 +262,7 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
 
 def _signed(spark: SparkSession, slim: DataFrame, p: Params) -> DataFrame:
     return stored(spark, _signatures(slim, p).select(
-        F.col("row.doc_id").alias("doc_id"), F.xxhash64("row.text").alias("text_hash"),
-        "n_shingles", "set_id", "keys"), "signatures")
+        "row.doc_id", "row.text_hash", "n_shingles", "set_id", "keys"), "signatures")
 
 
 def link(docs: DataFrame, p: Params = Params(),
