@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from ..functions import (delimited_int, json_list_length, json_path_or_default,
                          table_name_from_path, topic_part)
-from ..operators import cdc, envelope, inference, ingest, quality, reports, tables
+from ..operators import (cdc, envelope, inference, ingest, offsets, quality, reports, resolution,
+                         tables)
 from ..operators.enrich import enrich, message_sequence
 from ..schemas import ENVELOPE
 from ..session import parallelism, scratch_path
@@ -21,7 +22,8 @@ from ..sources import files
 from ..sources import lake as lakes
 from ..sources.records import SUBJECT_SUFFIX
 from ..streaming import jobs
-from ..streaming.sinks import write_lake_batch, write_lake_batches
+from ..streaming.sinks import (display_error_lines, error_line, write_lake_batch,
+                               write_lake_batches)
 from .common import (EPOCH, N_CUTS, InjectedFailure, batch_clock, batch_clock_col, cut_stream,
                      enriched, envelope_records, failing_once, framed_records, log_path,
                      ntz, order_versions, processing_ts, records, stored_path, table)
@@ -117,6 +119,30 @@ def q_topic_replay(spark, sf_dir):
                                 "pg.public.click,pg.public.view")
 
 
+#: Ranges of the replay queries (fixture choice): two topics, with open and closed ends.
+STARTING = {"pg.public.click": {"0": 3, "1": -2, "2": 10},
+            "pg.public.view": {"0": 0, "1": 7, "2": 5}}
+ENDING = {"pg.public.click": {"0": 20, "1": 12, "2": -1},
+          "pg.public.view": {"0": -1, "1": 30, "2": 6}}
+
+
+@register("replay_range")
+def q_replay_range(spark, sf_dir):
+    """Records between starting and ending offsets of each topic-partition."""
+    rec = offsets.replay_range(records(spark, sf_dir), STARTING, ENDING)
+    return rec.select("topic", "partition", "offset", F.col("key").cast("string").alias("key"),
+                      F.col("value").cast("string").alias("value"))
+
+
+@register("offset_gaps")
+def q_offset_gaps(spark, sf_dir):
+    """Offsets missing from a log that lost some: two of every seven, and the first
+    five of each topic-partition, which a replay from offset 0 asks for."""
+    rec = records(spark, sf_dir).where((F.col("offset") >= 5) & (F.col("offset") % 7 > 1))
+    from_zero = {f"pg.public.{t}": {str(p): 0 for p in range(3)} for t in EXPECTED_TABLES}
+    return offsets.offset_gaps(rec, from_zero, width=64)
+
+
 @register("table_names")
 def q_table_names(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
@@ -201,6 +227,39 @@ def q_op_counts(spark, sf_dir):
     return cdc.op_counts(_good_changes(spark, sf_dir))
 
 
+@register("decode_latest")
+def q_decode_latest(spark, sf_dir):
+    """Messages of four versions of a subject, all as the latest one: a number becomes
+    wider and is renamed, fields come with defaults, one goes."""
+    from pyspark.sql import types as T
+
+    field = resolution.Field
+    versions = {
+        5: resolution.Version((field("k", T.IntegerType()),)),
+        6: resolution.Version((field("k", T.LongType()), field("old", T.StringType(), None))),
+        8: resolution.Version((field("key_no", T.LongType(), aliases=("k",)),
+                               field("kind", T.StringType(), "none"))),
+        9: resolution.Version((
+            field("key_no", T.DoubleType(), aliases=("k",)), field("kind", T.StringType(), "none"),
+            field("weight", T.DoubleType(), 1.5), field("note", T.StringType(), None)))}
+    rec = records(spark, sf_dir, keep_ids=True)
+    k = F.get_json_object(F.col("value").cast("string"), "$.k").cast("bigint")
+    kind = topic_part("topic", 2)
+    texts = {5: F.struct(k.alias("k")), 6: F.struct(k.alias("k"), kind.alias("old")),
+             8: F.struct(k.alias("key_no"), kind.alias("kind")),
+             9: F.struct((k + 0.25).alias("key_no"), kind.alias("kind"),
+                         (k / 2).alias("weight"), F.lit("n").alias("note"))}
+    written = F.element_at(F.array(*[F.lit(i) for i in versions]),
+                           (F.col("event_id") % 4 + 1).cast("int"))
+    text = F.coalesce(*[F.when(written == i, F.to_json(t)) for i, t in texts.items()])
+    value = F.when(F.col("event_id") % 13 == 0, F.col("value")).otherwise(
+        envelope.frame(text, written))
+    out = resolution.decode_latest(rec.withColumn("value", value), versions, unframed=5)
+    return out.select(F.col("topic").alias("kafka_topic"),
+                      F.col("partition").alias("kafka_partition"),
+                      F.col("offset").alias("kafka_offset"), "schema_id", "message.*")
+
+
 @register("snapshot_events")
 def q_snapshot_events(spark, sf_dir):
     ev = cdc.flatten_change(cdc.snapshot_events(table(spark, sf_dir, "orders"),
@@ -370,6 +429,27 @@ def q_seed_rows(spark, sf_dir):
     return reports.table_counts(ingest.with_seed_rows(kv, EPOCH))
 
 
+@register("seeded_rows")
+def q_seeded_rows(spark, sf_dir):
+    """The rows of the key/value tables with the seeds, their texts included."""
+    kv = {
+        "nation": ingest.key_value_view(table(spark, sf_dir, "nation"), "n_name", "n_regionkey"),
+        "customer": ingest.key_value_view(table(spark, sf_dir, "customer"), "c_name", "c_custkey"),
+    }
+    parts = [df.withColumn("table_name", F.lit(n))
+             for n, df in ingest.with_seed_rows(kv, EPOCH).items()]
+    return parts[0].unionByName(parts[1])
+
+
+@register("report_error_lines")
+def q_report_error_lines(spark, sf_dir):
+    """The lines a report gets for rows that can't be shown and for batches that
+    failed, with the texts of documents as messages."""
+    docs = table(spark, sf_dir, "documents").where(F.col("text").isNotNull())
+    lines = F.array(*display_error_lines(F.col("text")), error_line(4, F.col("text")))
+    return docs.select("doc_id", F.posexplode(lines).alias("n", "line"))
+
+
 # --- lake sink, versions and streams (S3, S6-S9, K5-K8, T1-T7, A1) ---------
 
 

@@ -88,6 +88,32 @@ select kafka_topic as topic, kafka_partition as "partition", kafka_offset as "of
        kafka_key as key, props as value
 from msg where kafka_topic in ('pg.public.click', 'pg.public.view')"""
 
+SQL["replay_range"] = f"""with {MSG},
+r(t, p, lo, hi) as (values ('click', 0, 3, 20), ('click', 1, 0, 12), ('click', 2, 10, null),
+  ('view', 0, 0, null), ('view', 1, 7, 30), ('view', 2, 5, 6))
+select kafka_topic as topic, kafka_partition as "partition", kafka_offset as "offset",
+       kafka_key as key, props as value
+from msg join r on event_type = t and kafka_partition = p
+where kafka_offset >= lo and (hi is null or kafka_offset < hi)"""
+
+SQL["offset_gaps"] = f"""with {MSG},
+log as (
+  select kafka_topic, kafka_partition, kafka_offset from msg
+  where event_type in ('click', 'purchase', 'view')
+    and kafka_offset >= 5 and kafka_offset % 7 > 1),
+ends as (
+  select kafka_topic, kafka_partition, max(kafka_offset) as hi from log group by all),
+lost as (
+  select e.*, o from (select *, unnest(generate_series(0, hi)) as o from ends) e
+  anti join log l on e.kafka_topic = l.kafka_topic and e.kafka_partition = l.kafka_partition
+                 and o = l.kafka_offset),
+islands as (
+  select *, o - row_number() over (partition by kafka_topic, kafka_partition order by o) as i
+  from lost)
+select kafka_topic as topic, kafka_partition as "partition", min(o) as first_missing,
+       max(o) as last_missing, count(*) as missing
+from islands group by kafka_topic, kafka_partition, i"""
+
 SQL["table_names"] = r"""
 select page_id, url,
        lower(regexp_replace(
@@ -146,6 +172,17 @@ select k, op, lsn, user_id, value from env where rn = 1 and op <> 'd'"""
 SQL["op_counts"] = f"""
 select {OP} as op, count(*) as "count" from events group by 1"""
 
+SQL["decode_latest"] = f"""with {MSG},
+w as (
+  select *, cast(json_extract(props, '$.k') as bigint) as k, event_id % 13 = 0 as plain,
+         cast([5, 6, 8, 9][event_id % 4 + 1] as bigint) as id from msg)
+select kafka_topic, kafka_partition, kafka_offset, case when not plain then id end as schema_id,
+       k + case when id = 9 and not plain then 0.25::double else 0 end as key_no,
+       case when id >= 8 and not plain then event_type else 'none' end as kind,
+       case when id = 9 and not plain then k / 2.0::double else 1.5 end as weight,
+       case when id = 9 and not plain then 'n' end as note
+from w"""
+
 SQL["snapshot_events"] = """
 select o_orderkey, 'r' as op,
        o_orderkey as after_o_orderkey, o_custkey as after_o_custkey,
@@ -248,6 +285,18 @@ select count(*) + 1 as row_count, 'nation' as table_name from nation
 union all select count(*) + 1, 'region' from region
 union all select count(*) + 1, 'supplier' from supplier"""
 
+SQL["seeded_rows"] = """
+select n_name as key, cast(n_regionkey as varchar) as value, 'nation' as table_name from nation
+union all select c_name, cast(c_custkey as varchar), 'customer' from customer
+union all select 'seed_nation_1706745600', 'value_1706745600', 'nation'
+union all select 'seed_customer_1706745600', 'value_1706745600', 'customer'"""
+
+SQL["report_error_lines"] = """
+select doc_id, unnest([0, 1, 2]) as n,
+       unnest(['(Serialization issue - data processed but cannot display details)',
+               'Error: ' || left(text, 100), '=== Batch 4 error: ' || text || ' ===']) as line
+from documents where text is not null"""
+
 CUT = """case when ts < timestamp '2024-01-08 00:00:00' then 0
               when ts < timestamp '2024-01-16 00:00:00' then 1
               when ts < timestamp '2024-01-24 00:00:00' then 2 else 3 end"""
