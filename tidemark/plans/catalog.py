@@ -21,7 +21,7 @@ from ..session import parallelism, scratch_path
 from ..sources import files
 from ..sources import lake as lakes
 from ..sources.records import SUBJECT_SUFFIX
-from ..streaming import jobs
+from ..streaming import jobs, metrics
 from ..streaming.sinks import (display_error_lines, error_line, write_lake_batch,
                                write_lake_batches)
 from .common import (EPOCH, N_CUTS, InjectedFailure, batch_clock, batch_clock_col, cut_stream,
@@ -600,6 +600,23 @@ def q_batch_report(spark, sf_dir):
                         F.col("value").alias("line"))
 
 
+@register("stream_metrics")
+def q_stream_metrics(spark, sf_dir):
+    """Progress of the lake stream as a table: rows that each micro-batch read."""
+    lake, ckpt = scratch_path(spark, "lake"), scratch_path(spark, "checkpoint")
+    path, ids = scratch_path(spark, "progress"), set()
+    with metrics.ProgressTable(spark, path, per_file=2) as progress:
+        for c in range(N_CUTS):
+            q = jobs.start_lake_stream(cut_stream(spark, sf_dir, range(c + 1)), lake, ckpt,
+                                       clock=batch_clock)
+            jobs.await_drained(q)
+            progress.wait_for(q)
+            ids.add(q.id)
+    rows = metrics.read_progress(spark, path).where(F.col("query_id").isin(sorted(ids)))
+    return rows.select("batch_id", "input_rows", "state_rows",
+                       (F.col("durations_ms")["addBatch"] >= 0).alias("timed"))
+
+
 #: What is stored once per application, in the order it is built.
 FIXTURES = {"topic_log": log_path, "lake": _lake_by_batches, "csv": _csv_tree,
             "csv_text": lambda spark, sf_dir: _csv_tree(spark, sf_dir, TEXT_TABLES)}

@@ -344,6 +344,9 @@ SQL["schema_widening"] = lake_sql(cols=f"""batch_id, kafka_offset as at,
        case when cut = 3 then kafka_topic end as topic,
        {PROC} + to_days(cast(batch_id as integer)) as committed_at""")
 SQL["stream_resume"] = lake_sql(batch="cut // 2")
+SQL["stream_metrics"] = lake_sql(
+    cols="batch_id, count(*) as input_rows, cast(0 as bigint) as state_rows, true as timed",
+    tail="group by batch_id")
 SQL["stream_replay"] = SQL["table_history"]
 SQL["batch_report"] = """select cast(-1 as bigint) as batch_id, '=== Spark Streaming Output ===' as line
 union all select * from (""" + lake_sql(
