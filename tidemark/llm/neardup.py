@@ -185,20 +185,30 @@ def _shingles(texts: DataFrame, p: Params) -> DataFrame:
                      keep=["class"])
 
 
-def _likely(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Rows of ``docs`` (with ``text_hash``) whose bit is set in a bitmap of the wanted
-    ``hash`` values: all wanted rows, and few others as long as the wanted are well below
-    ``BITMAP`` in number.  The bitmap is broadcast: ``BITMAP`` / 8 bytes at most."""
+def _bitmap(hashes: DataFrame) -> DataFrame:
+    """Pages of a bitmap of the ``hash`` values: ``BITMAP`` / 8 bytes in all at most."""
     bit = F.pmod("hash", F.lit(BITMAP))
-    maps = wanted.select(bit.alias("bit")).groupBy(F.expr("bit div 32768").alias("page")).agg(
+    return hashes.select(bit.alias("bit")).groupBy(F.expr("bit div 32768").alias("page")).agg(
         F.bitmap_construct_agg(F.col("bit") % 32768).alias("bits"))
-    place = F.pmod("text_hash", F.lit(BITMAP))
-    at = place % 32768
+
+
+def _bit_set(value: str) -> Column:
+    """Whether the bit of a hash is set in its page's ``bits``."""
+    at = F.pmod(value, F.lit(BITMAP)) % 32768
     byte = F.conv(F.hex(F.substring("bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10)
-    return (docs.withColumn("_page", F.floor(place / 32768))
-            .join(F.broadcast(maps), F.col("_page") == F.col("page"))
-            .where(F.getbit(byte.cast("int"), (at % 8).cast("int")) == 1)
-            .drop("_page", "page", "bits"))
+    return F.getbit(byte.cast("int"), (at % 8).cast("int")) == 1
+
+
+def _on_page(value: str) -> Column:
+    return F.floor(F.pmod(value, F.lit(BITMAP)) / 32768) == F.col("page")
+
+
+def _likely(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows of ``docs`` (with ``text_hash``) whose bit is set in a bitmap of the wanted
+    ``hash`` values: all wanted rows, and few others as long as the wanted are well below
+    ``BITMAP`` in number."""
+    return (docs.join(F.broadcast(_bitmap(wanted)), _on_page("text_hash"))
+            .where(_bit_set("text_hash")).drop("page", "bits"))
 
 
 def _sets(spark: SparkSession, wanted: DataFrame, classes: DataFrame, docs: DataFrame,
@@ -405,12 +415,24 @@ def drop_duplicates(docs: DataFrame, p: Params = Params(),
     changed them.  Documents are then linked by either text, and one without a
     shingle goes if it had one before.
     """
-    found = near_duplicates(docs, p) if before is None else _either_text(docs, before, p)
-    keep = (found.where("kept")
-            .select(F.col("doc_id").alias("_tm_id"), F.col("text_hash").alias("_tm_hash"),
-                    F.col("set_id").isNotNull().alias("_tm_linked")).distinct())
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    stay = rows.join(keep, F.col("row.doc_id").eqNullSafe(F.col("_tm_id"))
-                     & (F.xxhash64("row.text") == F.col("_tm_hash")))
-    once = stay.where("_tm_linked").dropDuplicates(["_tm_id", "_tm_hash"])
-    return once.unionByName(stay.where("NOT _tm_linked")).select("row.*")
+    spark = docs.sparkSession
+    found = stored(spark, near_duplicates(docs, p) if before is None
+                   else _either_text(docs, before, p), "found")
+    each = stored(spark, found.groupBy("doc_id", "text_hash").agg(
+        F.max("kept").alias("kept"), F.count("*").alias("n"),
+        F.max(F.col("set_id").isNotNull()).alias("linked")), "found")
+    # a row whose bit is not set stays for certain, and its text is not shuffled
+    doubt = each.where(~F.col("kept") | (F.col("linked") & (F.col("n") > 1)))
+    bits = F.broadcast(_bitmap(doubt.select(F.xxhash64("doc_id", "text_hash").alias("hash"))))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")) \
+        .withColumn("_tm_text", F.xxhash64("row.text")) \
+        .withColumn("_tm_hash", F.xxhash64("row.doc_id", "_tm_text")) \
+        .join(bits, _on_page("_tm_hash"), "left") \
+        .withColumn("_tm_doubt", F.coalesce(_bit_set("_tm_hash"), F.lit(False)))
+    keep = each.where("kept").select(F.col("doc_id").alias("_tm_id"),
+                                     F.col("text_hash").alias("_tm_kept"), "linked")
+    stay = rows.where("_tm_doubt").join(keep, F.col("row.doc_id").eqNullSafe(F.col("_tm_id"))
+                                        & (F.col("_tm_text") == F.col("_tm_kept")))
+    once = stay.where("linked").dropDuplicates(["_tm_id", "_tm_kept"])
+    out = rows.where("NOT _tm_doubt").select("row").unionByName(once.select("row"))
+    return out.unionByName(stay.where("NOT linked").select("row")).select("row.*")
