@@ -279,7 +279,8 @@ def link(docs: DataFrame, p: Params = Params(),
          before: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """``(rows, classes)``: every row's ``doc_id`` and ``text_hash`` with ``n_shingles``
     and ``set_id``, and ``(set_id, first_doc, component_id)`` for every set.  With
-    ``before`` its other texts of the ids of ``docs`` are rows, too (not ``now``)."""
+    ``before`` its other texts of the ids of ``docs`` are rows, too (not ``now``), and the
+    texts of one id are linked."""
     spark = docs.sparkSession
     slim = docs.select("doc_id", "text")
     signed = _signed(spark, slim, p).withColumn("now", F.lit(True))
@@ -311,9 +312,20 @@ def link(docs: DataFrame, p: Params = Params(),
     full = stored(spark, shared.join(leaders, "key")
                   .select("key", "a", F.col("class").alias("b"), "size", "lead_size"), "buckets")
     star = full.where((F.col("a") != F.col("b")) & near).select("a", "b").distinct()
+    if before is not None:  # the texts of one document are one component in any case
+        of_doc = stored(spark, signed.where("doc_id IS NOT NULL").join(
+            classes.select("set_id", "class"), "set_id").select("doc_id", "class").distinct(),
+            "texts-of-doc")
+        first = of_doc.groupBy("doc_id").agg(F.min("class").alias("a"))
+        same_doc = stored(spark, of_doc.join(first, "doc_id").select(
+            "a", F.col("class").alias("b")).where("a <> b").distinct(), "same-doc")
+        either = same_doc.union(same_doc.select("b", "a"))
+        star = star.join(either, ["a", "b"], "left_anti")
     ends = star.select(F.col("a").alias("class")).union(star.select("b")).distinct()
     scored = stored(spark, _shared(star, _sets(spark, ends, classes, slim, p)), "scored")
     edges = scored.where(_enough(F.col("shared"), F.col("m"), F.col("n"), p)).select("a", "b")
+    if before is not None:
+        edges = edges.union(same_doc)
     label = components(spark, edges)
     # buckets in which several components meet
     placed = stored(spark, full.join(label, F.col("b") == F.col("node"), "left").select(
@@ -375,28 +387,15 @@ def near_duplicates(docs: DataFrame, p: Params = Params(),
                     "text_hash", "set_id", "now"))
 
 
-def _joined_ids(spark: SparkSession, found: DataFrame) -> DataFrame:
-    """``(id, first)``: ids with several rows in ``found`` and the smallest id that
-    the components of those rows, taken together, reach."""
-    linked = stored(spark, found.where("doc_id IS NOT NULL AND component_id IS NOT NULL")
-                    .select("doc_id", "component_id").distinct(), "components")
-    of_id = linked.groupBy("doc_id").agg(F.min("component_id").alias("a"))
-    edges = linked.join(of_id, "doc_id").select("a", F.col("component_id").alias("b")) \
-        .where("a <> b").distinct()
-    return components(spark, edges).select("node", "component")
-
-
 def _either_text(docs: DataFrame, before: DataFrame, p: Params) -> DataFrame:
     """``doc_id``, ``text_hash``, ``set_id`` and ``kept`` of the rows of ``docs``, linked by
     their texts and by those of ``before``: kept is the smallest document of a component
     that still has a shingle."""
     spark = docs.sparkSession
     found = stored(spark, near_duplicates(docs, p, before), "found")
-    first = _joined_ids(spark, found)
     had = found.where("n_shingles > 0").select(F.col("doc_id").alias("had")).distinct()
     rows = (found.where("now")
-            .join(first, F.col("component_id") == F.col("node"), "left")
-            .withColumn("component", F.coalesce("component", "component_id"))
+            .withColumn("component", F.col("component_id"))
             .join(had, F.col("doc_id") == F.col("had"), "left"))
     full = F.col("n_shingles") > 0
     keeper = rows.where(full).groupBy(F.col("component").alias("of")).agg(
