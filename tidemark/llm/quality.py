@@ -176,7 +176,8 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: Column | None = None,
     return train(labelled_texts(docs, labels, "quality", cond, p.train_docs, p.train_chars), p)
 
 
-def score_documents(docs: DataFrame, model: Model) -> DataFrame:
-    """``row`` (the input row), ``score`` and ``predicted`` per input row."""
-    scored = map_texts(docs, scorer(model), [T.StructField("score", T.DoubleType())])
+def score_documents(docs: DataFrame, model: Model, once: bool = False) -> DataFrame:
+    """``row`` (the input row), ``score`` and ``predicted`` per input row (``once`` as in
+    ``map_texts``)."""
+    scored = map_texts(docs, scorer(model), [T.StructField("score", T.DoubleType())], once=once)
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

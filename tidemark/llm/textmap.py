@@ -14,6 +14,7 @@ from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,14 +31,19 @@ BatchFn = Callable[[list], Sequence]
 
 def map_texts(docs: DataFrame, make: Callable[[], BatchFn], fields: Sequence[T.StructField],
               text: str = "text", row: str = "row",
-             keep: Sequence[str] | None = None) -> DataFrame:
+             keep: Sequence[str] | None = None, once: bool = False) -> DataFrame:
     """``row`` (struct of every input column, or of those of ``keep``) plus ``fields``.
+    With ``once`` a text of type string that is in ``row`` is sent once, not twice.
 
     ``make()`` runs once per task and returns a function from a list of texts
     (``None`` for null) to one array per field, aligned with the texts.
     """
     src = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns]).alias(row),
                       F.col(f"`{text}`").cast("string").alias("t"))
+    in_row = None
+    if once and text in src.schema[row].dataType.names \
+            and isinstance(docs.schema[text].dataType, T.StringType):
+        src, in_row = src.select(row), src.schema[row].dataType.names.index(text)
     schema = T.StructType([T.StructField(row, src.schema[row].dataType), *fields])
     names = [f.name for f in schema]
 
@@ -46,7 +52,9 @@ def map_texts(docs: DataFrame, make: Callable[[], BatchFn], fields: Sequence[T.S
         for batch in batches:
             for lo in range(0, batch.num_rows, SLICE_ROWS):
                 part = batch.slice(lo, SLICE_ROWS)
-                cols = fn(part.column(1).to_pylist())
+                texts = part.column(1) if in_row is None else \
+                    pc.struct_field(part.column(0), [in_row])
+                cols = fn(texts.to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), *(c if isinstance(c, pa.Array) else pa.array(c)
                                        for c in cols)], names)
