@@ -29,7 +29,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Documents that the classifier (trained outside the held-out rows of
     ``op1``) accepts."""
     model = quality.fit(docs, table(spark, sf_dir, "labels"), ~held_out(3, 1))
-    return quality.score_documents(docs, model).where("predicted = 1").select("row.*")
+    scored = quality.score_documents(docs, model, once=True)  # whole rows: each text once
+    return scored.where("predicted = 1").select("row.*")
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
