@@ -44,6 +44,8 @@ others.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -54,6 +56,8 @@ from pyspark.sql import types as T
 
 from .textmap import WordTable, map_texts, mix64, stored
 
+#: Rows of a batch of texts.
+BATCH_ROWS = 512
 #: Distinct words whose hashes a task remembers.
 WORDS = 150_000
 #: Bits of the bitmap of wanted texts.
@@ -222,7 +226,8 @@ def _sets(spark: SparkSession, wanted: DataFrame, classes: DataFrame, docs: Data
              .join(named, F.col("doc_id").eqNullSafe(F.col("id"))
                    & (F.col("text_hash") == F.col("hash")))
              .groupBy("id", "hash", "class").agg(F.first("text").alias("text")))
-    return stored(spark, _shingles(texts, p).select("row.class", "elements"), "sets")
+    with _small_batches(spark):
+        return stored(spark, _shingles(texts, p).select("row.class", "elements"), "sets")
 
 
 def _shared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -270,9 +275,23 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
             return label
 
 
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of ``BATCH_ROWS`` rows for what is run inside, so the memory of a
+    task does not rest on the length of its texts."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    usual = spark.conf.get(name)
+    spark.conf.set(name, str(BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, usual)
+
+
 def _signed(spark: SparkSession, slim: DataFrame, p: Params) -> DataFrame:
-    return stored(spark, _signatures(slim, p).select(
-        "row.doc_id", "row.text_hash", "n_shingles", "set_id", "keys"), "signatures")
+    with _small_batches(spark):
+        return stored(spark, _signatures(slim, p).select(
+            "row.doc_id", "row.text_hash", "n_shingles", "set_id", "keys"), "signatures")
 
 
 def link(docs: DataFrame, p: Params = Params(),
