@@ -94,3 +94,44 @@ def test_given_table(spark, sf_rows):
             if f" {x} " in f" {' '.join(decontam.tokens(t))} "}
     got = {(r["doc_id"], r["item_id"]) for r in queries.op7_decontamination(spark, SF).collect()}
     assert want and got == want
+
+
+def test_many_tiles_of_repeated_tokens_equal_the_plain_version():
+    rng = random.Random(5)
+    for _ in range(60):
+        item = [rng.randrange(2) for _ in range(rng.randrange(1, 30))]
+        doc = [rng.choice([-1, 0, 0, 1]) for _ in range(rng.randrange(0, 70))]
+        for least in (1, 2, 4):
+            assert decontam.tile(np.array(doc, np.int64), np.array(item, np.int64), least) == \
+                plain_tiles(doc, item, least)
+
+
+def test_a_million_equal_tokens():
+    """One token over and over: seconds, not the product of the places."""
+    p = decontam.Params()
+    doc = np.zeros(1_000_000, np.int64)
+    assert decontam.tile_long(doc, np.zeros(40, np.int64), p) == [(0, 0, 40)]
+    doc[::11] = -1  # stretches of ten
+    tiles = decontam.tile_long(doc, np.zeros(40, np.int64), p)
+    assert [n for _, _, n in tiles] == [10] * 4
+    assert [(j, i) for j, i, _ in tiles] == [(1, 0), (12, 10), (23, 20), (34, 30)]
+
+
+def test_reach_never_leaves_out_a_leak():
+    rng = random.Random(8)
+    p = decontam.Params()
+    for _ in range(300):
+        item = np.array([rng.randrange(6) for _ in range(rng.randrange(1, 20))], np.int64)
+        doc = np.array([rng.choice([-1, *range(6)]) for _ in range(rng.randrange(0, 40))], np.int64)
+        covered = sum(n for _, _, n in decontam.tile(doc, item, p.min_match))
+        if covered >= p.coverage * len(item):
+            assert decontam.within_reach(doc, item, p)
+
+
+def test_repeated_token_documents(spark, make_docs):
+    bench = spark.createDataFrame([(1, "ha " * 40), (2, "ha " * 30 + "ho " * 30)],
+                                  "item_id long, text string")
+    docs = make_docs([(1, "ha " * 200_000), (2, "ha ho " * 100_000), (3, "ho " * 35)])
+    got = {(r["row"]["doc_id"], r["item_id"], r["n_covered"])
+           for r in decontam.matches(docs, bench).collect()}
+    assert got == {(1, 1, 40), (1, 2, 30), (3, 2, 30)}
