@@ -7,9 +7,10 @@
    case) and hashed.  The index holds the same hashes of each message's own
    reply: whole, by paragraph and by line, so parts of a message are found, too.
 3. *Join.*  A passage is linked to the first message of its own conversation
-   that has it, if that is an earlier turn; else to the first one of any other
-   conversation.  Index sides are aggregated to one row per hash before the
-   join, so a passage that many messages share makes no pairs.  Of several
+   that has it, if that is an earlier turn; else, if it has ``FAR_WORDS`` words
+   or more, to the first one of the smallest other conversation.  Index sides are
+   aggregated to one row per hash before the join (the first messages of its two
+   smallest conversations), so a passage that many messages share makes no pairs.  Of several
    candidates the one that matches the whole passage wins, then one of the same
    conversation, then the one with the most lines, then the earliest.
 4. *Order.*  The parent of a message is the latest message of its conversation
@@ -17,11 +18,11 @@
    are closed by pointer doubling; ``path`` (turn numbers from the root down)
    sorts a conversation so that each reply follows the message it answers.
 
-Defined cases: repeated rows (equal conversation, turn and text) are one
+Defined cases: repeated rows (equal conversation, turn, role and text) are one
 message; null and empty texts are messages with an empty reply; rows with a null
-conversation or turn are kept, link to nothing and are no one's parent; quotes
-whose source is not there stay unlinked; of two messages of one turn the link
-goes to the one with the smaller text hash.
+conversation or turn are all kept, repeated ones too, link to nothing and are no
+one's parent; quotes whose source is not there stay unlinked; of two messages of
+one turn the link goes to the one with the smaller hash of role and text.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ import re
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,6 +41,8 @@ _QUOTE = re.compile(r"^((?:[ \t]{0,3}>)+)[ \t]?")
 _INTRO = re.compile(r"^[^\n]{0,200}\b(wrote|schrieb|écrit|escribió)\b[^\n]{0,80}:\s*$", re.I)
 _NOT_WORD = re.compile(r"[\W_]+")
 ID = ["conv_id", "turn", "text_hash"]
+#: Words that a quoted passage or line needs to be linked to another conversation.
+FAR_WORDS = 4
 
 
 def parse_lines(text: str | None) -> list[tuple[int, str]]:
@@ -92,10 +95,11 @@ def own_keys(reply: str) -> list[int]:
 def _parsed(messages: DataFrame) -> DataFrame:
     """``row``, ``reply``, ``own`` (keys) and ``quotes`` of each message."""
     unit = pa.struct([("q", pa.int64()), ("level", pa.int64()), ("whole", pa.bool_()),
-                      ("key", pa.int64())])
+                      ("wide", pa.bool_()), ("key", pa.int64())])
     quotes = T.ArrayType(T.StructType([T.StructField("q", T.LongType()),
                                        T.StructField("level", T.LongType()),
                                        T.StructField("whole", T.BooleanType()),
+                                       T.StructField("wide", T.BooleanType()),
                                        T.StructField("key", T.LongType())]))
 
     def make():
@@ -108,7 +112,8 @@ def _parsed(messages: DataFrame) -> DataFrame:
                 found = []
                 for q, (level, lines) in enumerate(passages):
                     parts = [("\n".join(lines), True), *((x, False) for x in lines)]
-                    found += [{"q": q, "level": level, "whole": whole, "key": key(x)}
+                    found += [{"q": q, "level": level, "whole": whole,
+                               "wide": len(normal(x).split()) >= FAR_WORDS, "key": key(x)}
                               for x, whole in parts]
                 units.append(found)
             return (pa.array(replies, pa.string()), pa.array(own, pa.list_(pa.int64())),
@@ -124,19 +129,22 @@ def _parsed(messages: DataFrame) -> DataFrame:
 def _links(parsed: DataFrame) -> DataFrame:
     """One row per linked passage: ``conv_id, turn, text_hash, q, level, src``
     (struct of the source's id) and ``same`` (source in the conversation)."""
-    index = parsed.select("conv_id", "turn", "text_hash", F.explode("own").alias("key")) \
-        .where(F.col("conv_id").isNotNull() & F.col("turn").isNotNull())
+    index = parsed.select("conv_id", "turn", "text_hash", F.explode("own").alias("key"))
     inside = index.groupBy("conv_id", "key").agg(
         F.min(F.struct("turn", "text_hash")).alias("near"))
-    anywhere = index.groupBy("key").agg(F.min(F.struct("conv_id", "turn", "text_hash"))
-                                        .alias("far"))
+    # two rows a key at most leave a task
+    place = F.row_number().over(Window.partitionBy("key").orderBy("conv_id"))
+    anywhere = (inside.withColumn("place", place).where("place <= 2").groupBy("key").agg(*[
+        F.min(F.when(F.col("place") == k, F.struct("conv_id", "near.turn", "near.text_hash")))
+        .alias(name) for k, name in ((1, "far"), (2, "far2"))]))
     units = parsed.select(*ID, F.inline("quotes")).where(F.col("key").isNotNull())
+    other = F.when(F.col("far.conv_id") != F.col("conv_id"), F.col("far")).otherwise(F.col("far2"))
     found = (units.join(inside, ["conv_id", "key"], "left").join(anywhere, "key", "left")
              .withColumn("same", F.coalesce(F.col("near.turn") < F.col("turn"), F.lit(False)))
              .withColumn("src", F.when(F.col("same"), F.struct(
                  F.col("conv_id"), F.col("near.turn").alias("turn"),
                  F.col("near.text_hash").alias("text_hash")))
-                 .when(F.col("far.conv_id") != F.col("conv_id"), F.col("far")))
+                 .when(F.col("wide"), other))
              .where(F.col("src").isNotNull()))
     votes = found.groupBy(*ID, "q", "level", "src", "same").agg(
         F.max("whole").alias("whole"), F.count("*").alias("n"))
@@ -170,11 +178,15 @@ def conversations(messages: DataFrame) -> DataFrame:
     rows = messages.select(F.col("conv_id").cast("long").alias("conv_id"),
                            F.col("turn").cast("long").alias("turn"), "role",
                            F.col("text").cast("string").alias("text"))
-    unique = rows.withColumn("text_hash", F.xxhash64("text")).dropDuplicates(
-        ["conv_id", "turn", "text_hash"])
-    parsed = stored(spark, _parsed(unique).select(
+    named = F.col("conv_id").isNotNull() & F.col("turn").isNotNull()
+    # a hash of null skips the value: nulls are told from empty texts and roles by flags
+    hashed = rows.withColumn("text_hash", F.xxhash64(
+        "text", F.lit("|"), "role", F.isnull("text"), F.isnull("role")))
+    unique = hashed.where(named).dropDuplicates(ID).unionByName(hashed.where(~named))
+    kept = stored(spark, _parsed(unique).select(
         "row.conv_id", "row.turn", "row.text_hash", "row.role", "reply", "own", "quotes"),
         "messages")
+    parsed, loose = kept.where(named), kept.where(~named)
     links = _links(parsed)
     here = F.when(F.col("same"), F.struct((-F.col("level")).alias("l"),
                                           F.col("src.turn").alias("t"),
@@ -184,18 +196,23 @@ def conversations(messages: DataFrame) -> DataFrame:
         F.count("*").alias("n_linked"), F.max(here).getField("src").alias("parent"),
         F.min(far).getField("src").alias("source")), "links")
     same_id = reduce(lambda a, b: a & b, [F.col(f"m.{c}") == F.col(f"l.{c}") for c in ID])
+    n_quotes = F.when(F.size("quotes") > 0, F.array_max("quotes.q") + 1).otherwise(0).cast("long")
     joined = parsed.alias("m").join(per_message.alias("l"), same_id, "left").select(
         F.struct(*[F.col(f"m.{c}") for c in ID]).alias("id"), "role", "reply",
-        F.when(F.size("quotes") > 0, F.array_max("quotes.q") + 1).otherwise(0)
-        .cast("long").alias("n_quotes"),
+        n_quotes.alias("n_quotes"),
         F.coalesce("n_linked", F.lit(0)).cast("long").alias("n_linked"), "parent", "source")
-    linked = joined.where(F.col("id.conv_id").isNotNull() & F.col("id.turn").isNotNull())
-    paths = _paths(spark, linked.select("id", "parent")).select(
+    paths = _paths(spark, joined.select("id", "parent")).select(
         F.col("id").alias("p_id"), "path", "depth")
-    out = joined.join(paths, F.col("id") == F.col("p_id"), "left").select(
+    linked = joined.join(paths, F.col("id") == F.col("p_id"), "left").select(
         "id.conv_id", "id.turn", "role", F.col("reply").alias("text"), "n_quotes", "n_linked",
         F.col("parent.turn").alias("parent_turn"), F.col("source.conv_id").alias("source_conv"),
         F.col("source.turn").alias("source_turn"),
         F.coalesce("depth", F.lit(0)).cast("long").alias("depth"),
         F.coalesce("path", F.array("id.turn")).alias("path"))
-    return out.orderBy("conv_id", "path", "text")
+    null = F.lit(None).cast("long")
+    zero = F.lit(0).cast("long")
+    alone = loose.select(
+        "conv_id", "turn", "role", F.col("reply").alias("text"), n_quotes.alias("n_quotes"),
+        zero.alias("n_linked"), null.alias("parent_turn"), null.alias("source_conv"),
+        null.alias("source_turn"), zero.alias("depth"), F.array("turn").alias("path"))
+    return linked.unionByName(alone).orderBy("conv_id", "path", "text")
