@@ -5,6 +5,8 @@ import zlib
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from tidemark.llm import langid, quality, queries, toxicity
 from tidemark.llm.textmap import held_out
 
@@ -127,3 +129,46 @@ def test_toxic_features():
     assert col["odds_max"][1] == 3.5 and col["tier2_count"][1] == 1
     assert col["mixed"][2] > 0 and col["runs"][2] > 0
     assert not f[3:].any()
+
+
+def test_filters_return_the_plain_sets_of_many_languages():
+    """130 languages, n-grams shared among some: the mask of an n-gram holds all
+    languages that have it, and others at about the rate of false positives."""
+    rng = np.random.default_rng(4)
+    pool = rng.integers(0, 2 ** 63, 3000).astype(np.uint64)
+    grams = [rng.choice(pool, 150, replace=False) for _ in range(130)]
+    model = langid.build([f"l{k:03}" for k in range(130)], grams, langid.Params(slots=1 << 16))
+    masks = langid.languages_of(pool, model)
+    extra = 0
+    for b, members in enumerate(grams):
+        bit = langid.language_bit(masks, b).astype(bool)
+        has = np.isin(pool, members)
+        assert bit[has].all()
+        extra += (bit & ~has).sum()
+    assert extra <= 0.001 * 130 * len(pool)
+
+
+def test_more_than_64_languages_are_learned(spark, make_docs):
+    rng = np.random.default_rng(2)
+    alphabet = [chr(c) for c in range(ord("a"), ord("z") + 1)]
+    lists = [["".join(rng.choice(alphabet, 7)) for _ in range(12)] for _ in range(70)]
+    rows = [(100 * k + i, " ".join(rng.choice(lists[k], 30)), f"x{k:02}")
+            for k in range(70) for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs, F.col("doc_id") % 100 != 0)
+    assert len(model.langs) == 70
+    out = langid.predict_documents(docs.where("doc_id % 100 = 0"), model).collect()
+    assert [r["lang_pred"] for r in out] == [r["row"]["lang"] for r in out] and len(out) == 70
+
+
+def test_language_sample_is_bounded_in_characters(spark):
+    docs = spark.createDataFrame([(i, "ab " * 400, "x") for i in range(200)],
+                                 "doc_id long, text string, lang string")
+    counted = []
+    plain = langid.gram_counts
+    try:
+        langid.gram_counts = lambda t, p: counted.append(t.count()) or plain(t, p)
+        langid.fit(docs, None, langid.Params(train_chars=24_000))
+    finally:
+        langid.gram_counts = plain
+    assert 5 <= counted[0] <= 50

@@ -1,14 +1,15 @@
 """Language ID with language-bitmask n-gram filters.
 
 One bit-sliced Bloom filter holds the character n-grams of all languages: each
-slot is a bitmask with one bit per language.  The AND of the ``hashes`` slots
+slot is a bitmask with one bit per language, in as many 64-bit words as there are
+languages for.  The AND of the ``hashes`` slots
 of an n-gram is the set of all languages that contain it.  A text is decided by
 the count of its n-grams per language bit, corrected for the filter's false
 positives: with ``p`` the chance that an unknown n-gram shows the bit and ``r``
 the observed share, the corrected share is ``(r - p) / (1 - p)``.
 
 Training counts n-grams on Spark over a bounded sample per language
-(``Params.train_docs``).  Texts of one language quote others, so an n-gram is a
+(``Params.train_docs`` and ``Params.train_chars``, by a hash of the id).  Texts of one language quote others, so an n-gram is a
 member of a language if its rate there is at least ``member`` times its highest
 rate in any language.
 
@@ -29,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .textmap import WordTable, char_ngrams, code_points, map_texts, mix64, segment_sums
+from .textmap import WORD_LIMIT, WordTable, char_ngrams, code_points, map_texts, mix64, segment_sums
 
 UNDETERMINED = "und"
 #: Words are runs of letters (no digits, no underscore).
@@ -45,12 +46,13 @@ class Params:
     member: float = 0.3
     min_count: int = 2       # rarer n-grams of the sample are not learned
     train_docs: int = 2000   # bound of the sample of each language
+    train_chars: int = 20_000_000  # the same in characters
 
 
 @dataclass(frozen=True)
 class Model:
     langs: tuple[str, ...]
-    masks: np.ndarray      # slots, uint64, bit = language
+    masks: np.ndarray      # slots of the first 64 languages, of the next, ...: uint64
     false_rate: np.ndarray  # per language
     params: Params
 
@@ -88,16 +90,35 @@ def gram_counts(texts: DataFrame, p: Params = Params()) -> DataFrame:
             .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
 
 
+def language_bit(masks: np.ndarray, b: int) -> np.ndarray:
+    """Bit of language ``b`` in each mask; ``masks`` has a row for 64 languages."""
+    return masks[b // 64] >> np.uint64(b % 64) & np.uint64(1)
+
+
+def languages_of(grams: np.ndarray, model: Model) -> np.ndarray:
+    """Mask of all languages that contain each n-gram, a row for 64 languages."""
+    masks = model.masks.reshape(-1, model.params.slots)
+    out = np.full((len(masks), len(grams)), ~np.uint64(0))
+    for at in _slots(grams, model.params):
+        out &= masks[:, at]
+    return out
+
+
 def build(langs: list[str], grams: list[np.ndarray], p: Params = Params()) -> Model:
     """Filter of the member n-grams (hashes) of each language."""
-    if len(langs) > 64:
-        raise ValueError("a filter holds 64 languages at most: the bits of one mask")
-    masks = np.zeros(p.slots, np.uint64)
-    for bit, members in enumerate(grams):
+    masks = np.zeros((max(1, -(-len(langs) // 64)), p.slots), np.uint64)
+    for b, members in enumerate(grams):
         for at in _slots(members, p):
-            masks[at] |= np.uint64(1 << bit)
-    fill = np.array([(masks >> np.uint64(b) & np.uint64(1)).mean() for b in range(len(langs))])
-    return Model(tuple(langs), masks, fill ** p.hashes, p)
+            masks[b // 64, at] |= np.uint64(1 << b % 64)
+    fill = np.array([language_bit(masks, b).mean() for b in range(len(langs))])
+    return Model(tuple(langs), masks.ravel(), fill ** p.hashes, p)
+
+
+def _by_lang(values: dict[str, float]) -> Column:
+    """Literal map of a value per language."""
+    if not values:
+        return F.create_map().cast("map<string,double>")
+    return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
 
 
 def fit(docs: DataFrame, train_rows: Column | None = None, p: Params = Params()) -> Model:
@@ -105,21 +126,19 @@ def fit(docs: DataFrame, train_rows: Column | None = None, p: Params = Params())
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     if train_rows is not None:
         rows = rows.where(train_rows)
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    sizes = {r["lang"]: min(1.0, p.train_docs / r["n"], p.train_chars / max(r["chars"], 1))
+             for r in rows.groupBy("lang").agg(F.count("*").alias("n"),
+                                               F.sum(F.length("text")).alias("chars")).collect()}
     if not sizes:
-        return Model((), np.zeros(1, np.uint64), np.zeros(0), p)
-    share = F.lit(0.0)
-    for lang, n in sizes.items():
-        share = F.when(F.col("lang") == lang, F.lit(min(1.0, p.train_docs / n))).otherwise(share)
+        return Model((), np.zeros(p.slots, np.uint64), np.zeros(0), p)
+    share = F.element_at(_by_lang(sizes), F.col("lang"))
     sample = rows.where(F.pmod(F.xxhash64("doc_id", F.lit("lang")), F.lit(1 << 30))
                         < share * (1 << 30)).select("lang", "text")
     counts = gram_counts(sample, p)
     # rate of an n-gram in a language against its highest rate in any
     totals = counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()
-    total = F.lit(1.0)
-    for r in totals:
-        total = F.when(F.col("lang") == r["lang"], F.lit(float(r["n"]))).otherwise(total)
-    rated = counts.withColumn("rate", F.col("n") / total)
+    total = _by_lang({r["lang"]: float(r["n"]) for r in totals})
+    rated = counts.withColumn("rate", F.col("n") / F.element_at(total, F.col("lang")))
     best = rated.groupBy("gram").agg(F.max("rate").alias("best"), F.sum("n").alias("all"))
     members = (rated.join(best, "gram")
                .where((F.col("all") >= p.min_count) & (F.col("rate") >= F.col("best") * p.member))
@@ -136,15 +155,13 @@ def predictor(model: Model):
 
     def build_words(words: list) -> tuple:
         grams, owner = _grams(words, p)
-        mask = ~np.zeros(len(grams), np.uint64)
-        for at in _slots(grams, p):
-            mask &= model.masks[at]
-        hits = np.stack([np.bincount(owner, (mask >> np.uint64(b) & np.uint64(1)).astype(float),
-                                     len(words)) for b in range(n_langs)], axis=1)
+        mask = languages_of(grams, model)
+        hits = np.stack([np.bincount(owner, language_bit(mask, b).astype(float), len(words))
+                         for b in range(n_langs)], axis=1)
         return hits, np.bincount(owner, minlength=len(words)).astype(float)
 
     def make():
-        table = WordTable(build_words)
+        table = WordTable(build_words, min(WORD_LIMIT, 32_000_000 // max(n_langs, 1)))
 
         def predict(texts: list) -> tuple:
             split = [WORD.findall((t or "").lower()) for t in texts]
