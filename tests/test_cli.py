@@ -70,3 +70,17 @@ def test_consume(spark, tmp_dir, capsys):
                      "--out", f"{tmp_dir}/good", "--errors", f"{tmp_dir}/bad",
                      "--checkpoint", f"{tmp_dir}/ck", "--trigger", "available-now"]) == 0
     assert "decoded: 1, failed: 1" in capsys.readouterr().out
+
+
+def test_pack_lake(spark, tmp_dir, capsys):
+    from tidemark.plans.common import records
+    records(spark, "/root/testdata/sf0.001").repartition(3).write.parquet(f"{tmp_dir}/src")
+    assert cli.main(["stream-lake", "--source-dir", f"{tmp_dir}/src", "--lake", f"{tmp_dir}/lake",
+                     "--checkpoint", f"{tmp_dir}/ck", "--trigger", "available-now"]) == 0
+    before = lake.history(spark, f"{tmp_dir}/lake").collect()
+    args = ["pack-lake", f"{tmp_dir}/lake", "--checkpoint", f"{tmp_dir}/ck"]
+    assert cli.main(args) == 0 and cli.main(args) == 0
+    assert lake.history(spark, f"{tmp_dir}/lake").collect() == before
+    assert not [n for n in os.listdir(f"{tmp_dir}/lake") if n.startswith("batch_id=")]
+    out = capsys.readouterr().out
+    assert "Packed batches 0 to" in out and "no closed batch" in out

@@ -79,6 +79,20 @@ def test_current_state_is_compacted(spark, tmp_dir):
     assert got == {1: 601, 2: 602, 3: 603, 9: 9}
 
 
+def test_current_state_compacted_by_every_batch(spark, tmp_dir):
+    src, state, ck = f"{tmp_dir}/src", f"{tmp_dir}/state", f"{tmp_dir}/ck"
+    for b in range(4):
+        rows = [(k, "c" if b == 0 else "u", 10 * b + k, (100 * b + k,)) for k in range(b % 3, 4)]
+        spark.createDataFrame(rows, CHANGES).coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(CHANGES).parquet(src)
+        jobs.await_drained(jobs.start_current_state_stream(stream, "k", ["lsn"], state, ck,
+                                                           state_partitions=2, compact_every=1))
+    left = sorted(d for d in os.listdir(state) if d.startswith("batch_id="))
+    assert left == ["batch_id=2", "batch_id=3"]
+    got = {r["k"]: r["v"] for r in jobs.read_current_state(spark, state, "k", ["lsn"]).collect()}
+    assert got == {0: 300, 1: 301, 2: 302, 3: 303}
+
+
 def test_decode_stream_keeps_bad_records_aside(spark, tmp_dir):
     from pyspark.sql import types as T
 

@@ -9,6 +9,7 @@
     python -m tidemark.cli consume --kafka host:9092 --topics t1 --schema "k long" \
         --out /lake/messages --errors /lake/bad --checkpoint /ckpt/consume
     python -m tidemark.cli read-lake /lake/changes
+    python -m tidemark.cli pack-lake /lake/changes --checkpoint /ckpt/changes
 
 ``--source-dir`` replaces ``--kafka`` with a folder of replayed records
 (Parquet, Kafka record schema).  Paths should be on shared storage; the
@@ -121,6 +122,15 @@ def cmd_read_lake(args) -> int:
     return 0
 
 
+def cmd_pack_lake(args) -> int:
+    from .operators.compaction import closed_below, pack_batches
+
+    spark = _session("tidemark-pack-lake", args)
+    pack = pack_batches(spark, args.lake, closed_below(spark, args.checkpoint))
+    print(f"Packed batches {pack.lo} to {pack.hi}" if pack else "no closed batch to pack")
+    return 0
+
+
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="tidemark")
     p.add_argument("--s3-endpoint", help="S3-compatible store of s3a:// paths (credentials come "
@@ -166,6 +176,11 @@ def main(argv: list[str] | None = None) -> int:
     rl.add_argument("--format", choices=["parquet", "delta"], default="parquet")
     rl.set_defaults(fn=cmd_read_lake)
 
+    pl = sub.add_parser("pack-lake", help="closed batches of a lake -> files of a good size")
+    pl.add_argument("lake")
+    pl.add_argument("--checkpoint", required=True, help="checkpoint of the stream that writes it")
+    pl.set_defaults(fn=cmd_pack_lake)
+
     args = p.parse_args(argv)
     return args.fn(args)
 

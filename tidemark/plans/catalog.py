@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import (delimited_int, json_list_length, json_path_or_default,
                          table_name_from_path, topic_part)
+from ..operators.compaction import pack_batches
 from ..operators import (cdc, envelope, inference, ingest, offsets, quality, reports, resolution,
                          tables)
 from ..operators.enrich import enrich, message_sequence
@@ -536,6 +537,32 @@ def q_table_history(spark, sf_dir):
     return ntz(lakes.history(spark, _lake_by_batches(spark, sf_dir)))
 
 
+def _packed_lake(spark, sf_dir):
+    """A lake of its own, whose batches 0 to 2 are packed in two steps."""
+    lake = scratch_path(spark, "lake")
+    rec = records(spark, sf_dir, keep_ids=True).withColumnRenamed("cut", "batch_id")
+    clock = batch_clock_col(F.col("batch_id"))
+    write_lake_batches(enrich(rec, clock, carry=["batch_id"]), lake, committed_at=clock)
+    for below in (2, 3):
+        pack_batches(spark, lake, below)
+    return lake
+
+
+@register("packed_lake")
+def q_packed_lake(spark, sf_dir):
+    return ntz(_read(spark, _packed_lake(spark, sf_dir)))
+
+
+@register("packed_version")
+def q_packed_version(spark, sf_dir):
+    return ntz(lakes.read_version(spark, _packed_lake(spark, sf_dir), version=1))
+
+
+@register("packed_history")
+def q_packed_history(spark, sf_dir):
+    return ntz(lakes.history(spark, _packed_lake(spark, sf_dir)))
+
+
 @register("schema_evolution")
 def q_schema_evolution(spark, sf_dir):
     return ntz(_read(spark, _lake_by_stream(spark, sf_dir, keep_extra=lambda b: b >= 1),

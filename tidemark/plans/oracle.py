@@ -336,6 +336,9 @@ SQL["as_of_timestamp"] = lake_sql(tail="where batch_id <= 2")
 SQL["table_history"] = lake_sql(
     cols=f"batch_id, count(*) as row_count, max({PROC} + to_days(cast(batch_id as integer))) as committed_at",
     tail="group by batch_id")
+SQL["packed_lake"] = SQL["lake_read"]
+SQL["packed_version"] = SQL["as_of_version"]
+SQL["packed_history"] = SQL["table_history"]
 SQL["schema_evolution"] = lake_sql(extra_from=1)
 SQL["schema_widening"] = lake_sql(cols=f"""batch_id, kafka_offset as at,
        case when cut < 3 then cast(event_id as double) end as k,

@@ -15,6 +15,12 @@ least common one (``operators.evolution``), so no footer is opened to plan it, a
 every column ever written is there.  Batches whose schemas only lack columns are
 one scan; a group of batches with another type in a column is read under its own
 schema, cast and stacked by name.
+
+Stretches of closed batches may be packed (``operators.compaction``):
+``<lake>/_packed/<name>`` holds the rows of many batches in files of a good size, with
+``batch_id`` as a column, and the newest note of ``<lake>/_packs`` lists all packs.
+A batch inside a pack is read from there; a folder of it that is still there is not
+looked at.
 """
 
 from __future__ import annotations
@@ -33,6 +39,8 @@ from ..operators.evolution import agrees, common_schema, conform, nullable
 from ..session import list_names, read_note, write_note
 
 NOTES = "_schemas"
+PACK_NOTES = "_packs"
+PACKED = "_packed"
 BATCH = T.StructField("batch_id", T.LongType())
 
 
@@ -49,6 +57,30 @@ class SchemaNote:
         return self.lo <= batch_id and (self.hi is None or batch_id <= self.hi)
 
 
+@dataclass(frozen=True)
+class Pack:
+    """Batches ``lo`` to ``hi`` are in the folder ``name``, all in ``schema``."""
+    lo: int
+    hi: int
+    name: str
+    schema: T.StructType
+
+
+def pack_names(spark: SparkSession, path: str) -> list[str]:
+    """Notes about packs, oldest first."""
+    return [n for n in list_names(spark, f"{path.rstrip('/')}/{PACK_NOTES}")
+            if n.endswith(".json")]
+
+
+def read_packs(spark: SparkSession, path: str) -> list[Pack]:
+    """All packs of a lake, in order of their batches: one listing and one note."""
+    names = pack_names(spark, path)
+    if not names:
+        return []
+    note = json.loads(read_note(spark, f"{path.rstrip('/')}/{PACK_NOTES}/{names[-1]}"))
+    return [Pack(k["lo"], k["hi"], k["name"], T.StructType.fromJson(k["schema"])) for k in note]
+
+
 def schema_notes(spark: SparkSession, path: str) -> list[SchemaNote]:
     """Notes of a lake in the order they were written."""
     folder = f"{path.rstrip('/')}/{NOTES}"
@@ -120,13 +152,34 @@ def _scan(spark: SparkSession, path: str, schema: T.StructType | None,
 
 
 def read_lake(spark: SparkSession, path: str, fmt: str = "parquet",
-              schema: T.StructType | None = None, merge_schema: bool = False) -> DataFrame:
+              schema: T.StructType | None = None, merge_schema: bool = False,
+              upto: int | None = None) -> DataFrame:
     """The lake table with all columns ever written, in the types that hold all
     batches.  With a known ``schema`` that one is read as it is.  For batches
     without a note (a lake written by something else) the columns come from one
-    file, or with ``merge_schema`` from the footers of all files."""
+    file, or with ``merge_schema`` from the footers of all files.  Packs that start
+    after batch ``upto`` are not opened."""
     if fmt == "delta":
         return spark.read.format("delta").load(path)
+    loose = _read_folders(spark, path, schema, merge_schema)
+    packs = read_packs(spark, path)
+    if not packs:
+        return loose
+    parts = [loose.where(~_within([(k.lo, k.hi) for k in packs]))]
+    groups: dict[str, list[Pack]] = {}
+    for k in packs:
+        if upto is None or k.lo <= upto:
+            groups.setdefault(k.schema.json(), []).append(k)
+    for group in groups.values():
+        folders = [f"{path.rstrip('/')}/{PACKED}/{k.name}" for k in group]
+        scan = spark.read.schema(T.StructType([*group[0].schema.fields, BATCH])).parquet(*folders)
+        parts.append(conform(scan, loose.schema))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _read_folders(spark: SparkSession, path: str, schema: T.StructType | None,
+                  merge_schema: bool) -> DataFrame:
+    """What the folders of single batches hold."""
     notes = [] if schema is not None else schema_notes(spark, path)
     if not notes:
         return _scan(spark, path, schema, merge_schema)
@@ -188,7 +241,7 @@ def read_version(spark: SparkSession, path: str, version: int | None = None,
         if timestamp is not None:
             r = r.option("timestampAsOf", timestamp)
         return r.load(path)
-    lake = read_lake(spark, path, schema=schema, merge_schema=merge_schema)
+    lake = read_lake(spark, path, schema=schema, merge_schema=merge_schema, upto=version)
     if version is not None:
         lake = as_of_version(lake, version)
     if timestamp is not None:

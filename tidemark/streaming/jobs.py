@@ -181,7 +181,8 @@ def start_current_state_stream(changes: DataFrame, key: str | list[str],
     def each(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         whole = batch_id > 0 and batch_id % compact_every == 0
-        if batch_id > 1 and batch_id % compact_every == 1 % compact_every and not whole:
+        if batch_id > 1 and (batch_id - 1) % compact_every == 0:
+            # the batch before holds all keys; with compact_every=1 each one does
             for b in range(max(0, batch_id - 1 - compact_every), batch_id - 1):
                 delete_path(spark, batch_dir(state_path, b))
         out = batch

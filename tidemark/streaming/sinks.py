@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from ..functions import text_prefix
 from ..operators.evolution import nullable
 from ..session import list_names
-from ..sources.lake import note_schema, schema_epochs, schema_notes
+from ..sources.lake import note_schema, read_packs, schema_epochs, schema_notes
 
 
 # Lines of the text batch report (same text as the reference).
@@ -61,6 +61,8 @@ def write_lake_batch(batch: DataFrame, lake_path: str, batch_id: int,
          .option("txnAppId", app_id).option("txnVersion", int(batch_id))
          .option("mergeSchema", "true").save(lake_path))
         return obs.get["rows"]
+    if any(k.lo <= batch_id <= k.hi for k in read_packs(batch.sparkSession, lake_path)):
+        raise ValueError(f"batch {batch_id} of {lake_path} is packed: it can't be written again")
     # before the batch: a reader never meets a batch whose schema it does not know
     note_schema(batch.sparkSession, lake_path, out.schema, [(int(batch_id), int(batch_id))])
     out.write.mode("overwrite").parquet(batch_dir(lake_path, batch_id))
@@ -96,6 +98,10 @@ def write_lake_batches(df: DataFrame, lake_path: str, batch_col: str = "batch_id
     out = (df.withColumn("committed_at", stamp.cast("timestamp"))
            .withColumnRenamed(batch_col, "batch_id")
            .withColumn("batch_id", F.col("batch_id").cast("bigint")))
+    for k in read_packs(df.sparkSession, lake_path):
+        if not out.where(F.col("batch_id").between(k.lo, k.hi)).isEmpty():
+            raise ValueError(f"batches {k.lo} to {k.hi} of {lake_path} are packed: "
+                             "they can't be written again")
     schema = out.drop("batch_id").schema
     note_schema(df.sparkSession, lake_path, schema, _batch_ranges(out, lake_path, schema))
     (out.hint("rebalance", F.col("batch_id"))
