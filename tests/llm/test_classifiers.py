@@ -4,7 +4,6 @@ import zlib
 
 import numpy as np
 import pytest
-
 from pyspark.sql import functions as F
 
 from tidemark.llm import langid, quality, queries, toxicity
