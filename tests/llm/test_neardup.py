@@ -103,6 +103,56 @@ def test_groups_chains_and_thresholds(make_docs):
     check(make_docs(rows), rows, 4)
 
 
+def sections(k, common=300, each=50):
+    """Texts of common words and two of ``k`` sections each: nothing is linked, and
+    every element is shared."""
+    top = " ".join(f"m{i}" for i in range(common))
+    part = [" ".join(f"s{j}x{i}" for i in range(each)) for j in range(k)]
+    pairs = [(i, j) for i in range(k) for j in range(i)]
+    return [(n, f"{top} {part[i]} {part[j]}") for n, (i, j) in enumerate(pairs)]
+
+
+@pytest.fixture
+def verified(monkeypatch):
+    """Numbers of pairs that were verified on full sets."""
+    made, links = [], neardup._links
+
+    def counted(pairs, sets, p):
+        made.append(pairs.count())
+        return links(pairs, sets, p)
+
+    monkeypatch.setattr(neardup, "_links", counted)
+    return made
+
+
+@pytest.mark.parametrize("k", [20, 60])
+def test_texts_of_common_sections_make_few_pairs(make_docs, verified, k):
+    rows = sections(k)
+    got = neardup.near_duplicates(make_docs(rows)).collect()
+    assert {(r["doc_id"], r["component_id"]) for r in got} == {(i, i) for i, _ in rows}
+    assert sum(verified) < 5 * len(rows)
+
+
+def test_links_among_texts_of_common_sections(make_docs):
+    rng = random.Random(11)
+    rows = sections(14, 200, 40)  # with near copies of some, which must still be found
+    rows += [(1000 + i, edited(rng, t.split(), rng.randrange(1, 8))) for i, t in rows[::3]]
+    rows += [(2000 + i, " ".join(t.split()[:-e])) for e, (i, t) in enumerate(rows[:30], 1)]
+    check(make_docs(rows), rows, 5)
+    rows = sections(12, 400, 40)  # all are linked
+    check(make_docs(rows), rows, 5)
+
+
+def test_parities_bound_the_difference():
+    rng = np.random.default_rng(3)
+    for n, d in ((50, 3), (3000, 40), (3000, 900)):
+        both = rng.integers(0, 2 ** 63, n).astype(np.uint64)
+        more = rng.integers(0, 2 ** 63, d).astype(np.uint64)
+        x, y = neardup.parities(np.r_[both, both, more], np.array([n, n + d]))
+        differ = np.unpackbits((x ^ y).view(np.uint8)).sum()
+        assert differ <= d and (d > 40 or differ >= d - 6)
+
+
 def test_one_of_each_group_stays(make_docs):
     base = " ".join(f"w{i}" for i in range(40))
     rows = [(3, base), (2, base.upper()), (2, base.upper()), (9, base + " end"), (5, "other text"),

@@ -18,16 +18,22 @@ Jaccard similarity is at least ``percent`` / 100.
 4. *Exact verification* of the pairs on the full sets, in tasks that read two
    sets at a time.  Links are closed to components.
 5. *The rest.*  In buckets whose classes are not yet in one component, the
-   classes outside the leader's component are paired with those of all other
-   components, and verified likewise; pairs inside a component are never made.
-   Two exact bounds keep pairs from being made that can't be links.  Elements
-   that only one of these classes has (``own``) are in no intersection, so sets of
-   sizes ``m`` and ``n`` share ``min(m - own_m, n - own_n)`` at most.  And what each
-   shares with the bucket's leader (``led``) is known from step 4, so they share
-   ``min(led_m, led_n) + min(m - led_m - own_m, n - led_n - own_n)`` at most.  Pairs
-   whose bound is below the threshold (texts around a common passage, copies with
-   edits of their own) are not made.  So no pair that shares a bucket and could
-   join two components is left out.
+   classes outside the leader's component are compared with those of all other
+   components; pairs inside a component are never made.  Candidates come from a
+   prefix join, not from the pairs of a bucket: the elements of each of these sets
+   are ordered by rarity over these sets, and two sets of sizes ``m`` and ``n`` that
+   share ``least`` elements, as a link needs, have one in common among the first
+   ``m - least + 1`` of one and ``n - least + 1`` of the other.  Elements that only one
+   set has come first in its order and meet nothing, so texts around a common
+   passage and copies with edits of their own make no candidate at all.
+6. *Parity bound.*  Each set has a bitmap of ``BITS`` parities (how many of its
+   elements fall on each bit, odd or even).  What two sets share cancels out, so
+   the bits in which two bitmaps differ are a lower bound of the elements that only
+   one of the sets has, whatever the sizes.  Pairs whose bound rules a link out are
+   not verified on the full sets, in step 4 and in step 5.
+
+Both filters are exact: no pair that shares a bucket and could join two components
+is left out.
 
 Size filters (``percent`` of the larger set must not exceed the smaller) are
 necessary conditions for a link.  Sets of fewer than ``100 / (100 - percent) - 1``
@@ -47,6 +53,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -62,6 +69,8 @@ BATCH_ROWS = 512
 WORDS = 150_000
 #: Bits of the bitmap of wanted texts.
 BITMAP = 1 << 26
+#: Bits of a set's parity bitmap.
+BITS = 2048
 #: Bytes A-Z to a-z.
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -171,8 +180,16 @@ def _signatures(docs: DataFrame, p: Params) -> DataFrame:
                      keep=["doc_id", "text_hash"])
 
 
+def parities(elements: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """One row of ``BITS`` / 64 words per set: the parities of its elements by bit."""
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    at = owner * BITS + (elements % np.uint64(BITS)).astype(np.int64)
+    odd = np.bincount(at, minlength=len(sizes) * BITS).astype(np.uint8) & 1
+    return np.packbits(odd).view(np.int64).reshape(len(sizes), BITS // 64)
+
+
 def _shingles(texts: DataFrame, p: Params) -> DataFrame:
-    """``row`` and ``elements``: the sorted shingle hashes."""
+    """``row``, ``elements`` (the sorted shingle hashes) and ``parity``."""
 
     def make():
         table = WordTable(word_hashes, WORDS)
@@ -181,11 +198,13 @@ def _shingles(texts: DataFrame, p: Params) -> DataFrame:
             elements, sizes = shingle_sets(batch, table, p.words)
             offsets = np.concatenate([[0], np.cumsum(sizes)])
             return (pa.ListArray.from_arrays(pa.array(offsets, pa.int32()),
-                                             pa.array(elements.view(np.int64))),)
+                                             pa.array(elements.view(np.int64))),
+                    pa.array(list(parities(elements, sizes)), pa.list_(pa.int64())))
 
         return run
 
-    return map_texts(texts, make, [T.StructField("elements", T.ArrayType(T.LongType()))],
+    return map_texts(texts, make, [T.StructField("elements", T.ArrayType(T.LongType())),
+                                   T.StructField("parity", T.ArrayType(T.LongType()))],
                      keep=["class"])
 
 
@@ -217,8 +236,8 @@ def _likely(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def _sets(spark: SparkSession, wanted: DataFrame, classes: DataFrame, docs: DataFrame,
           p: Params) -> DataFrame:
-    """``(class, elements)`` of the wanted classes, made again from one text of
-    each, so nothing but those texts is shuffled."""
+    """``(class, elements, size, parity)`` of the wanted classes, made again from one
+    text of each, so nothing but those texts is shuffled."""
     named = wanted.join(classes.select("class", F.col("doc_id").alias("id"),
                                        F.col("text_hash").alias("hash")), "class")
     hashed = docs.withColumn("text_hash", F.xxhash64("text"))
@@ -227,29 +246,74 @@ def _sets(spark: SparkSession, wanted: DataFrame, classes: DataFrame, docs: Data
                    & (F.col("text_hash") == F.col("hash")))
              .groupBy("id", "hash", "class").agg(F.first("text").alias("text")))
     with _small_batches(spark):
-        return stored(spark, _shingles(texts, p).select("row.class", "elements"), "sets")
-
-
-def _shared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``(a, b)`` with ``shared``, the exact size of the intersection, and both
-    set sizes ``m`` and ``n``."""
-    left = sets.select(F.col("class").alias("a"), F.col("elements").alias("x"))
-    right = sets.select(F.col("class").alias("b"), F.col("elements").alias("y"))
-    return pairs.join(right, "b").join(left, "a").select(
-        "a", "b", F.size(F.array_intersect("x", "y")).cast("long").alias("shared"),
-        F.size("x").alias("m"), F.size("y").alias("n"))
-
-
-def _enough(shared: Column, m: Column, n: Column, p: Params) -> Column:
-    """Whether sets of sizes ``m`` and ``n`` are linked."""
-    return 100 * shared >= p.percent * (m + n - shared)
-
-
-def _own_elements(sets: DataFrame) -> DataFrame:
-    """``(class, own)``: how many elements no other of these sets has."""
-    return (sets.select("class", F.explode("elements").alias("element"))
-            .groupBy("element").agg(F.count("*").alias("n"), F.min("class").alias("class"))
-            .where(F.col("n") == 1).groupBy("class").agg(F.count("*").alias("own")))
+        return stored(spark, _shingles(texts, p).select(
+            "row.class", "elements", F.size("elements").cast("long").alias("size"), "parity"),
+            "sets")
+
+
+def _least(m: Column, n: Column, p: Params) -> Column:
+    """How many elements linked sets of sizes ``m`` and ``n`` share at least."""
+    return F.floor((p.percent * (m + n) + 99 + p.percent) / (100 + p.percent))
+
+
+def _within_reach(pairs: DataFrame, sets: DataFrame, p: Params) -> DataFrame:
+    """The pairs that the parity bound does not rule out."""
+    left = sets.select(F.col("class").alias("a"), F.col("size").alias("m"),
+                       F.col("parity").alias("x"))
+    right = sets.select(F.col("class").alias("b"), F.col("size").alias("n"),
+                        F.col("parity").alias("y"))
+    differ = reduce(lambda s, i: s + F.bit_count(F.col("x")[i].bitwiseXOR(F.col("y")[i])),
+                    range(BITS // 64), F.lit(0))
+    m, n = F.col("m"), F.col("n")
+    return (pairs.join(right, "b").join(left, "a")
+            .where(differ <= m + n - 2 * _least(m, n, p)).select("a", "b"))
+
+
+def _links(pairs: DataFrame, sets: DataFrame, p: Params) -> DataFrame:
+    """The pairs ``(a, b)`` that are links, confirmed on the full sets."""
+    left = sets.select(F.col("class").alias("a"), F.col("size").alias("m"),
+                       F.col("elements").alias("x"))
+    right = sets.select(F.col("class").alias("b"), F.col("size").alias("n"),
+                        F.col("elements").alias("y"))
+    shared, m, n = F.size(F.array_intersect("x", "y")).cast("long"), F.col("m"), F.col("n")
+    return (pairs.join(right, "b").join(left, "a")
+            .where(100 * shared >= p.percent * (m + n - shared)).select("a", "b"))
+
+
+def _prefixes(sets: DataFrame, p: Params) -> DataFrame:
+    """``(class, size, element, at)``: of each set's elements by rarity (how many of
+    the sets hold them, then value) those that a link to a smaller or larger set may
+    rest on, with their places.  Elements of one set only come first and are left
+    out, since no other set meets them."""
+    each = sets.select("class", "size", F.explode("elements").alias("element"))
+    met = each.groupBy("element").agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    ordered = (each.join(met, "element").groupBy("class", "size")
+               .agg(F.sort_array(F.collect_list(F.struct("n", "element"))).alias("common")))
+    size, own = F.col("size"), F.col("size") - F.size("common")
+    longest = size - F.floor((p.percent * size + 99) / 100) + 1 - own
+    return (ordered.where(longest > 0)
+            .select("class", "size", own.alias("own"),
+                    F.posexplode(F.slice("common", F.lit(1), longest.cast("int"))))
+            .select("class", "size", F.col("col.element").alias("element"),
+                    (F.col("own") + F.col("pos")).alias("at")))
+
+
+def _candidates(open_: DataFrame, sets: DataFrame, p: Params) -> DataFrame:
+    """Pairs ``(a, b)`` of different components that share an element early enough
+    in both orders; one at least is ``outside``.  ``open_``: ``class``, ``component``,
+    ``outside``."""
+    early = _prefixes(sets, p).join(open_, "class")
+    other = early.where("outside").select(
+        "element", F.col("class").alias("x"), F.col("size").alias("x_size"),
+        F.col("at").alias("x_at"), F.col("component").alias("x_component"))
+    least = _least(F.col("size"), F.col("x_size"), p)
+    return (other.join(early, "element")
+            .where((F.col("component") != F.col("x_component"))
+                   & (~F.col("outside") | (F.col("x") < F.col("class")))
+                   & (F.col("at") <= F.col("size") - least)
+                   & (F.col("x_at") <= F.col("x_size") - least))
+            .select(F.least("x", "class").alias("a"), F.greatest("x", "class").alias("b"))
+            .distinct())
 
 
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
@@ -330,19 +394,19 @@ def link(docs: DataFrame, p: Params = Params(),
         .select("key", F.col("lead.class").alias("a"), F.col("lead.size").alias("lead_size"))
     full = stored(spark, shared.join(leaders, "key")
                   .select("key", "a", F.col("class").alias("b"), "size", "lead_size"), "buckets")
-    star = full.where((F.col("a") != F.col("b")) & near).select("a", "b").distinct()
+    star = full.where((F.col("a") != F.col("b")) & near).select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     if before is not None:  # the texts of one document are one component in any case
         of_doc = stored(spark, signed.where("doc_id IS NOT NULL").join(
             classes.select("set_id", "class"), "set_id").select("doc_id", "class").distinct(),
             "texts-of-doc")
         first = of_doc.groupBy("doc_id").agg(F.min("class").alias("a"))
         same_doc = stored(spark, of_doc.join(first, "doc_id").select(
-            "a", F.col("class").alias("b")).where("a <> b").distinct(), "same-doc")
-        either = same_doc.union(same_doc.select("b", "a"))
-        star = star.join(either, ["a", "b"], "left_anti")
+            "a", F.col("class").alias("b")).where("a < b").distinct(), "same-doc")
+        star = star.join(same_doc, ["a", "b"], "left_anti")
     ends = star.select(F.col("a").alias("class")).union(star.select("b")).distinct()
-    scored = stored(spark, _shared(star, _sets(spark, ends, classes, slim, p)), "scored")
-    edges = scored.where(_enough(F.col("shared"), F.col("m"), F.col("n"), p)).select("a", "b")
+    sets = _sets(spark, ends, classes, slim, p)
+    edges = stored(spark, _links(_within_reach(star, sets, p), sets, p), "links")
     if before is not None:
         edges = edges.union(same_doc)
     label = components(spark, edges)
@@ -353,39 +417,13 @@ def link(docs: DataFrame, p: Params = Params(),
                                        F.max("component").alias("hi"), F.count("*").alias("n"))
              .where((F.col("lo") != F.col("hi")) & (F.col("n") > 2)).select("key"))
     open_ = placed.join(mixed, "key")
-    # elements that only one of these classes has are in no intersection; classes
-    # with too many can be linked to none
     sets = _sets(spark, open_.select(F.col("b").alias("class")).distinct(), classes, slim, p)
-    own = _own_elements(sets).withColumnRenamed("class", "b")
-    known = scored.select("a", "b", F.col("shared").alias("led"))
     lead = open_.where(F.col("a") == F.col("b")).select("key", F.col("component").alias("main"))
-    met = open_.groupBy("b").agg(F.collect_list("key").alias("keys"))  # `bands` at most
-    bounded = stored(spark, open_.join(own, "b", "left").join(known, ["a", "b"], "left").select(
-        "key", "a", "b", "size", "component", F.coalesce("own", F.lit(0)).alias("own"),
-        F.when(F.col("a") == F.col("b"), F.col("size")).otherwise(F.col("led")).alias("led"))
-        .where(100 * (F.col("size") - F.col("own")) >= p.percent * F.col("size"))
-        .join(met, "b").join(lead, "key")
-        .withColumn("outside", F.col("component") != F.col("main")), "open")
-    # classes outside the leader's component against all other components
-    others = bounded.where("outside").select(
-        "key", F.col("b").alias("x"), F.col("size").alias("x_size"), F.col("own").alias("x_own"),
-        F.col("led").alias("x_led"), F.col("component").alias("x_component"),
-        F.col("keys").alias("x_keys"))
-    size, own_, led = F.col("size"), F.col("own"), F.col("led")
-    x_size, x_own, x_led = F.col("x_size"), F.col("x_own"), F.col("x_led")
-    most = F.least(size - own_, x_size - x_own)
-    by_lead = F.least(led, x_led) + F.least(size - led - own_, x_size - x_led - x_own)
-    most = F.least(most, F.coalesce(by_lead, most))
-    # each pair once: in the first bucket that both are in, and in one order
-    once = (~F.col("outside") | (F.col("x") < F.col("b"))) & (
-        F.array_min(F.array_intersect("keys", "x_keys")) == F.col("key"))
-    rest = (others.join(bounded, "key")
-            .where((F.col("component") != F.col("x_component")) & (F.col("a") != F.col("b"))
-                   & _enough(most, size, x_size, p) & once)
-            .select(F.least("x", "b").alias("a"), F.greatest("x", "b").alias("b"))
-            .join(star, ["a", "b"], "left_anti"))
-    more = stored(spark, _shared(rest, sets), "scored").where(
-        _enough(F.col("shared"), F.col("m"), F.col("n"), p)).select("a", "b")
+    sides = open_.join(lead, "key").groupBy(F.col("b").alias("class"), "component").agg(
+        F.max(F.col("component") != F.col("main")).alias("outside"))
+    rest = stored(spark, _candidates(sides, sets, p).join(star, ["a", "b"], "left_anti"),
+                  "candidates")
+    more = stored(spark, _links(_within_reach(rest, sets, p), sets, p), "links")
     if not more.isEmpty():
         label = components(spark, edges.union(more))
     named = classes.join(label, F.col("class") == F.col("node"), "left").select(
