@@ -60,7 +60,8 @@ def test_columns_are_pruned(spark):
 
 # Stream queries return a read of their sink; their work ran in the stream.
 STREAMED = {"stream_enrich", "stream_lake", "stream_resume", "stream_replay",
-            "schema_evolution", "batch_report", "stream_current_state"}
+            "schema_evolution", "batch_report", "stream_current_state",
+            "stream_expiring_state"}
 
 
 def test_no_python_in_any_plan(spark):

@@ -2,6 +2,8 @@
 write replays the batch without duplicates; compacted current state."""
 
 import os
+import random
+import time
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.plans.common import batch_clock, cut_stream, failing_once, topic_log
 from tidemark.sources import lake
-from tidemark.streaming import jobs
+from tidemark.streaming import jobs, state
 from tidemark.streaming.sinks import write_lake_batch
 
 SF = "/root/testdata/sf0.001"
@@ -93,6 +95,80 @@ def test_current_state_compacted_by_every_batch(spark, tmp_dir):
     assert got == {0: 300, 1: 301, 2: 302, 3: 303}
 
 
+def _expiring(spark, tmp_dir, rows, keep_ms, schema=CHANGES, **args):
+    """One run over ``rows`` as a new file; the query, once it has drained them."""
+    src, out, ck = f"{tmp_dir}/src", f"{tmp_dir}/state", f"{tmp_dir}/ck"
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(schema).parquet(src)
+    q = state.start_expiring_state_stream(stream, "k", ["lsn"], out, ck, keep_ms,
+                                          state_partitions=2, **args)
+    jobs.await_drained(q, 300)
+    return q
+
+
+def _state_rows(q):
+    return q.lastProgress["stateOperators"][0]["numRowsTotal"]
+
+
+def _current(spark, tmp_dir):
+    got = jobs.read_current_state(spark, f"{tmp_dir}/state", "k", ["lsn"]).collect()
+    return {r["k"]: (r["lsn"], r["v"]) for r in got}
+
+
+def test_deleted_keys_leave_the_state(spark, tmp_dir):
+    made = [(k, "c", k, (k,)) for k in range(20)]
+    before = _state_rows(_expiring(spark, tmp_dir, made, 1000))
+    gone = [(k, "d", 100 + k, None) for k in range(15)] + [(19, "u", 5, (-1,))]  # 5: late
+    _expiring(spark, tmp_dir, gone, 1000)
+    assert _current(spark, tmp_dir) == {k: (k, k) for k in range(15, 20)}
+    time.sleep(2)
+    after = _state_rows(_expiring(spark, tmp_dir, [(15, "u", 200, (7,))], 1000))
+    assert after <= before - 15
+    assert _current(spark, tmp_dir) == {15: (200, 7), **{k: (k, k) for k in range(16, 20)}}
+    # after that time a change of a deleted key is the first of a new one
+    _expiring(spark, tmp_dir, [(3, "c", 1, (33,))], 1000)
+    assert _current(spark, tmp_dir)[3] == (1, 33)
+
+
+def test_deletes_hold_back_late_changes(spark, tmp_dir):
+    _expiring(spark, tmp_dir, [(1, "c", 1, (1,)), (2, "c", 2, (2,)), (None, "c", 3, (3,))],
+              3_600_000)
+    _expiring(spark, tmp_dir, [(1, "d", 9, None)], 3_600_000)
+    _expiring(spark, tmp_dir, [(1, "u", 4, (4,)), (2, "u", None, (5,))], 3_600_000)
+    assert _current(spark, tmp_dir) == {2: (2, 2), None: (3, 3)}
+    _expiring(spark, tmp_dir, [(1, "c", 10, (10,))], 3_600_000)
+    assert _current(spark, tmp_dir)[1] == (10, 10)
+
+
+@pytest.mark.parametrize("every", [1, 2])
+def test_written_deletes_go_with_compaction(spark, tmp_dir, every):
+    """Against a plain dictionary, batch by batch; deletes do not pile up."""
+    rng, truth, lsn = random.Random(every), {}, 0
+    for b in range(7):
+        rows = []
+        for k in rng.sample(range(12), 6):
+            lsn += 1
+            op = rng.choice("cdu")
+            rows.append((k, op, lsn, None if op == "d" else (lsn,)))
+            truth[k] = None if op == "d" else (lsn, lsn)
+        if b == 2:
+            rows += [(50 + i, "d", 900 + i, None) for i in range(5)]
+        rng.shuffle(rows)
+        _expiring(spark, tmp_dir, rows, 3_600_000, compact_every=every)
+        assert _current(spark, tmp_dir) == {k: v for k, v in truth.items() if v}
+    kept = lake.read_lake(spark, f"{tmp_dir}/state")
+    assert kept.where("k >= 50").count() == 0
+
+
+def test_hot_key_is_reduced_before_the_shuffle(spark):
+    df = spark.range(0, 20_000, 1, 2).selectExpr(
+        "if(id % 3 < 2, null, id % 5) k", "nullif(id, 7) lsn", "id img")
+    few = df.mapInArrow(state._newest_of_batch(["k"], ["lsn"]), df.schema)
+    assert few.count() <= 6 * 4  # at most two batches of each task
+    assert sorted(few.groupBy("k").agg(F.max_by("img", "lsn").alias("m")).collect(), key=str) == \
+        sorted(df.groupBy("k").agg(F.max_by("img", "lsn").alias("m")).collect(), key=str)
+
+
 def test_decode_stream_keeps_bad_records_aside(spark, tmp_dir):
     from pyspark.sql import types as T
 

@@ -25,6 +25,7 @@ from ..sources.records import SUBJECT_SUFFIX
 from ..streaming import jobs, metrics
 from ..streaming.sinks import (display_error_lines, error_line, write_lake_batch,
                                write_lake_batches)
+from ..streaming.state import start_expiring_state_stream
 from .common import (EPOCH, N_CUTS, InjectedFailure, batch_clock, batch_clock_col, cut_stream,
                      enriched, envelope_records, failing_once, framed_records, log_path,
                      ntz, order_versions, processing_ts, records, stored_path, table)
@@ -680,24 +681,39 @@ def q_dq_schemas(spark, sf_dir):
     return quality.at_least("schemas_registered", n, "n", 1, "warn")
 
 
+def _change_stream(spark, sf_dir, cuts):
+    """Well-formed change envelopes of the first ``cuts`` arrival cuts, as a stream."""
+    decoded = envelope.decode_json(cut_stream(spark, sf_dir, range(cuts), "envelopes"), ENVELOPE)
+    good = decoded.where(F.col("envelope._corrupt_record").isNull()
+                         & F.col("envelope").isNotNull())
+    return good.select("envelope.k", "envelope.op", "envelope.lsn", "envelope.after")
+
+
 @register("stream_current_state")
 def q_stream_current_state(spark, sf_dir):
     """Current state (C4) maintained on a stream of change envelopes."""
     state, ckpt = scratch_path(spark, "state"), scratch_path(spark, "checkpoint")
     for c in range(N_CUTS):
-        arrived = cut_stream(spark, sf_dir, range(c + 1), "envelopes")
-        decoded = envelope.decode_json(arrived, ENVELOPE)
-        good = decoded.where(F.col("envelope._corrupt_record").isNull()
-                             & F.col("envelope").isNotNull())
-        changes = good.select("envelope.k", "envelope.op", "envelope.lsn",
-                              "envelope.after")
         q = jobs.start_current_state_stream(
-            changes, "k", ["lsn"], state, ckpt,
+            _change_stream(spark, sf_dir, c + 1), "k", ["lsn"], state, ckpt,
             state_partitions=parallelism(spark), compact_every=2)
         jobs.await_drained(q)
     return jobs.read_current_state(spark, state, "k", ["lsn"])
 
 
+@register("stream_expiring_state")
+def q_stream_expiring_state(spark, sf_dir):
+    """Current state (C4) on a stream whose deleted keys leave the state after a week."""
+    state, ckpt = scratch_path(spark, "state"), scratch_path(spark, "checkpoint")
+    for c in range(N_CUTS):
+        q = start_expiring_state_stream(
+            _change_stream(spark, sf_dir, c + 1), "k", ["lsn"], state, ckpt,
+            keep_deleted_ms=7 * 24 * 3_600_000, state_partitions=parallelism(spark),
+            compact_every=2)
+        jobs.await_drained(q)
+    return jobs.read_current_state(spark, state, "k", ["lsn"])
+
+
 @register("decode_framed")
 def q_decode_framed(spark, sf_dir):
     """Registry-framed JSON, schema chosen by the id in each message."""

@@ -383,6 +383,7 @@ select 'schemas_registered' as "check",
 from events"""
 
 SQL["stream_current_state"] = SQL["current_state"]
+SQL["stream_expiring_state"] = SQL["current_state"]
 
 SQL["decode_framed"] = f"""with {MSG}
 select kafka_topic, kafka_partition, kafka_offset,

@@ -145,6 +145,43 @@ def record_stream(spark: SparkSession, source_dir: str,
                              max_files_per_trigger=max_files_per_trigger)
 
 
+def state_writer(keys: list[str], state_path: str, compact_every: int,
+                 drop_deleted: bool = False) -> Callable[[DataFrame, int], None]:
+    """Writes the keys that a batch changed (``_last`` beside the keys) as one folder;
+    every ``compact_every``-th batch writes the newest row of all keys, and the batch
+    after it deletes the folders before.
+
+    With ``drop_deleted`` a compacted batch leaves out keys whose delete stands in the
+    compacted batch before it: folders with older rows of such a key are deleted by
+    then, so its delete hides nothing any more.
+    """
+    from pyspark.sql import functions as F
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        whole = batch_id > 0 and batch_id % compact_every == 0
+        if batch_id > 1 and (batch_id - 1) % compact_every == 0:
+            # the batch before holds all keys; with compact_every=1 each one does
+            for b in range(max(0, batch_id - 1 - compact_every), batch_id - 1):
+                delete_path(spark, batch_dir(state_path, b))
+        out = batch
+        if whole:
+            before = read_lake(spark, state_path).where(F.col("batch_id") < batch_id)
+            rows = before.select(*batch.columns, "batch_id").unionByName(
+                batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")))
+            newest = rows.groupBy(*keys).agg(F.max_by("_last", "batch_id").alias("_last"),
+                                             F.max("batch_id").alias("since"))
+            last_whole = batch_id - compact_every
+            if drop_deleted and last_whole > 0:
+                # kept where the operation is null: reading raises for it
+                newest = newest.where(~((F.col("since") <= last_whole)
+                                        & F.col("_last.op").eqNullSafe("d")))
+            out = newest.drop("since")
+        write_lake_batch(out, state_path, batch_id)
+
+    return each
+
+
 def start_current_state_stream(changes: DataFrame, key: str | list[str],
                                order: list[str], state_path: str,
                                checkpoint: str, image: str = "after",
@@ -178,21 +215,7 @@ def start_current_state_stream(changes: DataFrame, key: str | list[str],
     agg = changes.groupBy(*keys).agg(
         F.max_by(payload, F.struct(*[F.col(o) for o in order])).alias("_last"))
 
-    def each(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        whole = batch_id > 0 and batch_id % compact_every == 0
-        if batch_id > 1 and (batch_id - 1) % compact_every == 0:
-            # the batch before holds all keys; with compact_every=1 each one does
-            for b in range(max(0, batch_id - 1 - compact_every), batch_id - 1):
-                delete_path(spark, batch_dir(state_path, b))
-        out = batch
-        if whole:
-            before = read_lake(spark, state_path).where(F.col("batch_id") < batch_id)
-            rows = before.select(*batch.columns, "batch_id").unionByName(
-                batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")))
-            out = rows.groupBy(*keys).agg(F.max_by("_last", "batch_id").alias("_last"))
-        write_lake_batch(out, state_path, batch_id)
-
+    each = state_writer(keys, state_path, compact_every)
     writer = (agg.writeStream.outputMode("update").foreachBatch(each)
               .option("checkpointLocation", checkpoint))
     spark = changes.sparkSession

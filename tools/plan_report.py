@@ -19,7 +19,8 @@ from tidemark.plans.catalog import REGISTRY  # noqa: E402
 from tidemark.session import clear_scratch, local_session  # noqa: E402
 
 STREAMED = {"stream_enrich", "stream_lake", "stream_resume", "stream_replay",
-            "schema_evolution", "batch_report", "stream_current_state"}
+            "schema_evolution", "batch_report", "stream_current_state",
+            "stream_expiring_state"}
 WRITTEN = {"lake_read", "lake_count", "lake_preview", "as_of_version",
            "as_of_timestamp", "table_history", "csv_roundtrip", "csv_text_roundtrip"}
 OPS = ["Exchange", "BroadcastExchange", "SortMergeJoin", "BroadcastHashJoin",
