@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import langid, quality, queries, toxicity
-from tidemark.llm.textmap import held_out
+from tidemark.llm.textmap import held_out, labelled_texts
 
 LARGER = "/root/testdata/sf0.1"
 
@@ -61,6 +61,81 @@ def test_nothing_to_learn(spark, module, odd, labels, documents):
     assert len({r["score"] for r in module.score_documents(odd, one).collect()}) == 1
 
 
+def test_contradicting_labels_and_several_texts(spark, make_docs):
+    docs = make_docs([(1, "b"), (1, "a"), (1, None), (2, "x"), (3, "y"), (3, "y"), (4, "long text"),
+                      (None, "n"), (5, "z")])
+    marks = spark.createDataFrame(
+        [(1, 1), (1, 1), (2, 0), (2, 1), (3, 0), (4, 1), (None, 1), (5, None), (9, 1)],
+        "doc_id long, toxic int")
+    got = labelled_texts(docs, marks, "toxic", F.lit(True), 100, 5)
+    assert got == [("a", 1), ("y", 0)]
+
+
+def plain_boost(x, y, p, edges, base):
+    """Complete trees grown row by row: (feature, split, leaf) of each tree and margins."""
+    b = [[sum(e < v for e in edges[k]) for k, v in enumerate(row)] for row in x]
+    width = max(map(len, edges)) + 1
+    margin, trees = [base] * len(y), []
+    for _ in range(p.trees):
+        prob = [1 / (1 + np.exp(-m)) for m in margin]
+        g, h = [q - t for q, t in zip(prob, y)], [q * (1 - q) for q in prob]
+        f, s, node = [0] * (2 ** p.depth - 1), [width] * (2 ** p.depth - 1), [0] * len(y)
+        for level in range(p.depth):
+            for n in range(2 ** level - 1, 2 ** (level + 1) - 1):
+                ours, best = [i for i in range(len(y)) if node[i] == n], 1e-9
+                for k in range(len(edges)):
+                    for cut in range(width):
+                        side = [i for i in ours if b[i][k] <= cut]
+                        if min(len(side), len(ours) - len(side)) < p.min_rows:
+                            continue
+                        gl, hl = sum(g[i] for i in side), sum(h[i] for i in side)
+                        gt, ht = sum(g[i] for i in ours), sum(h[i] for i in ours)
+                        gain = gl ** 2 / (hl + p.ridge) + (gt - gl) ** 2 / (ht - hl + p.ridge) \
+                            - gt ** 2 / (ht + p.ridge)
+                        if gain > best + 1e-12:
+                            best, f[n], s[n] = gain, k, cut
+            node = [2 * n + 1 + (b[i][f[n]] > s[n]) for i, n in enumerate(node)]
+        leaf = []
+        for n in range(len(f), len(f) + 2 ** p.depth):
+            ours = [i for i in range(len(y)) if node[i] == n]
+            leaf.append(-p.rate * sum(g[i] for i in ours) / (sum(h[i] for i in ours) + p.ridge))
+        margin = [m + leaf[n - len(f)] for m, n in zip(margin, node)]
+        trees.append((f, s, leaf))
+    return trees, margin
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_trees_against_plain_loops(seed):
+    rng = np.random.default_rng(seed)
+    p = toxicity.Params(trees=3, depth=2, bins=5, min_rows=3)
+    x = np.round(rng.random((60, 3)) * rng.integers(0, 2, (60, 3)), 2)
+    y = (x[:, 0] + 0.4 * rng.random(60) > 0.6).astype(float)
+    model = toxicity.boost(x, y, p)
+    _, margin = plain_boost(x.tolist(), y.tolist(), p, [e.tolist() for e in model.edges],
+                            model.base)
+    assert model.margin(x) == pytest.approx(margin)
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_calibration_against_the_least_squares_fit(seed):
+    """Pooled shares are the rising fit: max over starts of min over ends of means."""
+    rng = np.random.default_rng(seed)
+    margin = np.round(rng.normal(size=80), 1)
+    y = (rng.random(80) < 1 / (1 + np.exp(-margin))).astype(float)
+    knots, share = toxicity.isotonic(margin, y)
+    at = np.unique(margin)
+    for v in at:
+        fit = max(min(y[(margin >= lo) & (margin <= hi)].mean() for hi in at[at >= v])
+                  for lo in at[at <= v])
+        block = (knots[0::2] <= v) & (knots[1::2] >= v)
+        assert block.sum() == 1
+        ours = (margin >= knots[0::2][block]) & (margin <= knots[1::2][block])
+        assert y[ours].mean() == pytest.approx(fit)
+        want = (y[ours].sum() + 0.1) / (ours.sum() + 0.2)
+        assert np.interp(v, knots, share) >= want - 1e-12
+    assert (np.diff(share) >= 0).all()
+
+
 def test_scores_are_the_softmax_of_the_mean_vector():
     """Folding vectors and softmax weights into one number changes nothing."""
     rows = [("good words here again", 1), ("bad bad bad bad", 0), ("fine prose follows", 1),

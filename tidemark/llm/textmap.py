@@ -172,15 +172,18 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, train: Column
 
     At most about ``bound`` labelled documents (chosen by a hash of the id) of
     at most ``max_chars`` characters each, so at most ``bound * max_chars``
-    characters.  Rows with a null id, label or text are not used.
+    characters.  Rows with a null id, label or text are not used, nor are documents
+    whose labels contradict each other.  Of an id with several texts the smallest is
+    taken.
     """
-    marks = (labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
-             .select("doc_id", F.col(label).cast("int").alias("y"))
-             .where(train).dropDuplicates(["doc_id"]))
+    y = F.col(label).cast("int")
+    marks = (labels.where(y.isNotNull() & F.col("doc_id").isNotNull()).where(train)
+             .groupBy("doc_id").agg(F.min(y).alias("y"), F.max(y).alias("most"))
+             .where("y = most").select("doc_id", "y"))
     marks = bounded_share(marks, bound)
     rows = (docs.select("doc_id", F.col("text").cast("string").alias("text"))
             .where(F.length("text") <= max_chars)
             .join(F.broadcast(marks), "doc_id")  # about `bound` rows of two numbers
-            .select("doc_id", "text", "y").toPandas()
-            .drop_duplicates("doc_id").sort_values("doc_id"))
+            .groupBy("doc_id").agg(F.min("text").alias("text"), F.first("y").alias("y"))
+            .toPandas().sort_values("doc_id"))
     return list(zip(rows["text"].tolist(), rows["y"].tolist()))
