@@ -681,9 +681,10 @@ def q_dq_schemas(spark, sf_dir):
     return quality.at_least("schemas_registered", n, "n", 1, "warn")
 
 
-def _change_stream(spark, sf_dir, cuts):
+def _change_stream(spark, sf_dir, cuts, batches=None):
     """Well-formed change envelopes of the first ``cuts`` arrival cuts, as a stream."""
-    decoded = envelope.decode_json(cut_stream(spark, sf_dir, range(cuts), "envelopes"), ENVELOPE)
+    arrived = cut_stream(spark, sf_dir, range(cuts), "envelopes", batches)
+    decoded = envelope.decode_json(arrived, ENVELOPE)
     good = decoded.where(F.col("envelope._corrupt_record").isNull()
                          & F.col("envelope").isNotNull())
     return good.select("envelope.k", "envelope.op", "envelope.lsn", "envelope.after")
@@ -703,14 +704,14 @@ def q_stream_current_state(spark, sf_dir):
 
 @register("stream_expiring_state")
 def q_stream_expiring_state(spark, sf_dir):
-    """Current state (C4) on a stream whose deleted keys leave the state after a week."""
-    state, ckpt = scratch_path(spark, "state"), scratch_path(spark, "checkpoint")
-    for c in range(N_CUTS):
-        q = start_expiring_state_stream(
-            _change_stream(spark, sf_dir, c + 1), "k", ["lsn"], state, ckpt,
-            keep_deleted_ms=7 * 24 * 3_600_000, state_partitions=parallelism(spark),
-            compact_every=2)
-        jobs.await_drained(q)
+    """Current state (C4) on a stream whose deleted keys leave the state after a week:
+    one run of several micro-batches, in the order of files, not of changes."""
+    state = scratch_path(spark, "state")
+    q = start_expiring_state_stream(
+        _change_stream(spark, sf_dir, N_CUTS, batches=N_CUTS), "k", ["lsn"], state,
+        scratch_path(spark, "checkpoint"), keep_deleted_ms=7 * 24 * 3_600_000,
+        state_partitions=parallelism(spark), compact_every=2)
+    jobs.await_drained(q)
     return jobs.read_current_state(spark, state, "k", ["lsn"])
 
 

@@ -219,15 +219,20 @@ def batch_clock_col(batch_id: F.Column) -> F.Column:
 
 
 def cut_stream(spark: SparkSession, sf_dir: str, cuts: Sequence[int],
-               kind: str = "events") -> DataFrame:
+               kind: str = "events", batches: int | None = None) -> DataFrame:
     """The topic as a stream to which the given cuts have arrived so far: the
-    stored log's folders themselves, no copy."""
+    stored log's folders themselves, no copy.  ``batches``: how many micro-batches
+    its files are dealt to (as many as Spark likes if not given)."""
     from ..schemas import RECORD
 
     log = _numbered_events(spark, sf_dir)
     folders = ",".join(str(c) for c in sorted(cuts))
-    raw = (spark.readStream.schema(log.drop("cut").schema)
-           .parquet(f"{log_path(spark, sf_dir)}/cut={{{folders}}}"))
+    path = f"{log_path(spark, sf_dir)}/cut={{{folders}}}"
+    stream = spark.readStream.schema(log.drop("cut").schema)
+    if batches is not None:
+        files = len(spark.read.schema(log.drop("cut").schema).parquet(path).inputFiles())
+        stream = stream.option("maxFilesPerTrigger", max(1, -(-files // batches)))
+    raw = stream.parquet(path)
     return raw.select(*[F.col(f"value_{kind}").alias("value") if c == "value" else F.col(c)
                         for c in RECORD.fieldNames()])
 
