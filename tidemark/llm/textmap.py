@@ -49,6 +49,13 @@ def map_texts(docs: DataFrame, make: Callable[[], BatchFn], fields: Sequence[T.S
 
     def run(batches: Iterable[pa.RecordBatch]):
         fn = make()
+        try:
+            yield from parts(fn, batches)
+        finally:
+            del fn
+            give_back_memory()
+
+    def parts(fn: BatchFn, batches: Iterable[pa.RecordBatch]):
         for batch in batches:
             for lo in range(0, batch.num_rows, SLICE_ROWS):
                 part = batch.slice(lo, SLICE_ROWS)
@@ -62,6 +69,20 @@ def map_texts(docs: DataFrame, make: Callable[[], BatchFn], fields: Sequence[T.S
     return src.mapInArrow(run, schema)
 
 
+def give_back_memory() -> None:
+    """Free memory of this worker back to the system: workers are used again, and what
+    the tasks of one step have freed would add to what the next step takes."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 class WordTable:
     """Values of distinct words, computed once per task and word.
 
