@@ -153,6 +153,81 @@ def test_fourteen_templates_of_one_leaf(make_docs):
     assert [got[i][1] for i, _ in rows] == [0, 1] * 14
 
 
+def crowd(rng, n):
+    """Tails of ``n`` lines of a leaf that nearly agree with its commonest tokens, each
+    by itself, and two tails beside them that differ at their first place only."""
+    usual = [f"u{'abcdefg'[j]}" for j in range(7)]
+    alone = []
+    for i in range(n):
+        tail = [f"o{'abcdefghijklmnopqrst'[i]}{'abcdefg'[j]}" for j in range(7)]
+        for j in rng.sample(range(7), 2):
+            tail[j] = usual[j]
+        alone.append(tail)
+    pair = [[first, *(f"p{'abcdefg'[j]}" for j in range(6))] for first in ("north", "south")]
+    return alone, pair
+
+
+def test_lines_that_a_split_takes_apart_are_one_template(make_docs):
+    alone, pair = crowd(random.Random(3), 20)
+    lines = [" ".join(["All", "of", "the", *tail]) for tail in [*alone, *pair]]
+    # the rounds and the splits alone leave the two of the pair
+    leaf = {i: line.split() for i, line in enumerate(lines)}
+    assert all(len(x) < 2 for x in templates_of(leaf, linededup.Params()))
+    got = clean(make_docs(list(enumerate(lines))))
+    assert [got[i][1] for i in range(22)] == [0] * 21 + [1]
+
+
+def rest_of(spark, lines, p=linededup.Params()):
+    """Templates (sets of lines) of lines that no round has brought together."""
+    rows = [("|".join([str(len(t)), *t[:p.depth]]), i, t) for i, t in enumerate(lines)]
+    distinct = spark.createDataFrame(
+        [(signed(xxhash.xxh64(leaf.encode()).intdigest()), i, t) for leaf, i, t in rows],
+        "leaf long, key long, tokens array<string>")
+    keyed = spark.createDataFrame([(i, i) for i in range(0, len(lines), 2)],
+                                  "key long, template long")
+    out = defaultdict(set)
+    for r in linededup._rest_clusters(spark, distinct, keyed, p).collect():
+        out[r["template"]].add(r["key"])
+    return [r[0] for r in rows], list(out.values())
+
+
+def test_no_two_lines_of_a_leaf_that_agree_are_left_alone(spark):
+    rng = random.Random(11)
+    for sizes, depth, n in (((6, 8, 11), 3, 300), ((40,), 3, 60), ((6,), 5, 40)):
+        lines = set()
+        for size in sizes:
+            made = [rng.choices(["c", "d", "e", "f", "g", "<*>"], k=size - depth) for _ in range(n)]
+            for tail in made if size < 40 else made * 2:
+                for _ in range(0 if size < 40 else 5):
+                    tail[rng.randrange(size - depth)] = rng.choice("cdefg")
+                lines.add((*rng.choices(["a", "b"] if size < 40 else ["a"], k=depth), *tail))
+        lines = sorted(lines)
+        p = linededup.Params(depth=depth)
+        leaf, found = rest_of(spark, lines, p)
+
+        def agree(i, j):
+            return leaf[i] == leaf[j] and \
+                agreement(lines[i], lines[j]) >= p.min_fixed * len(lines[i])
+
+        members = [k for keys in found for k in keys]
+        assert len(members) == len(set(members))
+        assert len(found) > 2 and all(len(keys) > 1 for keys in found)
+        assert all(any(all(agree(c, k) for k in keys if k != c) for c in keys) for keys in found)
+        left = sorted(set(range(len(lines))) - set(members))
+        assert not any(agree(i, j) for i in left for j in left if i < j)
+
+
+def test_many_lines_of_one_template_make_no_pairs_among_each_other(spark, monkeypatch):
+    lines = [("All", "of", "the", f"n{i}x", "we", "sell", "come", "with", "long", "years")
+             for i in range(2000)]
+    compared = []
+    plain = linededup._agreeing
+    monkeypatch.setattr(linededup, "_agreeing", lambda pairs, *rest: (
+        compared.append(pairs.distinct().count()), plain(pairs, *rest))[1])
+    assert [len(x) for x in rest_of(spark, lines)[1]] == [2000]
+    assert sum(compared) < 2000
+
+
 def test_five_lines_and_footers_through_the_query_rule(make_docs):
     rows = [(i, f"All rights reserved.\nown {i}") for i in range(60)]
     got = clean(make_docs(rows))

@@ -11,8 +11,11 @@ these have are the template's fixed ones, and every line of the leaf that has
 it deviates.  Lines left over go on to the next round.  A group goes on as long as
 its rounds yield templates of several lines; after ``leaf_rounds`` rounds in a row
 without one it is split on a path twice as long, and again after each further round
-without one, until no two lines share a path.  A template recurs if lines of
-``min_docs`` documents have it.  It counts if it has ``min_tokens`` tokens.  Lines that
+without one, until no two lines share a path.  Lines that the rounds and the splits
+have left alone are then compared across all groups of their leaf: a prefix join
+(``_buckets``) meets every two of them that agree in ``min_fixed`` of the places, and a
+line and those that agree with it are one template, until no two lines left over agree.
+A template recurs if lines of ``min_docs`` documents have it.  It counts if it has ``min_tokens`` tokens.  Lines that
 agree after masking are one template in any case, so a rare template in a crowded
 leaf is found, too.  Lines with too few fixed tokens (tables of numbers) are not
 masked: only equal ones are one template.  Lines of fewer than ``min_tokens`` tokens
@@ -60,6 +63,8 @@ class Params:
 #: Lines with this share of all (line, document) pairs are joined by broadcast: there
 #: are at most so many.
 HOT = 1 << 14
+#: Lines of up to so many tokens meet by two tokens of their prefixes, longer ones by one.
+PAIRED = 32
 #: A token with a digit is a variable form.
 MASK = "[^ ]*[0-9][^ ]*"
 
@@ -177,6 +182,107 @@ def _clusters(spark: SparkSession, distinct: DataFrame, p: Params) -> DataFrame:
     return reduce(DataFrame.unionByName, done)
 
 
+def _buckets(rest: DataFrame, p: Params) -> DataFrame:
+    """``(bucket, key)``: lines of one leaf that agree in ``min_fixed`` of the places
+    share a bucket.  They have the leading tokens in common, so they share ``need`` of
+    the other fixed tokens (with their places), and ``shared`` of the first
+    ``n - need + shared`` of these by rarity in the leaf, ``n`` being the line's own.
+    Tokens that only one line has come first and meet nothing."""
+    lead = F.size(F.filter(F.slice("tokens", F.lit(1), F.lit(p.depth)), lambda t: t != "<*>"))
+    lines = rest.select("leaf", "key", "tokens",
+                        (F.ceil(F.size("tokens") * p.min_fixed) - lead).cast("int").alias("need"))
+    # the leading tokens are enough: all lines of the leaf agree
+    alike = lines.where("need < 1").select(F.col("leaf").alias("bucket"), "key")
+    shared = F.when((F.size("tokens") <= PAIRED) & (F.col("need") > 1), 2).otherwise(1)
+    tokens = (lines.where("need > 0")
+              .select("leaf", "key", "need", shared.alias("shared"),
+                      F.size(F.filter(F.slice("tokens", F.lit(p.depth + 1), F.size("tokens")),
+                                      lambda t: t != "<*>")).alias("n"),
+                      F.posexplode("tokens").alias("place", "token"))
+              .where((F.col("place") >= p.depth) & (F.col("token") != "<*>"))
+              .select("key", "need", "shared", "n",
+                      F.xxhash64("leaf", "place", "token").alias("token")))
+    often = tokens.groupBy("token").agg(F.count("*").alias("often")).where("often > 1")
+    # no more than the line's own tokens
+    prefix = (tokens.join(often, "token").groupBy("key", "need", "shared", "n")
+              .agg(F.array_sort(F.collect_list(F.struct("often", "token"))).alias("common"))
+              .withColumn("room", F.col("shared") - F.col("need") + F.size("common"))
+              .where(F.col("room") >= F.col("shared"))
+              .select("key", "shared", F.slice("common", F.lit(1), F.col("room"))
+                      .getField("token").alias("prefix")))
+    first = prefix.select("key", "shared", "prefix",
+                          F.posexplode("prefix").alias("at", "token"))
+    one = first.where("shared = 1").select(F.col("token").alias("bucket"), "key")
+    two = (first.where("shared = 2")
+           .select("key", "token", F.explode(F.slice(
+               "prefix", F.col("at") + 2, F.size("prefix"))).alias("other"))
+           .select(F.xxhash64("token", "other").alias("bucket"), "key"))
+    every = alike.unionByName(one).unionByName(two)
+    several = every.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    return every.join(several.select("bucket"), "bucket")
+
+
+def _agreeing(pairs: DataFrame, rest: DataFrame, p: Params) -> DataFrame:
+    """The pairs ``(key, other)`` of lines that agree in ``min_fixed`` of the places."""
+    other = rest.select(F.col("key").alias("other"), F.col("tokens").alias("seed"))
+    return (pairs.distinct().join(rest.select("key", "tokens"), "key").join(other, "other")
+            .where(_agreement("seed") >= F.size("tokens") * p.min_fixed).select("key", "other"))
+
+
+def _stars(links: DataFrame) -> DataFrame:
+    """``(key, center)`` of lines linked to a center, centers included.  ``links`` go
+    from a ``key`` to an ``other`` that precedes it in one order of all lines; a center is
+    linked to nothing before it."""
+    centers = links.select(F.col("other").alias("center")).distinct().join(
+        links.select(F.col("key").alias("center")).distinct(), "center", "left_anti")
+    members = (links.join(centers, F.col("other") == F.col("center"))
+               .groupBy("key").agg(F.min("center").alias("center")))
+    # a center whose lines all went to others is left over again
+    own = members.select("center").distinct().select(F.col("center").alias("key"), "center")
+    return members.unionByName(own)
+
+
+def _rest_clusters(spark: SparkSession, distinct: DataFrame, keyed: DataFrame,
+                   p: Params) -> DataFrame:
+    """``(key, template)`` of lines that are alone in ``keyed``, or not in it, and agree
+    with another such line of their leaf.  Each line of a bucket is compared with one
+    line, the bucket's first in the order of the round, so many lines of one template
+    make no pairs among each other; once that links nothing, all pairs of what is left
+    in a bucket are compared."""
+    several = keyed.groupBy("template").agg(F.count("*").alias("n")).where("n > 1")
+    rest = stored(spark, distinct.select("leaf", "key", "tokens").join(
+        keyed.join(several, "template").select("key"), "key", "left_anti"), "rest")
+    buckets = stored(spark, _buckets(rest, p), "buckets")
+    done, turn = [spark.createDataFrame([], "key long, center long")], 0
+    while not buckets.isEmpty():
+        ranked = F.struct(F.xxhash64("key", F.lit(turn)).alias("rank"), "key")
+        first = buckets.groupBy("bucket").agg(F.min(ranked).getField("key").alias("other"))
+        links = stored(spark, _agreeing(buckets.join(first, "bucket").where(
+            F.col("key") != F.col("other")).select("key", "other"), rest, p), "links")
+        if links.isEmpty():
+            break
+        done.append(stored(spark, _stars(links), "stars"))
+        buckets = stored(spark, buckets.join(done[-1].select("key"), "key", "left_anti"),
+                         "buckets")
+        turn += 1
+    else:
+        return _star_templates(done)
+    links = stored(spark, _agreeing(buckets.join(
+        buckets.select("bucket", F.col("key").alias("other")), "bucket").where("other < key")
+        .select("key", "other"), rest, p), "links")
+    while not links.isEmpty():
+        done.append(stored(spark, _stars(links), "stars"))
+        gone = done[-1].select(F.col("key").alias("gone"))
+        links = stored(spark, links.join(gone, F.col("key") == F.col("gone"), "left_anti").join(
+            gone, F.col("other") == F.col("gone"), "left_anti"), "links")
+    return _star_templates(done)
+
+
+def _star_templates(done: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, done).select(
+        "key", F.xxhash64("center", F.lit("rest")).alias("template"))
+
+
 def _places(lines: DataFrame, counts: DataFrame, drop: DataFrame) -> DataFrame:
     """Lines of the keys of ``drop`` in all documents but the first.  The hottest keys
     are joined by broadcast (they hold a 1 / ``HOT`` share of all pairs of line and
@@ -201,8 +307,9 @@ def recurring(docs: DataFrame, p: Params = Params()) -> DataFrame:
     counts = stored(spark, in_doc.groupBy("key", "leaf", "parts").agg(
         F.min("doc_id").alias("first_doc"), F.count("*").alias("n_docs"),
         F.min(F.struct("doc_id", "at.text_hash", "at.pos")).alias("at")), "counts")
-    distinct = _crowded_lines(docs, counts, p)
+    distinct = stored(spark, _crowded_lines(docs, counts, p), "crowded")
     keyed = stored(spark, _clusters(spark, distinct, p), "templates")
+    keyed = keyed.unionByName(_rest_clusters(spark, distinct, keyed, p))
     templates = (keyed.join(counts, "key").groupBy("template")
                  .agg(F.min("first_doc").alias("first_doc"), F.max("first_doc").alias("last"),
                       F.count("*").alias("n_lines"), F.max("n_docs").alias("n_docs"))
