@@ -23,6 +23,9 @@ from tidemark.session import scratch_path
 
 #: Rows handed to a batch function at once; bounds the Python copies of texts.
 SLICE_ROWS = 256
+#: Rows of an Arrow batch of texts between the JVM and a worker, both of which hold it
+#: whole, and again while its buffers grow.
+BATCH_ROWS = 512
 #: Distinct words a task remembers before it starts over.
 WORD_LIMIT = 500_000
 
@@ -38,6 +41,7 @@ def map_texts(docs: DataFrame, make: Callable[[], BatchFn], fields: Sequence[T.S
     ``make()`` runs once per task and returns a function from a list of texts
     (``None`` for null) to one array per field, aligned with the texts.
     """
+    bound_batches(docs.sparkSession)
     src = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns]).alias(row),
                       F.col(f"`{text}`").cast("string").alias("t"))
     in_row = None
@@ -69,6 +73,15 @@ def map_texts(docs: DataFrame, make: Callable[[], BatchFn], fields: Sequence[T.S
     return src.mapInArrow(run, schema)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches of ``BATCH_ROWS`` rows at most from now on in this session, for a
+    plan takes their size when it is run: Spark's usual 10,000 texts of some KB take
+    tens of MB several times over in each task.  A smaller bound stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def give_back_memory() -> None:
     """Free memory of this worker back to the system: workers are used again, and what
     the tasks of one step have freed would add to what the next step takes."""
