@@ -15,6 +15,7 @@ from itertools import count, islice
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -96,6 +97,25 @@ def give_back_memory() -> None:
         pass
 
 
+def give_back_driver_memory(spark: SparkSession) -> None:
+    """The same for the driver, its Python and its JVM: what the planning and compiling of
+    each job has freed stays with the C library and adds up over a pipeline's many jobs."""
+    give_back_memory()
+    jvm, array = spark.sparkContext._jvm, spark.sparkContext._gateway.new_array
+    find = jvm.java.lang.Class.forName
+    try:  # jcmd's System.trim_native_heap; through the interface, as the server's class is not public
+        kinds, args = array(jvm.java.lang.Class, 4), array(jvm.java.lang.Object, 4)
+        for i, kind in enumerate(["javax.management.ObjectName", "java.lang.String",
+                                  "[Ljava.lang.Object;", "[Ljava.lang.String;"]):
+            kinds[i] = find(kind)
+        args[0] = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand")
+        args[1] = "systemTrimNativeHeap"
+        find("javax.management.MBeanServer").getMethod("invoke", kinds).invoke(
+            jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer(), args)
+    except Py4JError:  # a JVM without that command
+        pass
+
+
 class WordTable:
     """Values of distinct words, computed once per task and word.
 
@@ -194,9 +214,11 @@ def bounded_share(df: DataFrame, bound: int, key: str = "doc_id") -> DataFrame:
 
 def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: cuts the lineage, so
-    a lost executor never costs more than the step that reads it."""
+    a lost executor never costs more than the step that reads it.  The driver gives
+    back the memory that the write has freed."""
     path = scratch_path(spark, f"llm-{name}")
     df.write.parquet(path)
+    give_back_driver_memory(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
