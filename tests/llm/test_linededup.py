@@ -339,3 +339,76 @@ def test_short_lines_recur_in_more_documents(make_docs):
             gone = int(docs >= need[n])
             assert [got[i][1] for i in range(docs)] == [0] + [gone] * (docs - 1)
             assert got[1][0] == ("\nown text 1" if gone else f"{line}\n\nown text 1")
+
+
+def plans_of(docs, monkeypatch):
+    """Plans of the tables that ``recurring`` stores, by name."""
+    plans, plain = {}, linededup.stored
+
+    def stored(spark, df, name):
+        plans.setdefault(name, df._jdf.queryExecution().executedPlan().toString())
+        return plain(spark, df, name)
+
+    monkeypatch.setattr(linededup, "stored", stored)
+    linededup.recurring(docs)
+    return plans
+
+
+def test_lines_are_counted_without_a_sort(make_docs, monkeypatch):
+    plans = plans_of(make_docs([(i, f"one two three four five six\nown {i}") for i in range(4)]),
+                     monkeypatch)
+    assert "HashAggregate" in plans["counts"] and "SortAggregate" not in plans["counts"]
+
+
+def test_texts_are_split_once_and_not_sorted(make_docs):
+    rows = [(i, f"one two three four five six\nown {i}") for i in range(4)]
+    df = linededup.drop_lines(make_docs(rows), removed="gone")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambdafunction(lines#" in plan and "lambdafunction(split(" not in plan
+    join = next(x for x in plan.split("\n") if "Join LeftOuter" in x)
+    assert "strategy=shuffle_hash" in join
+
+
+def test_fixed_tokens_are_counted_once_for_each_line(spark):
+    rest = spark.createDataFrame([(1, 2, ["a"] * 9)], "leaf long, key long, tokens array<string>")
+    plan = linededup._buckets(rest, linededup.Params())._jdf.queryExecution() \
+        .optimizedPlan().toString().split("\n")
+    dealt = [i for i, line in enumerate(plan) if "Generate posexplode(tokens" in line]
+    assert dealt
+    for i in dealt:  # what stands right above takes the counts of the line as they are
+        assert "Project" in plan[i - 1] or "Filter" in plan[i - 1]
+        assert "lambda" not in plan[i - 1] + plan[i - 2]
+
+
+def test_leaves_of_two_lines_take_one_comparison(make_docs, monkeypatch):
+    rng = random.Random(5)
+    rows, words = [], ["c", "d", "e", "<*>", "5x"]
+    for leaf in range(60):
+        size = rng.choice([6, 7, 12])
+        line = [f"lead{'abcdefghij'[leaf // 10]}", f"lead{'abcdefghij'[leaf % 10]}", "of",
+                *rng.choices(words, k=size - 3)]
+        for v in range(2):
+            for place in rng.sample(range(3, size), rng.randrange(3)):
+                line[place] = rng.choice([*words, f"own{'xy'[v]}"])
+            rows.append((2 * leaf + v, " ".join(line)))
+    sizes, plain = [], linededup._clusters
+    monkeypatch.setattr(linededup, "_clusters", lambda spark, distinct, p: (
+        sizes.append(distinct.count()), plain(spark, distinct, p))[1])
+    gone = brute(rows)
+    assert 20 < len(gone) < 60
+    got = clean(make_docs(rows))
+    assert got == {i: kept_text(i, t, gone) for i, t in rows}
+    assert sizes == [0]
+
+
+def test_variable_forms_of_odd_tokens(spark):
+    tokens = ["a", "7", "😀7", "7😀", "x\t9", "", "é1é2", "\r3", "漢", "<*>", "a0" * 50, "b" * 20_000]
+    rng = random.Random(6)
+    lines = [" ".join(rng.choices(tokens, k=rng.randrange(1, 12))) for _ in range(300)]
+    got = linededup._masked(spark.createDataFrame([(x,) for x in lines], "line string"),
+                            linededup.Params()).collect()
+    p = linededup.Params()
+    for r in got:
+        form = " ".join("<*>" if re.search("[0-9]", t) else t for t in r["line"].split(" "))
+        many = form.count("<*>") > (r["line"].count(" ") + 1) * (1 - p.min_fixed)
+        assert r["masked"] == (r["line"] if many else form)

@@ -15,6 +15,8 @@ without one, until no two lines share a path.  Lines that the rounds and the spl
 have left alone are then compared across all groups of their leaf: a prefix join
 (``_buckets``) meets every two of them that agree in ``min_fixed`` of the places, and a
 line and those that agree with it are one template, until no two lines left over agree.
+A leaf of two lines, the usual one, needs none of this: its lines are one template if
+they agree in ``min_fixed`` of the places (``_pairs``).
 A template recurs if lines of ``min_docs`` documents have it.  It counts if it has ``min_tokens`` tokens.  Lines that
 agree after masking are one template in any case, so a rare template in a crowded
 leaf is found, too.  Lines with too few fixed tokens (tables of numbers) are not
@@ -65,8 +67,11 @@ class Params:
 HOT = 1 << 14
 #: Lines of up to so many tokens meet by two tokens of their prefixes, longer ones by one.
 PAIRED = 32
-#: A token with a digit is a variable form.
-MASK = "[^ ]*[0-9][^ ]*"
+#: A token with a digit is a variable form.  It is sought from the starts of tokens and
+#: read once, however long it is.
+MASK = "(?<![^ ])[^ 0-9]*+[0-9][^ ]*+"
+#: Blank signs of a line (those of the pattern language's white space).
+BLANK = " \t\n\x0b\f\r"
 
 
 def _parts(line: Column) -> Column:
@@ -74,13 +79,16 @@ def _parts(line: Column) -> Column:
     return F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit(""))) + 1
 
 
-def masked(line: Column, p: Params) -> Column:
-    """Variable forms of a line written as one sign, if enough of its tokens
-    are fixed; a line without a digit is not searched."""
-    found = F.regexp_replace(line, MASK, "<*>")
+def _masked(lines: DataFrame, p: Params) -> DataFrame:
+    """``lines`` with a column ``masked``: the variable forms of ``line`` written as one
+    sign, if enough of its tokens are fixed; a line without a digit is not searched."""
+    line, found = F.col("line"), F.col("found")
     signs = (F.octet_length(found) - F.octet_length(F.replace(found, F.lit("<*>"), F.lit("")))) / 3
-    return F.when(line.rlike("[0-9]"), F.when(signs <= _parts(line) * (1 - p.min_fixed), found)
-                  .otherwise(line)).otherwise(line)
+    # a column of its own, or each of its uses would search the line again
+    return (lines.withColumn("found", F.when(line.rlike("[0-9]"),
+                                             F.regexp_replace(line, MASK, "<*>")))
+            .withColumn("masked", F.when(signs <= _parts(line) * (1 - p.min_fixed), found)
+                        .otherwise(line)).drop("found"))
 
 
 def _text_hash(text: Column) -> Column:
@@ -93,35 +101,42 @@ def _lines(docs: DataFrame, p: Params) -> DataFrame:
     count and the leading tokens)."""
     text = F.col("text").cast("string")
     line = F.col("line")
-    return (docs.where(F.col("doc_id").isNotNull() & text.isNotNull())
-            .select("doc_id", _text_hash(text).alias("text_hash"),
-                    F.posexplode(F.split(text, "\n", -1)).alias("pos", "line"))
-            .select("doc_id", "text_hash", "pos", "line", _parts(line).alias("parts"))
-            .where(line.rlike(r"\S"))
-            .select("doc_id", "text_hash", "pos", "parts", masked(line, p).alias("masked"))
-            .select("doc_id", "text_hash", "pos", "parts", F.xxhash64("masked").alias("key"),
-                    F.xxhash64("parts", F.substring_index("masked", " ", p.depth)).alias("leaf")))
+    # the hash before the lines are dealt out, or it would be made for each line
+    lines = (docs.where(F.col("doc_id").isNotNull() & text.isNotNull())
+             .select("doc_id", _text_hash(text).alias("text_hash"),
+                     F.split(text, "\n", -1).alias("lines"))
+             .select("doc_id", "text_hash", F.posexplode("lines").alias("pos", "line"))
+             .where(F.ltrim(line, F.lit(BLANK)) != "")
+             .withColumn("parts", _parts(line)))
+    return _masked(lines, p).select(
+        "doc_id", "text_hash", "pos", "parts", F.xxhash64("masked").alias("key"),
+        F.xxhash64("parts", F.substring_index("masked", " ", p.depth)).alias("leaf"))
 
 
 def _crowded_lines(docs: DataFrame, counts: DataFrame, p: Params) -> DataFrame:
-    """``leaf, key, n_lines, tokens`` of distinct masked lines in leaves that hold
-    several.  Only these lines' texts are read, each at one of its places."""
+    """``leaf, key, n_lines, masked`` of distinct masked lines in leaves that hold several.
+    Only these lines' texts are read, each at one of its places."""
     long = counts.where(F.col("parts") >= p.min_tokens)
     crowded = (long.groupBy("leaf").agg(F.count("*").alias("n_lines"))
                .where(F.col("n_lines") >= p.leaf_lines))
     wanted = (long.join(crowded, "leaf")
-              .groupBy("at.doc_id", "at.text_hash")  # no more than a text's own lines
-              .agg(F.collect_list(F.struct("at.pos", "key", "leaf", "n_lines")).alias("wanted"))
-              .select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"), "wanted"))
+              .groupBy("first_doc", "text_hash")  # no more than a text's own lines
+              .agg(F.collect_list(F.struct("pos", "key", "leaf", "n_lines")).alias("wanted"))
+              .select(F.col("first_doc").alias("id"), F.col("text_hash").alias("hash"), "wanted"))
     text = F.col("text").cast("string")
+    # texts are not sorted: the smaller side is looked up
     found = (docs.select("doc_id", "text").join(
-        wanted, (F.col("doc_id") == F.col("id")) & (_text_hash(text) == F.col("hash")))
-        .select(F.split(text, "\n", -1).alias("lines"), F.explode("wanted").alias("w"))
+        wanted.hint("shuffle_hash"),
+        (F.col("doc_id") == F.col("id")) & (_text_hash(text) == F.col("hash")))
+        .select(F.split(text, "\n", -1).alias("lines"), "wanted")
+        .select("lines", F.explode("wanted").alias("w"))
         .select("w.leaf", "w.key", "w.n_lines", F.get("lines", F.col("w.pos")).alias("line")))
-    return (found.groupBy("leaf", "key").agg(F.first("line").alias("line"),
-                                             F.first("n_lines").alias("n_lines"))
-            .select("leaf", "key", "n_lines",
-                    F.split(masked(F.col("line"), p), " ", -1).alias("tokens")))
+    once = found.groupBy("leaf", "key", "n_lines").agg(F.first("line").alias("line"))
+    return _masked(once, p).select("leaf", "key", "n_lines", "masked")
+
+
+def _tokens(masked: str | Column) -> Column:
+    return F.split(masked, " ", -1)
 
 
 def _common(rows: DataFrame, share: float, name: str) -> DataFrame:
@@ -143,14 +158,27 @@ def _agreement(other: str) -> Column:
     return F.size(F.filter(same, lambda x: F.coalesce(x, F.lit(False))))
 
 
+def _pairs(crowded: DataFrame, p: Params) -> DataFrame:
+    """``(key, template)`` of the lines of leaves that hold two.  Whichever of them the
+    rounds took as seed, the other one would fit if they agree with each other, and
+    else stay alone, so one comparison does for the rounds, the splits and the rest."""
+    two = crowded.where("n_lines = 2").groupBy("leaf").agg(
+        F.collect_list(F.struct("key", "masked")).alias("two")).where(F.size("two") == 2)
+    return (two.select("leaf", F.col("two.key").alias("keys"),
+                       _tokens(F.col("two")[0]["masked"]).alias("tokens"),
+                       _tokens(F.col("two")[1]["masked"]).alias("other"))
+            .where(_agreement("other") >= F.size("tokens") * p.min_fixed)
+            .select(F.explode("keys").alias("key"),
+                    F.xxhash64("leaf", F.lit("two")).alias("template")))
+
+
 def _clusters(spark: SparkSession, distinct: DataFrame, p: Params) -> DataFrame:
     """``(key, template)`` of the lines that fit a template of their leaf.  The number
     of rounds is that of the templates of a leaf, and grows with the logarithm of the
     tokens of a line."""
     enough = F.size("tokens") * p.min_fixed
-    left = stored(spark, distinct.select(
-        "leaf", "key", "tokens", F.col("leaf").alias("grp"), F.lit(p.depth).alias("depth"),
-        F.lit(0).alias("dry")), "clusters")
+    left = distinct.select("leaf", "key", "tokens", F.col("leaf").alias("grp"),
+                           F.lit(p.depth).alias("depth"), F.lit(0).alias("dry"))
     done, turn = [spark.createDataFrame([], "key long, template long")], 0
     while not left.isEmpty():
         best = F.max(F.struct(_agreement("common").alias("n"), "key", "tokens"))
@@ -188,16 +216,20 @@ def _buckets(rest: DataFrame, p: Params) -> DataFrame:
     the other fixed tokens (with their places), and ``shared`` of the first
     ``n - need + shared`` of these by rarity in the leaf, ``n`` being the line's own.
     Tokens that only one line has come first and meet nothing."""
-    lead = F.size(F.filter(F.slice("tokens", F.lit(1), F.lit(p.depth)), lambda t: t != "<*>"))
-    lines = rest.select("leaf", "key", "tokens",
-                        (F.ceil(F.size("tokens") * p.min_fixed) - lead).cast("int").alias("need"))
+    def fixed(tokens: Column) -> Column:
+        return F.size(F.filter(tokens, lambda t: t != "<*>"))
+
+    tail = F.slice("tokens", F.lit(p.depth + 1), F.size("tokens"))
+    # counted here once for each line, not again for each of its tokens
+    lines = rest.select(
+        "leaf", "key", "tokens", fixed(tail).alias("n"),
+        (F.ceil(F.size("tokens") * p.min_fixed) - fixed(F.slice("tokens", F.lit(1), F.lit(p.depth))))
+        .cast("int").alias("need"))
     # the leading tokens are enough: all lines of the leaf agree
     alike = lines.where("need < 1").select(F.col("leaf").alias("bucket"), "key")
     shared = F.when((F.size("tokens") <= PAIRED) & (F.col("need") > 1), 2).otherwise(1)
-    tokens = (lines.where("need > 0")
-              .select("leaf", "key", "need", shared.alias("shared"),
-                      F.size(F.filter(F.slice("tokens", F.lit(p.depth + 1), F.size("tokens")),
-                                      lambda t: t != "<*>")).alias("n"),
+    tokens = (lines.where("need > 0").withColumn("shared", shared)
+              .select("leaf", "key", "need", "shared", "n",
                       F.posexplode("tokens").alias("place", "token"))
               .where((F.col("place") >= p.depth) & (F.col("token") != "<*>"))
               .select("key", "need", "shared", "n",
@@ -293,7 +325,8 @@ def _places(lines: DataFrame, counts: DataFrame, drop: DataFrame) -> DataFrame:
            .select(F.col("key").alias("hot")))
     rest = lines.join(F.broadcast(hot), F.col("key") == F.col("hot"), "left_anti")
     hot_drop = drop.join(F.broadcast(hot), F.col("key") == F.col("hot"), "left_semi")
-    found = lines.join(F.broadcast(hot_drop), "key").unionByName(rest.join(drop, "key"))
+    found = lines.join(F.broadcast(hot_drop), "key").unionByName(
+        rest.join(drop.hint("shuffle_hash"), "key"))
     return found.where(F.col("doc_id") != F.col("first_doc")).select("doc_id", "text_hash", "pos")
 
 
@@ -302,13 +335,16 @@ def recurring(docs: DataFrame, p: Params = Params()) -> DataFrame:
     templates in all documents but the first that has the template."""
     spark = docs.sparkSession
     lines = stored(spark, _lines(docs, p), "lines")
+    # one place of each line, in its first document; numbers only, so nothing is sorted
     in_doc = lines.groupBy("key", "leaf", "parts", "doc_id").agg(
-        F.min(F.struct("text_hash", "pos")).alias("at"))
+        F.min("text_hash").alias("text_hash"), F.min_by("pos", "text_hash").alias("pos"))
     counts = stored(spark, in_doc.groupBy("key", "leaf", "parts").agg(
         F.min("doc_id").alias("first_doc"), F.count("*").alias("n_docs"),
-        F.min(F.struct("doc_id", "at.text_hash", "at.pos")).alias("at")), "counts")
-    distinct = stored(spark, _crowded_lines(docs, counts, p), "crowded")
-    keyed = stored(spark, _clusters(spark, distinct, p), "templates")
+        F.min_by("text_hash", "doc_id").alias("text_hash"),
+        F.min_by("pos", "doc_id").alias("pos")), "counts")
+    crowded = stored(spark, _crowded_lines(docs, counts, p), "crowded")
+    distinct = crowded.where("n_lines > 2").select("leaf", "key", _tokens("masked").alias("tokens"))
+    keyed = stored(spark, _clusters(spark, distinct, p).unionByName(_pairs(crowded, p)), "templates")
     keyed = keyed.unionByName(_rest_clusters(spark, distinct, keyed, p))
     templates = (keyed.join(counts, "key").groupBy("template")
                  .agg(F.min("first_doc").alias("first_doc"), F.max("first_doc").alias("last"),
@@ -337,13 +373,15 @@ def drop_lines(docs: DataFrame, p: Params = Params(), removed: str | None = None
     text = F.col("row.text").cast("string")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")) \
         .withColumn("hash", _text_hash(text))
-    joined = rows.join(doomed, (F.col("row.doc_id") == F.col("doc_id"))
-                       & (F.col("hash") == F.col("text_hash")), "left")
-    lines = F.split(text, "\n", -1)
-    # set difference of places, so long texts take linear time
-    every = F.sequence(F.lit(0), F.size(lines) - 1)
-    kept = F.transform(F.array_except(every, "places"), lambda i: F.get(lines, i))
     changed = F.col("places").isNotNull()
+    # texts are not sorted: the places are looked up.  The lines are a column of their own,
+    # or the text would be split again for each line that is kept
+    joined = rows.join(doomed.hint("shuffle_hash"), (F.col("row.doc_id") == F.col("doc_id"))
+                       & (F.col("hash") == F.col("text_hash")), "left") \
+        .withColumn("lines", F.when(changed, F.split(text, "\n", -1)))
+    # set difference of places, so long texts take linear time
+    every = F.sequence(F.lit(0), F.size("lines") - 1)
+    kept = F.transform(F.array_except(every, "places"), lambda i: F.get("lines", i))
     out = joined.withColumn("_tm_text", F.when(changed, F.array_join(kept, "\n"))
                             .otherwise(F.col("row.text")))
     dropped = F.coalesce(F.size(F.array_distinct("places")), F.lit(0)).cast("long")
